@@ -47,7 +47,10 @@ def line_batches(spark, sf):
     lines = read_table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag"
     )
-    batches = paging.assign_batches(lines, "l_orderkey", "l_linenumber", 3)
+    # Line numbers repeat, so part and flag break ties and the part cuts slices.
+    order = ["l_linenumber", "l_partkey", "l_returnflag"]
+    slices = F.col("l_linenumber").cast("bigint") * 10**9 + F.floor(F.col("l_partkey") / 10**6)
+    batches = paging.assign_batches(lines, "l_orderkey", order, 3, slices)
     return combine.to_column_lists(
         batches, ["l_orderkey", "batch"], "slot", ["l_partkey", "l_returnflag"]
     )
@@ -129,7 +132,8 @@ QUERIES = {
 PLACED_LINES = """
     placed AS (
         SELECT l_orderkey, l_partkey, l_returnflag,
-               row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) - 1 AS pos
+               row_number() OVER (PARTITION BY l_orderkey
+                                  ORDER BY l_linenumber, l_partkey, l_returnflag) - 1 AS pos
         FROM lineitem
     )
 """

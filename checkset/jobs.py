@@ -132,7 +132,8 @@ def stream_ingest(spark, sf):
         return pages.select("page_id", clean_html(F.col("html")).alias("text"))
 
     dest = fresh_path(spark, "tabs")
-    stream = page_stream(spark, f"{sf}/pages.parquet")
+    # A pattern, because the table may be one file as well as a folder.
+    stream = page_stream(spark, f"{sf}/page[s].parquet")
     ingest_to_tab(stream, job, dest, "Pages", fresh_path(spark, "progress")).awaitTermination()
     tab = read_tab(spark, dest, "Pages", ["page_id", "text"])
     return tab.withColumn("page_id", F.col("page_id").cast("bigint"))

@@ -13,7 +13,7 @@ from gleanspark.sources.feeds import append_tab
 def page_stream(
     spark: SparkSession, path: str, schema: StructType = PAGE, files_per_batch: int = 1000
 ) -> DataFrame:
-    """Captured pages as they arrive."""
+    """Captured pages as they arrive in a folder or under a path pattern."""
     return (
         spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
     )
