@@ -27,9 +27,7 @@ def enrich_company(spark, sf):
     second = first.select(
         "profile_url", F.lit(1).alias("rank"), F.concat("website", F.lit("/about")).alias("website")
     )
-    joined = combine.enrich_company(
-        lines, second.unionByName(first), "rank", ["l_orderkey", "l_linenumber"]
-    )
+    joined = combine.enrich_company(lines, second.unionByName(first), "rank")
     return joined.select("l_orderkey", "l_linenumber", "website")
 
 

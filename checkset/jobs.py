@@ -11,9 +11,7 @@ from pyspark.sql import functions as F
 from checkset import planning, sql
 from checkset.classifying import location_steps, preferences, salary, salary_type
 from checkset.extracting import BOLD, H1, H2, ITEM
-from gleanspark.functions import extract
 from gleanspark.functions.text import clean_html
-from gleanspark.operators.paging import while_next
 from gleanspark.plans import postings
 from gleanspark.plans.search import search_plan as plan_pages
 from gleanspark.schema import POSTING_COLUMNS
@@ -116,9 +114,10 @@ def provider_listing(spark, sf):
     host = F.regexp_extract("url", PROFILE, 0)
     pages = read_table(spark, sf, "pages").withColumn("host", host)
     has_next = F.contains(F.col("html"), F.lit("<b>"))
-    visited = while_next(pages, "host", "page_id", has_next)
-    cards = postings.provider_listing(visited, ITEM, CARD_NAME, CARD_LINK, ["page_id"])
-    return cards.withColumn("pos", F.col("pos").cast("bigint"))
+    cards = postings.provider_listing(
+        pages, "host", "page_id", has_next, ITEM, CARD_NAME, CARD_LINK
+    )
+    return cards.withColumn("pos", F.col("pos").cast("bigint")).drop("host")
 
 
 def search_plan(spark, sf):

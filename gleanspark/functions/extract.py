@@ -8,7 +8,7 @@ are parameters because every site has its own markup. Text that is absent is
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanspark.functions.text import clean_html, decode_entities
+from gleanspark.functions.text import clean_html, decode_entities, let
 
 
 def extract_text(html: Column, pattern: str) -> Column:
@@ -51,7 +51,7 @@ def first_present(*cols: Column, default: str | None = None) -> Column:
 
 
 def first_non_empty_list(*cols: Column) -> Column:
-    candidates = [F.when(F.size(col) > 0, col) for col in cols]
+    candidates = [let(col, lambda items: F.when(F.size(items) > 0, items)) for col in cols]
     return F.coalesce(*candidates, F.array().cast("array<string>"))
 
 

@@ -2,7 +2,8 @@
 
 import json
 from collections.abc import Callable
-from html.entities import html5
+from functools import cache
+from html.entities import html5, name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -32,9 +33,16 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+@cache
+def _entity_table() -> str:
+    """Every name HTML defines; look-up is in order, so the old names go first."""
+    names = {name: chr(code) for name, code in name2codepoint.items()}
+    names |= {name.rstrip(";"): text for name, text in html5.items()}
+    return json.dumps(names)
+
+
 def _entity_names() -> Column:
-    names = {name.rstrip(";"): text for name, text in html5.items()}
-    return F.from_json(F.lit(json.dumps(names)), "map<string,string>")
+    return F.from_json(F.lit(_entity_table()), "map<string,string>")
 
 
 def _numeric_reference(ref: Column) -> Column:

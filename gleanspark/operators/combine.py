@@ -26,13 +26,13 @@ def lookup_first(df: DataFrame, keys, order, cols) -> DataFrame:
 
 
 def enrich_company(
-    postings: DataFrame, companies: DataFrame, order, spread, key: str = "profile_url"
+    postings: DataFrame, companies: DataFrame, order, key: str = "profile_url", spread=None
 ) -> DataFrame:
     """Add ``website``; a posting without a profile or a match gets ``""``.
 
     Of several rows for one profile the first by ``order`` counts, so postings
-    never multiply. ``spread`` names columns that tell postings apart: those of
-    a company with very many postings are divided by them.
+    never multiply. Those of a company with very many postings are divided,
+    by the ``spread`` columns if given.
     """
     sites = lookup_first(companies.where(F.col(key) != ""), key, order, ["website"])
     joined = left_join_unique(postings, sites, key, spread)
@@ -116,6 +116,7 @@ def resume_skip(
 
 
 def resume_anti(todo: DataFrame, done: DataFrame, keys) -> DataFrame:
-    """Rows of ``todo`` whose key is not in ``done``."""
+    """Rows of ``todo`` whose key is not in ``done``; a null key is never done."""
     keys = as_list(keys)
-    return todo.join(done.select(*keys), keys, "left_anti")
+    finished = done.select(*keys).distinct().withColumn("_done", F.lit(True))
+    return left_join_unique(todo, finished, keys).where(F.col("_done").isNull()).drop("_done")

@@ -1,49 +1,79 @@
-"""Containment between rows of a group, without pairing the rows.
+"""Containment between rows of a group, without pairing rows through a shuffle.
 
-An item is contained if it equals a part of a longer item. Instead of comparing
-items, each is found through its opening: its first 1, 2, 4, 8 or 16 characters,
-whichever is the most it has. Every item is searched for openings, and where one
-occurs the piece of the right length is cut out. Pieces that equal an item of
-the group mark it as contained.
+Items of a group that is known to be small meet in one array. In any other
+group an item is found through its opening: its first 1, 2, 4, 8 or 16
+characters, whichever is the most it has. Every item is searched for openings,
+and where one occurs the piece of the right length is cut out. Pieces that equal
+an item of the group mark it as contained. Both ways are exact.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleanspark.operators.skew import left_join_unique
 from gleanspark.operators.slices import as_list
 
 OPENINGS = [1, 2, 4, 8, 16]
 
+# What a group may hold to be compared in one array.
+ARRAY_ITEMS = 200
+ARRAY_CHARS = 4_000_000
 
-def remove_contained_rows(df: DataFrame, keys, item: str) -> DataFrame:
+
+def remove_contained_rows(
+    df: DataFrame, keys, item: str, array_items: int = ARRAY_ITEMS
+) -> DataFrame:
     """Drop the rows whose item is part of a different item of their group.
 
-    Equal items stay, as do rows without an item. The openings travel as
-    hashes; a false match only cuts out a piece that equals no item. Work grows
-    with the length of the text, not with the square of the group.
+    Equal items stay, as do rows without an item.
     """
     keys = as_list(keys)
+    items = df.where(F.col(item).isNotNull()).select(*keys, item).distinct()
+    sizes = items.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_rows"), F.sum(F.length(item)).alias("_chars")
+    )
+    fits = (F.col("_rows") <= array_items) & (F.col("_chars") <= ARRAY_CHARS)
+    sized = left_join_unique(
+        items, sizes.select(*keys, fits.alias("_fits")), keys, item, counts=sizes
+    )
+    small = sized.where("_fits").drop("_fits")
+    large = sized.where("NOT coalesce(_fits, false)").drop("_fits")
+    contained = _in_arrays(small, keys, item).unionByName(_by_openings(large, keys, item))
+    return _join(df, contained, [*keys, item], "left_anti")
+
+
+def _in_arrays(items: DataFrame, keys: list[str], item: str) -> DataFrame:
+    def contained(everything: Column) -> Column:
+        return F.filter(
+            everything, lambda x: F.exists(everything, lambda y: (x != y) & F.contains(y, x))
+        )
+
+    groups = items.groupBy(*keys).agg(F.collect_list(item).alias("_items"))
+    return groups.select(*keys, F.explode(contained(F.col("_items"))).alias(item))
+
+
+def _by_openings(items: DataFrame, keys: list[str], item: str) -> DataFrame:
+    """Contained items; the work grows with the text, not with pairs of items.
+
+    Openings travel as hashes. A false match only cuts out a piece that equals
+    no item, so it changes nothing.
+    """
     text = F.col(item)
-    items = df.where(text.isNotNull()).select(*keys, item).distinct()
     ids = items.withColumn("_id", F.xxhash64(item)).withColumn("_length", F.length(item))
+    filled = ids.where(F.col("_length") > 0)
 
     opening = F.lit(OPENINGS[0])
     for size in OPENINGS[1:]:
         opening = F.when(F.col("_length") >= size, F.lit(size)).otherwise(opening)
-    needles = (
-        ids.where(F.col("_length") > 0)
-        .select(
-            *keys,
-            F.xxhash64(F.substring(text, F.lit(1), opening)).alias("_gram"),
-            F.col("_length").alias("_cut"),
-        )
-        .distinct()
-    )
+    needles = filled.select(
+        *keys,
+        F.xxhash64(F.substring(text, F.lit(1), opening)).alias("_gram"),
+        F.col("_length").alias("_cut"),
+    ).distinct()
 
-    # One row for each place and size of opening that fits before the end.
-    sizes = F.array(*[F.lit(size) for size in OPENINGS])
+    # One row for each size of opening and each place where it fits.
     places = F.transform(
-        F.filter(sizes, lambda size: size <= F.col("_length")),
+        F.filter(F.array(*map(F.lit, OPENINGS)), lambda size: size <= F.col("_length")),
         lambda size: F.transform(
             F.sequence(F.lit(1), F.col("_length") - size + 1),
             lambda at: F.struct(
@@ -51,22 +81,18 @@ def remove_contained_rows(df: DataFrame, keys, item: str) -> DataFrame:
             ),
         ),
     )
-    probes = (
-        ids.where(F.col("_length") > 0)
-        .select(*keys, "_id", "_length", F.inline(F.flatten(places)))
-    )
-    fits = (F.col("_cut") < F.col("_length")) & (F.col("_at") + F.col("_cut") - 1 <= F.col("_length"))
-    hits = _join(probes, needles, [*keys, "_gram"]).where(fits).select(*keys, "_id", "_at", "_cut")
-    pieces = _join(hits, ids.select(*keys, "_id", item), [*keys, "_id"]).select(
-        *keys, F.substring(text, F.col("_at"), F.col("_cut")).alias(item)
+    probes = filled.select(*keys, "_id", "_length", F.inline(F.flatten(places)))
+    inside = (F.col("_cut") < F.col("_length")) & (
+        F.col("_at") + F.col("_cut") - 1 <= F.col("_length")
     )
+    hits = _join(probes, needles, [*keys, "_gram"]).where(inside)
+    pieces = _join(
+        hits.select(*keys, "_id", "_at", "_cut"), ids.select(*keys, "_id", item), [*keys, "_id"]
+    ).select(*keys, F.substring(text, F.col("_at"), F.col("_cut")).alias(item))
 
     # An empty item is part of any other, whatever its place.
-    beside_empty = (
-        ids.where(F.col("_length") > 0).select(*keys, F.lit("").alias(item))
-    )
-    contained = pieces.unionByName(beside_empty).distinct()
-    return _join(df, contained, [*keys, item], "left_anti")
+    beside_empty = filled.select(*keys, F.lit("").alias(item))
+    return pieces.unionByName(beside_empty).distinct()
 
 
 def _join(left: DataFrame, right: DataFrame, cols: list[str], how: str = "inner") -> DataFrame:

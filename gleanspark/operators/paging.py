@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanspark.operators.slices import as_list, ordinal, until_first
+from gleanspark.operators.slices import as_list, first_rows, ordinal, until_first
 
 # Page sizes and limits of the two listing sources.
 FIXED_STEP = 25
@@ -91,7 +91,7 @@ def cap_per_search(
     df: DataFrame, keys, order, limit: int, slice_by: Column | None = None
 ) -> DataFrame:
     """The first ``limit`` rows of each group."""
-    return ordinal(df, keys, order, "_pos", slice_by).where(F.col("_pos") < limit).drop("_pos")
+    return first_rows(df, keys, order, limit, slice_by)
 
 
 def most_recent(df: DataFrame, date: str, tie: str, limit: int | None = None) -> DataFrame:

@@ -10,28 +10,37 @@ from gleanspark.operators.slices import as_list
 HOT_SHARE = 1000
 
 
-def hot_keys(df: DataFrame, keys) -> DataFrame:
+def key_counts(df: DataFrame, keys) -> DataFrame:
+    return df.groupBy(*as_list(keys)).agg(F.count(F.lit(1)).alias("_rows"))
+
+
+def hot_keys(counts: DataFrame, keys) -> DataFrame:
     """The keys that hold more than 1/HOT_SHARE of all rows, at most HOT_SHARE - 1."""
-    keys = as_list(keys)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     total = counts.agg(F.sum("_rows")).scalar()
-    return counts.where(F.col("_rows") * HOT_SHARE > total).select(*keys)
+    return counts.where(F.col("_rows") * HOT_SHARE > total).select(*as_list(keys))
 
 
-def left_join_unique(df: DataFrame, lookup: DataFrame, keys, spread) -> DataFrame:
+def left_join_unique(
+    df: DataFrame, lookup: DataFrame, keys, spread=None, counts: DataFrame | None = None
+) -> DataFrame:
     """``df`` left join ``lookup`` on ``keys``, ``lookup`` having each key once.
 
-    Rows of hot and of null keys are spread by a hash of the ``spread``
-    columns, and the lookup row of a hot key is repeated for each part.
+    Rows of hot and of null keys are spread over as many parts as there are
+    shuffle partitions, and the lookup row of a hot key is repeated for each.
+    The part comes from a hash of the ``spread`` columns or, without any, from
+    the input partition, which also divides rows that are copies. ``counts``
+    (keys and ``_rows``) saves counting the keys of ``df``.
     """
-    keys, spread = as_list(keys), as_list(spread)
+    keys = as_list(keys)
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = F.broadcast(hot_keys(df, keys).withColumn("_hot", F.lit(True)))
+    counts = key_counts(df, keys) if counts is None else counts
+    hot = F.broadcast(hot_keys(counts, keys).withColumn("_hot", F.lit(True)))
 
     no_key = F.lit(False)
     for key in keys:
         no_key = no_key | F.col(key).isNull()
-    part = F.pmod(F.xxhash64(*spread), F.lit(parts)).cast("int")
+    place = F.spark_partition_id() if spread is None else F.xxhash64(*as_list(spread))
+    part = F.pmod(place, F.lit(parts)).cast("int")
     salted = (
         df.join(hot, keys, "left")
         .withColumn("_part", F.when(F.col("_hot") | no_key, part).otherwise(F.lit(0)))

@@ -64,6 +64,13 @@ def earlier_slices(group: list[str]):
     return Window.partitionBy(*group).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
 
 
+def _starts(sliced: DataFrame, group: list[str]) -> DataFrame:
+    """How many rows of its group lie before each slice."""
+    sizes = sliced.groupBy(*group, SLICE).agg(F.count(F.lit(1)).alias("_size"))
+    before = F.sum("_size").over(earlier_slices(group))
+    return sizes.select(*group, SLICE, F.coalesce(before, F.lit(0)).alias("_start"))
+
+
 def ordinal(
     df: DataFrame, keys, order, name: str = "pos", slice_by: Column | None = None
 ) -> DataFrame:
@@ -74,24 +81,41 @@ def ordinal(
     keys, order = as_list(keys), as_list(order)
     sliced, group = cut(df, keys, order, slice_by)
     cells = [*group, SLICE]
-
-    sizes = sliced.groupBy(*cells).agg(F.count(F.lit(1)).alias("_size"))
-    starts = sizes.select(
-        *cells, F.coalesce(F.sum("_size").over(earlier_slices(group)), F.lit(0)).alias("_start")
-    )
     inside = F.row_number().over(Window.partitionBy(*cells).orderBy(*order))
     return (
         sliced.withColumn("_inside", inside)
-        .join(starts, cells)
+        .join(_starts(sliced, group), cells)
         .withColumn(name, F.col("_start") + F.col("_inside") - 1)
         .drop(*cells, "_start", "_inside")
     )
 
 
+def first_rows(
+    df: DataFrame, keys, order, limit: int, slice_by: Column | None = None
+) -> DataFrame:
+    """The first ``limit`` rows of each group; slices past them are not sorted."""
+    keys, order = as_list(keys), as_list(order)
+    sliced, group = cut(df, keys, order, slice_by)
+    cells = [*group, SLICE]
+    live = _starts(sliced, group).where(F.col("_start") < limit)
+    inside = F.row_number().over(Window.partitionBy(*cells).orderBy(*order))
+    return (
+        sliced.join(live, cells)
+        .withColumn("_inside", inside)
+        .where(F.col("_inside") <= limit)
+        .where(F.col("_start") + F.col("_inside") <= limit)
+        .drop(*cells, "_start", "_inside")
+    )
+
+
 def until_first(
     df: DataFrame, keys, order, stop: Column, slice_by: Column | None = None
 ) -> DataFrame:
-    """Rows of each group up to and including the first where ``stop`` holds."""
+    """Rows of each group up to and including the first where ``stop`` holds.
+
+    ``df`` is read twice, once for the key, order and stop columns only. Settle
+    it first if ``stop`` is costly.
+    """
     keys, order = as_list(keys), as_list(order)
     sliced, group = cut(df, keys, order, slice_by)
     cells = [*group, SLICE]

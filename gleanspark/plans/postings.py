@@ -7,16 +7,19 @@ from pyspark.sql import functions as F
 
 from gleanspark.functions import classify, extract, text
 from gleanspark.operators.combine import enrich_company, unify, with_lineage
+from gleanspark.operators.paging import while_next
+from gleanspark.operators.slices import as_list
 from gleanspark.schema import (
-    PROVIDER_COLUMNS,
     NOT_AVAILABLE,
     POSTING_COLUMNS,
+    PROVIDER_COLUMNS,
     SOURCE_A,
     SOURCE_B,
     to_postings,
     with_feed_headers,
 )
 from gleanspark.sources.feeds import append_tab, drop_header_rows, read_feed, write_feed
+from gleanspark.workspace import settle
 
 
 @dataclass(frozen=True)
@@ -178,15 +181,40 @@ def feed_b(
     return postings_b(read_details_b(pages, selectors), companies, search)
 
 
-def provider_listing(pages: DataFrame, card: str, name: str, link: str, keep: list[str]) -> DataFrame:
-    """One row per card of each listing page; a missing field says ``NA``."""
-    cards = extract.explode_elements(pages, "html", card, keep)
+def provider_listing(
+    pages: DataFrame,
+    keys,
+    order,
+    has_next: Column,
+    card: str,
+    name: str,
+    link: str,
+    slice_by: Column | None = None,
+) -> DataFrame:
+    """One row per card of the pages visited in each group; a missing field says ``NA``.
+
+    Pages are visited in order while each has a next one. What is needed of a
+    page is taken out and written first: the visit reads its input twice, and
+    pages are far larger than their cards.
+    """
+    keys, order = as_list(keys), as_list(order)
+    listed = pages.select(
+        *keys,
+        *order,
+        has_next.alias("_next"),
+        extract.extract_all(F.col("html"), card, 0).alias("_cards"),
+    )
+    listed = settle(listed, "cards")
+    cards = while_next(listed, keys, order, F.col("_next"), slice_by).select(
+        *keys, *order, F.posexplode("_cards").alias("pos", "_card")
+    )
 
     def field_of(pattern: str) -> Column:
-        return extract.or_sentinel(extract.if_present(F.col("element"), pattern), NOT_AVAILABLE)
+        return extract.or_sentinel(extract.if_present(F.col("_card"), pattern), NOT_AVAILABLE)
 
     return cards.select(
-        *keep,
+        *keys,
+        *order,
         "pos",
         field_of(name).alias("provider_name"),
         field_of(link).alias("provider_profile"),
