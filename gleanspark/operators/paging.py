@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanspark.operators.slices import as_list, first_rows, ordinal, until_first
+from gleanspark.operators.slices import as_list, first_rows, ordinal, until_first, whole_parts
 
 # Page sizes and limits of the two listing sources.
 FIXED_STEP = 25
@@ -81,7 +81,7 @@ def assign_batches(
     """Cut the ordered list of each group in batches; ``slot`` is the place in one."""
     placed = ordinal(df, keys, order, "_pos", slice_by)
     return (
-        placed.withColumn("batch", F.floor(F.col("_pos") / size))
+        placed.withColumn("batch", whole_parts(F.col("_pos"), size))
         .withColumn("slot", F.col("_pos") % size)
         .drop("_pos")
     )

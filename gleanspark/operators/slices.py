@@ -26,7 +26,12 @@ def default_slice(df: DataFrame, order: list[str]) -> Column:
     dtype = df.schema[order[0]].dataType
     if not isinstance(dtype, T.IntegralType):
         raise ValueError(f"{order[0]} is no whole number: pass slice_by, rising with the order")
-    return F.floor(F.col(order[0]) / SLICE_ROWS)
+    return whole_parts(F.col(order[0]), SLICE_ROWS)
+
+
+def whole_parts(col: Column, size: int) -> Column:
+    """Integer division, exact for any bigint."""
+    return F.call_function("div", col, F.lit(size))
 
 
 def _stand_in(df: DataFrame, key: str) -> Column:

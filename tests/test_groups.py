@@ -1,0 +1,229 @@
+"""Ordered and keyed operators: equal to brute force, whole with hot and null keys."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from gleanspark.operators import combine, containment, facets, paging, skew, slices
+from tests.helpers import plan
+
+ROWS = 60_000
+
+
+@pytest.fixture(scope="module")
+def skewed(spark):
+    """A third of the rows in one key, some in the null key, the rest spread."""
+    key = (
+        F.when(F.col("id") % 3 == 0, F.lit("hot"))
+        .when(F.col("id") % 50 == 1, F.lit(None))
+        .otherwise(F.concat(F.lit("k"), (F.xxhash64("id") % 500).cast("string")))
+    )
+    df = spark.range(0, ROWS, 1, 6).select(
+        key.alias("key"), F.col("id").alias("pos"), (F.xxhash64("id", F.lit(1)) % 997 == 0).alias("stop")
+    )
+    return df
+
+
+def brute(df):
+    groups = {}
+    for row in sorted(df.collect(), key=lambda r: r.pos):
+        groups.setdefault(row.key, []).append(row)
+    return groups
+
+
+@pytest.fixture(autouse=True, scope="module")
+def small_slices(spark):
+    global SMALL
+    SMALL = slices.whole_parts(F.col("pos"), 500)
+
+
+def test_ordinal_of_skewed_groups(spark, skewed):
+    got = slices.ordinal(skewed, "key", "pos", "at", SMALL).collect()
+    want = {(r.key, r.pos): i for rows in brute(skewed).values() for i, r in enumerate(rows)}
+    assert len(got) == ROWS
+    assert {(r.key, r.pos): r.at for r in got} == want
+
+
+def test_until_first_of_skewed_groups(spark, skewed):
+    got = paging.until_marker(skewed, "key", "pos", F.col("stop"), SMALL).collect()
+    want = set()
+    for rows in brute(skewed).values():
+        for row in rows:
+            want.add((row.key, row.pos))
+            if row.stop:
+                break
+    assert len(got) == len(want)
+    assert {(r.key, r.pos) for r in got} == want
+
+
+def test_while_next_ends_at_a_page_that_does_not_say(spark):
+    rows = [(1, 0, True), (1, 1, None), (1, 2, True), (2, 0, False), (2, 1, True)]
+    df = spark.createDataFrame(rows, "k int, p int, n boolean")
+    got = paging.while_next(df, "k", "p", F.col("n")).select("k", "p").collect()
+    assert sorted(map(tuple, got)) == [(1, 0), (1, 1), (2, 0)]
+
+
+@pytest.mark.parametrize("limit", [1, 7, 1000])
+def test_cap_of_skewed_groups(spark, skewed, limit):
+    got = paging.cap_per_search(skewed, "key", "pos", limit, SMALL).collect()
+    want = {(r.key, r.pos) for rows in brute(skewed).values() for r in rows[:limit]}
+    assert len(got) == len(want)
+    assert {(r.key, r.pos) for r in got} == want
+
+
+def test_batches_give_each_slot_once(spark, skewed):
+    got = paging.assign_batches(skewed, "key", "pos", 7, SMALL)
+    twice = got.groupBy("key", "batch", "slot").count().where("count > 1")
+    assert got.count() == ROWS
+    assert twice.count() == 0
+    assert got.agg(F.max("slot")).first()[0] == 6
+
+
+def test_default_slice_needs_whole_numbers(spark):
+    df = spark.createDataFrame([("a", "b")], "k string, o string")
+    with pytest.raises(ValueError, match="slice_by"):
+        slices.ordinal(df, "k", "o")
+
+
+@pytest.mark.parametrize("done", [0, 1, 499, 500, 501, ROWS - 1, ROWS, ROWS + 5])
+def test_resume_skip(spark, skewed, done):
+    got = combine.resume_skip(skewed.select("pos"), spark.range(done), "pos", SMALL)
+    assert sorted(r.pos for r in got.collect()) == list(range(done, ROWS))
+
+
+def test_skip_and_anti_agree_on_a_prefix(spark, skewed):
+    todo, done = skewed.select("pos"), skewed.where("pos < 20000").select("pos")
+    skip = combine.resume_skip(todo, done, "pos").collect()
+    anti = combine.resume_anti(todo, done, "pos").collect()
+    assert sorted(skip) == sorted(anti)
+
+
+def test_resume_anti_with_copies_and_nulls(spark):
+    todo = spark.createDataFrame([("a",)] * 400 + [("b",), (None,)], "k string")
+    done = spark.createDataFrame([("b",), ("b",), (None,)], "k string")
+    got = combine.resume_anti(todo, done, "k").collect()
+    assert sorted([r.k or "" for r in got]) == [""] + ["a"] * 400
+
+
+def test_enrich_keeps_every_posting(spark, skewed):
+    postings = skewed.select(F.col("key").alias("profile_url"), "pos")
+    companies = spark.createDataFrame(
+        [("hot", 2, "late"), ("hot", 1, "first"), ("k7", 1, "seven"), ("", 1, "x"), (None, 1, "y")],
+        "profile_url string, rank int, website string",
+    )
+    for spread in (None, "pos"):
+        got = combine.enrich_company(postings, companies, "rank", spread=spread).collect()
+        sites = {"hot": "first", "k7": "seven"}
+        assert len(got) == ROWS
+        assert all(r.website == sites.get(r.profile_url, "") for r in got)
+
+
+def test_hot_rows_are_divided(spark, skewed):
+    lookup = skewed.select("key").distinct().withColumn("seen", F.lit(1))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        joined = skew.left_join_unique(skewed, lookup, "key", "pos")
+        placed = slices.ordinal(skewed, "key", "pos", "at", SMALL)
+        for df in (joined, placed):
+            sizes = df.groupBy(F.spark_partition_id().alias("p")).count().collect()
+            assert sum(r["count"] for r in sizes) == ROWS
+            assert max(r["count"] for r in sizes) < ROWS / 8
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_hot_keys_are_few(spark, skewed):
+    hot = skew.hot_keys(skew.key_counts(skewed, "key"), "key").collect()
+    assert "hot" in {r.key for r in hot}
+    assert len(hot) < skew.HOT_SHARE
+
+
+def words(rng, alphabet, n):
+    return "".join(rng.choice(alphabet) for _ in range(n))
+
+
+@pytest.mark.parametrize("array_items", [0, 5, 200])
+def test_contained_rows_equal_brute_force(spark, array_items):
+    rng = random.Random(4)
+    rows = []
+    for key in ("a", "b", None):
+        long = [words(rng, "ab ", rng.randint(1, 70)) for _ in range(25)]
+        parts = [x[rng.randint(0, 20):][: rng.randint(0, 40)] for x in long]
+        short = [words(rng, "abc", rng.randint(0, 4)) for _ in range(10)]
+        rows += [(key, x) for x in long + parts + short + long[:3] + [None]]
+    rows.append(("alone", ""))
+    df = spark.createDataFrame(rows, "k string, x string")
+    got = containment.remove_contained_rows(df, "k", "x", array_items).collect()
+
+    def kept(key, x):
+        return x is None or not any(
+            k == key and y is not None and y != x and x in y for k, y in rows
+        )
+
+    def order(row):
+        return (row[0] or "", row[1] is None, row[1] or "")
+
+    assert sorted(map(tuple, got), key=order) == sorted([r for r in rows if kept(*r)], key=order)
+
+
+def test_contained_rows_of_documents_both_ways(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("n_chars < 3000")
+    lines = docs.select("source", F.explode(F.split("text", "\n")).alias("line")).distinct()
+    lines = lines.where("length(line) < 60")
+    by_array = containment.remove_contained_rows(lines, "source", "line", 10**9)
+    by_opening = containment.remove_contained_rows(lines, "source", "line", 0)
+    left, right = set(by_array.collect()), set(by_opening.collect())
+    assert left == right
+    assert 0 < len(left) < lines.count()
+
+
+def test_zip_ends_with_the_shorter_side(spark):
+    left = spark.createDataFrame([("a", 3, "x"), ("a", 1, "y"), ("b", 1, "z")], "k string, l int, u string")
+    right = spark.createDataFrame([("a", 9, "p"), ("a", 10, "q"), ("a", 11, "r")], "k string, r int, d string")
+    got = combine.zip_by_position(left, right, "k", "l", "r").select("pos", "u", "d").collect()
+    assert sorted(map(tuple, got)) == [(0, "y", "p"), (1, "x", "q")]
+
+
+def test_column_lists_round_trip(spark, skewed):
+    batches = paging.assign_batches(skewed, "key", "pos", 10, SMALL).drop("stop")
+    lists = combine.to_column_lists(batches, ["key", "batch"], "slot", ["pos"])
+    assert lists.agg(F.max(F.size("pos"))).first()[0] == 10
+    back = combine.from_column_lists(lists, ["key", "batch"], "slot", ["pos"])
+    assert back.exceptAll(batches.select(back.columns)).count() == 0
+    assert back.count() == ROWS
+
+
+def test_lookup_first_takes_the_first_by_order(spark):
+    df = spark.createDataFrame([("a", 2, "x"), ("a", 1, "y"), ("b", 5, None)], "k string, o int, v string")
+    assert sorted(map(tuple, combine.lookup_first(df, "k", "o", "v").collect())) == [
+        ("a", "y"), ("b", None),
+    ]
+
+
+def test_facets_of_the_dialog(spark):
+    rows = [
+        (1, "Entry level", "Full-time", "Remote"),
+        (2, "Director", "Full-time", "Remote"),
+        (3, "Associate", "Internship", "Remote"),
+        (4, "Associate", "Contract", "On-site"),
+        (5, "Associate", "Contract", "REMOTE"),
+    ]
+    df = spark.createDataFrame(rows, "id int, level string, type string, mode string")
+    targets = facets.SECTION_TARGETS
+    sections = {
+        "level": targets["experience level"],
+        "type": targets["job type"],
+        "mode": targets["remote"],
+    }
+    assert sorted(r.id for r in facets.facet_filter(df, sections).collect()) == [1, 5]
+    nobody = {**sections, "mode": ["on the moon"]}
+    assert sorted(r.id for r in facets.facet_filter(df, nobody).collect()) == [1, 4, 5]
+
+
+def test_most_recent_is_a_top_k(spark, skewed):
+    assert "TakeOrderedAndProject" in plan(paging.most_recent(skewed, "pos", "key", 5))
