@@ -45,10 +45,9 @@ def line_batches(spark, sf):
     lines = read_table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_returnflag"
     )
-    # Line numbers repeat, so part and flag break ties and the part cuts slices.
-    order = ["l_linenumber", "l_partkey", "l_returnflag"]
-    slices = F.col("l_linenumber").cast("bigint") * 10**9 + F.floor(F.col("l_partkey") / 10**6)
-    batches = paging.assign_batches(lines, "l_orderkey", order, 3, slices)
+    # Line numbers repeat, so they cannot order the lines by themselves.
+    order = ["l_partkey", "l_linenumber", "l_returnflag"]
+    batches = paging.assign_batches(lines, "l_orderkey", order, 3)
     return combine.to_column_lists(
         batches, ["l_orderkey", "batch"], "slot", ["l_partkey", "l_returnflag"]
     )
@@ -131,7 +130,7 @@ PLACED_LINES = """
     placed AS (
         SELECT l_orderkey, l_partkey, l_returnflag,
                row_number() OVER (PARTITION BY l_orderkey
-                                  ORDER BY l_linenumber, l_partkey, l_returnflag) - 1 AS pos
+                                  ORDER BY l_partkey, l_linenumber, l_returnflag) - 1 AS pos
         FROM lineitem
     )
 """

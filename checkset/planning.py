@@ -133,10 +133,8 @@ def count_text(spark, sf):
 
 def until_marker(spark, sf):
     events = read_table(spark, sf, "events").select("event_id", "user_id", "ts", "event_type")
-    hour = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 3_600_000_000)
-    pages = paging.until_marker(
-        events, "user_id", ["ts", "event_id"], F.col("event_type") == "error", hour
-    )
+    error = F.col("event_type") == "error"
+    pages = paging.until_marker(events, "user_id", ["ts", "event_id"], error)
     return pages.select("event_id", "user_id", "event_type")
 
 

@@ -5,8 +5,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanspark.operators.skew import left_join_unique
-from gleanspark.operators.slices import after_first, as_list, ordinal
+from gleanspark.operators.skew import as_list, left_join_unique
+from gleanspark.operators.slices import after_first, ordinal
 from gleanspark.schema import POSTING_COLUMNS
 
 
@@ -104,7 +104,7 @@ def work_list(df: DataFrame, col: str) -> DataFrame:
 
 
 def resume_skip(
-    todo: DataFrame, done: DataFrame, order, slice_by: Column | None = None
+    todo: DataFrame, done: DataFrame, order, along: Column | None = None
 ) -> DataFrame:
     """Leave out as many leading rows as ``done`` has; none left gives none.
 
@@ -112,7 +112,7 @@ def resume_skip(
     not depend on that.
     """
     finished = done.agg(F.count(F.lit(1))).scalar()
-    return after_first(todo, finished, order, slice_by)
+    return after_first(todo, finished, order, along)
 
 
 def resume_anti(todo: DataFrame, done: DataFrame, keys) -> DataFrame:

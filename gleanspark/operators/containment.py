@@ -10,8 +10,7 @@ an item of the group mark it as contained. Both ways are exact.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanspark.operators.skew import left_join_unique
-from gleanspark.operators.slices import as_list
+from gleanspark.operators.skew import as_list, left_join_unique
 
 OPENINGS = [1, 2, 4, 8, 16]
 

@@ -3,7 +3,8 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanspark.operators.slices import as_list, first_rows, ordinal, until_first, whole_parts
+from gleanspark.operators.skew import as_list
+from gleanspark.operators.slices import first_rows, ordinal, until_first, whole_parts
 
 # Page sizes and limits of the two listing sources.
 FIXED_STEP = 25
@@ -50,20 +51,20 @@ def page_plan_10(df: DataFrame, results: str, url: str) -> DataFrame:
 
 
 def until_marker(
-    df: DataFrame, keys, order, marker: Column, slice_by: Column | None = None
+    df: DataFrame, keys, order, marker: Column, along: Column | None = None
 ) -> DataFrame:
     """Listing pages up to and including the first that shows the marker."""
-    return until_first(df, keys, order, marker, slice_by)
+    return until_first(df, keys, order, marker, along)
 
 
 def while_next(
-    df: DataFrame, keys, order, has_next: Column, slice_by: Column | None = None
+    df: DataFrame, keys, order, has_next: Column, along: Column | None = None
 ) -> DataFrame:
     """Pages from the first on while each says there is a next one.
 
     A page that does not say so (null) ends the run as well.
     """
-    return until_first(df, keys, order, ~F.coalesce(has_next, F.lit(False)), slice_by)
+    return until_first(df, keys, order, ~F.coalesce(has_next, F.lit(False)), along)
 
 
 def allowed_domains(df: DataFrame, url: str, domains: list[str]) -> DataFrame:
@@ -76,10 +77,10 @@ def allowed_domains(df: DataFrame, url: str, domains: list[str]) -> DataFrame:
 
 
 def assign_batches(
-    df: DataFrame, keys, order, size: int, slice_by: Column | None = None
+    df: DataFrame, keys, order, size: int, along: Column | None = None
 ) -> DataFrame:
     """Cut the ordered list of each group in batches; ``slot`` is the place in one."""
-    placed = ordinal(df, keys, order, "_pos", slice_by)
+    placed = ordinal(df, keys, order, "_pos", along)
     return (
         placed.withColumn("batch", whole_parts(F.col("_pos"), size))
         .withColumn("slot", F.col("_pos") % size)
@@ -88,10 +89,10 @@ def assign_batches(
 
 
 def cap_per_search(
-    df: DataFrame, keys, order, limit: int, slice_by: Column | None = None
+    df: DataFrame, keys, order, limit: int, along: Column | None = None
 ) -> DataFrame:
     """The first ``limit`` rows of each group."""
-    return first_rows(df, keys, order, limit, slice_by)
+    return first_rows(df, keys, order, limit, along)
 
 
 def most_recent(df: DataFrame, date: str, tie: str, limit: int | None = None) -> DataFrame:

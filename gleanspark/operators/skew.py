@@ -1,23 +1,59 @@
-"""Left join against a table with unique keys, safe for hot keys."""
+"""Groups that hold more rows than a task should get."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from gleanspark.operators.slices import as_list
 
-# A key is hot if it holds more than 1/HOT_SHARE of the rows, so there are
-# fewer than HOT_SHARE hot keys at any size of table: safe to broadcast.
-HOT_SHARE = 1000
+def as_list(names) -> list[str]:
+    return [names] if isinstance(names, str) else list(names)
 
 
-def key_counts(df: DataFrame, keys) -> DataFrame:
-    return df.groupBy(*as_list(keys)).agg(F.count(F.lit(1)).alias("_rows"))
+def shuffle_parts(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def hot_keys(counts: DataFrame, keys) -> DataFrame:
-    """The keys that hold more than 1/HOT_SHARE of all rows, at most HOT_SHARE - 1."""
-    total = counts.agg(F.sum("_rows")).scalar()
-    return counts.where(F.col("_rows") * HOT_SHARE > total).select(*as_list(keys))
+def with_group(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
+    """Add group columns that equal the keys but are never null.
+
+    Plain equality on them keeps null keys together, as a window does.
+    """
+    columns = {f"_group{i}": _stand_in(df, key) for i, key in enumerate(keys)}
+    nulls = F.lit(0)
+    for i, key in enumerate(keys):
+        nulls = nulls + F.when(F.col(key).isNull(), F.lit(1 << i)).otherwise(F.lit(0))
+    columns["_group_nulls"] = nulls
+    return df.withColumns(columns), list(columns)
+
+
+def _stand_in(df: DataFrame, key: str) -> Column:
+    dtype = df.schema[key].dataType
+    if isinstance(dtype, T.StringType):
+        value = F.lit("")
+    elif isinstance(dtype, T.NumericType):
+        value = F.lit(0)
+    elif isinstance(dtype, T.BooleanType):
+        value = F.lit(False)
+    else:
+        value = F.lit("1970-01-01")
+    return F.coalesce(F.col(key), value.cast(dtype))
+
+
+def hot_groups(counts: DataFrame, total: Column, parts: int) -> DataFrame:
+    """The groups with more rows than an average shuffle partition.
+
+    There are fewer than ``parts`` of them at any size of table, so they may be
+    broadcast. ``_share`` says how many average partitions a group would fill;
+    the shares add up to ``parts`` at most. ``counts`` has ``_rows``, and
+    ``total`` is their sum as a scalar.
+    """
+    share = F.coalesce(F.col("_rows") * F.lit(parts) / total, F.lit(0.0))
+    return F.broadcast(counts.withColumn("_share", share).where(F.col("_share") > 1))
+
+
+def row_count(df: DataFrame) -> Column:
+    """The number of rows as a scalar; a scan of no columns."""
+    return df.agg(F.count(F.lit(1))).scalar()
 
 
 def left_join_unique(
@@ -25,31 +61,33 @@ def left_join_unique(
 ) -> DataFrame:
     """``df`` left join ``lookup`` on ``keys``, ``lookup`` having each key once.
 
-    Rows of hot and of null keys are spread over as many parts as there are
-    shuffle partitions, and the lookup row of a hot key is repeated for each.
-    The part comes from a hash of the ``spread`` columns or, without any, from
-    the input partition, which also divides rows that are copies. ``counts``
-    (keys and ``_rows``) saves counting the keys of ``df``.
+    A key that would fill more than a partition is divided, in proportion, and
+    its look-up row repeated for each part; together that adds at most as many
+    rows as there are partitions. The part comes from a hash of the ``spread``
+    columns or, without any, from the input partition, which also divides rows
+    that are copies. Null keys match nothing and are divided in the same way.
+    ``counts`` (keys and ``_rows``) saves counting the keys of ``df``.
     """
     keys = as_list(keys)
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = key_counts(df, keys) if counts is None else counts
-    hot = F.broadcast(hot_keys(counts, keys).withColumn("_hot", F.lit(True)))
+    parts = shuffle_parts(df)
+    if counts is None:
+        counts, total = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")), row_count(df)
+    else:
+        total = counts.agg(F.sum("_rows")).scalar()
+    hot = hot_groups(counts, total, parts).select(*keys, F.ceil("_share").alias("_parts"))
 
     no_key = F.lit(False)
     for key in keys:
         no_key = no_key | F.col(key).isNull()
     place = F.spark_partition_id() if spread is None else F.xxhash64(*as_list(spread))
-    part = F.pmod(place, F.lit(parts)).cast("int")
+    divided = F.when(no_key, F.lit(parts)).otherwise(F.coalesce("_parts", F.lit(1)))
     salted = (
         df.join(hot, keys, "left")
-        .withColumn("_part", F.when(F.col("_hot") | no_key, part).otherwise(F.lit(0)))
-        .drop("_hot")
-    )
-    every_part = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(
-        F.array(F.lit(0))
+        .withColumn("_part", F.pmod(place.cast("bigint"), divided.cast("bigint")))
+        .drop("_parts")
     )
+    numbers = F.sequence(F.lit(0).cast("bigint"), F.coalesce("_parts", F.lit(1)) - 1)
     repeated = (
-        lookup.join(hot, keys, "left").withColumn("_part", F.explode(every_part)).drop("_hot")
+        lookup.join(hot, keys, "left").withColumn("_part", F.explode(numbers)).drop("_parts")
     )
     return salted.join(repeated, [*keys, "_part"], "left").drop("_part")

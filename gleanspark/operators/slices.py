@@ -1,32 +1,26 @@
 """Ordered work inside groups of any size.
 
 A window over a whole group is one task, however many rows the group has.
-Here a group is cut into slices that follow its order. Rows are windowed inside
-``(group, slice)``; what one slice must know of the earlier ones is a sum or a
-flag, aggregated per slice before the shuffle and carried over a small table.
-The rows themselves are shuffled once, on ``(group, slice)``.
+Here a group that would fill more than an average shuffle partition is cut into
+slices along its order, in proportion to its size. What one slice must know of
+the earlier ones is a sum or a flag; it is aggregated per slice, and as there are
+only a few slices per partition it is joined by broadcast, before the shuffle.
+The rows are shuffled once, on group and slice, and windowed there. All other
+groups are one slice, and cost a count of their keys more than a plain window.
 """
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SLICE_ROWS = 100_000
+from gleanspark.operators.skew import as_list, hot_groups, row_count, shuffle_parts, with_group
 
-SLICE = "_slice"
-_GROUP = "_group"
-
-
-def as_list(names) -> list[str]:
-    return [names] if isinstance(names, str) else list(names)
+# Slices for each average partition a group would fill, so that slices of
+# uneven size still mix well.
+SLICES_PER_PART = 4
 
-
-def default_slice(df: DataFrame, order: list[str]) -> Column:
-    """Whole-number orders that are unique in a group give bounded slices."""
-    dtype = df.schema[order[0]].dataType
-    if not isinstance(dtype, T.IntegralType):
-        raise ValueError(f"{order[0]} is no whole number: pass slice_by, rising with the order")
-    return whole_parts(F.col(order[0]), SLICE_ROWS)
+SLICE = "_slice"
+_ALONG = "_along"
 
 
 def whole_parts(col: Column, size: int) -> Column:
@@ -34,128 +28,154 @@ def whole_parts(col: Column, size: int) -> Column:
     return F.call_function("div", col, F.lit(size))
 
 
-def _stand_in(df: DataFrame, key: str) -> Column:
-    dtype = df.schema[key].dataType
-    if isinstance(dtype, T.StringType):
-        value = F.lit("")
-    elif isinstance(dtype, T.NumericType):
-        value = F.lit(0)
-    elif isinstance(dtype, T.BooleanType):
-        value = F.lit(False)
-    else:
-        value = F.lit("1970-01-01")
-    return F.coalesce(F.col(key), value.cast(dtype))
+def order_number(df: DataFrame, order: list[str], along: Column | None) -> Column:
+    """A number that rises with the order, to cut slices of equal width."""
+    if along is not None:
+        return along.cast("double")
+    first = F.col(order[0])
+    dtype = df.schema[order[0]].dataType
+    if isinstance(dtype, T.IntegralType | T.DecimalType):
+        return first.cast("double")
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(first).cast("double")
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(first).cast("double")
+    if isinstance(dtype, T.TimestampNTZType):
+        # By its fields, as the session time zone may skip an hour.
+        seconds = F.hour(first) * 3600 + F.minute(first) * 60 + F.second(first)
+        return (F.unix_date(F.to_date(first)) * F.lit(86400.0) + seconds).cast("double")
+    raise ValueError(f"cannot cut slices by {order[0]}: pass along, a number rising with the order")
+
+
+def cut(df: DataFrame, keys: list[str], order: list[str], along: Column | None):
+    """Give each row its group and slice.
+
+    Returns the frame, the group columns and the rows of cut groups only. Slices
+    rise with the order; a null order lies in the lowest. Without keys the whole
+    table is one group.
+    """
+    rows = df.withColumn(_ALONG, order_number(df, order, along))
+    low, high = F.min(_ALONG).alias("_low"), F.max(_ALONG).alias("_high")
+    parts = shuffle_parts(df)
+    if not keys:
+        ends = rows.agg(F.struct(low, high)).scalar()
+        sliced = rows.withColumn(
+            SLICE,
+            _slice_number(ends.getField("_low"), ends.getField("_high"), parts * SLICES_PER_PART),
+        ).drop(_ALONG)
+        return sliced, [], sliced
+
+    rows, group = with_group(rows, keys)
+    counts = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows"), low, high)
+    hot = hot_groups(counts, row_count(df), parts).select(
+        *group, "_low", "_high", F.ceil(F.col("_share") * SLICES_PER_PART).alias("_cuts")
+    )
+    sliced = rows.join(hot, group, "left").withColumn(
+        SLICE, _slice_number(F.col("_low"), F.col("_high"), F.col("_cuts"))
+    )
+    hot_rows = sliced.where(F.col("_cuts").isNotNull())
+    return sliced.drop(_ALONG, "_low", "_high", "_cuts"), group, hot_rows
 
 
-def cut(df: DataFrame, keys: list[str], order: list[str], slice_by: Column | None):
-    """Add the group and slice columns; null keys form a group of their own.
+def _slice_number(low: Column, high: Column, cuts) -> Column:
+    cuts = cuts if isinstance(cuts, Column) else F.lit(cuts)
+    number = F.floor((F.col(_ALONG) - low) / (high - low) * cuts)
+    inside = F.when(high > low, F.coalesce(number, F.lit(-1)))
+    return F.coalesce(inside, F.lit(0)).cast("bigint")
 
-    Returns the frame and the names of its group columns, none of them null,
-    so that plain equality joins lose no row.
-    """
-    slice_by = default_slice(df, order) if slice_by is None else slice_by
-    groups = {f"{_GROUP}{i}": _stand_in(df, key) for i, key in enumerate(keys)}
-    nulls = F.lit(0)
-    for i, key in enumerate(keys):
-        nulls = nulls + F.when(F.col(key).isNull(), F.lit(1 << i)).otherwise(F.lit(0))
-    groups[f"{_GROUP}_nulls"] = nulls
-    # A null order sorts first, so its slice is the lowest.
-    groups[SLICE] = F.coalesce(slice_by.cast("bigint"), F.lit(-(2**63)).cast("bigint"))
-    names = list(groups)
-    return df.withColumns(groups), names[:-1]
-
-
-def earlier_slices(group: list[str]):
+
+def _earlier(group: list[str]):
     return Window.partitionBy(*group).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _starts(sliced: DataFrame, group: list[str]) -> DataFrame:
-    """How many rows of its group lie before each slice."""
-    sizes = sliced.groupBy(*group, SLICE).agg(F.count(F.lit(1)).alias("_size"))
-    before = F.sum("_size").over(earlier_slices(group))
-    return sizes.select(*group, SLICE, F.coalesce(before, F.lit(0)).alias("_start"))
+def _starts(hot_rows: DataFrame, group: list[str]) -> DataFrame:
+    """How many rows of its group lie before each slice; ``_size`` lie in it."""
+    sizes = hot_rows.groupBy(*group, SLICE).agg(F.count(F.lit(1)).alias("_size"))
+    before = F.coalesce(F.sum("_size").over(_earlier(group)), F.lit(0))
+    return sizes.withColumn("_start", before)
 
 
 def ordinal(
-    df: DataFrame, keys, order, name: str = "pos", slice_by: Column | None = None
+    df: DataFrame, keys, order, name: str = "pos", along: Column | None = None
 ) -> DataFrame:
     """Position of each row in its group, from 0, as bigint.
 
-    ``order`` must be unique within a group. ``slice_by`` must rise with it.
+    ``order`` must be unique within a group. ``along`` is a number that rises
+    with it, needed if the first order column is no whole number or time.
     """
     keys, order = as_list(keys), as_list(order)
-    sliced, group = cut(df, keys, order, slice_by)
+    sliced, group, hot_rows = cut(df, keys, order, along)
     cells = [*group, SLICE]
+    starts = F.broadcast(_starts(hot_rows, group).drop("_size"))
     inside = F.row_number().over(Window.partitionBy(*cells).orderBy(*order))
     return (
-        sliced.withColumn("_inside", inside)
-        .join(_starts(sliced, group), cells)
-        .withColumn(name, F.col("_start") + F.col("_inside") - 1)
-        .drop(*cells, "_start", "_inside")
+        sliced.join(starts, cells, "left")
+        .withColumn(name, F.coalesce("_start", F.lit(0)) + inside - 1)
+        .drop(*cells, "_start")
     )
 
 
 def first_rows(
-    df: DataFrame, keys, order, limit: int, slice_by: Column | None = None
+    df: DataFrame, keys, order, limit: int, along: Column | None = None
 ) -> DataFrame:
-    """The first ``limit`` rows of each group; slices past them are not sorted."""
+    """The first ``limit`` rows of each group.
+
+    Slices past the limit end before the shuffle, and each task sends on at
+    most ``limit`` rows of a slice.
+    """
     keys, order = as_list(keys), as_list(order)
-    sliced, group = cut(df, keys, order, slice_by)
+    sliced, group, hot_rows = cut(df, keys, order, along)
     cells = [*group, SLICE]
-    live = _starts(sliced, group).where(F.col("_start") < limit)
+    starts = F.broadcast(_starts(hot_rows, group).drop("_size"))
+    start = F.coalesce("_start", F.lit(0))
     inside = F.row_number().over(Window.partitionBy(*cells).orderBy(*order))
     return (
-        sliced.join(live, cells)
+        sliced.join(starts, cells, "left")
+        .where(start < limit)
         .withColumn("_inside", inside)
         .where(F.col("_inside") <= limit)
-        .where(F.col("_start") + F.col("_inside") <= limit)
+        .where(start + F.col("_inside") <= limit)
         .drop(*cells, "_start", "_inside")
     )
 
 
 def until_first(
-    df: DataFrame, keys, order, stop: Column, slice_by: Column | None = None
+    df: DataFrame, keys, order, stop: Column, along: Column | None = None
 ) -> DataFrame:
     """Rows of each group up to and including the first where ``stop`` holds.
 
-    ``df`` is read twice, once for the key, order and stop columns only. Settle
-    it first if ``stop`` is costly.
+    Slices after that one end before the shuffle. ``df`` is read more than
+    once, though only its key, order and stop columns; settle it first if these
+    are costly.
     """
     keys, order = as_list(keys), as_list(order)
-    sliced, group = cut(df, keys, order, slice_by)
+    sliced, group, hot_rows = cut(df.withColumn("_stop", stop), keys, order, along)
     cells = [*group, SLICE]
-
-    place = F.struct(*order)
-    stops = sliced.groupBy(*cells).agg(F.min(F.when(stop, place)).alias("_stop"))
-    reached = F.max(F.col("_stop").isNotNull()).over(earlier_slices(group))
-    live = stops.withColumn("_reached", F.coalesce(reached, F.lit(False))).where("NOT _reached")
+    stops = hot_rows.groupBy(*cells).agg(F.coalesce(F.max("_stop"), F.lit(False)).alias("_stops"))
+    reached = F.broadcast(
+        stops.select(*cells, F.max("_stops").over(_earlier(group)).alias("_reached"))
+    )
+    before = Window.partitionBy(*cells).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        sliced.join(live, cells)
-        .where(F.col("_stop").isNull() | (place <= F.col("_stop")))
-        .drop(*cells, "_stop", "_reached")
+        sliced.join(reached, cells, "left")
+        .where(~F.coalesce("_reached", F.lit(False)))
+        .withColumn("_seen", F.max("_stop").over(before))
+        .where(~F.coalesce("_seen", F.lit(False)))
+        .drop(*cells, "_stop", "_reached", "_seen")
     )
 
 
-def after_first(
-    df: DataFrame, n: Column, order, slice_by: Column | None = None
-) -> DataFrame:
+def after_first(df: DataFrame, n: Column, order, along: Column | None = None) -> DataFrame:
     """Skip the first ``n`` rows of the whole table; ``n`` is a scalar.
 
     Only the slice in which the cut falls is sorted. The table itself is
     scanned and filtered, never shuffled. ``order`` must be unique.
     """
     order = as_list(order)
-    sliced, _ = cut(df, [], order, slice_by)
-    sizes = sliced.groupBy(SLICE).agg(F.count(F.lit(1)).alias("_size"))
-    ends = sizes.select(
-        SLICE,
-        "_size",
-        F.sum("_size")
-        .over(Window.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, 0))
-        .alias("_end"),
-    )
-    edge = ends.where((F.col("_end") > n) & (F.col("_end") - F.col("_size") <= n))
-    skip = edge.select(n - (F.col("_end") - F.col("_size"))).scalar()
+    sliced, group, hot_rows = cut(df, [], order, along)
+    ends = _starts(hot_rows, group)
+    edge = ends.where((F.col("_start") <= n) & (F.col("_start") + F.col("_size") > n))
+    skip = edge.select(n - F.col("_start")).scalar()
 
     inside = F.row_number().over(Window.partitionBy(SLICE).orderBy(*order))
     first_kept = (

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gleanspark.functions import classify, extract, text
 from gleanspark.operators.combine import enrich_company, unify, with_lineage
 from gleanspark.operators.paging import while_next
-from gleanspark.operators.slices import as_list
+from gleanspark.operators.skew import as_list
 from gleanspark.schema import (
     NOT_AVAILABLE,
     POSTING_COLUMNS,
@@ -189,7 +189,7 @@ def provider_listing(
     card: str,
     name: str,
     link: str,
-    slice_by: Column | None = None,
+    along: Column | None = None,
 ) -> DataFrame:
     """One row per card of the pages visited in each group; a missing field says ``NA``.
 
@@ -205,7 +205,7 @@ def provider_listing(
         extract.extract_all(F.col("html"), card, 0).alias("_cards"),
     )
     listed = settle(listed, "cards")
-    cards = while_next(listed, keys, order, F.col("_next"), slice_by).select(
+    cards = while_next(listed, keys, order, F.col("_next"), along).select(
         *keys, *order, F.posexplode("_cards").alias("pos", "_card")
     )
 

@@ -32,21 +32,15 @@ def brute(df):
     return groups
 
 
-@pytest.fixture(autouse=True, scope="module")
-def small_slices(spark):
-    global SMALL
-    SMALL = slices.whole_parts(F.col("pos"), 500)
-
-
 def test_ordinal_of_skewed_groups(spark, skewed):
-    got = slices.ordinal(skewed, "key", "pos", "at", SMALL).collect()
+    got = slices.ordinal(skewed, "key", "pos", "at").collect()
     want = {(r.key, r.pos): i for rows in brute(skewed).values() for i, r in enumerate(rows)}
     assert len(got) == ROWS
     assert {(r.key, r.pos): r.at for r in got} == want
 
 
 def test_until_first_of_skewed_groups(spark, skewed):
-    got = paging.until_marker(skewed, "key", "pos", F.col("stop"), SMALL).collect()
+    got = paging.until_marker(skewed, "key", "pos", F.col("stop")).collect()
     want = set()
     for rows in brute(skewed).values():
         for row in rows:
@@ -66,29 +60,29 @@ def test_while_next_ends_at_a_page_that_does_not_say(spark):
 
 @pytest.mark.parametrize("limit", [1, 7, 1000])
 def test_cap_of_skewed_groups(spark, skewed, limit):
-    got = paging.cap_per_search(skewed, "key", "pos", limit, SMALL).collect()
+    got = paging.cap_per_search(skewed, "key", "pos", limit).collect()
     want = {(r.key, r.pos) for rows in brute(skewed).values() for r in rows[:limit]}
     assert len(got) == len(want)
     assert {(r.key, r.pos) for r in got} == want
 
 
 def test_batches_give_each_slot_once(spark, skewed):
-    got = paging.assign_batches(skewed, "key", "pos", 7, SMALL)
+    got = paging.assign_batches(skewed, "key", "pos", 7)
     twice = got.groupBy("key", "batch", "slot").count().where("count > 1")
     assert got.count() == ROWS
     assert twice.count() == 0
     assert got.agg(F.max("slot")).first()[0] == 6
 
 
-def test_default_slice_needs_whole_numbers(spark):
+def test_text_order_needs_a_number(spark):
     df = spark.createDataFrame([("a", "b")], "k string, o string")
-    with pytest.raises(ValueError, match="slice_by"):
+    with pytest.raises(ValueError, match="along"):
         slices.ordinal(df, "k", "o")
 
 
 @pytest.mark.parametrize("done", [0, 1, 499, 500, 501, ROWS - 1, ROWS, ROWS + 5])
 def test_resume_skip(spark, skewed, done):
-    got = combine.resume_skip(skewed.select("pos"), spark.range(done), "pos", SMALL)
+    got = combine.resume_skip(skewed.select("pos"), spark.range(done), "pos")
     assert sorted(r.pos for r in got.collect()) == list(range(done, ROWS))
 
 
@@ -126,21 +120,26 @@ def test_hot_rows_are_divided(spark, skewed):
     spark.conf.set("spark.sql.shuffle.partitions", "40")
     try:
         joined = skew.left_join_unique(skewed, lookup, "key", "pos")
-        placed = slices.ordinal(skewed, "key", "pos", "at", SMALL)
+        placed = slices.ordinal(skewed, "key", "pos", "at")
         for df in (joined, placed):
-            sizes = df.groupBy(F.spark_partition_id().alias("p")).count().collect()
-            assert sum(r["count"] for r in sizes) == ROWS
-            assert max(r["count"] for r in sizes) < ROWS / 8
+            here = F.spark_partition_id().alias("p")
+            sizes = df.groupBy(here).agg(F.count(F.lit(1)).alias("n"), F.max(df.columns[-1]))
+            sizes = [r.n for r in sizes.collect()]
+            assert sum(sizes) == ROWS
+            assert max(sizes) < ROWS / 8
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.shuffle.partitions", "8")
 
 
-def test_hot_keys_are_few(spark, skewed):
-    hot = skew.hot_keys(skew.key_counts(skewed, "key"), "key").collect()
-    assert "hot" in {r.key for r in hot}
-    assert len(hot) < skew.HOT_SHARE
+def test_hot_groups_are_few(spark, skewed):
+    counts = skewed.groupBy("key").agg(F.count(F.lit(1)).alias("_rows"))
+    for parts in (8, 40, 1000):
+        hot = skew.hot_groups(counts, skew.row_count(skewed), parts).collect()
+        assert "hot" in {r.key for r in hot}
+        assert len(hot) < parts
+        assert sum(r._share for r in hot) <= parts
 
 
 def words(rng, alphabet, n):
@@ -190,7 +189,7 @@ def test_zip_ends_with_the_shorter_side(spark):
 
 
 def test_column_lists_round_trip(spark, skewed):
-    batches = paging.assign_batches(skewed, "key", "pos", 10, SMALL).drop("stop")
+    batches = paging.assign_batches(skewed, "key", "pos", 10).drop("stop")
     lists = combine.to_column_lists(batches, ["key", "batch"], "slot", ["pos"])
     assert lists.agg(F.max(F.size("pos"))).first()[0] == 10
     back = combine.from_column_lists(lists, ["key", "batch"], "slot", ["pos"])
