@@ -33,30 +33,41 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-@cache
-def _entity_table() -> str:
-    """Every name HTML defines; look-up is in order, so the old names go first."""
-    names = {name: chr(code) for name, code in name2codepoint.items()}
-    names |= {name.rstrip(";"): text for name, text in html5.items()}
-    return json.dumps(names)
+def _escaped(text: str) -> str:
+    return "".join(f"\\u{ord(char):04x}" for char in text)
 
 
-def _entity_names() -> Column:
-    return F.from_json(F.lit(_entity_table()), "map<string,string>")
-
+@cache
+def _decode_part() -> str:
+    """SQL for one part of a text split at ``&``: the reference it starts with, decoded.
 
-def _numeric_reference(ref: Column) -> Column:
-    digits = F.when(
-        F.lower(F.substring(ref, 2, 1)) == "x", F.conv(F.substring(ref, 3, 2**31 - 1), 16, 10)
-    ).otherwise(F.substring(ref, 2, 2**31 - 1))
-    code = digits.try_cast("bigint")
-    valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-    char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-    return (
-        F.when(code.between(128, 159), F.translate(char, C1_CONTROLS, C1_MEANING))
-        .when(valid, char)
-        .otherwise(F.lit("�"))
-    )
+    One text, as the same rule built from columns takes hundreds of calls.
+    """
+    # Every name HTML defines; look-up is in order, so the old names go first.
+    names = {name: chr(code) for name, code in name2codepoint.items()}
+    names |= {name.rstrip(";"): text for name, text in html5.items()}
+    table = json.dumps(names).replace("'", _escaped("'"))
+    return rf"""(part, i) -> CASE WHEN i = 0 THEN part ELSE
+      transform(array(regexp_extract(part, r'{REFERENCE}', 1)), ref ->
+        CASE WHEN ref = '' THEN concat('&', part) ELSE concat(
+          CASE
+            WHEN ref = 'amp' THEN '&'
+            WHEN startswith(ref, '#') THEN
+              transform(array(try_cast(
+                CASE WHEN lower(substring(ref, 2, 1)) = 'x' THEN conv(substring(ref, 3), 16, 10)
+                     ELSE substring(ref, 2) END AS bigint)), code ->
+                CASE
+                  WHEN code BETWEEN 128 AND 159 THEN translate(
+                    decode(unhex(lpad(hex(code), 8, '0')), 'UTF-32'),
+                    '{_escaped(C1_CONTROLS)}', '{_escaped(C1_MEANING)}')
+                  WHEN code BETWEEN 1 AND 55295 OR code BETWEEN 57344 AND 1114111
+                    THEN decode(unhex(lpad(hex(code), 8, '0')), 'UTF-32')
+                  ELSE '\ufffd' END)[0]
+            ELSE coalesce(
+              try_element_at(from_json(r'{table}', 'map<string,string>'), ref),
+              concat('&', ref)) END,
+          substring(part, length(regexp_extract(part, r'{REFERENCE}', 0)) + 1)) END)[0]
+      END"""
 
 
 def decode_entities(col: Column) -> Column:
@@ -64,26 +75,8 @@ def decode_entities(col: Column) -> Column:
 
     ``&amp;lt;`` gives ``&lt;``. An unknown name stays, without its semicolon.
     """
-    names = _entity_names()
-
-    def decode(part: Column, i: Column) -> Column:
-        ref = F.regexp_extract(part, REFERENCE, 1)
-        rest = F.substring(
-            part, F.length(F.regexp_extract(part, REFERENCE, 0)) + 1, F.lit(2**31 - 1)
-        )
-        char = (
-            F.when(ref == "amp", F.lit("&"))
-            .when(ref.startswith("#"), _numeric_reference(ref))
-            .otherwise(F.coalesce(F.try_element_at(names, ref), F.concat(F.lit("&"), ref)))
-        )
-        return (
-            F.when(i == 0, part)
-            .when(ref == "", F.concat(F.lit("&"), part))
-            .otherwise(F.concat(char, rest))
-        )
-
-    decoded = F.array_join(F.transform(F.split(col, "&"), decode), "")
-    return F.when(F.contains(col, F.lit("&")), decoded).otherwise(col)
+    parts = F.call_function("transform", F.split(col, "&"), F.expr(_decode_part()))
+    return F.when(F.contains(col, F.lit("&")), F.array_join(parts, "")).otherwise(col)
 
 
 def norm_ws(col: Column) -> Column:

@@ -2,15 +2,16 @@
 
 Items of a group that is known to be small meet in one array. In any other
 group an item is found through its opening: its first 1, 2, 4, 8 or 16
-characters, whichever is the most it has. Every item is searched for openings,
-and where one occurs the piece of the right length is cut out. Pieces that equal
-an item of the group mark it as contained. Both ways are exact.
+characters, whichever is the most it has. Every item is searched for openings of
+the sizes its group has, and where one occurs the piece of the right length is
+cut out. Pieces that equal an item of the group mark it as contained. Both ways
+are exact.
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanspark.operators.skew import as_list, left_join_unique
+from gleanspark.operators.skew import as_list, left_join_unique, with_group
 
 OPENINGS = [1, 2, 4, 8, 16]
 
@@ -26,79 +27,82 @@ def remove_contained_rows(
 
     Equal items stay, as do rows without an item.
     """
-    keys = as_list(keys)
-    items = df.where(F.col(item).isNotNull()).select(*keys, item).distinct()
-    sizes = items.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_rows"), F.sum(F.length(item)).alias("_chars")
+    grouped, group = with_group(df, as_list(keys))
+    copies = grouped.groupBy(*group, item).agg(F.count(F.lit(1)).alias("_rows"))
+    items = copies.where(F.col(item).isNotNull()).select(*group, item)
+    sizes = items.groupBy(*group).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.sum(F.length(item)).alias("_chars"),
+        # The sizes are powers of two, so together they are a set of bits.
+        F.bit_or(_opening(F.length(item))).alias("_openings"),
     )
     fits = (F.col("_rows") <= array_items) & (F.col("_chars") <= ARRAY_CHARS)
     sized = left_join_unique(
-        items, sizes.select(*keys, fits.alias("_fits")), keys, item, counts=sizes
+        items, sizes.select(*group, fits.alias("_fits"), "_openings"), group, item, counts=sizes
     )
-    small = sized.where("_fits").drop("_fits")
-    large = sized.where("NOT coalesce(_fits, false)").drop("_fits")
-    contained = _in_arrays(small, keys, item).unionByName(_by_openings(large, keys, item))
-    return _join(df, contained, [*keys, item], "left_anti")
+    small = sized.where("_fits").select(*group, item)
+    large = sized.where("NOT _fits").drop("_fits")
+    contained = _in_arrays(small, group, item).unionByName(_by_openings(large, group, item))
+    marked = left_join_unique(
+        grouped, contained.withColumn("_contained", F.lit(True)), [*group, item], counts=copies
+    )
+    return marked.where(F.col("_contained").isNull()).select(*df.columns)
+
 
+def _opening(length: Column) -> Column:
+    size = F.lit(0)
+    for larger in OPENINGS:
+        size = F.when(length >= larger, F.lit(larger)).otherwise(size)
+    return size
 
-def _in_arrays(items: DataFrame, keys: list[str], item: str) -> DataFrame:
+
+def _in_arrays(items: DataFrame, group: list[str], item: str) -> DataFrame:
     def contained(everything: Column) -> Column:
         return F.filter(
             everything, lambda x: F.exists(everything, lambda y: (x != y) & F.contains(y, x))
         )
 
-    groups = items.groupBy(*keys).agg(F.collect_list(item).alias("_items"))
-    return groups.select(*keys, F.explode(contained(F.col("_items"))).alias(item))
+    lists = items.groupBy(*group).agg(F.collect_list(item).alias("_items"))
+    return lists.select(*group, F.explode(contained(F.col("_items"))).alias(item))
 
 
-def _by_openings(items: DataFrame, keys: list[str], item: str) -> DataFrame:
+def _by_openings(items: DataFrame, group: list[str], item: str) -> DataFrame:
     """Contained items; the work grows with the text, not with pairs of items.
 
     Openings travel as hashes. A false match only cuts out a piece that equals
     no item, so it changes nothing.
     """
-    text = F.col(item)
+    text, length = F.col(item), F.col("_length")
     ids = items.withColumn("_id", F.xxhash64(item)).withColumn("_length", F.length(item))
-    filled = ids.where(F.col("_length") > 0)
-
-    opening = F.lit(OPENINGS[0])
-    for size in OPENINGS[1:]:
-        opening = F.when(F.col("_length") >= size, F.lit(size)).otherwise(opening)
+    filled = ids.where(length > 0)
     needles = filled.select(
-        *keys,
-        F.xxhash64(F.substring(text, F.lit(1), opening)).alias("_gram"),
-        F.col("_length").alias("_cut"),
+        *group,
+        F.xxhash64(F.substring(text, F.lit(1), _opening(length))).alias("_gram"),
+        length.alias("_cut"),
     ).distinct()
 
-    # One row for each size of opening and each place where it fits.
+    # One row for each size of opening in the group and each place where it fits.
     places = F.transform(
-        F.filter(F.array(*map(F.lit, OPENINGS)), lambda size: size <= F.col("_length")),
+        F.filter(
+            F.array(*map(F.lit, OPENINGS)),
+            lambda size: (size <= length) & (F.col("_openings").bitwiseAND(size) != 0),
+        ),
         lambda size: F.transform(
-            F.sequence(F.lit(1), F.col("_length") - size + 1),
+            F.sequence(F.lit(1), length - size + 1),
             lambda at: F.struct(
                 at.alias("_at"), F.xxhash64(F.substring(text, at, size)).alias("_gram")
             ),
         ),
     )
-    probes = filled.select(*keys, "_id", "_length", F.inline(F.flatten(places)))
-    inside = (F.col("_cut") < F.col("_length")) & (
-        F.col("_at") + F.col("_cut") - 1 <= F.col("_length")
+    probes = filled.select(*group, "_id", "_length", F.inline(F.flatten(places)))
+    inside = (F.col("_cut") < length) & (F.col("_at") + F.col("_cut") - 1 <= length)
+    hits = probes.join(needles, [*group, "_gram"]).where(inside)
+    pieces = (
+        hits.select(*group, "_id", "_at", "_cut")
+        .join(ids.select(*group, "_id", item), [*group, "_id"])
+        .select(*group, F.substring(text, F.col("_at"), F.col("_cut")).alias(item))
     )
-    hits = _join(probes, needles, [*keys, "_gram"]).where(inside)
-    pieces = _join(
-        hits.select(*keys, "_id", "_at", "_cut"), ids.select(*keys, "_id", item), [*keys, "_id"]
-    ).select(*keys, F.substring(text, F.col("_at"), F.col("_cut")).alias(item))
 
     # An empty item is part of any other, whatever its place.
-    beside_empty = filled.select(*keys, F.lit("").alias(item))
+    beside_empty = filled.select(*group, F.lit("").alias(item))
     return pieces.unionByName(beside_empty).distinct()
-
-
-def _join(left: DataFrame, right: DataFrame, cols: list[str], how: str = "inner") -> DataFrame:
-    """Null-safe join; the right side gives only its other columns."""
-    renamed = right.withColumnsRenamed({col: f"_r_{col}" for col in cols})
-    match = F.lit(True)
-    for col in cols:
-        match = match & left[col].eqNullSafe(renamed[f"_r_{col}"])
-    joined = left.join(renamed, match, how)
-    return joined.drop(*[f"_r_{col}" for col in cols]) if how == "inner" else joined
