@@ -14,13 +14,16 @@ def norm_ws(text: str) -> str:
 
 
 def entities(text: str) -> str:
+    # The semicolon may be missing: a name ends where its letters do.
     for name, char in [("middot", "·"), ("copy", "©"), ("quot", '"'), ("amp", "&")]:
-        text = f"replace({text}, '&{name};', '{char}')"
+        text = rf"regexp_replace({text}, '&{name}(;|\b)', '{char}', 'g')"
     return text
 
 
 def clean_html(html: str) -> str:
-    return norm_ws(entities(f"regexp_replace({html}, '{MARKUP}', '', 'g')"))
+    # A character no text holds keeps references from running into the next text.
+    gaps = entities(f"regexp_replace({html}, '{MARKUP}', chr(65535), 'g')")
+    return norm_ws(f"replace({gaps}, chr(65535), '')")
 
 
 def element(html: str, pattern: str) -> str:

@@ -20,6 +20,9 @@ MARKUP = (
     r"""|<[a-z/!?][^>=]*+(?:=\s*+(?:"[^"]*"|'[^']*')?[^>=]*+)*+>"""
 )
 
+# Stands where markup was while references are decoded: they end at a tag.
+GAP = "\uffff"
+
 REFERENCE = r"^(#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);?"
 
 # Numeric references 128 to 159 mean the windows-1252 character.
@@ -89,7 +92,8 @@ def clean_html(col: Column) -> Column:
 
     Text of neighbouring blocks is joined without a separator.
     """
-    return norm_ws(decode_entities(F.regexp_replace(col, MARKUP, "")))
+    text = decode_entities(F.regexp_replace(col, MARKUP, GAP))
+    return norm_ws(F.replace(text, F.lit(GAP), F.lit("")))
 
 
 def drop_empty(items: Column) -> Column:

@@ -76,16 +76,18 @@ def allowed_domains(df: DataFrame, url: str, domains: list[str]) -> DataFrame:
     return df.where(allowed)
 
 
+def with_slots(df: DataFrame, pos: str, size: int) -> DataFrame:
+    """Add the batch of ``size`` a position falls in, and its slot there."""
+    return df.withColumn("batch", whole_parts(F.col(pos), size)).withColumn(
+        "slot", F.col(pos).cast("bigint") % size
+    )
+
+
 def assign_batches(
     df: DataFrame, keys, order, size: int, along: Column | None = None
 ) -> DataFrame:
     """Cut the ordered list of each group in batches; ``slot`` is the place in one."""
-    placed = ordinal(df, keys, order, "_pos", along)
-    return (
-        placed.withColumn("batch", whole_parts(F.col("_pos"), size))
-        .withColumn("slot", F.col("_pos") % size)
-        .drop("_pos")
-    )
+    return with_slots(ordinal(df, keys, order, "_pos", along), "_pos", size).drop("_pos")
 
 
 def cap_per_search(

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleanspark.functions.planning import search_url
-from gleanspark.operators.paging import assign_batches, page_plan_10, page_plan_25
+from gleanspark.operators.paging import page_plan_10, page_plan_25, with_slots
 
 PLANS = {"fixed": page_plan_25, "offset": page_plan_10}
 
@@ -14,11 +14,11 @@ def search_plan(
 ) -> DataFrame:
     """One row per listing page to visit, with its batch and slot per search.
 
-    ``searches`` is ``search_id, keyword, location`` and the result count. A
-    keyword with an unclosed quote has no address and plans no page.
+    ``searches`` is ``search_id, keyword, location`` and the result count. The
+    pages of a search are numbered without gaps, so nothing is shuffled to place
+    them. A keyword with an unclosed quote has no address and plans no page.
     """
     urls = searches.withColumn(
         "search_url", search_url(F.lit(base), F.col("keyword"), F.col("location"))
     ).where(F.col("search_url").isNotNull())
-    pages = PLANS[paging](urls, results, "search_url")
-    return assign_batches(pages, "search_id", "page", windows)
+    return with_slots(PLANS[paging](urls, results, "search_url"), "page", windows)

@@ -28,4 +28,4 @@ def spark(tmp_path_factory):
 
 @pytest.fixture(scope="session")
 def sf_dir():
-    return f"{TESTDATA}/sf0.01"
+    return f"{TESTDATA}/sf{os.environ.get('SF', '0.01')}"

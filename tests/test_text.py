@@ -42,6 +42,7 @@ def test_clean_html_cases(spark):
         "a&nbsp;&nbsp;b\r\n\tc ": "a b c",
         "<script>never closed": "",
         "<a href='x' data-y=\"1>0\">link</a>": "link",
+        "<b>a &amp</b>b &lt<i>c</i>": "a &b <c",
         "": "",
     }
     assert column(spark, list(cases), "string", text.clean_html(A)) == list(cases.values())
@@ -66,7 +67,7 @@ class Text(HTMLParser):
 def test_clean_html_equals_parser_on_every_page(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     rows = pages.select("html", text.clean_html(F.col("html")).alias("text")).collect()
-    assert len(rows) == 250
+    assert rows
     for row in rows:
         parser = Text()
         parser.feed(row.html)
