@@ -73,11 +73,13 @@ def first_non_empty_list(spark, sf):
 
 
 def page_links(spark, sf):
-    links = extract.explode_elements(pages(spark, sf), "html", LINK, ["page_id"])
+    links = extract.explode_elements(pages(spark, sf), "html", LINK, ["page_id", "url"])
+    href = extract.extract_attr(F.col("element"), "a", "href")
     return links.select(
         "page_id",
         F.col("pos").cast("bigint"),
-        extract.extract_attr(F.col("element"), "a", "href").alias("href"),
+        href.alias("href"),
+        extract.absolute_url(F.col("url"), href).alias("target"),
         extract.extract_text(F.col("element"), ">([^<]*)<").alias("label"),
     )
 
@@ -132,12 +134,17 @@ ORACLE = {
     """,
     "page_links": f"""
         WITH found AS (
-            SELECT page_id, regexp_extract_all(html, '{LINK}') AS links FROM pages
+            SELECT page_id, regexp_extract(url, '^[a-z]+://[^/?#]*') AS origin,
+                   regexp_extract_all(html, '{LINK}') AS links
+            FROM pages
         ), one AS (
-            SELECT page_id, unnest(range(len(links))) AS pos, unnest(links) AS link FROM found
+            SELECT page_id, origin, unnest(range(len(links))) AS pos, unnest(links) AS link
+            FROM found
         )
         SELECT page_id, pos,
                {sql.entities("regexp_extract(link, 'href=" + '"([^"]*)"' + "', 1)")} AS href,
+               origin || {sql.entities("regexp_extract(link, 'href=" + '"([^"]*)"' + "', 1)")}
+               AS target,
                {sql.element("link", ">([^<]*)<")} AS label
         FROM one
     """,

@@ -12,7 +12,7 @@ from checkset import planning, sql
 from checkset.classifying import location_steps, preferences, salary, salary_type
 from checkset.extracting import BOLD, H1, H2, ITEM
 from gleanspark.functions.text import clean_html
-from gleanspark.plans import postings
+from gleanspark.plans import listing, postings
 from gleanspark.plans.search import search_plan as plan_pages
 from gleanspark.schema import POSTING_COLUMNS
 from gleanspark.sources.feeds import NULL_TOKENS, read_tab
@@ -107,19 +107,33 @@ def unified_feed(spark, sf):
 
 
 CARD_NAME = '<a href="[^"]*">([a-z][^<]*)</a>'
-CARD_LINK = 'href="/([^"]{3,})"'
+CARD_LINK = 'href="(/[^"]{3,})"'
 
 
 def provider_listing(spark, sf):
     host = F.regexp_extract("url", PROFILE, 0)
     pages = read_table(spark, sf, "pages").withColumn("host", host)
     has_next = F.contains(F.col("html"), F.lit("<b>"))
-    cards = postings.provider_listing(
+    cards = listing.provider_listing(
         pages, "host", "page_id", has_next, ITEM, CARD_NAME, CARD_LINK
     )
     return cards.withColumn("pos", F.col("pos").cast("bigint")).drop("host")
 
 
+def listing_links(spark, sf):
+    """The last page of a host is the first whose title holds a percent sign."""
+    host = F.regexp_extract("url", PROFILE, 0)
+    pages = read_table(spark, sf, "pages").withColumn("host", host)
+    marker = F.col("html").rlike("<title>[^<]*%")
+    links = listing.listing_links(pages, "host", "page_id", "<a [^>]*>", marker)
+    return links.select("page_id", F.col("pos").cast("bigint"), "link")
+
+
+def company_sites(spark, sf):
+    sites = ["<a class=([^>]*)>", '<li><a href="(/[A-Z][^"]*)"', LINK]
+    return postings.company_sites(read_table(spark, sf, "pages"), sites)
+
+
 def search_plan(spark, sf):
     searches = planning.searches(spark, sf).withColumn("n_results", F.col("search_id") % 20)
     pages = plan_pages(searches, planning.BASE, "n_results", windows=4)
@@ -142,6 +156,8 @@ QUERIES = {
     "feed_a": feed_a,
     "feed_b": feed_b,
     "unified_feed": unified_feed,
+    "company_sites": company_sites,
+    "listing_links": listing_links,
     "provider_listing": provider_listing,
     "search_plan": search_plan,
     "stream_ingest": stream_ingest,
@@ -170,7 +186,8 @@ FEED_A = f"""
                     THEN {sql.element("html", "<i>([^<]*)")} END AS publication_date,
                remote, job_type, {sql.element("html", PARAGRAPH)} AS job_description,
                {sql.element("html", FOOTER)} AS company_name, '' AS company_website,
-               {sql.entities(f"regexp_extract(html, '{LINK}', 1)")} AS company_linkedin_url,
+               regexp_extract(url, '{PROFILE}')
+               || {sql.entities(f"regexp_extract(html, '{LINK}', 1)")} AS company_linkedin_url,
                '{KEYWORD}' AS input_keyword, '{PLACE}' AS input_location,
                '{DAY}' AS search_date, 'Linkedin' AS source
         FROM classed_a
@@ -232,20 +249,44 @@ ORACLE = {
         WITH hosts AS (
             SELECT page_id, html, regexp_extract(url, '{PROFILE}') AS host FROM pages
         ), visited AS (
-            SELECT page_id, regexp_extract_all(html, '{ITEM}') AS cards FROM hosts
+            SELECT page_id, host, regexp_extract_all(html, '{ITEM}') AS cards FROM hosts
             QUALIFY coalesce(bool_or(NOT contains(html, '<b>')) OVER (
                 PARTITION BY host ORDER BY page_id
                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), FALSE) = FALSE
         ), one AS (
-            SELECT page_id, unnest(range(len(cards))) AS pos, unnest(cards) AS card FROM visited
+            SELECT page_id, host, unnest(range(len(cards))) AS pos, unnest(cards) AS card
+            FROM visited
         )
         SELECT page_id, pos,
                CASE WHEN regexp_matches(card, '{CARD_NAME}')
                     THEN {sql.element("card", CARD_NAME)} ELSE 'NA' END AS provider_name,
                CASE WHEN regexp_matches(card, '{CARD_LINK}')
-                    THEN {sql.element("card", CARD_LINK)} ELSE 'NA' END AS provider_profile
+                    THEN host || {sql.element("card", CARD_LINK)} ELSE 'NA' END
+               AS provider_profile
         FROM one
     """,
+    "company_sites": f"""
+        SELECT url AS profile_url, regexp_extract(url, '{PROFILE}') || {sql.entities(
+            f"""CASE WHEN regexp_matches(html, '<li><a href="(/[A-Z][^"]*)"')
+                     THEN regexp_extract(html, '<li><a href="(/[A-Z][^"]*)"', 1)
+                     ELSE regexp_extract(html, '{LINK}', 1) END"""
+        )} AS website
+        FROM pages
+    """,
+    "listing_links": f"""
+        WITH hosts AS (
+            SELECT page_id, html, regexp_extract(url, '{PROFILE}') AS host FROM pages
+        ), visited AS (
+            SELECT page_id, host, regexp_extract_all(html, '{LINK}', 1) AS links FROM hosts
+            QUALIFY coalesce(bool_or(regexp_matches(html, '<title>[^<]*%')) OVER (
+                PARTITION BY host ORDER BY page_id
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), FALSE) = FALSE
+        ), one AS (
+            SELECT page_id, host, unnest(range(len(links))) AS pos, unnest(links) AS link
+            FROM visited
+        )
+        SELECT page_id, pos, host || {sql.entities("link")} AS link FROM one
+    """,
     "search_plan": f"""
         WITH {planning.SEARCHES}, planned AS (
             SELECT search_id, search_url,

@@ -16,13 +16,57 @@ def extract_text(html: Column, pattern: str) -> Column:
     return clean_html(F.regexp_extract(html, pattern, 1))
 
 
-def attr_pattern(tag: str, attr: str) -> str:
-    return rf'(?i)<{tag}\b[^>]*?\s{attr}="([^"]*)"'
+def extract_attr(html: Column, tag: str, attr: str) -> Column:
+    """Attribute of the first such tag, ``""`` if there is none.
 
+    The value may be in double quotes, single quotes or none.
+    """
+    pattern = rf"""(?i)<{tag}\b[^>]*?\s{attr}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+    value = F.regexp_extract(html, pattern, 1)
+    return decode_entities(F.regexp_replace(value, "^[\"']|[\"']$", ""))
 
-def extract_attr(html: Column, tag: str, attr: str) -> Column:
-    """Attribute of the first such tag, ``""`` if there is none."""
-    return decode_entities(F.regexp_extract(html, attr_pattern(tag, attr), 1))
+
+def absolute_url(base: Column, href: Column) -> Column:
+    """Where a link on the page ``base`` leads, as a browser reports it.
+
+    Characters are not percent-encoded. Null stays null.
+    """
+    link = F.regexp_replace(href, r"^\s+|\s+$", "")
+    page = F.regexp_replace(base, r"#.*$", "")
+    origin = F.regexp_extract(base, r"^[^:/?#]+://[^/?#]*", 0)
+    folder = F.regexp_extract(page, r"^[^:/?#]+://[^/?#]*(/(?:[^?#]*/)?)", 1)
+    rooted = F.when(link.startswith("/"), link).otherwise(
+        F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), link)
+    )
+    return (
+        F.when(link.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), link)
+        .when(link == "", page)
+        .when(link.startswith("//"), F.concat(F.regexp_extract(base, "^[^:]+:", 0), link))
+        .when(link.startswith("#"), F.concat(page, link))
+        .when(link.startswith("?"), F.concat(F.regexp_replace(page, r"\?.*$", ""), link))
+        .otherwise(F.concat(origin, _without_dots(rooted)))
+    )
+
+
+def _without_dots(path: Column) -> Column:
+    """Resolve ``.`` and ``..`` in the part before the query."""
+    head = F.regexp_extract(path, r"^[^?#]*", 0)
+    tail = F.substring(path, F.length(head) + 1, F.lit(2**31 - 1))
+    steps = F.split(F.substring(head, 2, 2**31 - 1), "/")
+
+    def step(seen: Column, name: Column) -> Column:
+        above = F.slice(seen, F.lit(1), F.greatest(F.size(seen) - 1, F.lit(0)))
+        return (
+            F.when(name == ".", seen)
+            .when(name == "..", above)
+            .otherwise(F.concat(seen, F.array(name)))
+        )
+
+    kept = F.aggregate(steps, F.array().cast("array<string>"), step)
+    # A path that ends in a dot step ends in a slash.
+    slash = F.when(head.rlike(r"/\.\.?$") & (F.size(kept) > 0), F.lit("/")).otherwise(F.lit(""))
+    resolved = F.concat(F.lit("/"), F.array_join(kept, "/"), slash, tail)
+    return F.when(head.rlike(r"/\.\.?(/|$)"), resolved).otherwise(path)
 
 
 def extract_all(html: Column, pattern: str, group: int = 1) -> Column:

@@ -7,19 +7,14 @@ from pyspark.sql import functions as F
 
 from gleanspark.functions import classify, extract, text
 from gleanspark.operators.combine import enrich_company, unify, with_lineage
-from gleanspark.operators.paging import while_next
-from gleanspark.operators.skew import as_list
 from gleanspark.schema import (
-    NOT_AVAILABLE,
     POSTING_COLUMNS,
-    PROVIDER_COLUMNS,
     SOURCE_A,
     SOURCE_B,
     to_postings,
     with_feed_headers,
 )
 from gleanspark.sources.feeds import append_tab, drop_header_rows, read_feed, write_feed
-from gleanspark.workspace import settle
 
 
 @dataclass(frozen=True)
@@ -56,6 +51,12 @@ class Search:
     day: str | Column = field(default="1970-01-01")
 
 
+def _link(pattern: str) -> Column:
+    """Full address of the first link that matches, ``""`` if none does."""
+    href = text.decode_entities(F.regexp_extract("html", pattern, 1))
+    return F.when(href == "", href).otherwise(extract.absolute_url(F.col("url"), href))
+
+
 def read_details_a(pages: DataFrame, selectors: SelectorsA) -> DataFrame:
     """Raw fields of first-source postings, next to the columns of ``pages``."""
     html = F.col("html")
@@ -64,9 +65,7 @@ def read_details_a(pages: DataFrame, selectors: SelectorsA) -> DataFrame:
         {
             "title": extract.extract_text(html, selectors.title),
             "company": extract.extract_text(html, selectors.company),
-            "company_url": text.decode_entities(
-                F.regexp_extract(html, selectors.company_url, 1)
-            ),
+            "company_url": _link(selectors.company_url),
             "place": extract.extract_text(html, selectors.location),
             "published": extract.first_present(*dates),
             "items": extract.extract_texts(html, selectors.preferences),
@@ -101,7 +100,7 @@ def read_details_b(pages: DataFrame, selectors: SelectorsB) -> DataFrame:
     def first_text(patterns):
         return extract.first_non_empty(*[extract.extract_text(html, p) for p in patterns])
 
-    urls = [text.decode_entities(F.regexp_extract(html, p, 1)) for p in selectors.company_urls]
+    urls = [_link(pattern) for pattern in selectors.company_urls]
     return pages.withColumns(
         {
             "title": first_text(selectors.titles),
@@ -118,6 +117,20 @@ def read_details_b(pages: DataFrame, selectors: SelectorsB) -> DataFrame:
     )
 
 
+def company_sites(pages: DataFrame, websites: list[str]) -> DataFrame:
+    """``profile_url, website`` from captured company pages.
+
+    The first link that is there counts, even if it is empty; none gives ``""``.
+    """
+    found = [
+        F.when(F.col("html").rlike(pattern), _link(pattern)) for pattern in websites
+    ]
+    return pages.select(
+        F.col("url").alias("profile_url"),
+        extract.first_present(*found, default="").alias("website"),
+    )
+
+
 def postings_b(details: DataFrame, companies: DataFrame, search: Search) -> DataFrame:
     """Second source: header, salary line and company table resolved.
 
@@ -181,50 +194,6 @@ def feed_b(
     return postings_b(read_details_b(pages, selectors), companies, search)
 
 
-def provider_listing(
-    pages: DataFrame,
-    keys,
-    order,
-    has_next: Column,
-    card: str,
-    name: str,
-    link: str,
-    along: Column | None = None,
-) -> DataFrame:
-    """One row per card of the pages visited in each group; a missing field says ``NA``.
-
-    Pages are visited in order while each has a next one. What is needed of a
-    page is taken out and written first: the visit reads its input twice, and
-    pages are far larger than their cards.
-    """
-    keys, order = as_list(keys), as_list(order)
-    listed = pages.select(
-        *keys,
-        *order,
-        has_next.alias("_next"),
-        extract.extract_all(F.col("html"), card, 0).alias("_cards"),
-    )
-    listed = settle(listed, "cards")
-    cards = while_next(listed, keys, order, F.col("_next"), along).select(
-        *keys, *order, F.posexplode("_cards").alias("pos", "_card")
-    )
-
-    def field_of(pattern: str) -> Column:
-        return extract.or_sentinel(extract.if_present(F.col("_card"), pattern), NOT_AVAILABLE)
-
-    return cards.select(
-        *keys,
-        *order,
-        "pos",
-        field_of(name).alias("provider_name"),
-        field_of(link).alias("provider_profile"),
-    )
-
-
-def provider_feed(listing: DataFrame) -> DataFrame:
-    return with_feed_headers(listing.select(*PROVIDER_COLUMNS), PROVIDER_COLUMNS)
-
-
 def publish(
     spark: SparkSession, feeds: list[DataFrame], feed_path: str, dest: str, tab: str, batch: str
 ) -> DataFrame:

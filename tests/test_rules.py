@@ -4,6 +4,7 @@ import math
 import random
 import re
 import shlex
+from urllib.parse import urljoin
 
 import pytest
 from pyspark.sql import functions as F
@@ -182,6 +183,26 @@ def test_attributes(spark):
     assert got == ["/x?a=1&b=2", "/y", ""]
 
 
+def test_attribute_quotes(spark):
+    pages = ["<a href='/x'>", "<a rel=n href=/y>", '<a href = "/z">', "<a data-href='/n'>"]
+    got = column(spark, pages, "string", extract.extract_attr(A, "a", "href"))
+    assert got == ["/x", "/y", "/z", ""]
+
+
+@pytest.mark.parametrize(
+    "base", ["https://h.org/a/b/c?q=1#f", "https://h.org", "https://h.org/", "http://h.org:80/x/"]
+)
+def test_absolute_url_equals_urljoin(spark, base):
+    links = [
+        "/r", "//o.org/p", "https://o.org/z", "mailto:a@b.c", "x", "x/y?z=/../w", "./x", "../x",
+        "../../../x", "a/./b/../c", "..", ".", "?n=2", "#top", "/a/../b/", "x/..", "/..", "y#s",
+    ]
+    got = column(spark, [*links, "", None], "string", extract.absolute_url(F.lit(base), A))
+    assert got[:-2] == [urljoin(base, link) for link in links]
+    # An empty link leads to the page itself, without its fragment.
+    assert got[-2:] == [base.split("#")[0], None]
+
+
 def test_first_non_empty_list(spark):
     lists = extract.first_non_empty_list(
         extract.extract_all(A, "<i>([^<]*)"), extract.extract_all(A, "<b>([^<]*)")
