@@ -20,7 +20,8 @@ def enrich_company(spark, sf):
         .otherwise(F.lit(""))
         .alias("profile_url"),
     )
-    supplier = read_table(spark, sf, "supplier").where("s_suppkey % 3 <> 0")
+    # Only suppliers with some means have a profile.
+    supplier = read_table(spark, sf, "supplier").where("s_acctbal > 5000")
     profile = F.concat(F.lit("https://jobs.example.com/cmp/"), F.col("s_suppkey").cast("string"))
     site = F.concat(F.lit("https://"), F.lower(F.replace("s_name", F.lit("#"), F.lit("-"))))
     first = supplier.select(profile.alias("profile_url"), F.lit(0).alias("rank"), site.alias("website"))
@@ -141,7 +142,7 @@ ORACLE = {
                CASE WHEN s_suppkey IS NULL THEN ''
                     ELSE 'https://' || lower(replace(s_name, '#', '-')) END AS website
         FROM lineitem LEFT JOIN supplier
-             ON l_suppkey = s_suppkey AND s_suppkey % 3 <> 0 AND l_orderkey % 11 <> 0
+             ON l_suppkey = s_suppkey AND s_acctbal > 5000 AND l_orderkey % 11 <> 0
     """,
     "zip_by_position": """
         WITH c AS (

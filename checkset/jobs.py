@@ -85,12 +85,12 @@ def details_b(spark, sf):
 
 
 def companies(spark, sf):
-    """One company for each host, without those whose address length is a multiple of 3."""
+    """One company for each page, its host; those without a secure address are unknown."""
     profile = F.regexp_extract("url", PROFILE, 0)
     return (
         read_table(spark, sf, "pages")
         .select(profile.alias("profile_url"))
-        .where(F.length("profile_url") % 3 != 0)
+        .where(F.col("profile_url").startswith("https:"))
         .withColumn("website", F.concat("profile_url", F.lit("/about")))
     )
 
@@ -222,7 +222,7 @@ FEED_B = f"""
                location AS job_location, '' AS publication_date, remote, job_type,
                array_to_string({sql.distinct("l")}, chr(10)) AS job_description,
                company AS company_name,
-               CASE WHEN length(profile) % 3 <> 0 THEN profile || '/about' ELSE '' END
+               CASE WHEN starts_with(profile, 'https:') THEN profile || '/about' ELSE '' END
                AS company_website, '' AS company_linkedin_url,
                '{KEYWORD}' AS input_keyword, '{PLACE}' AS input_location,
                '{DAY}' AS search_date, 'Indeed' AS source

@@ -31,21 +31,24 @@ def absolute_url(base: Column, href: Column) -> Column:
 
     Characters are not percent-encoded. Null stays null.
     """
-    link = F.regexp_replace(href, r"^\s+|\s+$", "")
     page = F.regexp_replace(base, r"#.*$", "")
     origin = F.regexp_extract(base, r"^[^:/?#]+://[^/?#]*", 0)
     folder = F.regexp_extract(page, r"^[^:/?#]+://[^/?#]*(/(?:[^?#]*/)?)", 1)
-    rooted = F.when(link.startswith("/"), link).otherwise(
-        F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), link)
-    )
-    return (
-        F.when(link.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), link)
-        .when(link == "", page)
-        .when(link.startswith("//"), F.concat(F.regexp_extract(base, "^[^:]+:", 0), link))
-        .when(link.startswith("#"), F.concat(page, link))
-        .when(link.startswith("?"), F.concat(F.regexp_replace(page, r"\?.*$", ""), link))
-        .otherwise(F.concat(origin, _without_dots(rooted)))
-    )
+
+    def resolve(link: Column) -> Column:
+        path = F.when(link.startswith("/"), link).otherwise(
+            F.concat(F.coalesce(F.nullif(folder, F.lit("")), F.lit("/")), link)
+        )
+        return (
+            F.when(link.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), link)
+            .when(link == "", page)
+            .when(link.startswith("//"), F.concat(F.regexp_extract(base, "^[^:]+:", 0), link))
+            .when(link.startswith("#"), F.concat(page, link))
+            .when(link.startswith("?"), F.concat(F.regexp_replace(page, r"\?.*$", ""), link))
+            .otherwise(F.concat(origin, let(path, _without_dots)))
+        )
+
+    return let(F.regexp_replace(href, r"^\s+|\s+$", ""), resolve)
 
 
 def _without_dots(path: Column) -> Column:

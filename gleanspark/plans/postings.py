@@ -53,8 +53,10 @@ class Search:
 
 def _link(pattern: str) -> Column:
     """Full address of the first link that matches, ``""`` if none does."""
-    href = text.decode_entities(F.regexp_extract("html", pattern, 1))
-    return F.when(href == "", href).otherwise(extract.absolute_url(F.col("url"), href))
+    return text.let(
+        text.decode_entities(F.regexp_extract("html", pattern, 1)),
+        lambda href: F.when(href != "", extract.absolute_url(F.col("url"), href)).otherwise(href),
+    )
 
 
 def read_details_a(pages: DataFrame, selectors: SelectorsA) -> DataFrame:
