@@ -6,13 +6,13 @@ from checkset import sql
 from gleanspark.functions import text
 from gleanspark.functions.extract import extract_all
 from gleanspark.operators import containment
-from gleanspark.sources.pages import read_table
+from gleanspark.sources.pages import read_pages, read_table
 
 PARAGRAPH = "(?s)<p>(.*?)<(?:/p|br)>"
 
 
 def clean_html(spark, sf):
-    return read_table(spark, sf, "pages").select(
+    return read_pages(spark, f"{sf}/pages.parquet").select(
         "page_id", text.clean_html(F.col("html")).alias("text")
     )
 
@@ -57,7 +57,7 @@ def remove_contained_rows(spark, sf):
 
 def clean_description(spark, sf):
     fragments = extract_all(F.col("html"), PARAGRAPH)
-    return read_table(spark, sf, "pages").select(
+    return read_pages(spark, f"{sf}/pages.parquet").select(
         "page_id", text.clean_description(fragments).alias("description")
     )
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from checkset import sql
 from gleanspark.functions import extract
-from gleanspark.sources.pages import read_table
+from gleanspark.sources.pages import read_pages
 
 TITLE = "(?s)<title>(.*?)</title>"
 H1 = "(?s)<h1>(.*?)</h1>"
@@ -17,7 +17,7 @@ LINK = '<a href="[^"]*">[^<]*</a>'
 
 
 def pages(spark, sf):
-    return read_table(spark, sf, "pages")
+    return read_pages(spark, f"{sf}/pages.parquet")
 
 
 def extract_title(spark, sf):

@@ -16,7 +16,7 @@ from gleanspark.plans import listing, postings
 from gleanspark.plans.search import search_plan as plan_pages
 from gleanspark.schema import POSTING_COLUMNS
 from gleanspark.sources.feeds import NULL_TOKENS, read_tab
-from gleanspark.sources.pages import read_table
+from gleanspark.sources.pages import read_pages
 from gleanspark.streaming.ingest import ingest_to_tab, page_stream
 from gleanspark.workspace import fresh_path
 
@@ -52,7 +52,7 @@ def some(condition, *items):
 
 def feed_a(spark, sf):
     key = F.col("page_id")
-    details = postings.read_details_a(read_table(spark, sf, "pages"), SELECTORS_A)
+    details = postings.read_details_a(read_pages(spark, f"{sf}/pages.parquet"), SELECTORS_A)
     pay = F.concat(F.lit("$"), (key % 90 + 40).cast("string"), F.lit("K/yr"))
     items = F.concat(
         some(key % 3 == 0, F.lit(" "), pay),
@@ -65,7 +65,7 @@ def feed_a(spark, sf):
 
 def details_b(spark, sf):
     key = F.col("page_id")
-    details = postings.read_details_b(read_table(spark, sf, "pages"), SELECTORS_B)
+    details = postings.read_details_b(read_pages(spark, f"{sf}/pages.parquet"), SELECTORS_B)
     pay = F.concat(F.lit("$"), (key % 90 + 40).cast("string"), F.lit(",000"))
     header = F.concat(
         some(key % 4 == 0, F.concat("company", F.lit(" Office"))),
@@ -88,7 +88,7 @@ def companies(spark, sf):
     """One company for each page, its host; those without a secure address are unknown."""
     profile = F.regexp_extract("url", PROFILE, 0)
     return (
-        read_table(spark, sf, "pages")
+        read_pages(spark, f"{sf}/pages.parquet")
         .select(profile.alias("profile_url"))
         .where(F.col("profile_url").startswith("https:"))
         .withColumn("website", F.concat("profile_url", F.lit("/about")))
@@ -112,7 +112,7 @@ CARD_LINK = 'href="(/[^"]{3,})"'
 
 def provider_listing(spark, sf):
     host = F.regexp_extract("url", PROFILE, 0)
-    pages = read_table(spark, sf, "pages").withColumn("host", host)
+    pages = read_pages(spark, f"{sf}/pages.parquet").withColumn("host", host)
     has_next = F.contains(F.col("html"), F.lit("<b>"))
     cards = listing.provider_listing(
         pages, "host", "page_id", has_next, ITEM, CARD_NAME, CARD_LINK
@@ -123,7 +123,7 @@ def provider_listing(spark, sf):
 def listing_links(spark, sf):
     """The last page of a host is the first whose title holds a percent sign."""
     host = F.regexp_extract("url", PROFILE, 0)
-    pages = read_table(spark, sf, "pages").withColumn("host", host)
+    pages = read_pages(spark, f"{sf}/pages.parquet").withColumn("host", host)
     marker = F.col("html").rlike("<title>[^<]*%")
     links = listing.listing_links(pages, "host", "page_id", "<a [^>]*>", marker)
     return links.select("page_id", F.col("pos").cast("bigint"), "link")
@@ -131,7 +131,7 @@ def listing_links(spark, sf):
 
 def company_sites(spark, sf):
     sites = ["<a class=([^>]*)>", '<li><a href="(/[A-Z][^"]*)"', LINK]
-    return postings.company_sites(read_table(spark, sf, "pages"), sites)
+    return postings.company_sites(read_pages(spark, f"{sf}/pages.parquet"), sites)
 
 
 def search_plan(spark, sf):
@@ -140,6 +140,12 @@ def search_plan(spark, sf):
     return pages.select("search_id", F.col("page").cast("bigint"), "page_url", "batch", "slot")
 
 
+def search_plan_fixed(spark, sf):
+    searches = planning.searches(spark, sf).withColumn("n_results", F.col("search_id") % 300)
+    pages = plan_pages(searches, planning.BASE, "n_results", windows=3, paging="fixed")
+    return pages.select("search_id", F.col("page").cast("bigint"), "page_url", "batch", "slot")
+
+
 def stream_ingest(spark, sf):
     def job(pages):
         return pages.select("page_id", clean_html(F.col("html")).alias("text"))
@@ -160,6 +166,7 @@ QUERIES = {
     "listing_links": listing_links,
     "provider_listing": provider_listing,
     "search_plan": search_plan,
+    "search_plan_fixed": search_plan_fixed,
     "stream_ingest": stream_ingest,
 }
 
@@ -297,5 +304,15 @@ ORACLE = {
                page // 4 AS batch, page % 4 AS slot
         FROM planned
     """,
+    "search_plan_fixed": f"""
+        WITH {planning.SEARCHES}, planned AS (
+            SELECT search_id, search_url,
+                   unnest(range(CAST(ceil(search_id % 300 / 25) AS BIGINT))) AS page
+            FROM searches WHERE search_url IS NOT NULL
+        )
+        SELECT search_id, page, search_url || '&start=' || (page * 25) AS page_url,
+               page // 3 AS batch, page % 3 AS slot
+        FROM planned
+    """,
     "stream_ingest": f"SELECT page_id, {sql.clean_html('html')} AS text FROM pages",
 }

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from gleanspark.functions import planning
 from gleanspark.operators import paging
-from gleanspark.sources.pages import read_table
+from gleanspark.sources.pages import read_pages, read_table
 
 BASE = "https://jobs.example.com"
 
@@ -145,10 +145,18 @@ def while_next(spark, sf):
 
 
 def allowed_domains(spark, sf):
-    pages = read_table(spark, sf, "pages").select("page_id", "url")
+    pages = read_pages(spark, f"{sf}/pages.parquet").select("page_id", "url")
     return paging.allowed_domains(pages, "url", ["example.org", "blog.tionsh.example.net"])
 
 
+def in_domain_table(spark, sf):
+    """Pages below the domains of pages without a secure address."""
+    pages = read_pages(spark, f"{sf}/pages.parquet").select("page_id", "url")
+    domain = F.regexp_extract("url", r"^http://[^/?#]*?([^./]+\.[^./]+\.[^./?#]+)(?:[/?#]|$)", 1)
+    domains = pages.select(domain.alias("domain")).where("domain <> ''")
+    return paging.in_domain_table(pages, "url", domains)
+
+
 def assign_batches(spark, sf):
     orders = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     return paging.assign_batches(orders, "o_custkey", "o_orderkey", 3)
@@ -173,6 +181,7 @@ QUERIES = {
     "until_marker": until_marker,
     "while_next": while_next,
     "allowed_domains": allowed_domains,
+    "in_domain_table": in_domain_table,
     "assign_batches": assign_batches,
     "assign_batches_overall": assign_batches_overall,
     "cap_per_search": cap_per_search,
@@ -257,6 +266,18 @@ ORACLE = {
         WHERE host IN ('example.org', 'blog.tionsh.example.net')
            OR host LIKE '%.example.org' OR host LIKE '%.blog.tionsh.example.net'
     """,
+    "in_domain_table": """
+        WITH hosts AS (
+            SELECT page_id, url, string_split(regexp_extract(url, '^[a-z]+://([^/?#:]*)', 1), '.')
+                   AS labels
+            FROM pages
+        ), known AS (
+            SELECT DISTINCT array_to_string(labels[-3:], '.') AS domain FROM hosts
+            WHERE url LIKE 'http://%'
+        )
+        SELECT page_id, url FROM hosts
+        WHERE array_to_string(labels[-3:], '.') IN (SELECT domain FROM known)
+    """,
     "assign_batches": """
         WITH placed AS (
             SELECT o_orderkey, o_custkey,

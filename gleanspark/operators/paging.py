@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanspark.operators.skew import as_list
+from gleanspark.operators.skew import as_list, left_join_unique
 from gleanspark.operators.slices import first_rows, ordinal, until_first, whole_parts
 
 # Page sizes and limits of the two listing sources.
@@ -69,13 +69,17 @@ def while_next(
 
 def allowed_domains(df: DataFrame, url: str, domains: list[str]) -> DataFrame:
     """Rows whose host is a listed domain or lies below one."""
-    host = F.lower(F.try_parse_url(F.col(url), F.lit("HOST")))
+    host = _host(url)
     allowed = F.lit(False)
     for domain in domains:
         allowed = allowed | (host == domain.lower()) | host.endswith("." + domain.lower())
     return df.where(allowed)
 
 
+def _host(url: str) -> Column:
+    return F.lower(F.try_parse_url(F.col(url), F.lit("HOST")))
+
+
 def with_slots(df: DataFrame, pos: str, size: int) -> DataFrame:
     """Add the batch of ``size`` a position falls in, and its slot there."""
     return df.withColumn("batch", whole_parts(F.col(pos), size)).withColumn(
@@ -83,6 +87,31 @@ def with_slots(df: DataFrame, pos: str, size: int) -> DataFrame:
     )
 
 
+def in_domain_table(df: DataFrame, url: str, domains: DataFrame) -> DataFrame:
+    """The same for a table of any size with a column ``domain``.
+
+    Each host is looked up once, by itself and every domain it lies below, so
+    the join is by equality.
+    """
+    rows = df.withColumn("_host", _host(url))
+    labels = F.split("_host", r"\.")
+    above = F.transform(
+        F.sequence(F.lit(1), F.size(labels)),
+        lambda at: F.array_join(F.slice(labels, at, F.size(labels)), "."),
+    )
+    hosts = rows.where(F.col("_host").isNotNull()).select("_host").distinct()
+    listed = domains.select(F.lower("domain").alias("_domain"))
+    allowed = (
+        hosts.select("_host", F.explode(above).alias("_domain"))
+        .join(listed, "_domain", "left_semi")
+        .select("_host")
+        .distinct()
+        .withColumn("_allowed", F.lit(True))
+    )
+    marked = left_join_unique(rows, allowed, "_host")
+    return marked.where(F.col("_allowed")).select(*df.columns)
+
+
 def assign_batches(
     df: DataFrame, keys, order, size: int, along: Column | None = None
 ) -> DataFrame:

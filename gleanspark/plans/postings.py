@@ -15,6 +15,7 @@ from gleanspark.schema import (
     with_feed_headers,
 )
 from gleanspark.sources.feeds import append_tab, drop_header_rows, read_feed, write_feed
+from gleanspark.workspace import settle
 
 
 @dataclass(frozen=True)
@@ -136,8 +137,8 @@ def company_sites(pages: DataFrame, websites: list[str]) -> DataFrame:
 def postings_b(details: DataFrame, companies: DataFrame, search: Search) -> DataFrame:
     """Second source: header, salary line and company table resolved.
 
-    ``companies`` is ``profile_url, website``. The page itself is dropped
-    before the join, so only fields are shuffled.
+    ``companies`` is ``profile_url, website``. Only fields are shuffled for the
+    join, but ``details`` is read twice, the second time for ``company_url``.
     """
     found = details.select(
         "url",
@@ -193,7 +194,9 @@ def feed_a(pages: DataFrame, selectors: SelectorsA, search: Search) -> DataFrame
 def feed_b(
     pages: DataFrame, selectors: SelectorsB, companies: DataFrame, search: Search
 ) -> DataFrame:
-    return postings_b(read_details_b(pages, selectors), companies, search)
+    """The fields are written before the join, so that pages are read once."""
+    details = read_details_b(pages, selectors).drop("html")
+    return postings_b(settle(details, "details"), companies, search)
 
 
 def publish(

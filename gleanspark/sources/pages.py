@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gleanspark.schema import PAGE
+
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -10,7 +12,7 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Captured pages: ``page_id, url, html``."""
-    return spark.read.parquet(path)
+    return spark.read.schema(PAGE).parquet(path)
 
 
 def read_raw_pages(spark: SparkSession, path: str) -> DataFrame:
