@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from gleanspark.operators import combine, containment, facets, paging, skew, slices
@@ -39,6 +40,33 @@ def test_ordinal_of_skewed_groups(spark, skewed):
     assert {(r.key, r.pos): r.at for r in got} == want
 
 
+ORDERS = {
+    "timestamp": ("timestamp_micros(1700000000000000 + pos * 997)", ["o"]),
+    "timestamp_ntz": ("timestamp_ntz'2024-03-30 20:00:00' + make_dt_interval(0, 0, 0, pos)", ["o"]),
+    "date and tie-break": ("date'1999-12-01' + cast(pos div 400 as int)", ["o", "pos"]),
+    "decimal": ("cast(pos as decimal(20, 4)) / 7", ["o"]),
+    "negative": ("-pos", ["o"]),
+    "far apart": ("case when pos % 2 = 0 then pos else pos + 9000000000000000000 end", ["o"]),
+    "all in one place": ("case when pos < 59990 then 5 else pos end", ["o", "pos"]),
+    "some null": ("case when pos % 10 > 0 then pos end", ["o", "pos"]),
+    "all null": ("cast(null as int)", ["o", "pos"]),
+}
+
+
+@pytest.mark.parametrize("kind", ORDERS)
+def test_any_order_equals_a_plain_window(spark, skewed, kind):
+    made, order = ORDERS[kind]
+    df = skewed.withColumn("o", F.expr(made))
+    plain = Window.partitionBy("key").orderBy(*order)
+    so_far = F.max("stop").over(plain.rowsBetween(Window.unboundedPreceding, -1))
+    want = df.withColumn("at", (F.row_number().over(plain) - 1).cast("bigint"))
+    got = slices.ordinal(df, "key", order, "at")
+    assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+    want = df.withColumn("seen", so_far).where("NOT coalesce(seen, false)").drop("seen")
+    got = slices.until_first(df, "key", order, F.col("stop"))
+    assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+
+
 def test_until_first_of_skewed_groups(spark, skewed):
     got = paging.until_marker(skewed, "key", "pos", F.col("stop")).collect()
     want = set()
