@@ -123,11 +123,12 @@ def count_text(spark, sf):
     texts = read_table(spark, sf, "documents").select(
         F.lit("documents").alias("origin"), F.col("doc_id").alias("id"), F.col("text").alias("label")
     )
+    # As text, since nullable whole numbers differ between data frame readers.
     return labels.unionByName(texts).select(
         "origin",
         "id",
-        planning.leading_count(F.col("label")).alias("leading_count"),
-        planning.first_count(F.col("label")).alias("first_count"),
+        planning.leading_count(F.col("label")).cast("string").alias("leading_count"),
+        planning.first_count(F.col("label")).cast("string").alias("first_count"),
     )
 
 
@@ -241,8 +242,8 @@ ORACLE = {
         )
         SELECT origin, id,
                CASE WHEN regexp_matches(lead, '^\s*[+-]?[0-9]+\s*$')
-                    THEN TRY_CAST(trim(lead) AS BIGINT) END AS leading_count,
-               TRY_CAST(first AS BIGINT) AS first_count
+                    THEN CAST(TRY_CAST(trim(lead) AS BIGINT) AS VARCHAR) END AS leading_count,
+               CAST(TRY_CAST(first AS BIGINT) AS VARCHAR) AS first_count
         FROM found
     """,
     "until_marker": """

@@ -10,6 +10,9 @@ NULL_TOKENS = [
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
+# A feed file is read by one task, so it holds no more records than this.
+FILE_RECORDS = 100_000
+
 CSV = {
     "header": True,
     "encoding": "UTF-8",
@@ -36,14 +39,16 @@ def read_feed(
     path: str,
     schema: T.StructType | str | None = None,
     all_string: bool = False,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Read a feed; missing-value texts come back as null.
 
-    Give a schema where it is known: inferring one reads the files twice. A
-    record may span lines, so a single file is read by a single task; write
-    feeds as folders of many files.
+    Give a schema where it is known: inferring one reads the files twice. As a
+    record may span lines, each file is read by one task; ``write_feed`` keeps
+    files small for that. For a large file whose records never span lines, pass
+    ``multi_line=False`` and it is split.
     """
-    reader = spark.read.options(**CSV, multiLine=True)
+    reader = spark.read.options(**CSV, multiLine=multi_line)
     if schema is not None:
         reader = reader.schema(schema)
     else:
@@ -56,7 +61,11 @@ def write_feed(df: DataFrame, path: str, mode: str = "append") -> None:
 
     ``mode="overwrite"`` replaces an earlier feed.
     """
-    df.write.mode(mode).options(**CSV, emptyValue="", nullValue="").csv(path)
+    (
+        df.write.mode(mode)
+        .options(**CSV, emptyValue="", nullValue="", maxRecordsPerFile=FILE_RECORDS)
+        .csv(path)
+    )
 
 
 def drop_header_rows(df: DataFrame) -> DataFrame:
