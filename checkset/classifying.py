@@ -22,7 +22,9 @@ def classify_preferences(spark, sf):
             F.array().cast("array<string>")
         ),
         F.array(mode, F.lit("\n")),
-        F.when(key % 7 != 0, F.array(F.col("o_orderpriority"))).otherwise(F.array(F.lit("€5 bonus"))),
+        F.when(key % 7 != 0, F.array(F.col("o_orderpriority"))).otherwise(
+            F.array(F.lit("€5 bonus"))
+        ),
     )
     kinds = classify.classify_preferences(items)
     return read_table(spark, sf, "orders").select("o_orderkey", kinds.alias("k")).select(
@@ -59,7 +61,9 @@ def normalise_salary(spark, sf):
         F.lit("orders").alias("origin"), key.alias("id"), label.alias("label")
     )
     texts = read_table(spark, sf, "documents").select(
-        F.lit("documents").alias("origin"), F.col("doc_id").alias("id"), F.col("text").alias("label")
+        F.lit("documents").alias("origin"),
+        F.col("doc_id").alias("id"),
+        F.col("text").alias("label"),
     )
     return labels.unionByName(texts).select(
         "origin", "id", classify.normalise_salary(F.col("label")).alias("salary")
@@ -98,7 +102,8 @@ def resolve_location(spark, sf):
 
 
 def facet_filter(spark, sf):
-    orders = read_table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    columns = ["o_orderkey", "o_orderstatus", "o_orderpriority"]
+    orders = read_table(spark, sf, "orders").select(*columns)
     return facets.facet_filter(
         orders,
         {
@@ -116,7 +121,8 @@ def facet_filter_not_offered(spark, sf):
 
 
 def most_recent(spark, sf):
-    orders = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    columns = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"]
+    orders = read_table(spark, sf, "orders").select(*columns)
     return paging.most_recent(orders, "o_orderdate", "o_orderkey", 20).select(
         "o_orderkey", "o_custkey", "o_orderstatus"
     )

@@ -24,7 +24,9 @@ def enrich_company(spark, sf):
     supplier = read_table(spark, sf, "supplier").where("s_acctbal > 5000")
     profile = F.concat(F.lit("https://jobs.example.com/cmp/"), F.col("s_suppkey").cast("string"))
     site = F.concat(F.lit("https://"), F.lower(F.replace("s_name", F.lit("#"), F.lit("-"))))
-    first = supplier.select(profile.alias("profile_url"), F.lit(0).alias("rank"), site.alias("website"))
+    first = supplier.select(
+        profile.alias("profile_url"), F.lit(0).alias("rank"), site.alias("website")
+    )
     second = first.select(
         "profile_url", F.lit(1).alias("rank"), F.concat("website", F.lit("/about")).alias("website")
     )
@@ -84,7 +86,9 @@ def unify_sources(spark, sf):
             "job_opening_link"
         ),
         F.col("s_name").alias("company_name"),
-        F.concat(F.lit("$"), F.col("s_acctbal").cast("decimal(12,2)").cast("string")).alias("salary"),
+        F.concat(F.lit("$"), F.col("s_acctbal").cast("decimal(12,2)").cast("string")).alias(
+            "salary"
+        ),
     )
     rest_a = [c for c in POSTING_COLUMNS if c not in customer.columns][:-4]
     rest_b = [c for c in POSTING_COLUMNS if c not in supplier.columns][:-4]
@@ -173,7 +177,7 @@ ORACLE = {
         SELECT c_mktsegment AS job_title, 'https://jobs.example.com/c/' || c_custkey
                AS job_opening_link, '' AS salary, 'nation ' || c_nationkey AS job_location,
                '' AS publication_date, '' AS remote, '' AS job_type, '' AS job_description,
-               c_name AS company_name, '' AS company_website, '' AS company_linkedin_url,
+               c_name AS company_name, '' AS company_website, '' AS company_profile_url,
                '"Data Scientist"' AS input_keyword, 'New York' AS input_location,
                '2024-01-31' AS search_date, 'Linkedin' AS source
         FROM customer

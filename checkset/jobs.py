@@ -178,7 +178,8 @@ FEED_A = f"""
         SELECT *, {sql.elements("html", ITEM)} AS li FROM pages
     ), listed_a AS (
         SELECT *, list_concat(list_concat(list_concat(
-            CASE WHEN page_id % 3 = 0 THEN [' ', '$' || (page_id % 90 + 40) || 'K/yr'] ELSE {EMPTY} END,
+            CASE WHEN page_id % 3 = 0 THEN [' ', '$' || (page_id % 90 + 40) || 'K/yr']
+                 ELSE {EMPTY} END,
             CASE WHEN page_id % 4 = 1 THEN ['Hybrid'] ELSE {EMPTY} END),
             CASE WHEN page_id % 5 <> 0 THEN [li[1]] ELSE {EMPTY} END),
             CASE WHEN page_id % 6 = 1 THEN ['Remote'] ELSE {EMPTY} END) AS items
@@ -194,7 +195,7 @@ FEED_A = f"""
                remote, job_type, {sql.element("html", PARAGRAPH)} AS job_description,
                {sql.element("html", FOOTER)} AS company_name, '' AS company_website,
                regexp_extract(url, '{PROFILE}')
-               || {sql.entities(f"regexp_extract(html, '{LINK}', 1)")} AS company_linkedin_url,
+               || {sql.entities(f"regexp_extract(html, '{LINK}', 1)")} AS company_profile_url,
                '{KEYWORD}' AS input_keyword, '{PLACE}' AS input_location,
                '{DAY}' AS search_date, 'Linkedin' AS source
         FROM classed_a
@@ -211,7 +212,8 @@ FEED_B = f"""
                '$' || (page_id % 90 + 40) || ',000' AS pay
         FROM pages
     ), headed AS (
-        SELECT page_id, url, profile, title, company, string_split(array_to_string(p, chr(10)), chr(10)) AS l,
+        SELECT page_id, url, profile, title, company,
+               string_split(array_to_string(p, chr(10)), chr(10)) AS l,
                list_concat(list_concat(list_concat(
                    CASE WHEN page_id % 4 = 0 THEN [company || ' Office'] ELSE {EMPTY} END,
                    CASE WHEN page_id % 5 = 0 THEN ['Hybrid work'] ELSE {EMPTY} END),
@@ -230,7 +232,7 @@ FEED_B = f"""
                array_to_string({sql.distinct("l")}, chr(10)) AS job_description,
                company AS company_name,
                CASE WHEN starts_with(profile, 'https:') THEN profile || '/about' ELSE '' END
-               AS company_website, '' AS company_linkedin_url,
+               AS company_website, '' AS company_profile_url,
                '{KEYWORD}' AS input_keyword, '{PLACE}' AS input_location,
                '{DAY}' AS search_date, 'Indeed' AS source
         FROM paid

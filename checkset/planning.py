@@ -121,7 +121,9 @@ def count_text(spark, sf):
         F.lit("orders").alias("origin"), key.alias("id"), label.alias("label")
     )
     texts = read_table(spark, sf, "documents").select(
-        F.lit("documents").alias("origin"), F.col("doc_id").alias("id"), F.col("text").alias("label")
+        F.lit("documents").alias("origin"),
+        F.col("doc_id").alias("id"),
+        F.col("text").alias("label"),
     )
     # As text, since nullable whole numbers differ between data frame readers.
     return labels.unionByName(texts).select(

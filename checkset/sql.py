@@ -1,7 +1,8 @@
 """SQL fragments the twins share."""
 
 SPACES = (
-    r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+    r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 )
 MARKUP = (
     r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script[^>]*>|<style\b[^>]*>.*?</style[^>]*>"

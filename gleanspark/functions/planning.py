@@ -5,6 +5,9 @@ from pyspark.sql import functions as F
 
 # Quoted phrases keep their quotes; a quote inside a word is part of the word.
 TOKEN = r""""[^"]*"|'[^']*'|[^ \t\r\n"'][^ \t\r\n]*"""
+
+# The parts of a search address and the pattern of a result count.
+QUERY, NO_QUERY, LOCATION = "/jobs?q=", "/jobs?q", "&l="
 RESULT_COUNT = r"\d*,?\d+"
 
 
@@ -22,10 +25,10 @@ def split_keywords(col: Column) -> Column:
 def search_url(base: Column, keyword: Column, location: Column) -> Column:
     """Search address; blanks become ``+``, nothing is percent-encoded."""
     tokens = split_keywords(keyword)
-    query = F.when(F.size(tokens) == 0, F.lit("/jobs?q")).otherwise(
-        F.concat(F.lit("/jobs?q="), F.array_join(tokens, "+"))
+    query = F.when(F.size(tokens) == 0, F.lit(NO_QUERY)).otherwise(
+        F.concat(F.lit(QUERY), F.array_join(tokens, "+"))
     )
-    return F.concat(base, query, F.lit("&l="), F.replace(location, F.lit(" "), F.lit("+")))
+    return F.concat(base, query, F.lit(LOCATION), F.replace(location, F.lit(" "), F.lit("+")))
 
 
 def leading_count(col: Column) -> Column:

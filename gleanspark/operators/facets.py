@@ -21,12 +21,10 @@ def facet_filter(df: DataFrame, sections: dict[str, list[str]]) -> DataFrame:
     aggregate over all sections, used as a scalar.
     """
     wanted = {col: F.lower(F.col(col)).isin(targets) for col, targets in sections.items()}
-    offers = df.agg(
-        F.struct(
-            *[F.coalesce(F.max(test), F.lit(False)).alias(f"s{i}") for i, test in enumerate(wanted.values())]
-        )
-    ).scalar()
+    tests = list(enumerate(wanted.values()))
+    offered = [F.coalesce(F.max(test), F.lit(False)).alias(f"s{i}") for i, test in tests]
+    offers = df.agg(F.struct(*offered)).scalar()
     kept = F.lit(True)
-    for i, test in enumerate(wanted.values()):
+    for i, test in tests:
         kept = kept & (~offers.getField(f"s{i}") | test)
     return df.where(kept)

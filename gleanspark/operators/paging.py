@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from gleanspark.operators.skew import as_list, left_join_unique
 from gleanspark.operators.slices import first_rows, ordinal, until_first, whole_parts
 
-# Page sizes and limits of the two listing sources.
+# Page sizes and limits of the two listing sources, offset parameter.
+START = "&start="
 FIXED_STEP = 25
 FIXED_PAGES = 40
 OFFSET_PAGES = 67
@@ -15,7 +16,8 @@ ONE_PAGE_RESULTS = 15
 
 def _pages(limit: int, count: Column) -> Column:
     numbers = F.sequence(F.lit(0), F.lit(limit - 1))
-    return F.slice(numbers, F.lit(1), F.least(F.lit(limit), F.greatest(F.lit(0), count)).cast("int"))
+    planned = F.least(F.lit(limit), F.greatest(F.lit(0), count))
+    return F.slice(numbers, F.lit(1), planned.cast("int"))
 
 
 def page_plan_25(df: DataFrame, results: str, url: str) -> DataFrame:
@@ -28,7 +30,7 @@ def page_plan_25(df: DataFrame, results: str, url: str) -> DataFrame:
     return (
         df.withColumn("page", F.explode(_pages(FIXED_PAGES, needed)))
         .withColumn("start", start)
-        .withColumn("page_url", F.concat(F.col(url), F.lit("&start="), start.cast("string")))
+        .withColumn("page_url", F.concat(F.col(url), F.lit(START), start.cast("string")))
     )
 
 
@@ -46,7 +48,7 @@ def page_plan_10(df: DataFrame, results: str, url: str) -> DataFrame:
     return (
         df.withColumn("page", F.explode(_pages(OFFSET_PAGES, needed)))
         .withColumn("start", start)
-        .withColumn("page_url", F.concat(F.col(url), F.lit("&start="), start))
+        .withColumn("page_url", F.concat(F.col(url), F.lit(START), start))
     )
 
 

@@ -90,7 +90,7 @@ def postings_a(details: DataFrame, search: Search) -> DataFrame:
         F.col("_kinds.job_type").alias("job_type"),
         F.col("description").alias("job_description"),
         F.col("company").alias("company_name"),
-        F.col("company_url").alias("company_linkedin_url"),
+        F.col("company_url").alias("company_profile_url"),
         *_search_columns(search),
     )
     return to_postings(_lineage(rows, SOURCE_A, search, ["company_website"]))
@@ -166,7 +166,7 @@ def postings_b(details: DataFrame, companies: DataFrame, search: Search) -> Data
         "_day",
     )
     return to_postings(
-        _lineage(rows, SOURCE_B, search, ["publication_date", "company_linkedin_url"])
+        _lineage(rows, SOURCE_B, search, ["publication_date", "company_profile_url"])
     )
 
 

@@ -16,7 +16,7 @@ POSTING_COLUMNS = {
     "job_description": "Job description",
     "company_name": "Company name",
     "company_website": "Company website",
-    "company_linkedin_url": "Company linkedin url",
+    "company_profile_url": "Company linkedin url",
     "input_keyword": "Input_Keyword",
     "input_location": "Input_Location",
     "search_date": "Search date",
