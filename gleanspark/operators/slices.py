@@ -2,13 +2,18 @@
 
 A window over a whole group is one task, however many rows the group has.
 Here a group that would fill more than an average shuffle partition is cut into
-slices along its order, in proportion to its size. What one slice must know of
-the earlier ones is a sum or a flag; it is aggregated per slice, and as there are
-only a few slices per partition it is joined by broadcast, before the shuffle.
-The rows are shuffled once, on group and slice, and windowed there. All other
-groups are one slice, and cost a count of their keys more than a plain window.
+slices along its order, in proportion to its size; a slice that is still too
+large, as rows may crowd in one place, is cut once more. What one slice must
+know of the earlier ones is a sum or a flag; it is aggregated per slice, and as
+there are only a few slices per partition it is joined by broadcast, before the
+shuffle. The rows are shuffled once, on group and slice, and windowed there. All
+other groups are one slice, and cost a count of their keys more than a plain
+window.
 """
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,8 +24,7 @@ from gleanspark.operators.skew import as_list, hot_groups, row_count, shuffle_pa
 # uneven size still mix well.
 SLICES_PER_PART = 4
 
-SLICE = "_slice"
-_ALONG = "_along"
+SLICES = ["_slice", "_subslice"]
 
 
 def whole_parts(col: Column, size: int) -> Column:
@@ -28,71 +32,130 @@ def whole_parts(col: Column, size: int) -> Column:
     return F.call_function("div", col, F.lit(size))
 
 
-def order_number(df: DataFrame, order: list[str], along: Column | None) -> Column:
-    """A number that rises with the order, to cut slices of equal width."""
-    if along is not None:
-        return along.cast("double")
-    first = F.col(order[0])
-    dtype = df.schema[order[0]].dataType
+@dataclass
+class Cut:
+    """Rows with their group and slice columns; ``hot`` has those of cut groups only."""
+
+    rows: DataFrame
+    hot: DataFrame
+    group: list[str]
+
+    @property
+    def cells(self) -> list[str]:
+        return [*self.group, *SLICES]
+
+    def earlier(self):
+        """The slices of a group before a slice."""
+        window = Window.partitionBy(*self.group).orderBy(*SLICES)
+        return window.rowsBetween(Window.unboundedPreceding, -1)
+
+    def starts(self) -> DataFrame:
+        """How many rows of its group lie before each slice; ``_size`` lie in it."""
+        sizes = self.hot.groupBy(*self.cells).agg(F.count(F.lit(1)).alias("_size"))
+        before = F.coalesce(F.sum("_size").over(self.earlier()), F.lit(0))
+        return sizes.withColumn("_start", before)
+
+
+def _number(df: DataFrame, name: str) -> Column | None:
+    """A number that rises with the column, if its type has one."""
+    col, dtype = F.col(name), df.schema[name].dataType
     if isinstance(dtype, T.IntegralType | T.DecimalType):
-        return first.cast("double")
+        return col.cast("double")
     if isinstance(dtype, T.DateType):
-        return F.unix_date(first).cast("double")
+        return F.unix_date(col).cast("double")
     if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(first).cast("double")
+        return F.unix_micros(col).cast("double")
     if isinstance(dtype, T.TimestampNTZType):
         # By its fields, as the session time zone may skip an hour.
-        seconds = F.hour(first) * 3600 + F.minute(first) * 60 + F.second(first)
-        return (F.unix_date(F.to_date(first)) * F.lit(86400.0) + seconds).cast("double")
-    raise ValueError(f"cannot cut slices by {order[0]}: pass along, a number rising with the order")
+        seconds = F.hour(col) * 3600 + F.minute(col) * 60 + F.second(col)
+        return (F.unix_date(F.to_date(col)) * F.lit(86400.0) + seconds).cast("double")
+    return None
 
 
-def cut(df: DataFrame, keys: list[str], order: list[str], along: Column | None):
+def _order_numbers(df: DataFrame, order: list[str], along: Column | None) -> list:
+    """Pairs of an exact value and a number to cut by, for the leading order columns."""
+    if along is not None:
+        return [(along, along.cast("double"))]
+    found = []
+    for name in order:
+        number = _number(df, name)
+        if number is None:
+            break
+        found.append((F.col(name), number))
+    if not found:
+        raise ValueError(f"cannot cut slices by {order[0]}: pass along, a number rising with it")
+    return found
+
+
+def cut(df: DataFrame, keys: list[str], order: list[str], along: Column | None) -> Cut:
     """Give each row its group and slice.
 
-    Returns the frame, the group columns and the rows of cut groups only. Slices
-    rise with the order; a null order lies in the lowest. Without keys the whole
-    table is one group.
+    Slices rise with the order; a null order lies in the lowest. Without keys
+    the whole table is one group.
     """
-    rows = df.withColumn(_ALONG, order_number(df, order, along))
-    low, high = F.min(_ALONG).alias("_low"), F.max(_ALONG).alias("_high")
-    parts = shuffle_parts(df)
-    if not keys:
-        ends = rows.agg(F.struct(low, high)).scalar()
-        sliced = rows.withColumn(
-            SLICE,
-            _slice_number(ends.getField("_low"), ends.getField("_high"), parts * SLICES_PER_PART),
-        ).drop(_ALONG)
-        return sliced, [], sliced
-
-    rows, group = with_group(rows, keys)
-    counts = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows"), low, high)
-    hot = hot_groups(counts, row_count(df), parts).select(
-        *group, "_low", "_high", F.ceil(F.col("_share") * SLICES_PER_PART).alias("_cuts")
-    )
-    sliced = rows.join(hot, group, "left").withColumn(
-        SLICE, _slice_number(F.col("_low"), F.col("_high"), F.col("_cuts"))
-    )
-    hot_rows = sliced.where(F.col("_cuts").isNotNull())
-    return sliced.drop(_ALONG, "_low", "_high", "_cuts"), group, hot_rows
-
-
-def _slice_number(low: Column, high: Column, cuts) -> Column:
-    cuts = cuts if isinstance(cuts, Column) else F.lit(cuts)
-    number = F.floor((F.col(_ALONG) - low) / (high - low) * cuts)
-    inside = F.when(high > low, F.coalesce(number, F.lit(-1)))
-    return F.coalesce(inside, F.lit(0)).cast("bigint")
-
-
-def _earlier(group: list[str]):
-    return Window.partitionBy(*group).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-
-
-def _starts(hot_rows: DataFrame, group: list[str]) -> DataFrame:
-    """How many rows of its group lie before each slice; ``_size`` lie in it."""
-    sizes = hot_rows.groupBy(*group, SLICE).agg(F.count(F.lit(1)).alias("_size"))
-    before = F.coalesce(F.sum("_size").over(_earlier(group)), F.lit(0))
-    return sizes.withColumn("_start", before)
+    numbers = _order_numbers(df, order, along)
+    rows, group = with_group(df, keys) if keys else (df, [])
+    for i, (exact, number) in enumerate(numbers):
+        rows = rows.withColumn(f"_exact{i}", exact).withColumn(f"_n{i}", number)
+    total, parts = row_count(df), shuffle_parts(df)
+    levels = len(numbers)
+
+    if keys:
+        hot = _hot_bounds(rows, group, levels, total, parts)
+        rows = rows.join(hot, group, "left")
+        rows = rows.withColumn(SLICES[0], _slice(levels, F.col, F.col("_cuts")))
+        rows = rows.withColumn("_hot", F.col("_cuts").isNotNull()).drop(*hot.columns[len(group) :])
+    else:
+        ends = rows.agg(F.struct(*_bounds(levels))).scalar()
+        cuts = F.lit(parts * SLICES_PER_PART)
+        rows = rows.withColumn(SLICES[0], _slice(levels, ends.getField, cuts))
+        rows = rows.withColumn("_hot", F.lit(True))
+
+    cells = [*group, SLICES[0]]
+    crowded = _hot_bounds(rows.where("_hot"), cells, levels, total, parts)
+    rows = rows.join(crowded, cells, "left")
+    rows = rows.withColumn(SLICES[1], _slice(levels, F.col, F.col("_cuts")))
+    rows = rows.drop(*crowded.columns[len(cells) :])
+    for i in range(levels):
+        rows = rows.drop(f"_exact{i}", f"_n{i}")
+    return Cut(rows.drop("_hot"), rows.where("_hot"), group)
+
+
+def _bounds(levels: int) -> list[Column]:
+    bounds = []
+    for i in range(levels):
+        low, high, filled = F.min(f"_exact{i}"), F.max(f"_exact{i}"), F.count(f"_exact{i}")
+        same = (filled == 0) | ((filled == F.count(F.lit(1))) & (low == high))
+        bounds += [
+            F.min(f"_n{i}").alias(f"_low{i}"),
+            F.max(f"_n{i}").alias(f"_high{i}"),
+            same.alias(f"_same{i}"),
+        ]
+    return bounds
+
+
+def _hot_bounds(
+    rows: DataFrame, group: list[str], levels: int, total: Column, parts: int
+) -> DataFrame:
+    """The groups to cut, where their order begins and ends, and in how many."""
+    counts = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows"), *_bounds(levels))
+    hot = hot_groups(counts, total, parts)
+    cuts = F.ceil(F.col("_share") * SLICES_PER_PART)
+    return hot.withColumn("_cuts", cuts).drop("_rows", "_share")
+
+
+def _slice(levels: int, bound: Callable[[str], Column], cuts: Column) -> Column:
+    """Equal widths of the first order column that is not the same in all rows."""
+    number = F.lit(0)
+    for i in reversed(range(levels)):
+        here, low, high = F.col(f"_n{i}"), bound(f"_low{i}"), bound(f"_high{i}")
+        width = F.floor((here - low) / (high - low) * cuts)
+        number = (
+            F.when(high > low, F.coalesce(width, F.lit(-1)))
+            .when(bound(f"_same{i}"), number)
+            .otherwise(F.when(here.isNull(), F.lit(-1)).otherwise(F.lit(0)))
+        )
+    return F.coalesce(F.when(cuts.isNotNull(), number), F.lit(0)).cast("bigint")
 
 
 def ordinal(
@@ -104,14 +167,13 @@ def ordinal(
     with it, needed if the first order column is no whole number or time.
     """
     keys, order = as_list(keys), as_list(order)
-    sliced, group, hot_rows = cut(df, keys, order, along)
-    cells = [*group, SLICE]
-    starts = F.broadcast(_starts(hot_rows, group).drop("_size"))
-    inside = F.row_number().over(Window.partitionBy(*cells).orderBy(*order))
+    part = cut(df, keys, order, along)
+    starts = F.broadcast(part.starts().drop("_size"))
+    inside = F.row_number().over(Window.partitionBy(*part.cells).orderBy(*order))
     return (
-        sliced.join(starts, cells, "left")
+        part.rows.join(starts, part.cells, "left")
         .withColumn(name, F.coalesce("_start", F.lit(0)) + inside - 1)
-        .drop(*cells, "_start")
+        .drop(*part.cells, "_start")
     )
 
 
@@ -124,18 +186,17 @@ def first_rows(
     most ``limit`` rows of a slice.
     """
     keys, order = as_list(keys), as_list(order)
-    sliced, group, hot_rows = cut(df, keys, order, along)
-    cells = [*group, SLICE]
-    starts = F.broadcast(_starts(hot_rows, group).drop("_size"))
+    part = cut(df, keys, order, along)
+    starts = F.broadcast(part.starts().drop("_size"))
     start = F.coalesce("_start", F.lit(0))
-    inside = F.row_number().over(Window.partitionBy(*cells).orderBy(*order))
+    inside = F.row_number().over(Window.partitionBy(*part.cells).orderBy(*order))
     return (
-        sliced.join(starts, cells, "left")
+        part.rows.join(starts, part.cells, "left")
         .where(start < limit)
         .withColumn("_inside", inside)
         .where(F.col("_inside") <= limit)
         .where(start + F.col("_inside") <= limit)
-        .drop(*cells, "_start", "_inside")
+        .drop(*part.cells, "_start", "_inside")
     )
 
 
@@ -149,19 +210,21 @@ def until_first(
     are costly.
     """
     keys, order = as_list(keys), as_list(order)
-    sliced, group, hot_rows = cut(df.withColumn("_stop", stop), keys, order, along)
-    cells = [*group, SLICE]
-    stops = hot_rows.groupBy(*cells).agg(F.coalesce(F.max("_stop"), F.lit(False)).alias("_stops"))
+    part = cut(df.withColumn("_stop", stop), keys, order, along)
+    stops = part.hot.groupBy(*part.cells).agg(
+        F.coalesce(F.max("_stop"), F.lit(False)).alias("_stops")
+    )
     reached = F.broadcast(
-        stops.select(*cells, F.max("_stops").over(_earlier(group)).alias("_reached"))
+        stops.select(*part.cells, F.max("_stops").over(part.earlier()).alias("_reached"))
     )
-    before = Window.partitionBy(*cells).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*part.cells).orderBy(*order)
+    seen = F.max("_stop").over(inside.rowsBetween(Window.unboundedPreceding, -1))
     return (
-        sliced.join(reached, cells, "left")
+        part.rows.join(reached, part.cells, "left")
         .where(~F.coalesce("_reached", F.lit(False)))
-        .withColumn("_seen", F.max("_stop").over(before))
+        .withColumn("_seen", seen)
         .where(~F.coalesce("_seen", F.lit(False)))
-        .drop(*cells, "_stop", "_reached", "_seen")
+        .drop(*part.cells, "_stop", "_reached", "_seen")
     )
 
 
@@ -172,14 +235,14 @@ def after_first(df: DataFrame, n: Column, order, along: Column | None = None) ->
     scanned and filtered, never shuffled. ``order`` must be unique.
     """
     order = as_list(order)
-    sliced, group, hot_rows = cut(df, [], order, along)
-    ends = _starts(hot_rows, group)
-    edge = ends.where((F.col("_start") <= n) & (F.col("_start") + F.col("_size") > n))
+    part = cut(df, [], order, along)
+    starts = part.starts()
+    edge = starts.where((F.col("_start") <= n) & (F.col("_start") + F.col("_size") > n))
     skip = edge.select(n - F.col("_start")).scalar()
 
-    inside = F.row_number().over(Window.partitionBy(SLICE).orderBy(*order))
+    inside = F.row_number().over(Window.partitionBy(*SLICES).orderBy(*order))
     first_kept = (
-        sliced.where(F.col(SLICE) == edge.select(SLICE).scalar())
+        part.rows.where(F.struct(*SLICES) == edge.select(F.struct(*SLICES)).scalar())
         .select(F.struct(*order).alias("_place"), inside.alias("_inside"))
         .where(F.col("_inside") == skip + 1)
         .select("_place")

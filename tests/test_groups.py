@@ -20,10 +20,10 @@ def skewed(spark):
         .when(F.col("id") % 50 == 1, F.lit(None))
         .otherwise(F.concat(F.lit("k"), (F.xxhash64("id") % 500).cast("string")))
     )
-    df = spark.range(0, ROWS, 1, 6).select(
-        key.alias("key"), F.col("id").alias("pos"), (F.xxhash64("id", F.lit(1)) % 997 == 0).alias("stop")
+    stop = F.xxhash64("id", F.lit(1)) % 997 == 0
+    return spark.range(0, ROWS, 1, 6).select(
+        key.alias("key"), F.col("id").alias("pos"), stop.alias("stop")
     )
-    return df
 
 
 def brute(df):
@@ -149,7 +149,11 @@ def test_hot_rows_are_divided(spark, skewed):
     try:
         joined = skew.left_join_unique(skewed, lookup, "key", "pos")
         placed = slices.ordinal(skewed, "key", "pos", "at")
-        for df in (joined, placed):
+        crowded = [
+            slices.ordinal(skewed.withColumn("o", F.expr(made)), "key", ["o", "pos"], "at")
+            for made in ("if(pos < 50000, pos, pos * 1000000)", "if(pos < 50000, 7, pos)", "7")
+        ]
+        for df in (joined, placed, *crowded):
             here = F.spark_partition_id().alias("p")
             sizes = df.groupBy(here).agg(F.count(F.lit(1)).alias("n"), F.max(df.columns[-1]))
             sizes = [r.n for r in sizes.collect()]
