@@ -11,12 +11,14 @@ are exact.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanspark.operators.skew import as_list, left_join_unique, with_group
+from gleanspark.operators.skew import as_list, left_join_unique, shuffle_parts, with_group
+from gleanspark.workspace import settle
 
 OPENINGS = [1, 2, 4, 8, 16]
 
-# What a group may hold to be compared in one array.
-ARRAY_ITEMS = 200
+# What a group may hold to be compared in one array; up to there that is the
+# quicker way as well.
+ARRAY_ITEMS = 2_000
 ARRAY_CHARS = 4_000_000
 
 
@@ -25,28 +27,32 @@ def remove_contained_rows(
 ) -> DataFrame:
     """Drop the rows whose item is part of a different item of their group.
 
-    Equal items stay, as do rows without an item.
+    Equal items stay, as do rows without an item. Small groups are shuffled
+    once, to join their size, and compared where they are then. The rows of large
+    groups are written first, if there are any, as they are read several times.
     """
     grouped, group = with_group(df, as_list(keys))
-    copies = grouped.groupBy(*group, item).agg(F.count(F.lit(1)).alias("_rows"))
-    items = copies.where(F.col(item).isNotNull()).select(*group, item)
-    sizes = items.groupBy(*group).agg(
+    length = F.length(item)
+    sizes = grouped.groupBy(*group).agg(
         F.count(F.lit(1)).alias("_rows"),
-        F.sum(F.length(item)).alias("_chars"),
+        F.coalesce(F.sum(length), F.lit(0)).alias("_chars"),
         # The sizes are powers of two, so together they are a set of bits.
-        F.bit_or(_opening(F.length(item))).alias("_openings"),
+        F.bit_or(_opening(length)).alias("_openings"),
     )
     fits = (F.col("_rows") <= array_items) & (F.col("_chars") <= ARRAY_CHARS)
+    sizes = sizes.withColumn("_fits", fits)
     sized = left_join_unique(
-        items, sizes.select(*group, fits.alias("_fits"), "_openings"), group, item, counts=sizes
+        grouped,
+        sizes.select(*group, "_fits", "_openings"),
+        group,
+        counts=sizes.where("NOT _fits").select(*group, "_rows"),
+        keep_part=True,
     )
-    small = sized.where("_fits").select(*group, item)
-    large = sized.where("NOT _fits").drop("_fits")
-    contained = _in_arrays(small, group, item).unionByName(_by_openings(large, group, item))
-    marked = left_join_unique(
-        grouped, contained.withColumn("_contained", F.lit(True)), [*group, item], counts=copies
-    )
-    return marked.where(F.col("_contained").isNull()).select(*df.columns)
+    small = _keep_in_arrays(sized.where("_fits"), [*group, "_part"], df.columns, item)
+    large = settle(sized.where("NOT _fits").drop("_part"), "large")
+    if large.isEmpty():
+        return small
+    return small.unionByName(_keep_by_openings(large, group, item).select(*df.columns))
 
 
 def _opening(length: Column) -> Column:
@@ -56,14 +62,31 @@ def _opening(length: Column) -> Column:
     return size
 
 
-def _in_arrays(items: DataFrame, group: list[str], item: str) -> DataFrame:
-    def contained(everything: Column) -> Column:
-        return F.filter(
-            everything, lambda x: F.exists(everything, lambda y: (x != y) & F.contains(y, x))
+def _keep_in_arrays(
+    rows: DataFrame, group: list[str], columns: list[str], item: str
+) -> DataFrame:
+    def contained(row: Column) -> Column:
+        inside = F.exists(
+            "_rows", lambda other: (other[item] != row[item]) & F.contains(other[item], row[item])
         )
+        # Rows without an item leave it open whether one holds this.
+        return F.coalesce(inside, F.lit(False))
+
+    lists = rows.groupBy(*group).agg(F.collect_list(F.struct(*columns)).alias("_rows"))
+    kept = F.filter("_rows", lambda row: ~contained(row))
+    return lists.select(F.inline(kept))
 
-    lists = items.groupBy(*group).agg(F.collect_list(item).alias("_items"))
-    return lists.select(*group, F.explode(contained(F.col("_items"))).alias(item))
+
+def _keep_by_openings(rows: DataFrame, group: list[str], item: str) -> DataFrame:
+    copies = rows.groupBy(*group, item).agg(
+        F.count(F.lit(1)).alias("_rows"), F.first("_openings").alias("_openings")
+    )
+    items = copies.where(F.col(item).isNotNull()).drop("_rows")
+    contained = _by_openings(items, group, item).withColumn("_contained", F.lit(True))
+    marked = left_join_unique(
+        rows, contained, [*group, item], counts=copies.drop("_openings")
+    )
+    return marked.where(F.col("_contained").isNull())
 
 
 def _by_openings(items: DataFrame, group: list[str], item: str) -> DataFrame:
@@ -94,7 +117,9 @@ def _by_openings(items: DataFrame, group: list[str], item: str) -> DataFrame:
             ),
         ),
     )
-    probes = filled.select(*group, "_id", "_length", F.inline(F.flatten(places)))
+    # The texts are small next to the rows they become: keep them in many parts.
+    spread = filled.repartition(shuffle_parts(items), "_id")
+    probes = spread.select(*group, "_id", "_length", F.inline(F.flatten(places)))
     inside = (F.col("_cut") < length) & (F.col("_at") + F.col("_cut") - 1 <= length)
     hits = probes.join(needles, [*group, "_gram"]).where(inside)
     pieces = (

@@ -57,7 +57,12 @@ def row_count(df: DataFrame) -> Column:
 
 
 def left_join_unique(
-    df: DataFrame, lookup: DataFrame, keys, spread=None, counts: DataFrame | None = None
+    df: DataFrame,
+    lookup: DataFrame,
+    keys,
+    spread=None,
+    counts: DataFrame | None = None,
+    keep_part: bool = False,
 ) -> DataFrame:
     """``df`` left join ``lookup`` on ``keys``, ``lookup`` having each key once.
 
@@ -66,7 +71,9 @@ def left_join_unique(
     rows as there are partitions. The part comes from a hash of the ``spread``
     columns or, without any, from the input partition, which also divides rows
     that are copies. Null keys match nothing and are divided in the same way.
-    ``counts`` (keys and ``_rows``) saves counting the keys of ``df``.
+    ``counts`` (keys and ``_rows``) are the keys that may be divided, if not all
+    of ``df``. ``keep_part`` leaves the ``_part`` column, 0 in undivided keys:
+    the result is partitioned by keys and part.
     """
     keys = as_list(keys)
     parts = shuffle_parts(df)
@@ -90,4 +97,5 @@ def left_join_unique(
     repeated = (
         lookup.join(hot, keys, "left").withColumn("_part", F.explode(numbers)).drop("_parts")
     )
-    return salted.join(repeated, [*keys, "_part"], "left").drop("_part")
+    joined = salted.join(repeated, [*keys, "_part"], "left")
+    return joined if keep_part else joined.drop("_part")
