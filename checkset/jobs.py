@@ -14,8 +14,8 @@ from checkset.extracting import BOLD, H1, H2, ITEM
 from gleanspark.functions.text import clean_html
 from gleanspark.plans import listing, postings
 from gleanspark.plans.search import search_plan as plan_pages
-from gleanspark.schema import POSTING_COLUMNS
-from gleanspark.sources.feeds import NULL_TOKENS, read_tab
+from gleanspark.schema import POSTING_COLUMNS, PROVIDER_FEED
+from gleanspark.sources.feeds import NULL_TOKENS, read_feed, read_tab, write_feed
 from gleanspark.sources.pages import read_pages
 from gleanspark.streaming.ingest import ingest_to_tab, page_stream
 from gleanspark.workspace import fresh_path
@@ -120,6 +120,16 @@ def provider_listing(spark, sf):
     return cards.withColumn("pos", F.col("pos").cast("bigint")).drop("host")
 
 
+def remaining_profiles(spark, sf):
+    """What is left of the providers once the pages of one domain ending are done."""
+    path = fresh_path(spark, "providers")
+    write_feed(listing.provider_feed(provider_listing(spark, sf)), path)
+    providers = read_feed(spark, path, PROVIDER_FEED)
+    done = providers.where(F.col("Provider profile").contains(".example.com/"))
+    left = listing.remaining_profiles(providers, done)
+    return left.withColumnRenamed("Provider profile", "provider_profile")
+
+
 def listing_links(spark, sf):
     """The last page of a host is the first whose title holds a percent sign."""
     host = F.regexp_extract("url", PROFILE, 0)
@@ -165,6 +175,7 @@ QUERIES = {
     "company_sites": company_sites,
     "listing_links": listing_links,
     "provider_listing": provider_listing,
+    "remaining_profiles": remaining_profiles,
     "search_plan": search_plan,
     "search_plan_fixed": search_plan_fixed,
     "stream_ingest": stream_ingest,
@@ -318,3 +329,13 @@ ORACLE = {
     """,
     "stream_ingest": f"SELECT page_id, {sql.clean_html('html')} AS text FROM pages",
 }
+
+ORACLE["remaining_profiles"] = f"""
+    WITH providers AS ({ORACLE["provider_listing"]}), feed AS (
+        SELECT CASE WHEN provider_profile NOT IN ({TOKENS}) THEN provider_profile END
+               AS provider_profile
+        FROM providers
+    )
+    SELECT provider_profile FROM feed
+    WHERE provider_profile IS NULL OR provider_profile NOT LIKE '%.example.com/%'
+"""

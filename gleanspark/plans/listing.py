@@ -4,9 +4,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanspark.functions import extract
+from gleanspark.operators.combine import resume_anti, work_list
 from gleanspark.operators.paging import until_marker
 from gleanspark.operators.skew import as_list
 from gleanspark.schema import NOT_AVAILABLE, PROVIDER_COLUMNS, with_feed_headers
+from gleanspark.sources.feeds import drop_header_rows
 from gleanspark.workspace import settle
 
 
@@ -93,3 +95,9 @@ def provider_listing(
 
 def provider_feed(listing: DataFrame) -> DataFrame:
     return with_feed_headers(listing.select(*PROVIDER_COLUMNS), PROVIDER_COLUMNS)
+
+
+def remaining_profiles(providers: DataFrame, done: DataFrame) -> DataFrame:
+    """Profiles of a provider feed still to visit: those not in the ``done`` feed."""
+    profile = PROVIDER_COLUMNS["provider_profile"]
+    return resume_anti(work_list(drop_header_rows(providers), profile), done, profile)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gleanspark.functions import classify, extract, text
 from gleanspark.operators.combine import enrich_company, unify, with_lineage
 from gleanspark.schema import (
-    POSTING_COLUMNS,
+    POSTING_FEED,
     SOURCE_A,
     SOURCE_B,
     to_postings,
@@ -207,7 +207,6 @@ def publish(
     Returns what was appended, under the feed headers.
     """
     write_feed(with_feed_headers(unify(feeds)), feed_path, mode="overwrite")
-    headers = ", ".join(f"`{name}` string" for name in POSTING_COLUMNS.values())
-    delivered = drop_header_rows(read_feed(spark, feed_path, headers))
+    delivered = drop_header_rows(read_feed(spark, feed_path, POSTING_FEED))
     append_tab(delivered, dest, tab, batch)
     return delivered

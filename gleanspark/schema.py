@@ -41,8 +41,18 @@ def text_schema(names) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType(), True) for name in names])
 
 
-POSTING = text_schema(POSTING_COLUMNS)
-PROVIDER = text_schema(PROVIDER_COLUMNS)
+# Feeds are read as text, under their headers.
+POSTING_FEED = text_schema(POSTING_COLUMNS.values())
+PROVIDER_FEED = text_schema(PROVIDER_COLUMNS.values())
+
+SEARCH = T.StructType(
+    [
+        T.StructField("search_id", T.LongType()),
+        T.StructField("source", T.StringType()),
+        T.StructField("keyword", T.StringType()),
+        T.StructField("location", T.StringType()),
+    ]
+)
 PAGE = T.StructType(
     [
         T.StructField("page_id", T.LongType()),

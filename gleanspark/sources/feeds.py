@@ -71,7 +71,8 @@ def write_feed(df: DataFrame, path: str, mode: str = "append") -> None:
 def drop_header_rows(df: DataFrame) -> DataFrame:
     """Drop rows that repeat the header: their first column holds its own name.
 
-    Rows with a null first column stay.
+    Rows with a null first column stay. Read the feed as text: a header does
+    not show in a column of numbers.
     """
     first = df.columns[0]
     return df.where(~F.col(first).cast("string").eqNullSafe(F.lit(first)))

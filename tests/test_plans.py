@@ -13,7 +13,7 @@ from tests.helpers import plan
 # Run a job while they are built, so they are covered by the other tests.
 EAGER = {
     "csv_roundtrip", "csv_roundtrip_text", "csv_roundtrip_strings", "overwrite_feed", "append_tab",
-    "unified_feed", "stream_ingest",
+    "unified_feed", "stream_ingest", "remaining_profiles",
 }
 
 
