@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanspark.operators.skew import as_list, left_join_unique
+from gleanspark.operators.skew import as_list, look_up
 from gleanspark.operators.slices import after_first, ordinal
 from gleanspark.schema import POSTING_COLUMNS
 
@@ -35,7 +35,7 @@ def enrich_company(
     by the ``spread`` columns if given.
     """
     sites = lookup_first(companies.where(F.col(key) != ""), key, order, ["website"])
-    joined = left_join_unique(postings, sites, key, spread)
+    joined = look_up(postings, sites, key, spread)
     return joined.withColumn("website", F.coalesce("website", F.lit("")))
 
 
@@ -119,4 +119,4 @@ def resume_anti(todo: DataFrame, done: DataFrame, keys) -> DataFrame:
     """Rows of ``todo`` whose key is not in ``done``; a null key is never done."""
     keys = as_list(keys)
     finished = done.select(*keys).distinct().withColumn("_done", F.lit(True))
-    return left_join_unique(todo, finished, keys).where(F.col("_done").isNull()).drop("_done")
+    return look_up(todo, finished, keys).where(F.col("_done").isNull()).drop("_done")

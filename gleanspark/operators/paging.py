@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanspark.operators.skew import as_list, left_join_unique
+from gleanspark.operators.skew import as_list, look_up
 from gleanspark.operators.slices import first_rows, ordinal, until_first, whole_parts
 
 # Page sizes and limits of the two listing sources, offset parameter.
@@ -110,7 +110,7 @@ def in_domain_table(df: DataFrame, url: str, domains: DataFrame) -> DataFrame:
         .distinct()
         .withColumn("_allowed", F.lit(True))
     )
-    marked = left_join_unique(rows, allowed, "_host")
+    marked = look_up(rows, allowed, "_host")
     return marked.where(F.col("_allowed")).select(*df.columns)
 
 

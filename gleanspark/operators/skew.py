@@ -1,9 +1,15 @@
-"""Groups that hold more rows than a task should get."""
+"""Groups that hold more rows than a task should get, and look-ups into tables."""
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gleanspark.workspace import settle
+
+
+# A look-up table is broadcast if its values take no more than this.
+BROADCAST_BYTES = 32 * 1024 * 1024
+
 
 def as_list(names) -> list[str]:
     return [names] if isinstance(names, str) else list(names)
@@ -56,6 +62,26 @@ def row_count(df: DataFrame) -> Column:
     return df.agg(F.count(F.lit(1))).scalar()
 
 
+def is_small(df: DataFrame) -> bool:
+    """Whether the table may be broadcast: its values are measured, not estimated."""
+    size = F.lit(0)
+    for name in df.columns:
+        size = size + F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0)) + 16
+    return (df.agg(F.sum(size)).first()[0] or 0) <= BROADCAST_BYTES
+
+
+def look_up(df: DataFrame, lookup: DataFrame, keys, spread=None) -> DataFrame:
+    """``df`` left join ``lookup`` on ``keys``, ``lookup`` having each key once.
+
+    The look-up table is written and measured. A small one is broadcast, and
+    ``df`` is not shuffled at all; any other goes through ``left_join_unique``.
+    """
+    lookup = settle(lookup, "lookup")
+    if is_small(lookup):
+        return df.join(F.broadcast(lookup), as_list(keys), "left")
+    return left_join_unique(df, lookup, keys, spread)
+
+
 def left_join_unique(
     df: DataFrame,
     lookup: DataFrame,

@@ -114,21 +114,36 @@ def test_resume_skip(spark, skewed, done):
     assert sorted(r.pos for r in got.collect()) == list(range(done, ROWS))
 
 
-def test_skip_and_anti_agree_on_a_prefix(spark, skewed):
+def test_skip_and_anti_agree_on_a_prefix(spark, skewed, look_up_size):
     todo, done = skewed.select("pos"), skewed.where("pos < 20000").select("pos")
     skip = combine.resume_skip(todo, done, "pos").collect()
     anti = combine.resume_anti(todo, done, "pos").collect()
     assert sorted(skip) == sorted(anti)
 
 
-def test_resume_anti_with_copies_and_nulls(spark):
+@pytest.fixture(params=["small", "large"])
+def look_up_size(request, monkeypatch):
+    if request.param == "large":
+        monkeypatch.setattr(skew, "BROADCAST_BYTES", -1)
+
+
+def test_is_small_measures_the_values(spark, monkeypatch):
+    df = spark.createDataFrame([("x" * 50, None), ("é" * 10, 7)], "a string, b int")
+    size = 50 + 20 + 1 + 4 * 16
+    for limit, small in ((size, True), (size - 1, False)):
+        monkeypatch.setattr(skew, "BROADCAST_BYTES", limit)
+        assert skew.is_small(df) is small
+    assert skew.is_small(df.limit(0))
+
+
+def test_resume_anti_with_copies_and_nulls(spark, look_up_size):
     todo = spark.createDataFrame([("a",)] * 400 + [("b",), (None,)], "k string")
     done = spark.createDataFrame([("b",), ("b",), (None,)], "k string")
     got = combine.resume_anti(todo, done, "k").collect()
     assert sorted([r.k or "" for r in got]) == [""] + ["a"] * 400
 
 
-def test_enrich_keeps_every_posting(spark, skewed):
+def test_enrich_keeps_every_posting(spark, skewed, look_up_size):
     postings = skewed.select(F.col("key").alias("profile_url"), "pos")
     companies = spark.createDataFrame(
         [("hot", 2, "late"), ("hot", 1, "first"), ("k7", 1, "seven"), ("", 1, "x"), (None, 1, "y")],

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import checkset
 from gleanspark.functions import text
+from gleanspark.operators import skew
 from gleanspark.sources.pages import read_table
 from tests.helpers import plan
 
@@ -20,12 +21,23 @@ EAGER = {
 @pytest.fixture(scope="module")
 def plans(spark, sf_dir):
     # Nothing is small enough to broadcast by itself, as on the full data.
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    built = {n: plan(q(spark, sf_dir)) for n, q in checkset.queries().items() if n not in EAGER}
-    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(skew, "BROADCAST_BYTES", -1)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        built = {n: plan(q(spark, sf_dir)) for n, q in checkset.queries().items() if n not in EAGER}
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     return built
 
 
+def test_small_look_ups_do_not_shuffle_the_rows(spark, sf_dir):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("enrich_company", "resume_anti", "in_domain_table", "feed_b"):
+            assert "Exchange hashpartitioning" not in plan(checkset.queries()[name](spark, sf_dir))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_no_python_and_no_pairing(plans):
     for name, tree in plans.items():
         for node in ("Python", "InPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
