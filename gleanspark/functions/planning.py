@@ -33,8 +33,8 @@ def search_url(base: Column, keyword: Column, location: Column) -> Column:
 
 def leading_count(col: Column) -> Column:
     """Number before the first blank, commas ignored; no number gives null."""
-    bare = F.replace(col, F.lit(","), F.lit(""))
-    return F.split_part(bare, F.lit(" "), F.lit(1)).try_cast("bigint")
+    first = F.substring_index(col, " ", 1)
+    return F.replace(first, F.lit(","), F.lit("")).try_cast("bigint")
 
 
 def first_count(col: Column) -> Column:
