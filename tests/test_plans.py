@@ -88,6 +88,11 @@ def test_scans_read_needed_columns_only(spark, sf_dir):
     assert "ReadSchema: struct<html:string>" in scan
 
 
+def test_cap_sends_few_rows(plans):
+    below = plans["cap_per_search"].split("Exchange hashpartitioning", 1)[1]
+    assert "WindowGroupLimit" in below.split("Scan", 1)[0]
+
+
 def test_row_rules_do_not_shuffle(plans):
     for name in (
         "clean_html", "norm_ws", "drop_blank", "remove_contained", "clean_description",
