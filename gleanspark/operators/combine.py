@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanspark.operators.skew import as_list, look_up
+from gleanspark.operators.skew import as_list, look_up, with_group
 from gleanspark.operators.slices import after_first, ordinal
 from gleanspark.schema import POSTING_COLUMNS
 
@@ -48,9 +48,9 @@ def zip_by_position(
     so no partition of the join grows with a group.
     """
     keys = as_list(keys)
-    a = ordinal(left, keys, left_order, "pos")
-    b = ordinal(right, keys, right_order, "pos")
-    return a.join(b, [*keys, "pos"])
+    a, group = with_group(ordinal(left, keys, left_order, "pos"), keys)
+    b, _ = with_group(ordinal(right, keys, right_order, "pos"), keys)
+    return a.join(b.drop(*keys), [*group, "pos"]).drop(*group)
 
 
 def to_column_lists(df: DataFrame, keys, slot: str, cols) -> DataFrame:

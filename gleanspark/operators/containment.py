@@ -83,17 +83,16 @@ def _keep_by_openings(rows: DataFrame, group: list[str], item: str) -> DataFrame
     )
     items = copies.where(F.col(item).isNotNull()).drop("_rows")
     contained = _by_openings(items, group, item).withColumn("_contained", F.lit(True))
-    marked = left_join_unique(
-        rows, contained, [*group, item], counts=copies.drop("_openings")
-    )
+    counts = copies.drop("_openings")
+    marked = left_join_unique(rows, contained, [*group, item], counts=counts)
     return marked.where(F.col("_contained").isNull())
 
 
 def _by_openings(items: DataFrame, group: list[str], item: str) -> DataFrame:
     """Contained items; the work grows with the text, not with pairs of items.
 
-    Openings travel as hashes. A false match only cuts out a piece that equals
-    no item, so it changes nothing.
+    Openings and items travel as hashes. A false match only cuts out another
+    true piece of an item, shorter than it, so it changes nothing.
     """
     text, length = F.col(item), F.col("_length")
     ids = items.withColumn("_id", F.xxhash64(item)).withColumn("_length", F.length(item))
@@ -123,8 +122,8 @@ def _by_openings(items: DataFrame, group: list[str], item: str) -> DataFrame:
     inside = (F.col("_cut") < length) & (F.col("_at") + F.col("_cut") - 1 <= length)
     hits = probes.join(needles, [*group, "_gram"]).where(inside)
     pieces = (
-        hits.select(*group, "_id", "_at", "_cut")
-        .join(ids.select(*group, "_id", item), [*group, "_id"])
+        hits.select(*group, "_id", "_length", "_at", "_cut")
+        .join(ids.select(*group, "_id", "_length", item), [*group, "_id", "_length"])
         .select(*group, F.substring(text, F.col("_at"), F.col("_cut")).alias(item))
     )
 

@@ -6,7 +6,6 @@ from pyspark.sql import types as T
 
 from gleanspark.workspace import settle
 
-
 # A look-up table is broadcast if its values take no more than this.
 BROADCAST_BYTES = 32 * 1024 * 1024
 

@@ -229,10 +229,14 @@ def test_contained_rows_of_documents_both_ways(spark, sf_dir):
 
 
 def test_zip_ends_with_the_shorter_side(spark):
-    left = spark.createDataFrame([("a", 3, "x"), ("a", 1, "y"), ("b", 1, "z")], "k string, l int, u string")
-    right = spark.createDataFrame([("a", 9, "p"), ("a", 10, "q"), ("a", 11, "r")], "k string, r int, d string")
+    left = spark.createDataFrame(
+        [("a", 3, "x"), ("a", 1, "y"), ("b", 1, "z"), (None, 2, "n")], "k string, l int, u string"
+    )
+    right = spark.createDataFrame(
+        [("a", 9, "p"), ("a", 10, "q"), ("a", 11, "r"), (None, 5, "s")], "k string, r int, d string"
+    )
     got = combine.zip_by_position(left, right, "k", "l", "r").select("pos", "u", "d").collect()
-    assert sorted(map(tuple, got)) == [(0, "y", "p"), (1, "x", "q")]
+    assert sorted(map(tuple, got)) == [(0, "n", "s"), (0, "y", "p"), (1, "x", "q")]
 
 
 def test_column_lists_round_trip(spark, skewed):
