@@ -1,6 +1,6 @@
 """From captured posting pages to one feed of both sources."""
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,7 +49,7 @@ class Search:
 
     keyword: str | Column
     location: str | Column
-    day: str | Column = field(default="1970-01-01")
+    day: str | Column
 
 
 def _link(pattern: str) -> Column:
@@ -125,9 +125,7 @@ def company_sites(pages: DataFrame, websites: list[str]) -> DataFrame:
 
     The first link that is there counts, even if it is empty; none gives ``""``.
     """
-    found = [
-        F.when(F.col("html").rlike(pattern), _link(pattern)) for pattern in websites
-    ]
+    found = [F.when(F.col("html").rlike(pattern), _link(pattern)) for pattern in websites]
     return pages.select(
         F.col("url").alias("profile_url"),
         extract.first_present(*found, default="").alias("website"),
@@ -150,7 +148,7 @@ def postings_b(details: DataFrame, companies: DataFrame, search: Search) -> Data
         text.dedup_lines(F.col("description")).alias("description"),
         *_search_columns(search),
     )
-    enriched = enrich_company(found, companies, order="website", spread="url")
+    enriched = enrich_company(found, companies, order="website")
     rows = enriched.select(
         F.col("title").alias("job_title"),
         F.col("url").alias("job_opening_link"),
