@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanspark.llm import quality, simhash, substring
+from gleanspark.llm import decontaminate, line_templates, quality, sharding, simhash, substring
 from gleanspark.llm.rows import KEYS
 
 
@@ -11,6 +11,25 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharding.byte_shards(_read(spark, sf_dir, "documents"), 16)
+    return found.select(
+        "*", F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_templates.drop_recurring(_read(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "text", F.col("_lines").alias("n_lines"), F.col("_dropped").alias("n_dropped")
+    )
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark")
+    return decontaminate.contaminated(documents, benchmark)
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring.remove_repeats(_read(spark, sf_dir, "documents"), with_text=False)
     return found.select(F.col(KEYS[0]).alias("doc_id"), *substring.RESULT)
@@ -33,9 +52,88 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_sharding": op3_sharding,
+    "op4_line_dedup": op4_line_dedup,
+    "op5_decontamination": op5_decontamination,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    # Templates are told apart by their words here, by hashes in the operator.
+    "op4_line_dedup": r"""
+        WITH lines AS (
+            SELECT doc_id, i - 1 AS line_no, string_split(text, chr(10))[i] AS line
+            FROM (SELECT doc_id, text, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i
+                  FROM documents)
+        ), split AS (
+            SELECT doc_id, line_no, trim(regexp_replace(line, '[ \t\x0b\x0c\r]+', ' ', 'g')) AS plain
+            FROM lines
+        ), tokens AS (
+            SELECT *, len(string_split(plain, ' ')) AS n,
+                list_transform(string_split(plain, ' '),
+                    lambda t: CASE WHEN regexp_matches(t, '[0-9]') THEN '<*>' ELSE t END) AS masked
+            FROM split WHERE plain <> ''
+        ), leaves AS (
+            SELECT *, n || ' ' || array_to_string(masked[1:3], ' ') AS leaf FROM tokens
+        ), once AS (
+            SELECT plain, any_value(n) AS n, any_value(leaf) AS leaf, any_value(masked) AS masked,
+                count(DISTINCT doc_id) AS docs
+            FROM leaves GROUP BY plain
+        ), crowded AS (
+            SELECT leaf FROM once WHERE n >= 5 GROUP BY leaf
+            HAVING sum(docs) >= 3 AND count(*) > 1
+        ), words AS (
+            SELECT plain, leaf, n, docs, unnest(range(1, n + 1)) AS pos, unnest(masked) AS word
+            FROM once SEMI JOIN crowded USING (leaf) WHERE n >= 5
+        ), fixed AS (
+            SELECT leaf, pos, word FROM words GROUP BY ALL HAVING sum(docs) >= 3
+        ), general AS (
+            SELECT plain, any_value(leaf) || chr(10)
+                || string_agg(pos || ' ' || word, chr(9) ORDER BY pos) AS template
+            FROM words JOIN fixed USING (leaf, pos, word)
+            GROUP BY plain, n HAVING count(*) >= 0.7 * n
+        ), named AS (
+            SELECT doc_id, line_no, coalesce(template, chr(11) || plain) AS template
+            FROM leaves LEFT JOIN general USING (plain)
+        ), recurring AS (
+            SELECT template, min(doc_id) AS first FROM named
+            GROUP BY template HAVING count(DISTINCT doc_id) >= 3
+        ), drops AS (
+            SELECT doc_id, line_no FROM named JOIN recurring USING (template)
+            WHERE doc_id <> first
+        ), kept AS (
+            SELECT doc_id, string_agg(line, chr(10) ORDER BY line_no) AS text, count(*) AS n
+            FROM lines ANTI JOIN drops USING (doc_id, line_no) GROUP BY doc_id
+        )
+        SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(k.text, '') END AS text,
+            coalesce(len(string_split(d.text, chr(10))), 0) AS n_lines,
+            coalesce(len(string_split(d.text, chr(10))), 0) - coalesce(k.n, 0) AS n_dropped
+        FROM documents d LEFT JOIN kept k USING (doc_id)
+    """,
+    "op5_decontamination": r"""
+        WITH texts AS (
+            SELECT 'd' AS kind, doc_id AS id, text FROM documents
+            UNION ALL SELECT 'i', item_id, text FROM benchmark
+        ), plain AS (
+            SELECT kind, id, list_filter(string_split_regex(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\x09-\x0D\x20-\x2F:-@\[-`{-~]+'), lambda w: w <> '') AS words
+            FROM texts
+        ), shingles AS (
+            SELECT DISTINCT kind, id, unnest(list_transform(
+                range(1, greatest(2, len(words) - 3)),
+                lambda i: array_to_string(words[i:i + 4], ' '))) AS shingle
+            FROM plain WHERE len(words) > 0
+        ), sizes AS (
+            SELECT id AS item_id, count(*) AS item_shingles FROM shingles WHERE kind = 'i' GROUP BY id
+        ), shared AS (
+            SELECT d.id AS doc_id, i.id AS item_id, count(*) AS shared
+            FROM shingles d JOIN shingles i USING (shingle)
+            WHERE d.kind = 'd' AND i.kind = 'i' GROUP BY ALL
+        )
+        SELECT doc_id, item_id, item_shingles, shared, shared / item_shingles AS containment
+        FROM shared JOIN sizes USING (item_id) WHERE shared >= 0.8 * item_shingles
+    """,
+}
