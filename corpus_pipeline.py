@@ -1,8 +1,9 @@
-"""Documents to training sequences: five filtering and packing stages in a row."""
+"""Documents to training sequences: four filtering stages and packing."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gleanspark.llm import quality, simhash
+from gleanspark.llm import decontaminate, line_templates, packing, quality, simhash
 from gleanspark.workspace import settle
 
 
@@ -11,17 +12,37 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines of templates that recur stay in the first document only; all documents stay."""
+    found = line_templates.drop_recurring(docs)
+    changed = F.when(F.col("_dropped") > 0, F.char_length("text").cast("bigint"))
+    return found.withColumn("n_chars", F.coalesce(changed, "n_chars")).select(*docs.columns)
+
+
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
     return simhash.keep_one(docs)
 
 
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain an item of the benchmark go."""
+    return decontaminate.keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the remaining documents in sequences of 1024 ids, with their ids."""
+    return packing.pack(docs)
+
+
 STAGES = [
     ("quality rules", quality_rules),
+    ("line dedup", line_dedup),
     ("SimHash near-dedup", simhash_near_dedup),
+    ("benchmark decontamination", benchmark_decontamination),
+    ("packing", pack),
 ]
 
-# SQL has no 64-bit majority fingerprints, fitted cutoffs or BM25 packing.
+# SQL has no fitted cutoffs, no majority fingerprints and no tokenizer.
 ORACLE_SQL = None
 
 

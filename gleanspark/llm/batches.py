@@ -69,29 +69,32 @@ def as_bytes(name: str) -> Column:
     return F.col(name).cast("binary")
 
 
-def groups(
-    batches: Iterator[pa.RecordBatch], key: str
-) -> Iterator[tuple[int, dict[str, np.ndarray]]]:
-    """Each run of equal ``key`` (numbers, not null) in rows sorted by it, as numpy columns.
+def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """Each run of equal ``key`` (numbers, not null) in rows sorted by it.
 
     Only the run that a batch ends in waits for the next batch.
     """
-    kept: dict[str, list[np.ndarray]] = {}
+    kept: list[pa.RecordBatch] = []
     last = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        columns = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in batch.schema.names}
-        keys = columns[key]
+        keys = batch.column(key).to_numpy()
         cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
         for begin, end in zip(cuts, cuts[1:], strict=False):
             if last is not None and keys[begin] != last:
-                yield last, {n: np.concatenate(parts) for n, parts in kept.items()}
-                kept = {}
+                yield pa.Table.from_batches(kept)
+                kept = []
             last = keys[begin]
-            for n, values in columns.items():
-                kept.setdefault(n, []).append(values[begin:end])
-    if last is not None:
-        yield last, {n: np.concatenate(parts) for n, parts in kept.items()}
+            kept.append(batch.slice(begin, end - begin))
+    if kept:
+        yield pa.Table.from_batches(kept)
 
 
+def groups(
+    batches: Iterator[pa.RecordBatch], key: str
+) -> Iterator[tuple[int, dict[str, np.ndarray]]]:
+    """The same as numpy columns, with the key; no column may have nulls."""
+    for run in runs(batches, key):
+        columns = {n: run.column(n).to_numpy() for n in run.schema.names}
+        yield columns[key][0], columns

@@ -3,14 +3,39 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanspark.llm import decontaminate, line_templates, quality, sharding, simhash, substring
+from gleanspark.llm import (
+    chat,
+    decontaminate,
+    line_templates,
+    packing,
+    quality,
+    sharding,
+    simhash,
+    substring,
+    token_shards,
+    warc,
+)
 from gleanspark.llm.rows import KEYS
+from gleanspark.workspace import fresh_path
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    rows = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], rows.schema)
+    return chat.read_back(chat.segments(rows.unionByName(own)))
+
+
+def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "token-shards")
+    index, places = token_shards.write_shards(_read(spark, sf_dir, "documents"), path)
+    return token_shards.read_pieces(places, index, path).drop("row")
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = sharding.byte_shards(_read(spark, sf_dir, "documents"), 16)
     return found.select(
@@ -30,6 +55,10 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(documents, benchmark)
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_read(spark, sf_dir, "documents"), with_ids=False)
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring.remove_repeats(_read(spark, sf_dir, "documents"), with_text=False)
     return found.select(F.col(KEYS[0]).alias("doc_id"), *substring.RESULT)
@@ -51,16 +80,60 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "warc")
+    index = warc.write_archives(_read(spark, sf_dir, "pages"), path)
+    found = warc.read_records(index, path, with_payload=False)
+    ids = {n: F.col(n).cast("bigint") for n in ("page_id", "refers_to")}
+    return found.withColumns(ids).drop("url")
+
+
 QUERIES = {
+    "op1_chat_formatting": op1_chat_formatting,
+    "op2_token_output": op2_token_output,
     "op3_sharding": op3_sharding,
     "op4_line_dedup": op4_line_dedup,
     "op5_decontamination": op5_decontamination,
+    "op6_packing": op6_packing,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_quality_rules": op8_quality_rules,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op10_warc": op10_warc,
 }
 
 ORACLE = {
+    "op1_chat_formatting": r"""
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+            FROM conversations
+            UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+        ), marked AS (
+            SELECT *, lag(role, 1, 'start') OVER w AS before, lead(role) OVER w IS NULL AS last,
+                length(regexp_replace(text, '([\\<\[])', '\1\\', 'g'))
+                + CASE role WHEN 'system' THEN 15 WHEN 'user' THEN 13 WHEN 'assistant' THEN 7
+                  ELSE 21 + length(regexp_replace(role, '([\\<\[])', '\1\\', 'g')) END AS chars
+            FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+        ), judged AS (
+            SELECT *, CASE WHEN (before, role) NOT IN (('start', 'system'), ('start', 'user'),
+                    ('system', 'user'), ('user', 'assistant'), ('assistant', 'user'))
+                    THEN role || ' after ' || before END AS error,
+                CASE WHEN last AND role <> 'assistant' THEN 'ends with ' || role END AS ending
+            FROM marked
+        ), said AS (
+            SELECT conv_id, count(*) AS n_turns, sum(chars)::BIGINT AS formatted_chars,
+                sha256(string_agg(role || chr(10) || text || chr(10), ''
+                    ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+                coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text)
+                    FILTER (role = 'assistant'), '') AS learned,
+                coalesce(first(error ORDER BY turn NULLS FIRST, role, text)
+                    FILTER (error IS NOT NULL), max(ending)) AS first_error
+            FROM judged GROUP BY conv_id
+        )
+        SELECT conv_id, n_turns, turns_sha256, length(learned) AS loss_chars,
+            sha256(learned) AS loss_sha256, formatted_chars, first_error IS NULL AS valid, first_error
+        FROM said
+    """,
     # Templates are told apart by their words here, by hashes in the operator.
     "op4_line_dedup": r"""
         WITH lines AS (
@@ -136,4 +209,18 @@ ORACLE = {
         SELECT doc_id, item_id, item_shingles, shared, shared / item_shingles AS containment
         FROM shared JOIN sizes USING (item_id) WHERE shared >= 0.8 * item_shingles
     """,
+    "op10_warc": r"""
+        WITH payloads AS (
+            SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes,
+                sha1(coalesce(html, '')) AS payload_digest
+            FROM pages
+        ), originals AS (
+            SELECT payload_digest, max(page_id) AS original FROM payloads
+            WHERE payload_bytes >= 1000 GROUP BY payload_digest
+        )
+        SELECT page_id, payload_bytes, payload_digest,
+            CASE WHEN original <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN original <> page_id THEN original END AS refers_to
+        FROM payloads LEFT JOIN originals USING (payload_digest)
+    """,
 }
