@@ -76,7 +76,10 @@ def _placed(rows: DataFrame, ranges: int) -> DataFrame:
             heavy = sizes.where((F.col("_bytes") > OVERFULL * share) & (F.col("_n") > 1))
             full = rows.join(F.broadcast(heavy.select("_cell")), "_cell", "left_semi")
         found = settle(_splitters(full, share, round_no, 4 * ranges), "splitters")
-        rows = rows.join(F.broadcast(found), "_cell", "left")
+        if round_no:
+            rows = rows.join(F.broadcast(found), "_cell", "left")
+        else:
+            rows = rows.withColumn("_splitters", found.select("_splitters").scalar())
         inner = F.when(
             F.col("_splitters").isNotNull(),
             _rank(F.col("_splitters"), F.struct(*ORDER), 4 * ranges),
