@@ -24,13 +24,15 @@ from pyspark.sql import functions as F
 from gleanspark.llm.batches import runs
 from gleanspark.llm.files import coalesced, opened
 from gleanspark.llm.tokens import END, VOCABULARY, tokenized
+from gleanspark.operators.skew import is_small
+from gleanspark.workspace import settle
 
 LENGTH = 1024
 SHARD_SEQUENCES = 1 << 13
 KEY = 0x5EED
 ROUNDS = 6
-# Bytes of sample that a dictionary for the pieces on their way is trained from.
-SAMPLE_BYTES = 2 * 1024 * 1024
+# Documents that the ranks of ids, used to compress them, are counted in.
+SAMPLE_ROWS = 1000
 INDEX = (
     "shard bigint, file string, first_slot bigint, sequences bigint, crc32 bigint, made string"
 )
@@ -61,17 +63,20 @@ def feistel(values: np.ndarray, n: int, key: int = KEY) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def _places(tokens: DataFrame) -> DataFrame:
-    """Documents with ``at``, the number of ids before them in the whole table's order."""
-    part = F.shiftright("row", 33)
-    narrow = tokens.select("row", part.alias("part"), "n")
-    parts = narrow.groupBy("part").agg(F.sum("n").alias("all"))
+def _placed(tokens: DataFrame) -> DataFrame:
+    """Documents with ``at``, the number of ids before them in the whole table.
+
+    The table of tasks has a row for each, and is broadcast if it measures small.
+    """
+    parts = tokens.groupBy("part").agg(F.sum("n").alias("all"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    before = parts.select("part", F.coalesce(F.sum("all").over(earlier), F.lit(0)).alias("before"))
-    inside = Window.partitionBy("part").orderBy("row")
-    return narrow.join(before, "part").select(
-        "row", (F.col("before") + F.sum("n").over(inside) - F.col("n")).alias("at")
+    before = settle(
+        parts.select("part", F.coalesce(F.sum("all").over(earlier), F.lit(0)).alias("before")),
+        "token-parts",
     )
+    if is_small(before):
+        before = F.broadcast(before)
+    return tokens.join(before, "part").withColumn("at", F.col("before") + F.col("at"))
 
 
 def _spans(at: np.ndarray, n: np.ndarray, length: int):
@@ -86,14 +91,38 @@ def _spans(at: np.ndarray, n: np.ndarray, length: int):
     return place, begin - at[place], end - begin, sequence, begin - sequence * length
 
 
-def _dictionary(tokens: DataFrame, length: int) -> bytes:
-    """A zstd dictionary from a bounded sample; without enough of it, none."""
-    held = [bytes(r["ids"]) for r in tokens.limit(2000).select("ids").toLocalIterator()]
-    raw = b"".join(held)[:SAMPLE_BYTES]
-    pieces = [raw[i : i + 2 * length] for i in range(0, len(raw), 2 * length)]
-    if len(pieces) < 200:
-        return b""
-    return zstandard.train_dictionary(64 * 1024, pieces).as_bytes()
+class Squeezer:
+    """Makes pieces small on their way to the shards.
+
+    Ids are written by rank of frequency, and high and low bytes apart, as most
+    high bytes are then zero. Ranks come from a bounded sample; any do, as they
+    only decide how small the pieces get.
+    """
+
+    def __init__(self, ranked: bytes):
+        self.order = np.frombuffer(ranked, "<u2")
+        self.rank = np.empty(1 << 16, "<u2")
+        self.rank[self.order] = np.arange(1 << 16)
+        self.pack, self.unpack = zstandard.ZstdCompressor(1), zstandard.ZstdDecompressor()
+
+    def squeezed(self, ids: bytes) -> bytes:
+        planes = self.rank[np.frombuffer(ids, "<u2")].view(np.uint8).reshape(-1, 2)
+        low, high = (self.pack.compress(planes[:, i].tobytes()) for i in (0, 1))
+        return len(low).to_bytes(4, "little") + low + high
+
+    def ids(self, data: bytes) -> bytes:
+        end = 4 + int.from_bytes(data[:4], "little")
+        parts = [self.unpack.decompress(x) for x in (data[4:end], data[end:])]
+        planes = np.stack([np.frombuffer(x, np.uint8) for x in parts], axis=1)
+        return self.order[np.ascontiguousarray(planes).view("<u2")[:, 0]].tobytes()
+
+
+def _ranked(tokens: DataFrame) -> bytes:
+    """All ids, those frequent in some documents first."""
+    counts = np.zeros(1 << 16, np.int64)
+    for row in tokens.limit(SAMPLE_ROWS).select("ids").toLocalIterator():
+        counts += np.bincount(np.frombuffer(row["ids"], "<u2"), minlength=1 << 16)
+    return np.argsort(-counts, kind="stable").astype("<u2").tobytes()
 
 
 def write_shards(
@@ -118,13 +147,12 @@ def write_shards(
     tokens = tokenized(df, id_col, text_col, vocabulary)
     total = tokens.agg(F.sum("n")).first()[0] or 0
     n = -(-total // length)
-    located = tokens.join(_places(tokens), "row")
+    located = _placed(tokens)
     id_type = dict(df.dtypes)[id_col]
 
     def cut(with_ids):
         def work(batches):
-            shape = zstandard.ZstdCompressionDict(trained.value) if with_ids and trained.value else None
-            packer = zstandard.ZstdCompressor(level=6, dict_data=shape, write_dict_id=False)
+            squeezer = Squeezer(ranked.value)
             for batch in batches:
                 if not batch.num_rows:
                     continue
@@ -135,7 +163,7 @@ def write_shards(
                 if with_ids:
                     held = batch.column("ids").to_pylist()
                     cuts = zip(place.tolist(), start.tolist(), size.tolist(), strict=True)
-                    ids = [packer.compress(held[p][2 * s : 2 * (s + m)]) for p, s, m in cuts]
+                    ids = [squeezer.squeezed(held[p][2 * s : 2 * (s + m)]) for p, s, m in cuts]
                     out = {
                         "shard": slot // per_shard,
                         "slot": slot,
@@ -158,8 +186,7 @@ def write_shards(
 
         return work
 
-    sample = _dictionary(tokens, length)
-    trained = spark.sparkContext.broadcast(sample)
+    ranked = spark.sparkContext.broadcast(_ranked(tokens))
     index_path, mark = f"{path}/index", f"{n} {length} {per_shard} {key}"
     done = _index(spark, index_path)
     if done is not None and done.where(F.col("made") != mark).limit(1).count():
@@ -168,8 +195,7 @@ def write_shards(
     def write(batches):
         files, base = opened(f"{path}/shards")
         files.create_dir(base, recursive=True)
-        shape = zstandard.ZstdCompressionDict(trained.value) if trained.value else None
-        unpacker = zstandard.ZstdDecompressor(dict_data=shape)
+        squeezer = Squeezer(ranked.value)
         for rows in runs(batches, "shard"):
             shard = rows.column("shard")[0].as_py()
             name = f"{shard:08d}-{uuid.uuid4().hex[:8]}.bin"
@@ -182,7 +208,7 @@ def write_shards(
                     short = -written % length if offset == 0 else 0
                     block = np.full(short, END, "<u2").tobytes()
                     if ids is not None:
-                        block += unpacker.decompress(ids)
+                        block += squeezer.ids(ids)
                     crc = zlib.crc32(block, crc)
                     out.write(block)
                     written += len(block) // 2

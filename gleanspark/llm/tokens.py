@@ -1,6 +1,7 @@
 """Token ids of documents under a public byte-level vocabulary."""
 
 import json
+from array import array
 
 import numpy as np
 import public_tokenizers
@@ -58,7 +59,8 @@ class Encoder:
 def tokenized(df: DataFrame, id_col: str, text_col: str, path: str = VOCABULARY) -> DataFrame:
     """A written table: ``id``, a unique ``row``, ``n`` ids and the ids, ``END`` last.
 
-    The ids are unsigned 16-bit numbers, little-endian. Null text is empty, so
+    ``part`` is the task that wrote a row, and ``at`` the number of its ids before. The
+    ids are unsigned 16-bit numbers, little-endian. Null text is empty, so
     its document is ``END`` alone. Written once, as nothing else here costs as much.
     """
     wanted = df.select(
@@ -68,25 +70,38 @@ def tokenized(df: DataFrame, id_col: str, text_col: str, path: str = VOCABULARY)
     )
 
     def work(batches):
-        encoder = Encoder(path)
+        encoder, total = Encoder(path), 0
         for batch in batches:
             found = []
             for text in batch.column("text").to_pylist():
-                ids = encoder.ids((text or b"").decode("utf-8", "replace"))
+                ids = array("H", encoder.ids((text or b"").decode("utf-8", "replace")))
                 ids.append(END)
-                found.append(np.array(ids, "<u2"))
+                found.append(ids)
+            n = np.array([len(x) for x in found], np.int64)
+            at = total + np.cumsum(n) - n
+            total += int(n.sum())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"),
                     batch.column("row"),
-                    pa.array([len(x) for x in found], pa.int64()),
-                    pa.array([x.tobytes() for x in found], pa.binary()),
+                    pa.array(batch.column("row").to_numpy() >> 33),
+                    pa.array(at),
+                    pa.array(n),
+                    pa.array([np.asarray(x, "<u2").tobytes() for x in found], pa.binary()),
                 ],
-                names=["id", "row", "n", "ids"],
+                names=["id", "row", "part", "at", "n", "ids"],
             )
 
-    schema = f"id {dict(df.dtypes)[id_col]}, row bigint, n bigint, ids binary"
+    schema = (
+        f"id {dict(df.dtypes)[id_col]}, row bigint, part bigint, at bigint, n bigint, ids binary"
+    )
     path_out = fresh_path(df.sparkSession, "tokens")
-    writer = wanted.mapInArrow(work, schema).write.option("compression", "zstd")
-    writer.option("parquet.compression.codec.zstd.level", "9").parquet(path_out)
+    options = {
+        "compression": "zstd",
+        "parquet.compression.codec.zstd.level": "9",
+        # Large pages, as ids repeat over long distances.
+        "parquet.page.size": str(8 * 1024 * 1024),
+        "parquet.page.row.count.limit": "1000000",
+    }
+    wanted.mapInArrow(work, schema).write.options(**options).parquet(path_out)
     return df.sparkSession.read.schema(schema).parquet(path_out)
