@@ -27,9 +27,10 @@ SYMBOLS = b"#*$%&|<>"
 UPPER = bytes(range(65, 91))
 PUNCTUATION = bytes(b for b in range(33, 127) if not chr(b).isalnum())
 RULES = ["symbols", "capitals", "top_word", "vocabulary"]
-# Scores are cut into steps of this size, up to STEPS of them.
-STEP = {"symbols": 0.005, "capitals": 0.01, "top_word": 0.01, "vocabulary": 0.1}
+# Cutoffs are tried at this many steps: shares in equal steps, the score of the
+# vocabulary, which has no upper end, by its logarithm.
 STEPS = 200
+PER_DOUBLING = 40
 
 
 @dataclass(frozen=True)
@@ -40,14 +41,16 @@ class Risk:
     loses more than ``limit`` of its good documents to the rules. The vocabulary
     is fitted on about ``fit_rows`` labelled documents at most, and has
     ``vocabulary`` words at most; all other labelled documents are the holdout.
-    A good document lost counts as much as ``price`` bad ones caught.
+    Its words are ten times as frequent in bad documents, or whatever the logarithm
+    ``odds`` says. A good document lost counts as much as ``price`` bad ones caught.
     """
 
-    limit: float = 0.02
+    limit: float = 0.03
     error: float = 0.05
     fit_share: float = 0.3
     fit_rows: int = 20_000
     vocabulary: int = 2_000
+    odds: float = 2.3
     price: float = 10.0
 
 
@@ -104,7 +107,8 @@ def _measure(text: bytes, hashes: WordHashes, weights: _Weights) -> tuple:
         symbols / chars,
         capitals / chars,
         (counts.most_common(1)[0][1] - 1) / n,
-        sum(map(weights.__getitem__, counts)),
+        # Chance finds add up with the root of the words they are found among.
+        sum(map(weights.__getitem__, counts)) / math.sqrt(len(counts)),
     )
 
 
@@ -164,17 +168,19 @@ def fit_vocabulary(
     share = min(risk.fit_share, risk.fit_rows / max(total, 1))
     sample = F.broadcast(labels.where(F.col("spot") < share).select("label_id", "bad"))
     texts = df.select(F.col(id_col).alias("label_id"), F.col(text_col).alias("text"))
-    edges = r"^[!-/:-@\[-`{-~]+|[!-/:-@\[-`{-~]+$"
-    plain = F.transform(
-        F.split("text", r"[\x20\x09-\x0D]+"), lambda w: F.lower(F.regexp_replace(w, edges, ""))
+    mark, space = r"[!-/:-@\[-`{-~]*", r"[\x20\x09-\x0D]+"
+    plain = F.regexp_replace("text", f"{mark}(?:{space}|^|$){mark}", " ")
+    plain = F.translate(plain, UPPER.decode(), UPPER.lower().decode())
+    rows = texts.join(sample, "label_id").select(
+        "bad", F.array_distinct(F.split(plain, " ")).alias("words")
     )
-    rows = texts.join(sample, "label_id").select("bad", F.array_distinct(plain).alias("words"))
-    seen = rows.groupBy("bad").count().collect()
+    seen = texts.join(sample, "label_id").groupBy("bad").count().collect()
     n = {r["bad"]: r["count"] for r in seen}
     bad, good = n.get(True, 0), n.get(False, 0)
     if not bad or not good:
         return {}
-    words = rows.select("bad", F.explode("words").alias("word")).where(F.col("word") != "")
+    # The outer form, as the other makes Spark split each text twice.
+    words = rows.select("bad", F.explode_outer("words").alias("word")).where(F.col("word") != "")
     found = words.groupBy("word").agg(
         F.count_if(F.col("bad")).alias("b"), F.count_if(~F.col("bad")).alias("g")
     )
@@ -183,7 +189,7 @@ def fit_vocabulary(
     error = F.sqrt(pooled * (1 - pooled) * (1 / bad + 1 / good))
     odds = F.log((F.col("b") + 0.5) / (bad + 1)) - F.log((F.col("g") + 0.5) / (good + 1))
     chosen = (
-        found.where((F.col("b") >= 5) & (p - q > 4 * error))
+        found.where((F.col("b") >= 5) & (p - q > 4 * error) & (odds >= risk.odds))
         .select("word", odds.alias("odds"), ((p - q) / error).alias("z"))
         .orderBy(F.desc("z"), "word")
         .limit(risk.vocabulary)
@@ -221,7 +227,9 @@ def pick_cutoff(
 
 
 def _step(rule: str):
-    return F.least(F.floor(F.col(rule) / STEP[rule]), F.lit(STEPS)).cast("int")
+    score = F.col(rule)
+    steps = PER_DOUBLING * F.log2(1 + score) if rule == "vocabulary" else STEPS * score
+    return F.least(F.floor(steps), F.lit(STEPS)).cast("int")
 
 
 def choose_cutoffs(measured: DataFrame, labels: DataFrame, risk: Risk) -> DataFrame:

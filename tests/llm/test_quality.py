@@ -60,12 +60,13 @@ def test_held_out_accuracy(spark, sf_dir):
     labels = {r["doc_id"]: r for r in spark.read.parquet(f"{path}/labels.parquet").collect()}
     strata = {r["doc_id"]: r["lang"] for r in docs.select("doc_id", "lang").collect()}
     judged = [(d, r) for d, r in labels.items() if d in found and not found[d]["base_failed"]]
-    # Only strata whose holdout is large enough may get a cutoff.
     english = [(found[d]["kept"], r) for d, r in judged if strata[d] == "en"]
     good = [kept for kept, r in english if r["quality"] and not r["toxic"]]
     toxic = [kept for kept, r in english if r["toxic"]]
     assert sum(good) >= 0.98 * len(good)
-    assert sum(toxic) <= 0.2 * len(toxic)
+    assert sum(toxic) <= 0.1 * len(toxic)
+    # The other strata have too few labels here for a cutoff, and lose nothing.
+    assert all(found[d]["kept"] for d, _ in judged if strata[d] == "es")
 
 
 def test_binomial_tail():
