@@ -27,7 +27,7 @@ from gleanspark.llm.batches import (
     windows,
 )
 from gleanspark.llm.rows import KEYS, same_key, with_key
-from gleanspark.operators.skew import is_small
+from gleanspark.operators.skew import is_small, shuffle_parts
 from gleanspark.workspace import settle
 
 # Words of an anchor.
@@ -179,19 +179,30 @@ def _window_rows(batch, rows, one, two, starts) -> pa.RecordBatch:
 
 
 def repeated(found: DataFrame) -> DataFrame:
-    """Of the windows those that also start in a document with a smaller id."""
+    """Of the windows those that also start in a document with a smaller id.
+
+    A window with more rows than an average partition is hot: there are fewer of
+    these than partitions, so they are broadcast and their rows stay where they are.
+    """
+    by = ["one", "two"]
+    share = found.count() / shuffle_parts(found)
     firsts = (
-        found.groupBy("one", "two")
+        found.groupBy(*by)
         .agg(
             F.min(KEYS[0]).alias("first"),
             F.max(KEYS[0]).alias("last"),
             F.max(F.col(KEYS[0]).isNull()).alias("nulls"),
+            F.count(F.lit(1)).alias("n"),
         )
-        .where((F.col("first") < F.col("last")) | (F.col("first").isNotNull() & F.col("nulls")))
-        .select("one", "two", "first")
+        .select(*by, "first", "last", "nulls", (F.col("n") > share).alias("hot"))
     )
     later = F.col(KEYS[0]).isNull() | (F.col(KEYS[0]) > F.col("first"))
-    return found.join(firsts, ["one", "two"]).where(later).select(*KEYS, "start")
+    several = (F.col("first") < F.col("last")) | (F.col("first").isNotNull() & F.col("nulls"))
+    hot = settle(firsts.where("hot"), "hot-windows")
+    cold = firsts.where(~F.col("hot") & several).select(*by, "first")
+    common = found.join(F.broadcast(hot.where(several).select(*by, "first")), by)
+    others = found.join(F.broadcast(hot.select(*by)), by, "left_anti").join(cold, by)
+    return common.unionByName(others).where(later).select(*KEYS, "start")
 
 
 def _kept(words: list[bytes], starts, size: int) -> list[bytes]:

@@ -52,6 +52,15 @@ def test_empty_table(spark):
     assert op7_substring_dedup(spark, odd.folder(spark)).count() == 0
 
 
+def test_hot_windows(spark):
+    # Few partitions' worth of rows in a window make it hot; many in one document, too.
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(i, f"a{i} {passage} b{i}") for i in range(40)]
+    rows += [(100, "same " * 500), (101, "same " * 60 + "end"), (None, passage)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    check(spark, odd.folder(spark, documents=docs))
+
+
 def test_full_sketch_loses_nothing(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(substring, "LEAST_BITS", 4)
     monkeypatch.setattr(substring, "MOST_BITS", 4)
