@@ -242,6 +242,8 @@ def remove_repeats(
         .where((F.col("n") > 1) & F.col("first").isNotNull())
         .drop("n")
     )
+    # Written, so that Spark may split the rows of a text with very many copies.
+    firsts = settle(firsts, "first-copies")
     later = F.col(KEYS[0]).isNull() | (F.col(KEYS[0]) > F.col("first"))
     copies = settle(
         narrow.join(firsts, [KEYS[1], "digest"]).where(later).select(*KEYS, "first"), "copies"
