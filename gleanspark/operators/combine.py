@@ -104,7 +104,7 @@ def work_list(df: DataFrame, col: str) -> DataFrame:
 
 
 def resume_skip(
-    todo: DataFrame, done: DataFrame, order, along: Column | None = None
+    todo: DataFrame, done: DataFrame, order
 ) -> DataFrame:
     """Leave out as many leading rows as ``done`` has; none left gives none.
 
@@ -112,7 +112,7 @@ def resume_skip(
     not depend on that.
     """
     finished = done.agg(F.count(F.lit(1))).scalar()
-    return after_first(todo, finished, order, along)
+    return after_first(todo, finished, order)
 
 
 def resume_anti(todo: DataFrame, done: DataFrame, keys) -> DataFrame:

@@ -53,20 +53,20 @@ def page_plan_10(df: DataFrame, results: str, url: str) -> DataFrame:
 
 
 def until_marker(
-    df: DataFrame, keys, order, marker: Column, along: Column | None = None
+    df: DataFrame, keys, order, marker: Column
 ) -> DataFrame:
     """Listing pages up to and including the first that shows the marker."""
-    return until_first(df, keys, order, marker, along)
+    return until_first(df, keys, order, marker)
 
 
 def while_next(
-    df: DataFrame, keys, order, has_next: Column, along: Column | None = None
+    df: DataFrame, keys, order, has_next: Column
 ) -> DataFrame:
     """Pages from the first on while each says there is a next one.
 
     A page that does not say so (null) ends the run as well.
     """
-    return until_first(df, keys, order, ~F.coalesce(has_next, F.lit(False)), along)
+    return until_first(df, keys, order, ~F.coalesce(has_next, F.lit(False)))
 
 
 def allowed_domains(df: DataFrame, url: str, domains: list[str]) -> DataFrame:
@@ -115,17 +115,17 @@ def in_domain_table(df: DataFrame, url: str, domains: DataFrame) -> DataFrame:
 
 
 def assign_batches(
-    df: DataFrame, keys, order, size: int, along: Column | None = None
+    df: DataFrame, keys, order, size: int
 ) -> DataFrame:
     """Cut the ordered list of each group in batches; ``slot`` is the place in one."""
-    return with_slots(ordinal(df, keys, order, "_pos", along), "_pos", size).drop("_pos")
+    return with_slots(ordinal(df, keys, order, "_pos"), "_pos", size).drop("_pos")
 
 
 def cap_per_search(
-    df: DataFrame, keys, order, limit: int, along: Column | None = None
+    df: DataFrame, keys, order, limit: int
 ) -> DataFrame:
     """The first ``limit`` rows of each group."""
-    return first_rows(df, keys, order, limit, along)
+    return first_rows(df, keys, order, limit)
 
 
 def most_recent(df: DataFrame, date: str, tie: str, limit: int | None = None) -> DataFrame:

@@ -2,29 +2,35 @@
 
 A window over a whole group is one task, however many rows the group has.
 Here a group that would fill more than an average shuffle partition is cut into
-slices along its order, in proportion to its size; a slice that is still too
-large, as rows may crowd in one place, is cut once more. What one slice must
-know of the earlier ones is a sum or a flag; it is aggregated per slice, and as
-there are only a few slices per partition it is joined by broadcast, before the
-shuffle. The rows are shuffled once, on group and slice, and windowed there. All
-other groups are one slice, and cost a count of their keys more than a plain
-window.
+slices along its order. Where to cut comes from a sample of the group's rows, sorted by
+all order columns: slices have about the same number of rows wherever the rows
+crowd, and rows that share the first order column are cut by the next one. What one slice
+must know of the earlier ones is a sum or a flag; it is aggregated per slice, and
+as there are only a few slices per partition it is joined by broadcast, before
+the shuffle. The rows are shuffled once, on group and slice, and windowed there.
+
+Which groups to cut is found when an operator is called: that counts the keys,
+and samples if a group is large. With no large group nothing else is added to a
+plain window.
 """
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from gleanspark.operators.skew import as_list, hot_groups, row_count, shuffle_parts, with_group
+from gleanspark.operators.skew import as_list, hot_groups, shuffle_parts, with_group
+from gleanspark.workspace import settle
 
 # Slices for each average partition a group would fill, so that slices of
 # uneven size still mix well.
 SLICES_PER_PART = 4
 
-SLICES = ["_slice", "_subslice"]
+# Sampled rows for each slice. The sample has a fixed size for a number of
+# partitions; more of it makes slices more even.
+SAMPLE_PER_SLICE = 64
+
+SLICE = "_slice"
 
 
 def whole_parts(col: Column, size: int) -> Column:
@@ -42,11 +48,11 @@ class Cut:
 
     @property
     def cells(self) -> list[str]:
-        return [*self.group, *SLICES]
+        return [*self.group, SLICE]
 
     def earlier(self):
         """The slices of a group before a slice."""
-        window = Window.partitionBy(*self.group).orderBy(*SLICES)
+        window = Window.partitionBy(*self.group).orderBy(SLICE)
         return window.rowsBetween(Window.unboundedPreceding, -1)
 
     def starts(self) -> DataFrame:
@@ -56,118 +62,81 @@ class Cut:
         return sizes.withColumn("_start", before)
 
 
-def _number(df: DataFrame, name: str) -> Column | None:
-    """A number that rises with the column, if its type has one."""
-    col, dtype = F.col(name), df.schema[name].dataType
-    if isinstance(dtype, T.IntegralType | T.DecimalType):
-        return col.cast("double")
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(col).cast("double")
-    if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(col).cast("double")
-    if isinstance(dtype, T.TimestampNTZType):
-        # By its fields, as the session time zone may skip an hour.
-        seconds = F.hour(col) * 3600 + F.minute(col) * 60 + F.second(col)
-        return (F.unix_date(F.to_date(col)) * F.lit(86400.0) + seconds).cast("double")
-    return None
-
-
-def _order_numbers(df: DataFrame, order: list[str], along: Column | None) -> list:
-    """Pairs of an exact value and a number to cut by, for the leading order columns."""
-    if along is not None:
-        return [(along, along.cast("double"))]
-    found = []
-    for name in order:
-        number = _number(df, name)
-        if number is None:
-            break
-        found.append((F.col(name), number))
-    if not found:
-        raise ValueError(f"cannot cut slices by {order[0]}: pass along, a number rising with it")
-    return found
-
-
-def cut(df: DataFrame, keys: list[str], order: list[str], along: Column | None) -> Cut:
+def _splitters(rows: DataFrame, group: list[str], order: list[str]) -> DataFrame | None:
+    """Where each large group is cut: ``_splitters``, sorted; None if no group is large.
+
+    The sample is drawn by a hash of the order columns, so that it is the same
+    whenever it is taken.
+    """
+    parts, total = shuffle_parts(rows), rows.count()
+    if not total:
+        return None
+    if group:
+        counts = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows"))
+        hot = settle(hot_groups(counts, F.lit(total), parts), "large-groups")
+        if hot.isEmpty():
+            return None
+        large = rows.join(F.broadcast(hot), group)
+    else:
+        share = F.lit(float(parts)).alias("_share")
+        large = rows.select("*", F.lit(total).alias("_rows"), share)
+    slices = F.ceil(F.col("_share") * SLICES_PER_PART)
+    draw = F.pmod(F.xxhash64(*order, F.lit(11)), F.lit(1 << 30)) / float(1 << 30)
+    sample = large.where(draw < slices * SAMPLE_PER_SLICE / F.col("_rows"))
+    number = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+    step = F.greatest(F.lit(1), F.least(F.lit(SAMPLE_PER_SLICE), F.floor(F.col("_rows") / slices)))
+    chosen = sample.withColumn("_number", number).where(F.col("_number") % step == 0)
+    found = chosen.groupBy(*group).agg(
+        F.sort_array(F.collect_list(F.struct(*order))).alias("_splitters")
+    )
+    return settle(found, "splitters")
+
+
+def _rank(splitters: Column, key: Column) -> Column:
+    """How many of the sorted splitters are not above the key, by bisection."""
+    steps = F.sequence(F.lit(1), F.ceil(F.log2(F.size(splitters) + 1)) + 1)
+    span = F.struct(F.lit(0).alias("low"), F.size(splitters).alias("high"))
+
+    def halve(state: Column, _: Column) -> Column:
+        middle = F.floor((state["low"] + state["high"]) / 2).cast("int")
+        going = state["low"] < state["high"]
+        up = going & (F.get(splitters, middle) <= key)
+        return F.struct(
+            F.when(up, middle + 1).otherwise(state["low"]).alias("low"),
+            F.when(going & ~up, middle).otherwise(state["high"]).alias("high"),
+        )
+
+    return F.aggregate(steps, span, halve, lambda state: state["low"])
+
+
+def cut(df: DataFrame, keys: list[str], order: list[str]) -> Cut:
     """Give each row its group and slice.
 
-    Slices rise with the order; a null order lies in the lowest. Without keys
-    the whole table is one group.
+    Slices rise with the order, nulls first, as in a window. Without keys the
+    whole table is one group.
     """
-    numbers = _order_numbers(df, order, along)
     rows, group = with_group(df, keys) if keys else (df, [])
-    for i, (exact, number) in enumerate(numbers):
-        rows = rows.withColumn(f"_exact{i}", exact).withColumn(f"_n{i}", number)
-    total, parts = row_count(df), shuffle_parts(df)
-    levels = len(numbers)
-
-    if keys:
-        hot = _hot_bounds(rows, group, levels, total, parts)
-        rows = rows.join(hot, group, "left")
-        rows = rows.withColumn(SLICES[0], _slice(levels, F.col, F.col("_cuts")))
-        rows = rows.withColumn("_hot", F.col("_cuts").isNotNull()).drop(*hot.columns[len(group) :])
+    found = _splitters(rows, group, order)
+    if found is None:
+        rows = rows.withColumn(SLICE, F.lit(0))
+        return Cut(rows, rows.where(F.lit(False)), group)
+    if group:
+        rows = rows.join(F.broadcast(found), group, "left")
     else:
-        ends = rows.agg(F.struct(*_bounds(levels))).scalar()
-        cuts = F.lit(parts * SLICES_PER_PART)
-        rows = rows.withColumn(SLICES[0], _slice(levels, ends.getField, cuts))
-        rows = rows.withColumn("_hot", F.lit(True))
-
-    cells = [*group, SLICES[0]]
-    crowded = _hot_bounds(rows.where("_hot"), cells, levels, total, parts)
-    rows = rows.join(crowded, cells, "left")
-    rows = rows.withColumn(SLICES[1], _slice(levels, F.col, F.col("_cuts")))
-    rows = rows.drop(*crowded.columns[len(cells) :])
-    for i in range(levels):
-        rows = rows.drop(f"_exact{i}", f"_n{i}")
-    return Cut(rows.drop("_hot"), rows.where("_hot"), group)
-
-
-def _bounds(levels: int) -> list[Column]:
-    bounds = []
-    for i in range(levels):
-        low, high, filled = F.min(f"_exact{i}"), F.max(f"_exact{i}"), F.count(f"_exact{i}")
-        same = (filled == 0) | ((filled == F.count(F.lit(1))) & (low == high))
-        bounds += [
-            F.min(f"_n{i}").alias(f"_low{i}"),
-            F.max(f"_n{i}").alias(f"_high{i}"),
-            same.alias(f"_same{i}"),
-        ]
-    return bounds
-
-
-def _hot_bounds(
-    rows: DataFrame, group: list[str], levels: int, total: Column, parts: int
-) -> DataFrame:
-    """The groups to cut, where their order begins and ends, and in how many."""
-    counts = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows"), *_bounds(levels))
-    hot = hot_groups(counts, total, parts)
-    cuts = F.ceil(F.col("_share") * SLICES_PER_PART)
-    return hot.withColumn("_cuts", cuts).drop("_rows", "_share")
-
-
-def _slice(levels: int, bound: Callable[[str], Column], cuts: Column) -> Column:
-    """Equal widths of the first order column that is not the same in all rows."""
-    number = F.lit(0)
-    for i in reversed(range(levels)):
-        here, low, high = F.col(f"_n{i}"), bound(f"_low{i}"), bound(f"_high{i}")
-        width = F.floor((here - low) / (high - low) * cuts)
-        number = (
-            F.when(high > low, F.coalesce(width, F.lit(-1)))
-            .when(bound(f"_same{i}"), number)
-            .otherwise(F.when(here.isNull(), F.lit(-1)).otherwise(F.lit(0)))
-        )
-    return F.coalesce(F.when(cuts.isNotNull(), number), F.lit(0)).cast("bigint")
+        rows = rows.withColumn("_splitters", found.select("_splitters").scalar())
+    is_cut = F.col("_splitters").isNotNull()
+    place = F.when(is_cut, _rank(F.col("_splitters"), F.struct(*order))).otherwise(F.lit(0))
+    rows = rows.withColumns({SLICE: place, "_hot": is_cut}).drop("_splitters")
+    return Cut(rows.drop("_hot"), rows.where("_hot").drop("_hot"), group)
 
 
-def ordinal(
-    df: DataFrame, keys, order, name: str = "pos", along: Column | None = None
-) -> DataFrame:
+def ordinal(df: DataFrame, keys, order, name: str = "pos") -> DataFrame:
     """Position of each row in its group, from 0, as bigint.
 
-    ``order`` must be unique within a group. ``along`` is a number that rises
-    with it, needed if the first order column is no whole number or time.
+    ``order`` must be unique within a group, and may be of any types that sort.
     """
     keys, order = as_list(keys), as_list(order)
-    part = cut(df, keys, order, along)
+    part = cut(df, keys, order)
     starts = F.broadcast(part.starts().drop("_size"))
     inside = F.row_number().over(Window.partitionBy(*part.cells).orderBy(*order))
     return (
@@ -177,16 +146,14 @@ def ordinal(
     )
 
 
-def first_rows(
-    df: DataFrame, keys, order, limit: int, along: Column | None = None
-) -> DataFrame:
+def first_rows(df: DataFrame, keys, order, limit: int) -> DataFrame:
     """The first ``limit`` rows of each group.
 
     Slices past the limit end before the shuffle, and each task sends on at
     most ``limit`` rows of a slice.
     """
     keys, order = as_list(keys), as_list(order)
-    part = cut(df, keys, order, along)
+    part = cut(df, keys, order)
     starts = F.broadcast(part.starts().drop("_size"))
     start = F.coalesce("_start", F.lit(0))
     inside = F.row_number().over(Window.partitionBy(*part.cells).orderBy(*order))
@@ -200,9 +167,7 @@ def first_rows(
     )
 
 
-def until_first(
-    df: DataFrame, keys, order, stop: Column, along: Column | None = None
-) -> DataFrame:
+def until_first(df: DataFrame, keys, order, stop: Column) -> DataFrame:
     """Rows of each group up to and including the first where ``stop`` holds.
 
     Slices after that one end before the shuffle. ``df`` is read more than
@@ -210,7 +175,7 @@ def until_first(
     are costly.
     """
     keys, order = as_list(keys), as_list(order)
-    part = cut(df.withColumn("_stop", stop), keys, order, along)
+    part = cut(df.withColumn("_stop", stop), keys, order)
     stops = part.hot.groupBy(*part.cells).agg(
         F.coalesce(F.max("_stop"), F.lit(False)).alias("_stops")
     )
@@ -228,21 +193,21 @@ def until_first(
     )
 
 
-def after_first(df: DataFrame, n: Column, order, along: Column | None = None) -> DataFrame:
+def after_first(df: DataFrame, n: Column, order) -> DataFrame:
     """Skip the first ``n`` rows of the whole table; ``n`` is a scalar.
 
     Only the slice in which the cut falls is sorted. The table itself is
     scanned and filtered, never shuffled. ``order`` must be unique.
     """
     order = as_list(order)
-    part = cut(df, [], order, along)
-    starts = part.starts()
+    part = cut(df, [], order)
+    starts = settle(part.starts(), "starts")
     edge = starts.where((F.col("_start") <= n) & (F.col("_start") + F.col("_size") > n))
     skip = edge.select(n - F.col("_start")).scalar()
 
-    inside = F.row_number().over(Window.partitionBy(*SLICES).orderBy(*order))
+    inside = F.row_number().over(Window.partitionBy(SLICE).orderBy(*order))
     first_kept = (
-        part.rows.where(F.struct(*SLICES) == edge.select(F.struct(*SLICES)).scalar())
+        part.rows.where(F.col(SLICE) == edge.select(SLICE).scalar())
         .select(F.struct(*order).alias("_place"), inside.alias("_inside"))
         .where(F.col("_inside") == skip + 1)
         .select("_place")

@@ -18,7 +18,6 @@ def visited_elements(
     order,
     pattern: str,
     last: Column | None = None,
-    along: Column | None = None,
 ) -> DataFrame:
     """``keys, order, url, pos, element``: each match on each page that is visited.
 
@@ -36,7 +35,7 @@ def visited_elements(
         extract.extract_all(F.col("html"), pattern, 0).alias("_elements"),
     )
     if last is not None:
-        found = until_marker(settle(found, "elements"), keys, order, F.col("_last"), along)
+        found = until_marker(settle(found, "elements"), keys, order, F.col("_last"))
     return found.select(*keys, *order, "url", F.posexplode("_elements").alias("pos", "element"))
 
 
@@ -46,14 +45,13 @@ def listing_links(
     order,
     link: str,
     marker: Column | None = None,
-    along: Column | None = None,
 ) -> DataFrame:
     """``keys, order, pos, link``: the links of each search, repeats and all.
 
     ``link`` matches one link element; ``marker`` tells the page that says the
     rest was left out, which is the last one read.
     """
-    elements = visited_elements(pages, keys, order, link, marker, along)
+    elements = visited_elements(pages, keys, order, link, marker)
     href = extract.extract_attr(F.col("element"), "a", "href")
     return elements.select(
         *as_list(keys),
@@ -71,14 +69,13 @@ def provider_listing(
     card: str,
     name: str,
     link: str,
-    along: Column | None = None,
 ) -> DataFrame:
     """One row per card of the pages visited while each has a next one.
 
     A missing field says ``NA``.
     """
     last = ~F.coalesce(has_next, F.lit(False))
-    cards = visited_elements(pages, keys, order, card, last, along)
+    cards = visited_elements(pages, keys, order, card, last)
     profile = extract.if_present(F.col("element"), link)
     return cards.select(
         *as_list(keys),

@@ -102,10 +102,40 @@ def test_batches_give_each_slot_once(spark, skewed):
     assert got.agg(F.max("slot")).first()[0] == 6
 
 
-def test_text_order_needs_a_number(spark):
-    df = spark.createDataFrame([("a", "b")], "k string, o string")
-    with pytest.raises(ValueError, match="along"):
-        slices.ordinal(df, "k", "o")
+def test_order_by_text(spark):
+    df = spark.range(20_000).selectExpr(
+        "if(id % 10 < 7, 'hot', cast(id % 10 as string)) as k", "md5(cast(id as string)) as o"
+    )
+    got = slices.ordinal(df, "k", "o").collect()
+    want = {}
+    for r in df.collect():
+        want.setdefault(r.k, []).append(r.o)
+    places = {k: {o: i for i, o in enumerate(sorted(v))} for k, v in want.items()}
+    assert len(got) == 20_000 and all(r.pos == places[r.k][r.o] for r in got)
+
+
+@pytest.mark.parametrize(
+    "made",
+    [
+        "id",
+        "if(id % 2 = 0, 500000, id * 10)",
+        "cast(pow(1.0002, id) as bigint)",
+        "if(id < 5, -9e18, if(id > 99994, 9e18, id))",
+        "if(id % 3 = 0, null, id % 100)",
+        "7",
+    ],
+)
+@pytest.mark.parametrize("keys", [[], ["k"]])
+def test_slices_are_even_wherever_rows_crowd(spark, keys, made):
+    df = spark.range(100_000).selectExpr("'one' as k", f"cast({made} as double) as o", "id")
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        part = slices.cut(df, keys, ["o", "id"])
+        sizes = [r["count"] for r in part.rows.groupBy(*part.cells).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert sum(sizes) == 100_000 and max(sizes) <= 2 * 100_000 / 50
+    assert len(sizes) > 100
 
 
 @pytest.mark.parametrize("done", [0, 1, 499, 500, 501, ROWS - 1, ROWS, ROWS + 5])
