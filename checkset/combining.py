@@ -52,7 +52,7 @@ def line_batches(spark, sf):
     order = ["l_partkey", "l_linenumber", "l_returnflag"]
     batches = paging.assign_batches(lines, "l_orderkey", order, 3)
     return combine.to_column_lists(
-        batches, ["l_orderkey", "batch"], "slot", ["l_partkey", "l_returnflag"]
+        batches, "l_orderkey", "batch", "slot", ["l_partkey", "l_returnflag"]
     )
 
 

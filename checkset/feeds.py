@@ -28,6 +28,34 @@ def csv_roundtrip_strings(spark, sf):
     return feeds.read_feed(spark, path, all_string=True)
 
 
+def csv_inferred(spark, sf):
+    key = F.col("o_orderkey")
+    df = read_table(spark, sf, "orders").select(
+        "o_orderkey",
+        F.when(key % 7 == 0, F.lit("NA")).otherwise(F.col("o_custkey").cast("string")).alias("cust"),
+        F.when(key % 5 == 0, F.lit("n/a"))
+        .otherwise((key / 4).cast("string"))
+        .alias("quarter"),
+        F.when(key % 3 == 0, F.lit("")).otherwise((key % 2 == 0).cast("string")).alias("even"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"),
+        F.lit("None").alias("nothing"),
+    )
+    path = fresh_path(spark, "feed")
+    feeds.write_feed(df, path)
+    return feeds.read_feed(spark, path)
+
+
+def rewrite_feed(spark, sf):
+    part = read_table(spark, sf, "part").select(F.col("p_partkey").cast("string"), "p_name")
+    headers = part.where("p_partkey % 10 = 0").select(
+        F.lit("p_partkey").alias("p_partkey"), F.lit("p_name").alias("p_name")
+    )
+    path = fresh_path(spark, "feed")
+    feeds.write_feed(part.unionByName(headers), path)
+    feeds.rewrite_without_headers(spark, path)
+    return feeds.read_feed(spark, path, all_string=True)
+
+
 def null_tokens(spark, sf):
     kind = F.col("event_type")
     marked = (
@@ -62,15 +90,22 @@ def drop_header_rows(spark, sf):
 
 def fill_blank(spark, sf):
     customer = read_table(spark, sf, "customer").select("c_custkey", "c_name")
-    urgent = (
-        read_table(spark, sf, "orders")
-        .where("o_orderpriority = '1-URGENT'")
-        .select("o_orderkey", "o_custkey", "o_orderstatus")
-    )
-    joined = customer.join(urgent, F.col("c_custkey") == F.col("o_custkey"), "left")
+    orders = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    joined = customer.join(orders, F.col("c_custkey") == F.col("o_custkey"), "left")
     return feeds.fill_blank(joined)
 
 
+def redelivered_tab(spark, sf):
+    """A batch sent again without rows is gone; one sent again with others is replaced."""
+    df = read_table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    dest = fresh_path(spark, "tabs")
+    feeds.append_tab(df, dest, "Data", "first")
+    feeds.append_tab(df, dest, "Data", "a/b=%1")
+    feeds.append_tab(df.where("c_custkey % 3 = 0"), dest, "Data", "a/b=%1")
+    feeds.append_tab(df.where("c_custkey < 0"), dest, "Data", "first")
+    return feeds.read_tab(spark, dest, "Data", df.columns)
+
+
 def append_tab(spark, sf):
     df = read_table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
     some = F.when(F.col("c_custkey") % 4 != 0, F.col("c_mktsegment"))
@@ -90,6 +125,9 @@ QUERIES = {
     "csv_roundtrip": csv_roundtrip,
     "csv_roundtrip_text": csv_roundtrip_text,
     "csv_roundtrip_strings": csv_roundtrip_strings,
+    "csv_inferred": csv_inferred,
+    "rewrite_feed": rewrite_feed,
+    "redelivered_tab": redelivered_tab,
     "null_tokens": null_tokens,
     "overwrite_feed": overwrite_feed,
     "drop_header_rows": drop_header_rows,
@@ -105,6 +143,19 @@ ORACLE = {
                CAST(p_size AS VARCHAR) AS p_size
         FROM part
     """,
+    "csv_inferred": """
+        SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey,
+               CASE WHEN o_orderkey % 7 <> 0 THEN CAST(o_custkey AS INTEGER) END AS cust,
+               CASE WHEN o_orderkey % 5 <> 0 THEN o_orderkey / 4 END AS quarter,
+               CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey % 2 = 0 END AS even,
+               strftime(o_orderdate, '%Y-%m-%d') AS day, CAST(NULL AS VARCHAR) AS nothing
+        FROM orders
+    """,
+    "rewrite_feed": "SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name FROM part",
+    "redelivered_tab": """
+        SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_mktsegment FROM customer
+        WHERE c_custkey % 3 = 0
+    """,
     "null_tokens": """
         WITH marked AS (
             SELECT event_id,
@@ -131,8 +182,7 @@ ORACLE = {
                coalesce(CAST(o_orderkey AS VARCHAR), '') AS o_orderkey,
                coalesce(CAST(o_custkey AS VARCHAR), '') AS o_custkey,
                coalesce(o_orderstatus, '') AS o_orderstatus
-        FROM customer LEFT JOIN orders
-             ON o_custkey = c_custkey AND o_orderpriority = '1-URGENT'
+        FROM customer LEFT JOIN orders ON o_custkey = c_custkey
     """,
     "append_tab": """
         WITH delivered AS (

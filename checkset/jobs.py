@@ -13,9 +13,10 @@ from checkset.classifying import location_steps, preferences, salary, salary_typ
 from checkset.extracting import BOLD, H1, H2, ITEM
 from gleanspark.functions.text import clean_html
 from gleanspark.plans import listing, postings
+from gleanspark.plans.search import rejected_searches
 from gleanspark.plans.search import search_plan as plan_pages
 from gleanspark.schema import POSTING_COLUMNS, PROVIDER_FEED
-from gleanspark.sources.feeds import NULL_TOKENS, read_feed, read_tab, write_feed
+from gleanspark.sources.feeds import read_feed, read_tab, write_feed
 from gleanspark.sources.pages import read_pages
 from gleanspark.streaming.ingest import ingest_to_tab, page_stream
 from gleanspark.workspace import fresh_path
@@ -168,6 +169,29 @@ def stream_ingest(spark, sf):
     return tab.withColumn("page_id", F.col("page_id").cast("bigint"))
 
 
+def stream_two_feeds(spark, sf):
+    """Two streams with checkpoints of their own into one tab, one of them run twice."""
+
+    def job(pages):
+        return pages.select("page_id", "url")
+
+    dest = fresh_path(spark, "tabs")
+    for progress in (fresh_path(spark, "progress"), fresh_path(spark, "progress")):
+        for _ in range(2):
+            stream = page_stream(spark, f"{sf}/page[s].parquet")
+            ingest_to_tab(stream, job, dest, "Pages", progress).awaitTermination()
+    tab = read_tab(spark, dest, "Pages", ["page_id", "url"])
+    return tab.withColumn("page_id", F.col("page_id").cast("bigint"))
+
+
+def search_outcomes(spark, sf):
+    searches = planning.searches(spark, sf).withColumn("n_results", F.lit(1))
+    planned = plan_pages(searches, planning.BASE, "n_results", windows=4)
+    rejected = rejected_searches(searches, planning.BASE)
+    planned = planned.select("search_id", F.lit("planned").alias("outcome"))
+    return planned.unionByName(rejected.select("search_id", F.col("reason").alias("outcome")))
+
+
 QUERIES = {
     "feed_a": feed_a,
     "feed_b": feed_b,
@@ -179,9 +203,15 @@ QUERIES = {
     "search_plan": search_plan,
     "search_plan_fixed": search_plan_fixed,
     "stream_ingest": stream_ingest,
+    "stream_two_feeds": stream_two_feeds,
+    "search_outcomes": search_outcomes,
 }
 
-TOKENS = ", ".join(f"'{token}'" for token in NULL_TOKENS)
+# The texts that a feed's reader takes as missing.
+TOKENS = """
+    '', '#N/A', '#N/A N/A', '#NA', '-1.#IND', '-1.#QNAN', '-NaN', '-nan', '1.#IND', '1.#QNAN',
+    '<NA>', 'N/A', 'NA', 'NULL', 'NaN', 'None', 'n/a', 'nan', 'null'
+"""
 EMPTY = "CAST([] AS VARCHAR[])"
 
 FEED_A = f"""
@@ -328,6 +358,15 @@ ORACLE = {
         FROM planned
     """,
     "stream_ingest": f"SELECT page_id, {sql.clean_html('html')} AS text FROM pages",
+    "stream_two_feeds": """
+        SELECT page_id, url FROM pages UNION ALL SELECT page_id, url FROM pages
+    """,
+    "search_outcomes": f"""
+        WITH {planning.SEARCHES}
+        SELECT search_id, CASE WHEN search_url IS NOT NULL THEN 'planned'
+                               ELSE 'unclosed quote' END AS outcome
+        FROM searches
+    """,
 }
 
 ORACLE["remaining_profiles"] = f"""

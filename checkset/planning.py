@@ -74,7 +74,7 @@ def split_keywords(spark, sf):
     tokens = planning.split_keywords(F.col("keyword"))
     return (
         keyword_parts(spark, sf)
-        .select("p_partkey", F.posexplode(tokens).alias("pos", "token"))
+        .select("p_partkey", F.posexplode_outer(tokens).alias("pos", "token"))
         .withColumn("pos", F.col("pos").cast("bigint"))
     )
 
@@ -194,6 +194,7 @@ ORACLE = {
     "split_keywords": f"""
         WITH {KEYWORD_PARTS}
         SELECT p_partkey, unnest(range(len(tokens))) AS pos, unnest(tokens) AS token FROM tokens
+        UNION ALL SELECT p_partkey, NULL, NULL FROM tokens WHERE coalesce(len(tokens), 0) = 0
     """,
     "search_url": f"WITH {SEARCHES} SELECT search_id, search_url FROM searches",
     "page_plan_25": """

@@ -53,13 +53,15 @@ def zip_by_position(
     return a.join(b.drop(*keys), [*group, "pos"]).drop(*group)
 
 
-def to_column_lists(df: DataFrame, keys, slot: str, cols) -> DataFrame:
+def to_column_lists(df: DataFrame, keys, batch: str, slot: str, cols) -> DataFrame:
     """One row per batch, each column a list in slot order.
 
-    ``keys`` must hold the batch number of ``assign_batches``: its size bounds
-    the lists.
+    ``batch`` is the batch number of ``assign_batches`` within ``keys``: its size
+    bounds the lists.
     """
-    keys, cols = as_list(keys), as_list(cols)
+    if batch in as_list(keys):
+        raise ValueError("name the batch column apart from the keys")
+    keys, cols = [*as_list(keys), batch], as_list(cols)
     rows = F.array_sort(F.collect_list(F.struct(slot, *cols)))
     batches = df.groupBy(*keys).agg(rows.alias("_rows"))
     return batches.select(*keys, *[F.col(f"_rows.{c}").alias(c) for c in [slot, *cols]])

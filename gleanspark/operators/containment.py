@@ -29,7 +29,8 @@ def remove_contained_rows(
 
     Equal items stay, as do rows without an item. Small groups are shuffled
     once, to join their size, and compared where they are then. The rows of large
-    groups are written first, if there are any, as they are read several times.
+    groups are written first, as they are read several times; the sizes alone,
+    which are counted when this is called, tell if there are any.
     """
     grouped, group = with_group(df, as_list(keys))
     length = F.length(item)
@@ -40,7 +41,7 @@ def remove_contained_rows(
         F.bit_or(_opening(length)).alias("_openings"),
     )
     fits = (F.col("_rows") <= array_items) & (F.col("_chars") <= ARRAY_CHARS)
-    sizes = sizes.withColumn("_fits", fits)
+    sizes = settle(sizes.withColumn("_fits", fits), "sizes")
     sized = left_join_unique(
         grouped,
         sizes.select(*group, "_fits", "_openings"),
@@ -49,9 +50,9 @@ def remove_contained_rows(
         keep_part=True,
     )
     small = _keep_in_arrays(sized.where("_fits"), [*group, "_part"], df.columns, item)
-    large = settle(sized.where("NOT _fits").drop("_part"), "large")
-    if large.isEmpty():
+    if sizes.where("NOT _fits").isEmpty():
         return small
+    large = settle(sized.where("NOT _fits").drop("_part"), "large")
     return small.unionByName(_keep_by_openings(large, group, item).select(*df.columns))
 
 

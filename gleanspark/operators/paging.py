@@ -102,10 +102,13 @@ def in_domain_table(df: DataFrame, url: str, domains: DataFrame) -> DataFrame:
         lambda at: F.array_join(F.slice(labels, at, F.size(labels)), "."),
     )
     hosts = rows.where(F.col("_host").isNotNull()).select("_host").distinct()
-    listed = domains.select(F.lower("domain").alias("_domain"))
+    listed = domains.select(F.lower("domain").alias("_domain")).where("_domain IS NOT NULL")
+    listed = listed.distinct().withColumn("_listed", F.lit(True))
+    # Most hosts lie below a few domains, so these keys are divided.
+    parents = hosts.select("_host", F.explode(above).alias("_domain"))
     allowed = (
-        hosts.select("_host", F.explode(above).alias("_domain"))
-        .join(listed, "_domain", "left_semi")
+        look_up(parents, listed, "_domain", spread="_host")
+        .where("_listed")
         .select("_host")
         .distinct()
         .withColumn("_allowed", F.lit(True))

@@ -10,8 +10,8 @@ as there are only a few slices per partition it is joined by broadcast, before
 the shuffle. The rows are shuffled once, on group and slice, and windowed there.
 
 Which groups to cut is found when an operator is called: that counts the keys,
-and samples if a group is large. With no large group nothing else is added to a
-plain window.
+and samples if a group is large. With no large group a plain window only gets an
+empty table joined to it.
 """
 
 from dataclasses import dataclass
@@ -63,7 +63,7 @@ class Cut:
 
 
 def _splitters(rows: DataFrame, group: list[str], order: list[str]) -> DataFrame | None:
-    """Where each large group is cut: ``_splitters``, sorted; None if no group is large.
+    """Where each large group is cut: ``_cuts``, sorted; None if there are no rows.
 
     The sample is drawn by a hash of the order columns, so that it is the same
     whenever it is taken.
@@ -75,7 +75,9 @@ def _splitters(rows: DataFrame, group: list[str], order: list[str]) -> DataFrame
         counts = rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows"))
         hot = settle(hot_groups(counts, F.lit(total), parts), "large-groups")
         if hot.isEmpty():
-            return None
+            nothing = [F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in order]
+            none = hot.select(*group, F.array(F.struct(*nothing)).alias("_cuts"))
+            return settle(none, "splitters")
         large = rows.join(F.broadcast(hot), group)
     else:
         share = F.lit(float(parts)).alias("_share")
@@ -87,7 +89,7 @@ def _splitters(rows: DataFrame, group: list[str], order: list[str]) -> DataFrame
     step = F.greatest(F.lit(1), F.least(F.lit(SAMPLE_PER_SLICE), F.floor(F.col("_rows") / slices)))
     chosen = sample.withColumn("_number", number).where(F.col("_number") % step == 0)
     found = chosen.groupBy(*group).agg(
-        F.sort_array(F.collect_list(F.struct(*order))).alias("_splitters")
+        F.sort_array(F.collect_list(F.struct(*order))).alias("_cuts")
     )
     return settle(found, "splitters")
 
@@ -121,12 +123,13 @@ def cut(df: DataFrame, keys: list[str], order: list[str]) -> Cut:
         rows = rows.withColumn(SLICE, F.lit(0))
         return Cut(rows, rows.where(F.lit(False)), group)
     if group:
+        found = found.where(F.col("_cuts").isNotNull())
         rows = rows.join(F.broadcast(found), group, "left")
     else:
-        rows = rows.withColumn("_splitters", found.select("_splitters").scalar())
-    is_cut = F.col("_splitters").isNotNull()
-    place = F.when(is_cut, _rank(F.col("_splitters"), F.struct(*order))).otherwise(F.lit(0))
-    rows = rows.withColumns({SLICE: place, "_hot": is_cut}).drop("_splitters")
+        rows = rows.withColumn("_cuts", found.select("_cuts").scalar())
+    is_cut = F.col("_cuts").isNotNull()
+    place = F.when(is_cut, _rank(F.col("_cuts"), F.struct(*order))).otherwise(F.lit(0))
+    rows = rows.withColumns({SLICE: place, "_hot": is_cut}).drop("_cuts")
     return Cut(rows.drop("_hot"), rows.where("_hot").drop("_hot"), group)
 
 

@@ -4,6 +4,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gleanspark.workspace import settle
+
 # The texts a CSV reader takes as missing.
 NULL_TOKENS = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -43,17 +45,45 @@ def read_feed(
 ) -> DataFrame:
     """Read a feed; missing-value texts come back as null.
 
-    Give a schema where it is known: inferring one reads the files twice. As a
-    record may span lines, each file is read by one task; ``write_feed`` keeps
+    Give a schema where it is known: otherwise the files are read twice, and a
+    column is whole numbers, numbers or booleans if all of its values are; missing
+    ones do not count, days and times stay text. As a record may span lines, each file is read by one task; ``write_feed`` keeps
     files small for that. For a large file whose records never span lines, pass
     ``multi_line=False`` and it is split.
     """
     reader = spark.read.options(**CSV, multiLine=multi_line)
     if schema is not None:
-        reader = reader.schema(schema)
-    else:
-        reader = reader.option("inferSchema", not all_string)
-    return null_tokens(reader.csv(path))
+        return null_tokens(reader.schema(schema).csv(path))
+    texts = null_tokens(reader.csv(path))
+    return texts if all_string else inferred(texts)
+
+
+# What a value of a type looks like; Spark's own casts take more.
+SHAPES = {
+    "int": r"^[ \t]*[+-]?[0-9]{1,9}[ \t]*$",
+    "bigint": r"^[ \t]*[+-]?[0-9]{1,18}[ \t]*$",
+    "double": r"^[ \t]*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?[ \t]*$",
+    "boolean": r"^(true|True|TRUE|false|False|FALSE)$",
+}
+
+
+def inferred(df: DataFrame) -> DataFrame:
+    """Text columns as the first type of ``SHAPES`` that all their values have.
+
+    One pass over the table. A column without values stays text.
+    """
+    texts = _text_columns(df)
+    fits = [
+        F.coalesce(F.bool_and(F.col(f"`{c}`").rlike(shape)), F.lit(False)).alias(f"{i} {kind}")
+        for i, c in enumerate(texts)
+        for kind, shape in SHAPES.items()
+    ]
+    if not texts:
+        return df
+    found = df.agg(*fits).first()
+    kinds = {c: [k for k in SHAPES if found[f"{i} {k}"]] for i, c in enumerate(texts)}
+    typed = {c: F.trim(F.col(f"`{c}`")).cast(kind[0]) for c, kind in kinds.items() if kind}
+    return df.withColumns(typed)
 
 
 def write_feed(df: DataFrame, path: str, mode: str = "append") -> None:
@@ -78,6 +108,17 @@ def drop_header_rows(df: DataFrame) -> DataFrame:
     return df.where(~F.col(first).cast("string").eqNullSafe(F.lit(first)))
 
 
+def rewrite_without_headers(spark: SparkSession, path: str) -> DataFrame:
+    """Replace a feed by itself without its repeated header rows, and read it.
+
+    The rows to keep are written to the shared folder before the feed is
+    touched, so a run that fails half-way can be repeated from there.
+    """
+    kept = settle(drop_header_rows(read_feed(spark, path, all_string=True)), "feed")
+    write_feed(kept, path, mode="overwrite")
+    return kept
+
+
 def _blank(col: Column) -> Column:
     return F.coalesce(col.cast("string"), F.lit(""))
 
@@ -87,19 +128,26 @@ def fill_blank(df: DataFrame) -> DataFrame:
     return df.select(*[_blank(F.col(c)).alias(c) for c in df.columns])
 
 
+# The characters that the names of partition folders escape.
+ESCAPED = set('"#%\'*/:=?\\{[]^\x7f') | {chr(c) for c in range(1, 32)}
+
+
+def _folder(name: str, value: str) -> str:
+    if not value:
+        raise ValueError(f"the name of a {name} may not be empty")
+    return f"{name}=" + "".join(f"%{ord(c):02X}" if c in ESCAPED else c for c in value)
+
+
 def append_tab(df: DataFrame, dest: str, tab: str, batch: str) -> None:
     """Add rows to a tab of the table at ``dest``, creating either if missing.
 
-    Rows are text with ``""`` for null. ``batch`` names this delivery: sending
-    the same batch again replaces it, so a repeated job adds nothing twice.
+    Rows are text with ``""`` for null. ``batch`` names this delivery among all
+    of the tab: sending the same batch again replaces it, even by no rows, so a
+    repeated job adds nothing twice. Deliveries have folders of their own and
+    may be written at the same time.
     """
-    rows = fill_blank(df).withColumn("tab", F.lit(tab)).withColumn("batch", F.lit(batch))
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("tab", "batch")
-        .parquet(dest)
-    )
+    folder = f"{dest}/{_folder('tab', tab)}/{_folder('batch', batch)}"
+    fill_blank(df).write.mode("overwrite").parquet(folder)
 
 
 def read_tab(spark: SparkSession, dest: str, tab: str, columns: list[str]) -> DataFrame:

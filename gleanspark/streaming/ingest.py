@@ -1,5 +1,6 @@
 """New page captures only: the batch rules as a stream with a checkpoint."""
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,11 +30,16 @@ def ingest_to_tab(
     """Run ``job`` on every capture not seen before and append it to a tab.
 
     The checkpoint remembers what is done, so a later call goes on from there.
-    A micro-batch that is run again after a failure replaces its first try.
+    Deliveries are named by the id that the checkpoint keeps and the number of the
+    micro-batch: one that is run again after a failure replaces its first try,
+    and streams with checkpoints of their own never replace each other's. A new
+    checkpoint is a new stream, which delivers all captures again.
     """
+    spark = stream.sparkSession
 
     def deliver(batch: DataFrame, batch_id: int) -> None:
-        append_tab(job(batch), dest, tab, f"{batch_id:012d}")
+        kept = spark.read.text(f"{checkpoint}/metadata").first()
+        append_tab(job(batch), dest, tab, f"{json.loads(kept[0])['id']}-{batch_id:012d}")
 
     return (
         stream.writeStream.foreachBatch(deliver)

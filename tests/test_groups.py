@@ -271,7 +271,7 @@ def test_zip_ends_with_the_shorter_side(spark):
 
 def test_column_lists_round_trip(spark, skewed):
     batches = paging.assign_batches(skewed, "key", "pos", 10).drop("stop")
-    lists = combine.to_column_lists(batches, ["key", "batch"], "slot", ["pos"])
+    lists = combine.to_column_lists(batches, "key", "batch", "slot", ["pos"])
     assert lists.agg(F.max(F.size("pos"))).first()[0] == 10
     back = combine.from_column_lists(lists, ["key", "batch"], "slot", ["pos"])
     assert back.exceptAll(batches.select(back.columns)).count() == 0

@@ -105,6 +105,38 @@ def test_stream_takes_new_captures_only(spark, sf_dir):
     assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
 
 
+def test_streams_keep_apart(spark, sf_dir):
+    source = spark.read.parquet(f"{sf_dir}/pages.parquet").select(*PAGE.names)
+    one, two, dest = (workspace.fresh_path(spark, n) for n in ("one", "two", "out"))
+    source.where("page_id < 100").write.parquet(one)
+    source.where("page_id BETWEEN 100 AND 129").write.parquet(two)
+    progress = [workspace.fresh_path(spark, "progress") for _ in range(3)]
+    for landing, checkpoint in [(one, progress[0]), (two, progress[1]), (one, progress[0])]:
+        ingest_to_tab(page_stream(spark, landing), job, dest, "P", checkpoint).awaitTermination()
+    assert feeds.read_tab(spark, dest, "P", ["page_id"]).count() == 130
+    # A renewed checkpoint is a new stream: it adds, and takes nothing away.
+    ingest_to_tab(page_stream(spark, two), job, dest, "P", progress[2]).awaitTermination()
+    assert feeds.read_tab(spark, dest, "P", ["page_id"]).count() == 160
+
+
+def test_a_delivery_may_become_empty(spark):
+    df, dest = spark.range(5), workspace.fresh_path(spark, "tabs")
+    for rows in (df, df.limit(0)):
+        feeds.append_tab(rows, dest, "A", "1:2")
+    assert feeds.read_tab(spark, dest, "A", ["id"]).count() == 0
+    with pytest.raises(ValueError):
+        feeds.append_tab(df, dest, "A", "")
+
+
+def test_inferred_types(spark):
+    rows = [("1", "1.5", "true", "2024-01-01", None, "007", "1d"), (None, "-2e3", "False", "x", None, " 8", "2")]
+    df = spark.createDataFrame(rows, "a string, b string, c string, d string, e string, f string, g string")
+    got = feeds.inferred(df)
+    kinds = [t for _, t in got.dtypes]
+    assert kinds == ["int", "double", "boolean", "string", "string", "int", "string"]
+    assert [r.f for r in got.collect()] == [7, 8]
+
+
 def test_shared_dir_comes_from_the_session(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     assert workspace.fresh_path(spark, "x").startswith(folder)
