@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanspark.llm.rows import KEYS, matching, with_key
+from gleanspark.operators.skew import is_small
 from gleanspark.workspace import settle
 
 SPACE = r"[\x20\x09\x0B-\x0D]+"
@@ -172,6 +173,9 @@ def drop_recurring(
     drops = recurring_lines(wanted, tree)
     drops = drops.groupBy(*KEYS).agg(F.sort_array(F.collect_set("line_no")).alias("_drop"))
     drops = settle(drops, "drops").withColumnsRenamed({k: f"of{k}" for k in KEYS})
+    # Measured, as its estimate would let the plan differ from table to table.
+    if is_small(drops):
+        drops = F.broadcast(drops)
     rows = with_key(df, id_col, text_col)
     at = rows[KEYS[0]].eqNullSafe(drops[f"of{KEYS[0]}"]) & (rows[KEYS[1]] == drops[f"of{KEYS[1]}"])
     lines = F.split(F.col(text_col), "\n")
