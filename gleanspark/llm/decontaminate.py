@@ -32,6 +32,8 @@ BLOCK = 8
 TINY = 4
 # Bytes of items that a task holds at once; more are searched in further passes.
 ITEM_BYTES = 4 * 1024 * 1024
+# Bytes of documents that are split into words at once.
+TEXT_BYTES = 1024 * 1024
 # Shingles that are hashed together.
 AT_ONCE = 1 << 16
 
@@ -158,7 +160,19 @@ class ItemIndex:
                 found.add((first + int(owner[at]), item))
 
     def search(self, docs: list[bytes], hashes: WordHashes) -> list[tuple[int, int, int, int]]:
-        """``(document, item's name, its shingles, those found)`` where containment suffices."""
+        """``(document, item's name, its shingles, those found)`` where containment suffices.
+
+        Words take many times the room of their text, so a few documents are split at once.
+        """
+        out, begin, held = [], 0, 0
+        for end, text in enumerate(docs, 1):
+            held += len(text)
+            if held >= TEXT_BYTES or end == len(docs):
+                out += [(begin + h[0], *h[1:]) for h in self._found(docs[begin:end], hashes)]
+                begin, held = end, 0
+        return out
+
+    def _found(self, docs: list[bytes], hashes: WordHashes) -> list[tuple[int, int, int, int]]:
         words = [plain_words(t) for t in docs]
         marks = [_marks(w, self.size, hashes) for w in words]
         out, own, last = [], set(), None
