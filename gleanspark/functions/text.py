@@ -112,24 +112,35 @@ def ordered_distinct(items: Column) -> Column:
 
 
 def remove_contained(items: Column) -> Column:
-    """Drop an item that is part of a different item; equal items stay.
+    """Drop an item that is part of a different item; equal and null items stay.
 
-    Quadratic in the array, so meant for the fragments of one page. Groups
-    that arrive as rows go through ``operators.containment``.
+    Quadratic in the array, so meant for a few hundred fragments. Longer arrays
+    go through ``operators.containment.remove_contained_items``, groups that
+    arrive as rows through ``remove_contained_rows``.
     """
+
+    def contained(x: Column, all_items: Column) -> Column:
+        inside = F.exists(all_items, lambda y: (x != y) & F.contains(y, x))
+        # A null item leaves it open whether it holds this.
+        return F.coalesce(inside, F.lit(False))
+
     return let(
-        items,
-        lambda all_items: F.filter(
-            all_items,
-            lambda x: ~F.exists(all_items, lambda y: (x != y) & F.contains(y, x)),
-        ),
+        items, lambda all_items: F.filter(all_items, lambda x: ~contained(x, all_items))
     )
 
 
 def clean_description(items: Column) -> Column:
-    """Clean each fragment, drop empty, repeated and contained ones, join lines."""
-    cleaned = F.transform(items, clean_html)
-    return F.array_join(remove_contained(ordered_distinct(drop_empty(cleaned))), "\n")
+    """Clean each fragment, drop empty, repeated and contained ones, join lines.
+
+    For pages with thousands of fragments take ``description_parts`` and
+    ``operators.containment.remove_contained_items``.
+    """
+    return F.array_join(remove_contained(description_parts(items)), "\n")
+
+
+def description_parts(items: Column) -> Column:
+    """The fragments cleaned, without empty and repeated ones."""
+    return ordered_distinct(drop_empty(F.transform(items, clean_html)))
 
 
 def dedup_lines(col: Column) -> Column:

@@ -1,20 +1,34 @@
 """Containment between rows of a group, without pairing rows through a shuffle.
 
 Items of a group that is known to be small meet in one array. In any other
-group an item is found through its opening: its first 1, 2, 4, 8 or 16
-characters, whichever is the most it has. Every item is searched for openings of
-the sizes its group has, and where one occurs the piece of the right length is
-cut out. Pieces that equal an item of the group mark it as contained. Both ways
-are exact.
+group an item is found through one of its grams: 1, 2, 4, 8 or 16 characters,
+whichever is the most it has. Of its grams it takes one that is rare in a sample of
+the group, so what many items begin or end with finds nobody. Every item is
+searched for grams of the sizes its group has, and where one occurs the piece of the
+right length around it is cut out. Pieces that equal an item of the group mark it as
+contained. Both ways are exact: any of an item's grams finds it, and the
+sample only decides which.
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gleanspark.functions import text as texts
 from gleanspark.operators.skew import as_list, left_join_unique, shuffle_parts, with_group
 from gleanspark.workspace import settle
 
-OPENINGS = [1, 2, 4, 8, 16]
+GRAMS = [1, 2, 4, 8, 16]
+
+# Grams that an item chooses from, at even distances.
+CHOICES = 16
+# One in so many items is in the sample that tells which grams are rare.
+SAMPLED = 16
+# Characters in which an item is searched at a time, as finding a place in a text
+# takes longer the further in it lies.
+BLOCK = 1024
+
+# Fragments of one row that are compared in its array.
+ROW_ITEMS = 500
 
 # What a group may hold to be compared in one array; up to there that is the
 # quicker way as well.
@@ -38,13 +52,13 @@ def remove_contained_rows(
         F.count(F.lit(1)).alias("_rows"),
         F.coalesce(F.sum(length), F.lit(0)).alias("_chars"),
         # The sizes are powers of two, so together they are a set of bits.
-        F.bit_or(_opening(length)).alias("_openings"),
+        F.bit_or(_gram_size(length)).alias("_grams"),
     )
     fits = (F.col("_rows") <= array_items) & (F.col("_chars") <= ARRAY_CHARS)
     sizes = settle(sizes.withColumn("_fits", fits), "sizes")
     sized = left_join_unique(
         grouped,
-        sizes.select(*group, "_fits", "_openings"),
+        sizes.select(*group, "_fits", "_grams"),
         group,
         counts=sizes.where("NOT _fits").select(*group, "_rows"),
         keep_part=True,
@@ -53,12 +67,37 @@ def remove_contained_rows(
     if sizes.where("NOT _fits").isEmpty():
         return small
     large = settle(sized.where("NOT _fits").drop("_part"), "large")
-    return small.unionByName(_keep_by_openings(large, group, item).select(*df.columns))
+    return small.unionByName(_keep_by_grams(large, group, item).select(*df.columns))
 
 
-def _opening(length: Column) -> Column:
+def remove_contained_items(
+    df: DataFrame, keys, items: str, row_items: int = ROW_ITEMS
+) -> DataFrame:
+    """``functions.text.remove_contained`` for lists of any length; ``keys`` is unique.
+
+    Up to ``row_items`` entries are compared where they are. Longer lists are dealt out
+    as rows, reduced there and put together again, in the same order; they
+    are written first, so ``df`` is read once for these and once for all others.
+    A null list stays null, a null entry stays where it is.
+    """
+    keys, size = as_list(keys), F.coalesce(F.size(items), F.lit(0))
+    short = df.where(size <= row_items)
+    short = short.withColumn(items, texts.remove_contained(F.col(items)))
+    long = settle(df.where(size > row_items), "long-lists")
+    if long.isEmpty():
+        return short
+    entries = long.select(*keys, F.posexplode(items).alias("_pos", "_item"))
+    kept, group = with_group(remove_contained_rows(entries, keys, "_item", 0), keys)
+    rows, _ = with_group(long, keys)
+    entry = F.sort_array(F.collect_list(F.struct("_pos", "_item")))
+    lists = kept.groupBy(*group).agg(entry.alias("_kept"))
+    left = rows.join(lists, group, "left").withColumn(items, F.col("_kept._item"))
+    return short.unionByName(left.select(*df.columns))
+
+
+def _gram_size(length: Column) -> Column:
     size = F.lit(0)
-    for larger in OPENINGS:
+    for larger in GRAMS:
         size = F.when(length >= larger, F.lit(larger)).otherwise(size)
     return size
 
@@ -78,56 +117,112 @@ def _keep_in_arrays(
     return lists.select(F.inline(kept))
 
 
-def _keep_by_openings(rows: DataFrame, group: list[str], item: str) -> DataFrame:
+def _keep_by_grams(rows: DataFrame, group: list[str], item: str) -> DataFrame:
     copies = rows.groupBy(*group, item).agg(
-        F.count(F.lit(1)).alias("_rows"), F.first("_openings").alias("_openings")
+        F.count(F.lit(1)).alias("_rows"), F.first("_grams").alias("_grams")
     )
     items = copies.where(F.col(item).isNotNull()).drop("_rows")
-    contained = _by_openings(items, group, item).withColumn("_contained", F.lit(True))
-    counts = copies.drop("_openings")
+    contained = _contained(items, group, item).withColumn("_contained", F.lit(True))
+    counts = copies.drop("_grams")
     marked = left_join_unique(rows, contained, [*group, item], counts=counts)
     return marked.where(F.col("_contained").isNull())
 
 
-def _by_openings(items: DataFrame, group: list[str], item: str) -> DataFrame:
+def _contained(items: DataFrame, group: list[str], item: str) -> DataFrame:
     """Contained items; the work grows with the text, not with pairs of items.
 
-    Openings and items travel as hashes. A false match only cuts out another
+    Grams and items travel as hashes. A false match only cuts out another
     true piece of an item, shorter than it, so it changes nothing.
     """
-    text, length = F.col(item), F.col("_length")
-    ids = items.withColumn("_id", F.xxhash64(item)).withColumn("_length", F.length(item))
-    filled = ids.where(length > 0)
-    needles = filled.select(
-        *group,
-        F.xxhash64(F.substring(text, F.lit(1), _opening(length))).alias("_gram"),
-        length.alias("_cut"),
-    ).distinct()
-
-    # One row for each size of opening in the group and each place where it fits.
+    ids = items.withColumns(
+        {
+            "_id": F.xxhash64(item),
+            "_id2": F.xxhash64(F.lit("id"), item),
+            "_length": F.length(item),
+        }
+    )
+    filled = ids.where(F.col("_length") > 0)
+    pieces = (
+        _hits(filled, group, item)
+        .join(filled.select(*group, "_id", "_id2", item), [*group, "_id", "_id2"])
+        .select(*group, F.substring(F.col(item), F.col("_from"), F.col("_cut")).alias(item))
+    )
+
+    # An empty item is part of any other, whatever its place.
+    beside_empty = filled.select(*group, F.lit("").alias(item))
+    return pieces.unionByName(beside_empty).distinct()
+
+
+def _hits(filled: DataFrame, group: list[str], item: str) -> DataFrame:
+    """Where an item may hold another: ``_id, _id2, _from, _cut``.
+
+    ``filled`` has each item of a group once, none of them empty.
+    """
+    sample = filled.where(F.pmod("_id2", F.lit(SAMPLED)) == 0)
+    counts = settle(
+        _grams(sample, group, item)
+        .groupBy(*group, "_gram")
+        .agg(F.count(F.lit(1)).alias("_rows")),
+        "gram-counts",
+    )
+    needles = _needles(filled, group, item, counts)
+    probes = _grams(filled, group, item)
+    # A gram is divided if the sample says that it is in very many places.
+    spread = ["_id", "_at"]
+    found = left_join_unique(probes, needles, [*group, "_gram"], spread, counts=counts)
+    start = F.col("_at") - F.col("_shift")
+    inside = (start >= 1) & (start + F.col("_cut") - 1 <= F.col("_length"))
+    return found.where((F.col("_cut") < F.col("_length")) & inside).select(
+        *group, "_id", "_id2", start.alias("_from"), "_cut"
+    )
+
+
+def _grams(filled: DataFrame, group: list[str], item: str) -> DataFrame:
+    """One row for each size of gram in the group and each place ``_at`` where it fits."""
+    own = [*group, "_id", "_id2", "_length", "_grams"]
+    length, text = F.col("_length"), F.col(item)
+    blocks = F.transform(
+        F.sequence(F.lit(0), F.floor((length - 1) / BLOCK).cast("int")),
+        lambda number: F.struct(
+            (number * BLOCK).alias("_before"),
+            F.substring(text, number * BLOCK + 1, F.lit(BLOCK + max(GRAMS) - 1)).alias("_block"),
+        ),
+    )
+    # The texts are small next to the rows they become: keep them in many parts.
+    parts = shuffle_parts(filled)
+    spread = filled.select(*own, F.inline(blocks)).repartition(parts, "_id", "_before")
     places = F.transform(
         F.filter(
-            F.array(*map(F.lit, OPENINGS)),
-            lambda size: (size <= length) & (F.col("_openings").bitwiseAND(size) != 0),
+            F.array(*map(F.lit, GRAMS)),
+            lambda size: (F.col("_grams").bitwiseAND(size) != 0)
+            & (F.col("_before") + size <= length),
         ),
         lambda size: F.transform(
-            F.sequence(F.lit(1), length - size + 1),
+            F.sequence(F.lit(1), F.least(F.lit(BLOCK), length - F.col("_before") - size + 1)),
             lambda at: F.struct(
-                at.alias("_at"), F.xxhash64(F.substring(text, at, size)).alias("_gram")
+                (F.col("_before") + at).alias("_at"),
+                F.xxhash64(F.substring(F.col("_block"), at, size)).alias("_gram"),
             ),
         ),
     )
-    # The texts are small next to the rows they become: keep them in many parts.
-    spread = filled.repartition(shuffle_parts(items), "_id")
-    probes = spread.select(*group, "_id", "_length", F.inline(F.flatten(places)))
-    inside = (F.col("_cut") < length) & (F.col("_at") + F.col("_cut") - 1 <= length)
-    hits = probes.join(needles, [*group, "_gram"]).where(inside)
-    pieces = (
-        hits.select(*group, "_id", "_length", "_at", "_cut")
-        .join(ids.select(*group, "_id", "_length", item), [*group, "_id", "_length"])
-        .select(*group, F.substring(text, F.col("_at"), F.col("_cut")).alias(item))
+    return spread.select(*own, F.inline(F.flatten(places))).drop("_grams")
+
+
+def _needles(filled: DataFrame, group: list[str], item: str, counts: DataFrame) -> DataFrame:
+    """``_gram, _shift, _cut``: items by length and the place of the gram that finds them."""
+    length, text = F.col("_length"), F.col(item)
+    size = _gram_size(length)
+    step = F.greatest(F.lit(1), F.ceil((length - size) / (CHOICES - 1)).cast("int"))
+    shifts = F.array_union(F.sequence(F.lit(0), length - size, step), F.array(length - size))
+    choices = F.transform(
+        shifts,
+        lambda shift: F.struct(
+            shift.alias("_shift"), F.xxhash64(F.substring(text, shift + 1, size)).alias("_gram")
+        ),
     )
-
-    # An empty item is part of any other, whatever its place.
-    beside_empty = filled.select(*group, F.lit("").alias(item))
-    return pieces.unionByName(beside_empty).distinct()
+    own = [*group, "_id", "_id2", "_length"]
+    choices = filled.select(*own, F.inline(choices))
+    known = left_join_unique(choices, counts, [*group, "_gram"], "_id", counts=counts)
+    rarity = F.struct(F.coalesce("_rows", F.lit(0)).alias("_rows"), "_gram", "_shift")
+    best = known.groupBy(*own).agg(F.min(rarity).alias("_best"))
+    return best.select(*group, "_best._gram", "_best._shift", length.alias("_cut")).distinct()

@@ -89,7 +89,7 @@ def left_join_unique(
     counts: DataFrame | None = None,
     keep_part: bool = False,
 ) -> DataFrame:
-    """``df`` left join ``lookup`` on ``keys``, ``lookup`` having each key once.
+    """``df`` left join ``lookup`` on ``keys``, ``lookup`` having each key once, or seldom twice.
 
     A key that would fill more than a partition is divided, in proportion, and
     its look-up row repeated for each part; together that adds at most as many

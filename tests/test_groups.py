@@ -258,6 +258,50 @@ def test_contained_rows_of_documents_both_ways(spark, sf_dir):
     assert 0 < len(left) < lines.count()
 
 
+def test_a_common_opening_finds_nobody(spark):
+    rng = random.Random(8)
+    prefix = "https://jobs.example.com/"
+    links = {prefix + words(rng, "abcdefghij", rng.randint(3, 40)) for _ in range(4000)}
+    links |= {x[:-2] for x in sorted(links)[::10]} | {prefix}
+    df = spark.createDataFrame([("k", x) for x in sorted(links)], "k string, x string")
+    filled = df.select(
+        "k", "x", F.xxhash64("x").alias("_id"), F.xxhash64(F.lit("id"), "x").alias("_id2"),
+        F.length("x").alias("_length"), F.lit(16).alias("_grams"),
+    )
+    hits = containment._hits(filled, ["k"], "x")
+    # Each holds the prefix, and some hold a few more.
+    assert hits.count() < 3 * len(links)
+    kept = {r.x for r in containment.remove_contained_rows(df, "k", "x", 0).collect()}
+    text = "\n".join(sorted(links))
+    assert kept == {x for x in links if text.count(x) == 1}
+
+
+def test_contained_in_items_longer_than_a_block(spark):
+    rng = random.Random(9)
+    long = [words(rng, "abcdefgh ", n) for n in (1023, 1024, 1025, 5000, 40_000)]
+    spans = [(0, 20), (1010, 40), (1000, 23), (4000, 30), (1024, 16), (38_000, 2000)]
+    rows = long + [x[a : a + n] for x in long for a, n in spans if len(x) >= a + n]
+    df = spark.createDataFrame([("k", x) for x in rows], "k string, x string")
+    kept = containment.remove_contained_rows(df, "k", "x", 0).collect()
+    assert {r.x for r in kept} == set(long)
+
+
+def test_long_lists_are_handed_to_rows(spark):
+    rng = random.Random(10)
+    lists = [[words(rng, "ab", rng.randint(0, 9)) for _ in range(n)] for n in (0, 3, 30, 200)]
+    rows = [*enumerate([*lists, None, ["a", None, "ab", None]]), (None, lists[3])]
+    df = spark.createDataFrame(rows, "k int, items array<string>")
+
+    def kept(items):
+        return items and [
+            x for x in items if x is None or not any(y and x != y and x in y for y in items)
+        ]
+
+    for row_items in (1, 10, 1000):
+        got = containment.remove_contained_items(df, "k", "items", row_items).collect()
+        assert {r.k: r["items"] for r in got} == {k: kept(x) for k, x in rows}
+
+
 def test_zip_ends_with_the_shorter_side(spark):
     left = spark.createDataFrame(
         [("a", 3, "x"), ("a", 1, "y"), ("b", 1, "z"), (None, 2, "n")], "k string, l int, u string"
