@@ -9,6 +9,7 @@ from pyspark.sql.types import StructType
 
 from gleanspark.schema import PAGE
 from gleanspark.sources.feeds import append_tab
+from gleanspark.workspace import scratch
 
 
 def page_stream(
@@ -33,13 +34,16 @@ def ingest_to_tab(
     Deliveries are named by the id that the checkpoint keeps and the number of the
     micro-batch: one that is run again after a failure replaces its first try,
     and streams with checkpoints of their own never replace each other's. A new
-    checkpoint is a new stream, which delivers all captures again.
+    checkpoint is a new stream, which delivers all captures again. Tables that
+    ``job`` writes on the way are deleted once its batch is delivered.
     """
     spark = stream.sparkSession
 
     def deliver(batch: DataFrame, batch_id: int) -> None:
         kept = spark.read.text(f"{checkpoint}/metadata").first()
-        append_tab(job(batch), dest, tab, f"{json.loads(kept[0])['id']}-{batch_id:012d}")
+        name = f"{json.loads(kept[0])['id']}-{batch_id:012d}"
+        with scratch(spark):
+            append_tab(job(batch), dest, tab, name)
 
     return (
         stream.writeStream.foreachBatch(deliver)

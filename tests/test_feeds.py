@@ -1,11 +1,15 @@
 """Both sources from captured pages to the published tab."""
 
+from pathlib import Path
+
+import pytest
 from pyspark.sql import functions as F
 
 from gleanspark import workspace
 from gleanspark.plans import listing, postings
 from gleanspark.schema import NOT_AVAILABLE, PAGE, POSTING_COLUMNS
 from gleanspark.sources.feeds import read_tab
+from gleanspark.streaming import ingest
 
 SEARCH = postings.Search('"Data Scientist"', "New York", "2024-01-31")
 
@@ -148,3 +152,36 @@ def test_provider_listing(spark):
         key=lambda r: r[1],
     )
     assert listing.provider_feed(found).columns == ["Provider name", "Provider profile"]
+
+
+def test_scratch_deletes_what_was_written_inside(spark, tmp_path):
+    df = spark.range(5)
+    with workspace.scratch(spark):
+        outer = workspace.settle(df, "outer").inputFiles()[0].rsplit("/", 1)[0]
+        with pytest.raises(ZeroDivisionError), workspace.scratch(spark):
+            inner = workspace.settle(df, "inner")
+            inner.write.parquet(f"{tmp_path}/kept")
+            gone = inner.inputFiles()[0].rsplit("/", 1)[0]
+            1 / 0
+        assert not Path(gone.removeprefix("file://")).exists()
+        assert Path(outer.removeprefix("file://")).exists()
+    assert not Path(outer.removeprefix("file://")).exists()
+    assert spark.read.parquet(f"{tmp_path}/kept").count() == 5
+    stays = workspace.settle(df, "stays")
+    assert stays.count() == 5
+
+
+def test_a_stream_leaves_no_tables_behind(spark, tmp_path):
+    captures = spark.createDataFrame([(i, "u", "<p>") for i in range(4)], PAGE)
+    captures.write.parquet(f"{tmp_path}/pages")
+    before = set(Path(workspace.shared_dir(spark).removeprefix("file://")).iterdir())
+
+    def job(batch):
+        return workspace.settle(batch, "batch")
+
+    stream = ingest.page_stream(spark, f"{tmp_path}/pages")
+    query = ingest.ingest_to_tab(stream, job, f"{tmp_path}/tabs", "t", f"{tmp_path}/state")
+    query.awaitTermination()
+    rows = read_tab(spark, f"{tmp_path}/tabs", "t", captures.columns)
+    assert rows.count() == 4
+    assert set(Path(workspace.shared_dir(spark).removeprefix("file://")).iterdir()) == before
