@@ -13,8 +13,8 @@ from gleanspark.schema import POSTING_COLUMNS
 def lookup_first(df: DataFrame, keys, order, cols) -> DataFrame:
     """The ``cols`` of the first row of each key, by ``order``.
 
-    A minimum, so each task sends on one row per key. Ties in ``order`` go to
-    the smaller values.
+    A minimum, so each task sends on one row per key; it finds them by sorting
+    its rows, as Spark does for minima of rows. Ties in ``order`` go to the smaller values.
     """
     keys, order, cols = as_list(keys), as_list(order), as_list(cols)
     row = F.struct(
