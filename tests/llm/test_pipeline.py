@@ -1,6 +1,7 @@
 """Each stage of the pipeline against a brute-force version over its own input."""
 
 from collections import Counter
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -9,6 +10,7 @@ import tokenizers
 import corpus_pipeline
 from gleanspark.llm import quality, queries
 from gleanspark.llm.tokens import VOCABULARY
+from gleanspark.workspace import shared_dir
 from tests.llm import odd, test_decontaminate, test_packing, test_quality, test_simhash
 
 
@@ -97,3 +99,14 @@ def test_run_is_the_stages_in_a_row(spark, sf_dir):
 
 def test_empty_tables(spark):
     assert corpus_pipeline.run(spark, odd.folder(spark)).count() == 0
+
+
+def test_run_leaves_the_results_of_stages_only(spark):
+    path = odd.folder(spark)
+    shared = Path(shared_dir(spark).removeprefix("file:"))
+    before = set(shared.iterdir())
+    corpus_pipeline.run(spark, path).count()
+    left = Counter(p.name.rpartition("-")[0] for p in set(shared.iterdir()) - before)
+    names = [name.replace(" ", "-") for name, _ in corpus_pipeline.STAGES[:-1]]
+    # Packing reads its tokens when its result is read.
+    assert left == Counter([*names, "tokens"])
