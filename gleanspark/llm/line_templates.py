@@ -2,10 +2,13 @@
 
 A line goes down a tree of fixed depth: its number of tokens, then its leading
 tokens, where a token with a digit counts as a variable. In the leaf the other
-tokens are generalised: a token that ``min_docs`` lines of the leaf have in that
-place is fixed, any other is a variable. Lines whose fixed tokens agree
-share a template if enough of the tokens are fixed; otherwise, and if it is
-short, a line stands for itself. A template found in ``min_docs`` documents
+tokens are generalised: a token is as frequent as there are lines of the leaf
+with it in that place. Those tokens of a line that must be fixed if it is to have
+a template, the most frequent ones, say how many lines the template has; any
+other is fixed if a good part of as many lines have it, and a variable if not,
+so that a field's values stay variables however often each of them is found.
+Lines whose fixed tokens agree share a template; a line with too few of them, or
+a short one, stands for itself. A template found in ``min_docs`` documents
 recurs: its lines stay in the first of these and are dropped from all others.
 
 All of this is counted, not clustered one line after the other, so the result
@@ -30,12 +33,14 @@ LINE = ["leaf", "one", "two"]
 class Tree:
     """``depth`` leading tokens; lines of fewer than ``least`` tokens recur word for word only.
 
-    Of a longer line at least ``fixed_share`` of the tokens must be fixed.
+    Of a longer line at least ``fixed_share`` of the tokens must be fixed: found
+    in ``min_docs`` lines, and in ``field_share`` as many as the last of these tokens.
     """
 
     depth: int = 3
     least: int = 5
     fixed_share: float = 0.7
+    field_share: float = 0.5
     min_docs: int = 3
 
 
@@ -89,20 +94,23 @@ def _generalised(df: DataFrame, lines: DataFrame, tree: Tree) -> DataFrame:
         "line-tokens",
     )
     spot = ["leaf", "pos", "token"]
-    fixed = tokens.groupBy(*spot).agg(F.sum("docs").alias("all"))
-    fixed = settle(fixed.where(F.col("all") >= tree.min_docs).select(*spot), "fixed-tokens")
-    kept = tokens.join(fixed, spot).groupBy(*LINE, "n")
+    counted = tokens.groupBy(*spot).agg(F.sum("docs").alias("all"))
+    counted = settle(counted.where(F.col("all") >= tree.min_docs), "counted-tokens")
+    found = F.collect_list(F.struct("all", "pos", "token"))
+    kept = tokens.join(counted, spot).groupBy(*LINE, "n")
+    kept = kept.agg(F.sort_array(found, asc=False).alias("found"))
+    # Null if the line has fewer tokens than must be fixed.
+    last = F.get("found", F.ceil(tree.fixed_share * F.col("n")).cast("int") - 1)["all"]
+    fixed = F.filter("found", lambda t: t["all"] >= tree.field_share * F.col("last"))
+    fixed = F.array_sort(F.transform(fixed, lambda t: F.struct(t["pos"], t["token"])))
     return (
-        kept.agg(
-            F.count(F.lit(1)).alias("fixed"),
-            F.bit_xor(F.xxhash64("pos", "token")).alias("t_one"),
-            F.bit_xor(F.xxhash64(F.lit("two"), "pos", "token")).alias("t_two"),
-        )
-        .where(F.col("fixed") >= tree.fixed_share * F.col("n"))
+        kept.withColumn("last", last)
+        .where(F.col("last").isNotNull())
+        .select(*LINE, fixed.alias("fixed"))
         .select(
             *LINE,
-            F.xxhash64(F.lit("template"), "leaf", "t_one").alias("t_one"),
-            F.xxhash64(F.lit("template"), "leaf", "t_two").alias("t_two"),
+            F.xxhash64(F.lit("template"), "leaf", "fixed").alias("t_one"),
+            F.xxhash64(F.lit("template two"), "leaf", "fixed").alias("t_two"),
         )
     )
 

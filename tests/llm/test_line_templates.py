@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 
 import pytest
@@ -6,6 +7,10 @@ from gleanspark.llm import line_templates
 from tests.llm import odd
 
 
+def letters(i):
+    return "".join(chr(97 + int(d)) for d in str(i))
+
+
 def dropped(spark, texts, **tree):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     found = line_templates.drop_recurring(docs, tree=line_templates.Tree(**tree))
@@ -33,6 +38,28 @@ def test_variable_fields_are_generalised(spark):
     assert found == {0: texts[0], 1: "rest bob", 2: "rest cid", 3: "rest dora"}
 
 
+@pytest.mark.parametrize("n", [30, 300, 3000])
+def test_a_template_drops_alike_in_few_and_many_documents(spark, n):
+    rng = random.Random(n)
+    texts = []
+    for i in range(n):
+        name, carrier = f"name{letters(rng.randrange(300))}", f"by{letters(rng.randrange(26))}"
+        texts.append(f"Your parcel for {name} was handed to {carrier} this morning, thank you\nrest")
+    found = dropped(spark, [t.replace("rest", letters(i)) for i, t in enumerate(texts)])
+    assert sum("parcel" in t for t in found.values()) == 1
+    assert all(t.endswith(letters(i)) for i, t in found.items())
+
+
+def test_three_fields_of_a_hundred_values(spark):
+    rng = random.Random(1)
+    parts = ["we hereby confirm that", "has sent the order of", "to the house in", "with many thanks"]
+    texts = []
+    for _ in range(3000):
+        fields = [letters(rng.randrange(100)) for _ in range(3)]
+        texts.append(" ".join(x for p in zip(parts, [*fields, "today"]) for x in p))
+    assert Counter(dropped(spark, texts).values())[""] == 2999
+
+
 def test_a_leaf_may_hold_many_templates(spark):
     texts = []
     for i in range(6):
