@@ -7,8 +7,8 @@ with it in that place. Those tokens of a line that must be fixed if it is to hav
 a template, the most frequent ones, say how many lines the template has; any
 other is fixed if a good part of as many lines have it, and a variable if not,
 so that a field's values stay variables however often each of them is found.
-Lines whose fixed tokens agree share a template; a line with too few of them, or
-a short one, stands for itself. A template found in ``min_docs`` documents
+Lines whose fixed tokens agree share a template; a line with too few of them, one
+that is mostly variables, or a short one, stands for itself. A template found in ``min_docs`` documents
 recurs: its lines stay in the first of these and are dropped from all others.
 
 All of this is counted, not clustered one line after the other, so the result
@@ -33,19 +33,24 @@ LINE = ["leaf", "one", "two"]
 class Tree:
     """``depth`` leading tokens; lines of fewer than ``least`` tokens recur word for word only.
 
-    Of a longer line at least ``fixed_share`` of the tokens must be fixed: found
-    in ``min_docs`` lines, and in ``field_share`` as many as the last of these tokens.
+    Of a longer line at least ``literal_share`` of the tokens must be without a digit,
+    and of these at least ``fixed_share`` fixed: found in ``min_docs`` lines, and in
+    ``field_share`` as many as the last of these tokens.
     """
 
     depth: int = 3
     least: int = 5
+    literal_share: float = 0.5
     fixed_share: float = 0.7
     field_share: float = 0.5
     min_docs: int = 3
 
 
+MASK = "<*>"
+
+
 def _masked(tokens: Column) -> Column:
-    return F.transform(tokens, lambda t: F.when(t.rlike("[0-9]"), F.lit("<*>")).otherwise(t))
+    return F.transform(tokens, lambda t: F.when(t.rlike("[0-9]"), F.lit(MASK)).otherwise(t))
 
 
 def _lines(df: DataFrame, tree: Tree) -> DataFrame:
@@ -87,20 +92,23 @@ def _generalised(df: DataFrame, lines: DataFrame, tree: Tree) -> DataFrame:
         & (held["line_no"] == at["ofline_no"])
     )
     read = held.join(at, there).select(*LINE, "n", "docs", _masked(F.col("tokens")).alias("tokens"))
+    literal = F.filter("tokens", lambda t: t != MASK)
+    read = read.dropDuplicates(LINE).withColumn("literals", F.size(literal))
     tokens = settle(
-        read.dropDuplicates(LINE)
-        .select(*LINE, "n", "docs", F.posexplode("tokens").alias("pos", "token"))
-        .select(*LINE, "n", "docs", "pos", F.xxhash64("token").alias("token")),
+        read.where(F.col("literals") >= tree.literal_share * F.col("n"))
+        .select(*LINE, "literals", "docs", F.posexplode("tokens").alias("pos", "token"))
+        .where(F.col("token") != MASK)
+        .select(*LINE, "literals", "docs", "pos", F.xxhash64("token").alias("token")),
         "line-tokens",
     )
     spot = ["leaf", "pos", "token"]
     counted = tokens.groupBy(*spot).agg(F.sum("docs").alias("all"))
     counted = settle(counted.where(F.col("all") >= tree.min_docs), "counted-tokens")
     found = F.collect_list(F.struct("all", "pos", "token"))
-    kept = tokens.join(counted, spot).groupBy(*LINE, "n")
+    kept = tokens.join(counted, spot).groupBy(*LINE, "literals")
     kept = kept.agg(F.sort_array(found, asc=False).alias("found"))
     # Null if the line has fewer tokens than must be fixed.
-    last = F.get("found", F.ceil(tree.fixed_share * F.col("n")).cast("int") - 1)["all"]
+    last = F.get("found", F.ceil(tree.fixed_share * F.col("literals")).cast("int") - 1)["all"]
     fixed = F.filter("found", lambda t: t["all"] >= tree.field_share * F.col("last"))
     fixed = F.array_sort(F.transform(fixed, lambda t: F.struct(t["pos"], t["token"])))
     return (

@@ -79,6 +79,18 @@ def test_number_lines_stay(spark):
     assert dropped(spark, texts) == dict(enumerate(texts))
 
 
+@pytest.mark.parametrize("n", [5, 7, 10])
+def test_numeric_rows_stay(spark, n):
+    rows = [" ".join(f"{1000 * i + 7 * j}.{i}" for j in range(n)) for i in range(6)]
+    texts = [f"{r}\nBerlin {r}" for r in rows]
+    assert dropped(spark, texts) == dict(enumerate(texts))
+
+
+def test_numbers_between_words_are_fields(spark):
+    texts = [f"{i}:00 job {i} of user {i * 7} took {i}ms\n{letters(i)}" for i in range(6)]
+    assert dropped(spark, texts) == {0: texts[0], **{i: letters(i) for i in range(1, 6)}}
+
+
 def test_white_space_does_not_tell_lines_apart(spark):
     texts = ["the same  line\t", "  the same line", "the\x0bsame line\r"]
     assert dropped(spark, texts) == {0: texts[0], 1: "", 2: ""}
