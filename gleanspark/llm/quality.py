@@ -156,6 +156,11 @@ def _labels(labels: DataFrame, id_col: str, risk: Risk) -> DataFrame:
     )
 
 
+def fitted_share(labels: DataFrame, risk: Risk) -> float:
+    """The share of the labels below which ``spot`` is in the vocabulary's fold."""
+    return min(risk.fit_share, risk.fit_rows / max(labels.count(), 1))
+
+
 def fit_vocabulary(
     df: DataFrame, labels: DataFrame, id_col: str, text_col: str, risk: Risk
 ) -> dict[bytes, float]:
@@ -164,8 +169,7 @@ def fit_vocabulary(
     A word counts once per document. It needs five bad documents and a
     difference of four standard errors between bad and good ones.
     """
-    total = labels.count()
-    share = min(risk.fit_share, risk.fit_rows / max(total, 1))
+    share = fitted_share(labels, risk)
     sample = F.broadcast(labels.where(F.col("spot") < share).select("label_id", "bad"))
     texts = df.select(F.col(id_col).alias("label_id"), F.col(text_col).alias("text"))
     mark, space = r"[!-/:-@\[-`{-~]*", r"[\x20\x09-\x0D]+"
@@ -237,7 +241,7 @@ def choose_cutoffs(measured: DataFrame, labels: DataFrame, risk: Risk) -> DataFr
 
     A stratum without enough good holdout documents gets no cutoff.
     """
-    holdout = labels.where(F.col("spot") >= risk.fit_share)
+    holdout = labels.where(F.col("spot") >= fitted_share(labels, risk))
     judged = measured.where(~base_failed()).join(holdout, F.col(KEYS[0]) == F.col("label_id"))
     steps = F.array(*(F.struct(F.lit(r).alias("rule"), _step(r).alias("step")) for r in RULES))
     counts = settle(

@@ -69,6 +69,29 @@ def test_held_out_accuracy(spark, sf_dir):
     assert all(found[d]["kept"] for d, _ in judged if strata[d] == "es")
 
 
+def test_every_label_is_in_one_fold(spark, monkeypatch):
+    n, risk = 400, quality.Risk(fit_rows=40)
+    docs = [(i, " ".join(f"w{i}x{j}" for j in range(25)), "en") for i in range(n)]
+    docs = spark.createDataFrame(docs, "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame(
+        [(i, 1, 0) for i in range(n)], "doc_id bigint, quality int, toxic int"
+    )
+    marks = quality._labels(labels, "doc_id", risk).cache()
+    fitted = {r[0] for r in marks.where(f"spot < {quality.fitted_share(marks, risk)}").collect()}
+    held, settle = [], quality.settle
+
+    def kept(df, label):
+        held.append(df)
+        return settle(df, label)
+
+    monkeypatch.setattr(quality, "settle", kept)
+    measured = quality.measure(docs, "doc_id", "text", "lang", {})
+    quality.choose_cutoffs(measured, marks, risk)
+    counted = held[0].groupBy("rule").agg(quality.F.sum("good").alias("n")).collect()
+    assert 0 < len(fitted) < 0.2 * n
+    assert {r["n"] for r in counted} == {n - len(fitted)}
+
+
 def test_binomial_tail():
     assert quality.binomial_tail(0, 10, 0.1) == pytest.approx(0.9**10)
     assert quality.binomial_tail(1, 10, 0.1) == pytest.approx(0.9**10 + 10 * 0.1 * 0.9**9)
