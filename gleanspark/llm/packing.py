@@ -1,6 +1,8 @@
 """Training sequences filled with lexically near documents.
 
-Documents are dealt at random to shards of about ``shard_tokens`` ids. Each shard has an
+Documents are ordered by a lexical key, a weighted MinHash of their terms, and the order
+is cut into shards of about ``shard_tokens`` ids, so neighbours share a shard however
+many there are. Each shard has an
 inverted index of its own, whose terms are token ids, with document
 frequencies over the whole corpus. A seed's window is filled with the unused
 documents that BM25 ranks nearest; the last one is cut where the window ends, and its
@@ -9,6 +11,7 @@ A long document first fills windows by itself; only its rest is a seed or a
 neighbour.
 """
 
+import bisect
 import math
 import zlib
 from dataclasses import dataclass
@@ -19,20 +22,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleanspark.llm.batches import runs
-from gleanspark.llm.tokens import END, VOCABULARY, tokenized
+from gleanspark.llm.tokens import VOCABULARY, tokenized
 
 
 @dataclass(frozen=True)
 class Packing:
-    """``query_terms`` of a seed, those that weigh most, ask the index."""
+    """All terms of a seed ask the index, but those in half of the corpus or more.
+
+    Shards are cut by a sample of ``samples`` documents for each, ``most_samples`` in all.
+    """
 
     length: int = 1024
     shard_tokens: int = 1 << 20
-    query_terms: int = 32
+    samples: int = 100
+    most_samples: int = 1 << 20
     k1: float = 1.2
     b: float = 0.75
 
 
+def term_counts(ids: np.ndarray, keep: np.ndarray | None = None):
+    """The different ids, those that ``keep`` marks if given, and how often each is found."""
+    found = np.sort(ids if keep is None else ids[keep[ids]])
+    if not len(found):
+        return found, np.zeros(0, np.int64)
+    edges = np.concatenate(([0], np.flatnonzero(found[1:] != found[:-1]) + 1, [len(found)]))
+    return found[edges[:-1]], edges[1:] - edges[:-1]
+
+
 def document_frequencies(tokens: DataFrame) -> dict[int, int]:
     """In how many documents each token id occurs; no larger than the vocabulary."""
 
@@ -40,7 +56,7 @@ def document_frequencies(tokens: DataFrame) -> dict[int, int]:
         total = np.zeros(1 << 16, np.int64)
         for batch in batches:
             for ids in batch.column("ids").to_pylist():
-                total[np.unique(np.frombuffer(ids, "<u2")[:-1])] += 1
+                total[term_counts(np.frombuffer(ids, "<u2")[:-1])[0]] += 1
         terms = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
             [pa.array(terms.astype(np.int32)), pa.array(total[terms])], names=["term", "docs"]
@@ -50,11 +66,84 @@ def document_frequencies(tokens: DataFrame) -> dict[int, int]:
     return {r["term"]: r["docs"] for r in counted.groupBy("term").agg(F.sum("docs").alias("docs")).collect()}
 
 
+KEY_TERMS = 4
+#: A draw for each term, the same in all tasks.
+DRAWS = -np.log1p(-np.random.default_rng(6).random(1 << 16))
+
+
+def lexical_key(ids: np.ndarray, weights: np.ndarray, keep: np.ndarray, how: Packing) -> int:
+    """The first ``KEY_TERMS`` terms by weighted MinHash, the first one leading.
+
+    Two documents agree in a term the likelier, the more weight they share.
+    ``keep`` marks the terms that may be one.
+    """
+    terms, counts = term_counts(ids, keep)
+    strength = weights[terms] * counts / (counts + how.k1) / DRAWS[terms]
+    key = 0
+    for term in terms[np.argsort(-strength, kind="stable")[:KEY_TERMS]].tolist():
+        key = key << 16 | term
+    return key << 16 * max(0, KEY_TERMS - len(terms))
+
+
+def _keys(batch: pa.RecordBatch, weights: np.ndarray, how: Packing) -> list[int]:
+    """The keys of a batch, as signed numbers."""
+    ids, keep = (np.frombuffer(x, "<u2") for x in batch.column("ids").to_pylist()), weights > 0
+    return [lexical_key(i, weights, keep, how) - (1 << 63) for i in ids]
+
+
+def key_weights(idf: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """Rare terms lead, but not those in fewer than five documents, which gather few."""
+    return np.where(docs >= 5, idf**4, 0.0)
+
+
+def splitters(sample: pa.Table, shards: int) -> list[tuple[int, int]]:
+    """The ``(key, row)`` at which the shards after the first begin; sizes are ``n``."""
+    key, row, n = (sample.column(c).to_numpy() for c in ("key", "row", "n"))
+    order = np.lexsort((row, key))
+    begin = np.cumsum(n[order]) - n[order]
+    cuts = np.searchsorted(begin, n.sum() * np.arange(1, shards) / shards)
+    return [(int(key[i]), int(row[i])) for i in order[np.unique(cuts[cuts < len(order)])]]
+
+
+def deal(tokens: DataFrame, shards: int, weights, how: Packing, docs: int) -> DataFrame:
+    """``tokens`` with a column ``shard``; ``weights()`` gives those of ``lexical_key``."""
+    if shards == 1:
+        return tokens.withColumn("shard", F.lit(0).cast("bigint"))
+
+    def keyed(batches):
+        own = weights()
+        for batch in batches:
+            keys = pa.array(_keys(batch, own, how), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [keys, batch.column("row"), batch.column("n")], names=["key", "row", "n"]
+            )
+
+    parts = 1_000_000
+    rate = min(1.0, min(how.samples * shards, how.most_samples) / docs)
+    chosen = F.pmod(F.xxhash64(F.lit("sample"), "row"), F.lit(parts)) < math.ceil(rate * parts)
+    sample = tokens.where(chosen).select("row", "n", "ids")
+    sample = sample.mapInArrow(keyed, "key bigint, row bigint, n bigint").toArrow()
+    cuts = tokens.sparkSession.sparkContext.broadcast(splitters(sample, shards))
+
+    def dealt(batches):
+        own = weights()
+        for batch in batches:
+            at = zip(_keys(batch, own, how), batch.column("row").to_pylist(), strict=True)
+            shard = pa.array([bisect.bisect_right(cuts.value, x) for x in at], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, shard], names=[*batch.schema.names, "shard"]
+            )
+
+    columns = ", ".join(f"{n} {t}" for n, t in tokens.dtypes)
+    return tokens.mapInArrow(dealt, f"{columns}, shard bigint")
+
+
 class Index:
     """BM25 weights of the units of one shard, by term."""
 
     def __init__(self, units: list[np.ndarray], idf: np.ndarray, how: Packing):
-        found = [np.unique(u[u != END], return_counts=True) for u in units]
+        keep = idf > 0
+        found = [term_counts(u, keep) for u in units]
         owner = np.repeat(np.arange(len(units)), [len(t) for t, _ in found])
         terms = np.concatenate([t for t, _ in found]).astype(np.int64)
         tf = np.concatenate([c for _, c in found]).astype(np.float64)
@@ -65,12 +154,7 @@ class Index:
         self.owner, self.weight = owner[order], weight[order]
         bounds = np.searchsorted(terms[order], np.arange(len(idf) + 1))
         self.begin, self.end = bounds[:-1], bounds[1:]
-        at = np.concatenate(([0], np.cumsum([len(t) for t, _ in found])))
-        self.query = []
-        for i in range(len(units)):
-            own = slice(at[i], at[i + 1])
-            strongest = np.argsort(-weight[own], kind="stable")[: how.query_terms]
-            self.query.append(terms[own][strongest])
+        self.query = [t for t, _ in found]
         self.size = len(units)
 
     def scores(self, unit: int) -> np.ndarray:
@@ -157,10 +241,15 @@ def pack(
     frequencies = spark.sparkContext.broadcast(document_frequencies(tokens))
     corpus = total["docs"]
 
-    def work(batches):
-        idf = np.zeros(1 << 16)
+    def inverse():
+        idf, found = np.zeros(1 << 16), np.zeros(1 << 16, np.int64)
         for term, docs in frequencies.value.items():
             idf[term] = max(0.0, math.log((corpus - docs + 0.5) / (docs + 0.5)))
+            found[term] = docs
+        return idf, found
+
+    def work(batches):
+        idf, _ = inverse()
         for rows in runs(batches, "shard"):
             number = rows.column("shard")[0].as_py()
             pieces = list(_shard(rows, idf, how))
@@ -183,6 +272,8 @@ def pack(
         f"doc_id {dict(df.dtypes)[id_col]}, start bigint, length bigint, ids_crc32 bigint, "
         "doc_tokens bigint, sequence_id bigint, offset bigint" + ", ids binary" * with_ids
     )
-    dealt = tokens.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)))
+    weights = lambda: key_weights(*inverse())
+    wanted = tokens.select("id", "row", "n", "ids")
+    dealt = deal(wanted, shards, weights, how, corpus)
     dealt = dealt.repartition("shard").sortWithinPartitions("shard", "row")
     return dealt.mapInArrow(work, schema)

@@ -76,6 +76,58 @@ def test_neighbours_share_windows():
         assert len(kinds) <= 2
 
 
+def nearest(units, idf, inside):
+    """The best score among ``inside[i]`` of each unit, as a share of the best of all."""
+    index, found = packing.Index(units, idf, packing.Packing()), []
+    for i in range(len(units)):
+        scores = index.scores(i)
+        scores[i] = 0
+        found.append(max(scores[inside[i]], default=0) / scores.max())
+    return np.mean(found)
+
+
+@pytest.mark.parametrize("n", [400, 1600])
+def test_neighbours_share_a_shard_at_every_size(spark, n):
+    rng, vocabulary = np.random.default_rng(n), tokenizers.Tokenizer.from_file(VOCABULARY).get_vocab()
+    words = sorted(w[1:] for w in vocabulary if w[0] == "Ġ" and w[1:].isascii() and w[1:].isalpha())
+    words = rng.permutation(words)
+    topics = words[300:][: 4 * n].reshape(-1, 40)
+    texts = []
+    for i in range(n):
+        own = [*rng.choice(topics[i % len(topics)], 30), *rng.choice(words[:300], 30)]
+        texts.append(" ".join(["", *rng.permutation(own)]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    how = packing.Packing(length=128, shard_tokens=3000)
+    shard = {r["doc_id"]: r["sequence_id"] >> 32 for r in packing.pack(docs, how=how).collect()}
+    shard = np.array([shard[i] for i in range(n)])
+    sizes = 61 * np.bincount(shard)
+    assert len(sizes) >= n * 61 // 3000 and sizes.max() <= 2 * 3000
+    encoder = Encoder(VOCABULARY)
+    units = [np.array(encoder.ids(t)) for t in texts]
+    df = np.bincount(np.concatenate([np.unique(u) for u in units]), minlength=1 << 16)
+    idf = np.where(df, np.maximum(0, np.log((n - df + 0.5) / (df + 0.5))), 0)
+    share = nearest(units, idf, [np.flatnonzero(shard == s) for s in shard])
+    print("nearest", n, len(sizes), round(share, 3))
+    assert share >= 0.75
+
+
+def test_copies_of_one_text_fill_many_shards(spark):
+    docs = spark.createDataFrame([(i, "one text found often " * 5) for i in range(300)]
+        + [(1000 + i, f"other {i} words {i * i}") for i in range(400)], "doc_id bigint, text string")
+    how = packing.Packing(length=64, shard_tokens=512)
+    found = packing.pack(docs, how=how).collect()
+    shards = Counter(r["sequence_id"] >> 32 for r in found for _ in range(r["length"]))
+    assert max(shards.values()) <= 2 * 512
+
+
+def test_all_terms_of_a_seed_are_asked():
+    units = [np.arange(1, 101), np.array([100, 7]), np.array([99, 200])]
+    idf = np.zeros(1 << 16)
+    idf[1:300] = np.linspace(9, 1, 299)
+    found = packing.Index(units, idf, packing.Packing()).scores(0)
+    assert found[1] > 0 and found[2] > 0
+
+
 def test_scores_are_bm25():
     units = [np.array(u) for u in ([5, 6, 7, 5], [5, 8], [9, 9, 9], [6, 7])]
     idf = np.zeros(1 << 16)
