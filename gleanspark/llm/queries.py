@@ -5,13 +5,16 @@ from pyspark.sql import functions as F
 
 from gleanspark.llm import (
     chat,
+    context_tree,
     decontaminate,
     line_templates,
     packing,
     quality,
+    ranked_search,
     sharding,
     simhash,
     substring,
+    token_alignment,
     token_shards,
     warc,
 )
@@ -88,6 +91,19 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumns(ids).drop("url")
 
 
+def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.score(_read(spark, sf_dir, "documents"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark")
+    return ranked_search.search(documents, benchmark).drop("reads", "postings")
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(_read(spark, sf_dir, "documents"), with_groups=False)
+
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_token_output": op2_token_output,
@@ -99,6 +115,9 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_warc": op10_warc,
+    "op11_lm_scoring": op11_lm_scoring,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLE = {
@@ -223,4 +242,33 @@ ORACLE = {
             CASE WHEN original <> page_id THEN original END AS refers_to
         FROM payloads LEFT JOIN originals USING (payload_digest)
     """,
+    "op12_ranked_search": r"""
+        WITH texts AS (
+            SELECT 'd' AS kind, doc_id AS id, text FROM documents
+            UNION ALL SELECT 'i', item_id, text FROM benchmark
+        ), words AS (
+            SELECT kind, id, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM texts
+        ), counts AS (
+            SELECT kind, id, term, count(*) AS tf FROM words GROUP BY ALL
+        ), lengths AS (
+            SELECT id AS doc_id, sum(tf)::BIGINT AS n FROM counts WHERE kind = 'd' GROUP BY id
+        ), corpus AS (
+            SELECT count(*) AS docs, sum(n)::BIGINT AS length FROM lengths
+        ), weights AS (
+            SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w
+            FROM counts, corpus WHERE kind = 'd' GROUP BY term, docs
+        ), found AS (
+            SELECT i.id AS item_id, d.id AS doc_id, sum(i.tf * w * ((1000000000 * d.tf)
+                // (1000 * d.tf + 12 * (75 + (25 * n * docs) // length))))::BIGINT AS score
+            FROM counts i JOIN counts d USING (term) JOIN weights USING (term)
+                JOIN lengths ON doc_id = d.id, corpus
+            WHERE i.kind = 'i' AND d.kind = 'd' GROUP BY ALL
+        )
+        SELECT item_id, row_number() OVER w::INT AS rank, doc_id, score
+        FROM found WHERE score > 0 WINDOW w AS (PARTITION BY item_id ORDER BY score DESC, doc_id)
+        QUALIFY row_number() OVER w <= 20
+    """,
 }
