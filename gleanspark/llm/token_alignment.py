@@ -3,13 +3,14 @@
 import hashlib
 import json
 import re
-from array import array
 from dataclasses import dataclass
+from itertools import chain
 from math import ceil
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.dataset
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -32,8 +33,12 @@ from gleanspark.workspace import fresh_path, settle
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 # A pair is one number: the first vocabulary's id in the upper bits.
 _SHIFT = 15
-# White space that meets other white space: no place to cut for either tokenizer.
-_UNSAFE = re.compile(r"\s \s|^\s|\s$|  ")
+# Words that are encoded as one text.
+_RUN = 500
+# Characters of text that are worked on at once.
+_LOT = 4 << 20
+# A space before white space may be no place to cut.
+_UNSAFE = re.compile(r" \s")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -41,9 +46,8 @@ _CUT = re.compile(r"(?<=\S) (?=\S)")
 class Alignment:
     a_path: str = VOCABULARY
     b_path: str = PIECES
-    # Distinct words between spaces that a task remembers, and their length at most.
-    remembered: int = 300_000
-    longest: int = 64
+    # Distinct words between spaces that a task remembers.
+    remembered: int = 500_000
     # Pairs in a part of the hash.
     part_pairs: int = 1 << 18
     # Count vectors that are summed at once.
@@ -74,81 +78,141 @@ def token_bytes(how: Alignment) -> tuple[list[bytes], list[bytes]]:
     return first, second
 
 
-def aligned(a: list[int], b: list[int], sizes_a: list[int], sizes_b: list[int]):
-    """Groups between the offsets where tokens of both end: places in ``a`` and ``b`` after each."""
-    groups, j, at_a, at_b = [], 0, 0, 0
-    for i, token in enumerate(a):
-        at_a += sizes_a[token]
-        while at_b < at_a and j < len(b):
-            at_b += sizes_b[b[j]]
-            j += 1
-        if at_a == at_b:
-            groups.append((i + 1, j))
-    return groups
-
-
 class Words:
-    """The alignment of a space and a word, found once and remembered under a number.
+    """The alignments of a space and a word, found once and remembered under a number.
 
     Neither tokenizer has a token with a space inside a word, so a text is cut before each
     space between two other characters and its alignment is that of the pieces in order.
     """
 
-    def __init__(self, how: Alignment):
-        self.how = how
+    def __init__(self, how: Alignment, with_text: bool):
+        self.how, self.with_text = how, with_text
         self.bytes_a, self.bytes_b = token_bytes(how)
         if len(self.bytes_b) > 1 << _SHIFT or len(self.bytes_a) > 1 << (32 - _SHIFT):
             raise ValueError("a pair of ids does not fit 32 bits")
-        self.sizes_a, self.sizes_b = list(map(len, self.bytes_a)), list(map(len, self.bytes_b))
+        self.sizes_a, self.sizes_b = (np.array(list(map(len, x))) for x in (self.bytes_a, self.bytes_b))
         self.encode_a = Encoder(how.a_path).ids
         self.encode_b = sentencepiece.SentencePieceProcessor(model_file=how.b_path).encode
+        # An id with what follows it when groups are written out.
+        most = max(len(self.bytes_a), len(self.bytes_b))
+        self.written = np.array([b"%d%c" % (i, c) for c in b",|;" for i in range(most)], object)
+        self.written_sizes = np.array(list(map(len, self.written)))
         self.clear()
 
     def clear(self):
         self.numbers: dict[str, int] = {}
-        self.pairs: list[np.ndarray] = []
-        self.n_a, self.n_b, self.text, self.sound = [], [], [], []
-
-    def __len__(self):
-        return len(self.text)
-
-    def number(self, word: str) -> int:
-        """The number of the word's alignment; long words get a new one each time."""
-        a, b = self.encode_a(" " + word), self.encode_b(word)
-        raw = (" " + word).encode()
-        sound = (
-            b"".join(map(self.bytes_a.__getitem__, a)) == raw
-            and b"".join(map(self.bytes_b.__getitem__, b)) == raw
-        )
-        pairs, text, i, j = [], [], 0, 0
-        for k, m in aligned(a, b, self.sizes_a, self.sizes_b) if sound else ():
-            pairs.append(a[k - 1] << _SHIFT | b[m - 1])
-            text.append(",".join(map(str, a[i:k])) + "|" + ",".join(map(str, b[j:m])))
-            i, j = k, m
-        found = len(self.text)
-        self.pairs.append(np.array(pairs, np.uint32))
-        self.n_a.append(len(a))
-        self.n_b.append(len(b))
-        self.text.append(";".join(text).encode())
-        self.sound.append(sound)
-        if len(word) <= self.how.longest:
-            self.numbers[word] = found
-        return found
-
-    def of(self, text: str) -> np.ndarray:
-        """The numbers of a text's words in order; none if its tokens do not spell it."""
-        found = array("q")
-        for piece in _pieces(text) if text else ():
-            words = _CUT.split(piece) if _UNSAFE.search(piece) else piece.split(" ")
-            get, new = self.numbers.get, self.number
-            numbers = [n if (n := get(w)) is not None else new(w) for w in words]
-            if not all(map(self.sound.__getitem__, numbers)):
-                return np.zeros(0, np.int64)
-            found.extend(numbers)
-        return np.array(found, np.int64)
-
-
-def _pieces(text: str, size: int = 4 << 20):
+        self.size = 0
+        self.text: list[bytes] = []
+        # By word: tokens of both and links; the pairs word after word.
+        self.n = np.zeros((0, 3), np.int64)
+        self.sound = np.zeros(0, bool)
+        self.pairs = np.zeros(0, np.int64)
+        # What the second pass adds by word.
+        self.table = np.zeros((0, 5), np.int64)
+
+    def learn(self, words: list[str]):
+        """Remember the alignments of words that are new."""
+        easy = [w for w in words if w and not w[0].isspace() and not w[-1].isspace()]
+        hard = [w for w in words if not w or w[0].isspace() or w[-1].isspace()]
+        runs = [easy[i : i + _RUN] for i in range(0, len(easy), _RUN)]
+        done, ids_a, ids_b, unsound = [], [], [], []
+        # Runs of words are encoded as one text; where that is not spelled, word by word.
+        for _ in range(2):
+            texts = [" ".join(run) for run in runs]
+            again = []
+            for run, text, b in zip(runs, texts, self.encode_b(texts, num_threads=1), strict=True):
+                a, raw = self.encode_a(" " + text), (" " + text).encode()
+                if all(
+                    b"".join(map(names.__getitem__, ids)) == raw
+                    for names, ids in ((self.bytes_a, a), (self.bytes_b, b))
+                ):
+                    done += run
+                    ids_a.append(a)
+                    ids_b.append(b)
+                else:
+                    again += run
+            runs = [[w] for w in again + hard]
+            unsound, hard = again, []
+        self._add(done, *(np.fromiter(chain.from_iterable(x), np.int64) for x in (ids_a, ids_b)))
+        self.numbers.update((w, len(self.sound) + i) for i, w in enumerate(unsound))
+        self.sound = np.concatenate([self.sound, np.zeros(len(unsound), bool)])
+        self.n = np.concatenate([self.n, np.zeros((len(unsound), 3), np.int64)])
+        self.text += [b""] * len(unsound)
+
+    def _add(self, words: list[str], a: np.ndarray, b: np.ndarray):
+        """Words whose tokens spell them, one after the other."""
+        sizes = np.fromiter((len(w.encode()) + 1 for w in words), np.int64, len(words))
+        stops = np.cumsum(sizes)
+        ends_a, ends_b = np.cumsum(self.sizes_a[a]), np.cumsum(self.sizes_b[b])
+        # Where both end: the last token of each side of a group.
+        last_a, last_b = np.isin(ends_a, ends_b), np.isin(ends_b, ends_a)
+        ends = [np.searchsorted(x, stops, "right") for x in (ends_a, ends_b, ends_a[last_a])]
+        if self.with_text:
+            self._write(a, last_a, b, last_b, ends[2])
+        self.numbers.update(zip(words, range(len(self.sound), len(self.sound) + len(words)), strict=True))
+        self.n = np.concatenate([self.n, np.diff(np.array(ends), axis=1, prepend=0).T])
+        self.sound = np.concatenate([self.sound, np.ones(len(words), bool)])
+        self.pairs = np.concatenate([self.pairs, a[last_a] << _SHIFT | b[last_b]])
+        self.size += int(sizes.sum())
+
+    def _write(self, flat_a, last_a, flat_b, last_b, links):
+        """Each word's groups written out: ids of a group in order, the first vocabulary's first."""
+        ids = np.concatenate([flat_a, flat_b])
+        last = np.concatenate([last_a, last_b])
+        side = np.repeat([0, 1], [len(flat_a), len(flat_b)])
+        group = np.concatenate([np.cumsum(x) - x for x in (last_a, last_b)])
+        order = np.argsort(2 * group + side, kind="stable")
+        at = (ids + np.where(last, 1 + side, 0) * (len(self.written) // 3))[order]
+        whole = b"".join(self.written[at].tolist())
+        # Where each group ends in ``whole``, and so each word.
+        ends = np.cumsum(self.written_sizes[at])[(last & (side == 1))[order]]
+        stops = np.concatenate([[0], ends])[links].tolist()
+        self.text += [whole[b : max(b, e - 1)] for b, e in zip([0, *stops], stops, strict=False)]
+
+    def lots(self, texts: list[str]):
+        """Lists of texts' places, the numbers of a piece's words, and whether tokens spell it.
+
+        What is remembered may change from one list to the next. Empty texts are left out.
+        """
+        lot, size = [], 0
+        for i, text in enumerate(texts):
+            for piece in _pieces(text) if text else ():
+                lot.append((i, piece))
+                size += len(piece)
+                if size >= _LOT:
+                    yield self._numbered(lot)
+                    lot, size = [], 0
+        if lot:
+            yield self._numbered(lot)
+
+    def _numbered(self, lot: list[tuple[int, str]]):
+        if len(self.numbers) >= self.how.remembered or self.size >= _LOT * 8:
+            self.clear()
+        # Lists of words; plain texts are split by Arrow.
+        plain = [not (p[0].isspace() or p[-1].isspace() or _UNSAFE.search(p)) for _, p in lot]
+        split = pc.split_pattern(pa.array([p if x else None for (_, p), x in zip(lot, plain, strict=True)], pa.large_string()), " ")
+        split = pc.fill_null(pc.list_value_length(split), 0).to_pylist(), split.flatten()
+        other = [None if x else _CUT.split(p) for (_, p), x in zip(lot, plain, strict=True)]
+        sizes = [n if x else len(o) for n, x, o in zip(split[0], plain, other, strict=True)]
+        words = pa.concat_arrays([split[1], pa.array([w for o in other for w in o or ()], pa.large_string())])
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        fresh = [w for w in distinct if w not in self.numbers]
+        if fresh:
+            self.learn(fresh)
+        number = np.fromiter(map(self.numbers.__getitem__, distinct), np.int64, len(distinct))
+        found = number[coded.indices.to_numpy()]
+        # Plain texts come first in ``found``.
+        at, rest, out = 0, sum(split[0]), []
+        for (i, _), n, x in zip(lot, sizes, plain, strict=True):
+            begin = at if x else rest
+            own = found[begin : begin + n]
+            at, rest = (at + n, rest) if x else (at, rest + n)
+            out.append((i, own, bool(self.sound[own].all())))
+        return out
+
+
+def _pieces(text: str, size: int = _LOT):
     """A long text in pieces, cut where words are; the space of a cut belongs to the next."""
     begin = 0
     while len(text) - begin > size:
@@ -164,46 +228,52 @@ def _texts(batch: pa.RecordBatch) -> list[str]:
     return [(x or b"").decode("utf-8", "replace") for x in batch.column("text").to_pylist()]
 
 
-def _summed(pairs: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _summed(*links: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct pairs of all ``links`` and their counts."""
+    pairs, counts = (np.concatenate(x) for x in zip(*links, strict=True))
     distinct, at = np.unique(pairs, return_inverse=True)
     return distinct, np.bincount(at, weights=counts, minlength=len(distinct)).astype(np.int64)
 
 
 def _linked(rows: DataFrame, how: Alignment) -> DataFrame:
-    """A written table of the pairs that a task links and how often, some words at once."""
+    """A written table of the pairs that a task links, and how often."""
 
-    def work(batches):
-        words, uses, piece = Words(how), np.zeros(0, np.int64), None
-
-        def flush():
-            if not len(words):
-                return
-            pairs = np.concatenate(words.pairs)
-            times = np.repeat(uses[: len(words)], [len(p) for p in words.pairs])
-            pairs, counts = _summed(pairs[times > 0], times[times > 0])
-            yield pa.RecordBatch.from_pylist(
-                [
-                    {
-                        "piece": piece,
-                        "n": len(pairs),
-                        "pairs": packed_rising(pairs.astype(np.int64)),
-                        "counts": packed(counts),
-                    }
-                ]
-            )
+    def row_of(piece, pairs, counts):
+        return pa.RecordBatch.from_pylist(
+            [{"piece": piece, "n": len(pairs), "pairs": packed_rising(pairs), "counts": packed(counts)}]
+        )
 
+    def of_lot(words, lot, sound):
+        """Links in the pieces of texts that are spelled to the end, as far as is known."""
+        numbers = np.concatenate([np.zeros(0, np.int64), *(n for i, n, _ in lot if sound[i])])
+        uses = np.bincount(numbers, minlength=len(words.sound))
+        times = np.repeat(uses, words.n[:, 2])
+        return words.pairs[times > 0], times[times > 0]
+
+    def work(batches):
+        words, piece = Words(how, with_text=False), None
+        total = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in batches:
-            for row, text in zip(batch.column("row").to_pylist(), _texts(batch), strict=True):
-                piece = row if piece is None else piece
-                found = words.of(text)
-                if len(words) > len(uses):
-                    uses = np.concatenate([uses, np.zeros(len(words) + 1000, np.int64)])
-                np.add.at(uses, found, 1)
-                if len(words) >= how.remembered:
-                    yield from flush()
-                    words.clear()
-                    uses, piece = np.zeros(0, np.int64), None
-        yield from flush()
+            texts = _texts(batch)
+            sound = np.ones(len(texts), bool)
+            # A text in several lots counts when its last lot is known to be sound.
+            long, own = {i for i, t in enumerate(texts) if len(t) > _LOT}, {}
+            for lot in words.lots(texts):
+                for i, _, spelled in lot:
+                    sound[i] &= spelled
+                for i in long & {i for i, _, _ in lot}:
+                    mine = of_lot(words, [x for x in lot if x[0] == i], sound)
+                    own[i] = _summed(mine, own[i]) if i in own else _summed(mine)
+                short = [x for x in lot if x[0] not in long]
+                total = _summed(total, of_lot(words, short, sound))
+            total = _summed(total, *(own[i] for i in own if sound[i]))
+            if batch.num_rows and piece is None:
+                piece = batch.column("row")[0].as_py()
+            if len(total[0]) >= how.part_pairs * 16:
+                yield row_of(piece, *total)
+                total, piece = (total[0][:0], total[1][:0]), None
+        if len(total[0]):
+            yield row_of(piece, *total)
 
     schema = "piece bigint, n bigint, pairs binary, counts binary"
     return settle(rows.mapInArrow(work, schema), "linked-pairs")
@@ -404,23 +474,28 @@ def align(
     names = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
 
     def work(batches):
-        words, counts = Words(how), Counts(path, parts, best, how.kept_bytes)
-        table = np.zeros((0, 5), np.int64)
+        words, counts = Words(how, with_text=True), Counts(path, parts, best, how.kept_bytes)
         for batch in batches:
-            if len(words) >= how.remembered:
-                words.clear()
-                table = table[:0]
-            texts = [words.of(t) for t in _texts(batch)]
-            fresh = words.pairs[len(table) :]
-            if fresh:
-                table = np.concatenate([table, _weighed(words, len(table), fresh, counts, best)])
-            sums = np.array([table[t].sum(0) for t in texts], np.int64).reshape(len(texts), 5)
-            groups = [b";".join([words.text[i] for i in t.tolist()]) for t in texts]
-            digests = [hashlib.sha256(g).hexdigest() if g else "" for g in groups]
+            texts = _texts(batch)
+            sums = np.zeros((len(texts), 5), np.int64)
+            sound = np.ones(len(texts), bool)
+            digests, groups = [hashlib.sha256() for _ in texts], [[] for _ in texts]
+            for lot in words.lots(texts):
+                table = _weighed(words, counts, best)
+                for i, numbers, spelled in lot:
+                    sound[i] &= spelled
+                    written = b";".join([words.text[n] for n in numbers.tolist()])
+                    digests[i].update(b";" * bool(sums[i, 2]) + written)
+                    sums[i] += table[numbers].sum(0)
+                    if with_groups:
+                        groups[i].append(written.decode())
+            sums[~sound] = 0
+            some = sums[:, 2] > 0
             n_a, n_b, n, most, total = sums.T
-            columns = [*map(pa.array, (n_a, n_b, n, n, most, total)), pa.array(digests, pa.string())]
+            columns = [*map(pa.array, (n_a, n_b, n, n, most, total))]
+            columns.append(pa.array([d.hexdigest() if s else "" for d, s in zip(digests, some, strict=True)], pa.string()))
             if with_groups:
-                columns.append(pa.array([g.decode() for g in groups], pa.string()))
+                columns.append(pa.array([";".join(g) if s else "" for g, s in zip(groups, some, strict=True)], pa.string()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), *columns],
                 names=["id", *names, "groups_sha256", *["groups"] * with_groups],
@@ -431,16 +506,19 @@ def align(
     return found.withColumnRenamed("id", id_col)
 
 
-def _weighed(words: Words, begin: int, fresh: list, counts: Counts, best: np.ndarray) -> np.ndarray:
-    """For each new word: tokens of both, links, best links and the sum of counts."""
-    sizes = np.array([len(p) for p in fresh])
-    pairs, at = np.unique(np.concatenate(fresh), return_inverse=True)
+def _weighed(words: Words, counts: Counts, best: np.ndarray) -> np.ndarray:
+    """For each word: tokens of both, links, best links and the sum of counts."""
+    known = len(words.table)
+    links = words.n[known:, 2]
+    own = words.pairs[int(words.n[:known, 2].sum()) :]
+    pairs, at = np.unique(own, return_inverse=True)
     n = counts.of(pairs)
     top = n == best[pairs & ((1 << _SHIFT) - 1)]
-    owner = np.repeat(np.arange(len(fresh)), sizes)
+    owner = np.repeat(np.arange(len(links)), links)
 
     def by_word(values):
-        return np.bincount(owner, weights=values[at], minlength=len(fresh)).astype(np.int64)
+        return np.bincount(owner, weights=values[at], minlength=len(links)).astype(np.int64)
 
-    n_a, n_b = np.array(words.n_a[begin:]), np.array(words.n_b[begin:])
-    return np.stack([n_a, n_b, sizes, by_word(top), by_word(n)], 1)
+    fresh = np.column_stack([words.n[known:], by_word(top), by_word(n)])
+    words.table = np.concatenate([words.table, fresh])
+    return words.table

@@ -93,7 +93,7 @@ def test_odd_rows(spark, whole):
     expected = brute(whole, [(r["doc_id"], r["text"]) for r in table.collect()])
     assert rows(op13_token_alignment(spark, odd.folder(spark, documents=table))) == expected
     # Few words remembered, many parts of the hash, a tree of several levels.
-    how = Alignment(remembered=50, longest=6, part_pairs=20, fan_in=2, kept_bytes=100)
+    how = Alignment(remembered=50, part_pairs=20, fan_in=2, kept_bytes=100)
     found = token_alignment.align(table.repartition(7), how=how)
     assert rows(found) == expected
     assert all(
@@ -107,7 +107,7 @@ def test_empty_table(spark):
     assert op13_token_alignment(spark, odd.folder(spark)).count() == 0
 
 
-WORDS = Words(Alignment())
+WORDS = Words(Alignment(remembered=300), with_text=True)
 TEXTS = st.text(
     st.one_of(st.sampled_from(" \n\t\r\x0b\x85 　ab'sI1.▁"), st.characters(codec="utf-8")), max_size=30
 )
@@ -118,15 +118,30 @@ TEXTS = st.text(
 def test_words_align_as_whole_texts(text):
     whole = test_words_align_as_whole_texts.whole
     a, b, groups = whole.groups(text)
-    found = WORDS.of(text).tolist()
+    pieces = [piece for lot in WORDS.lots([text]) for piece in lot]
+    if not all(sound for _, _, sound in pieces):
+        assert a == b == []
+        return
+    found = [n for _, numbers, _ in pieces for n in numbers.tolist()]
     assert b";".join(WORDS.text[i] for i in found).decode() == written(groups)
-    assert sum(WORDS.n_a[i] for i in found) == len(a)
-    assert sum(WORDS.n_b[i] for i in found) == len(b)
+    assert WORDS.n[found].sum(0).tolist() == [len(a), len(b), len(groups)]
 
 
 test_words_align_as_whole_texts.whole = Whole()
 
 
+def test_texts_in_several_lots(spark, whole, monkeypatch):
+    # Small lots in the driver's own process.
+    monkeypatch.setattr(token_alignment, "_LOT", 64)
+    monkeypatch.setattr(token_alignment._pieces, "__defaults__", (64,))
+    rng = np.random.default_rng(5)
+    words = [f"word{i}," for i in range(300)]
+    texts = [" ".join(rng.choice(words, n)) for n in (3, 200, 40, 1)] + ["x " * 50 + "▁"]
+    table = spark.createDataFrame([*enumerate(texts)], "doc_id bigint, text string")
+    found = token_alignment.align(table, how=Alignment(remembered=20))
+    assert rows(found) == brute(whole, [*enumerate(texts)])
+
+
 def test_long_texts_are_cut_between_words():
     text = "".join(f"word{i} \n x  y z" for i in range(500))
     pieces = [*token_alignment._pieces(text, 100)]
