@@ -6,11 +6,14 @@ preference items, paragraphs are the description. Prices and work modes are
 added by page number so that every rule meets all its cases.
 """
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from checkset import planning, sql
 from checkset.classifying import location_steps, preferences, salary, salary_type
-from checkset.extracting import BOLD, H1, H2, ITEM
+from checkset.extracting import BOLD, DESC, H1, H2, ITEM, nested, nested_pages
+from gleanspark.functions import extract
 from gleanspark.functions.text import clean_html
 from gleanspark.plans import listing, postings
 from gleanspark.plans.search import rejected_searches
@@ -100,6 +103,24 @@ def feed_b(spark, sf):
     return postings.postings_b(details_b(spark, sf), companies(spark, sf), SEARCH)
 
 
+def feed_a_nested(spark, sf):
+    """The library's own feed, with a description that holds elements of its name."""
+    selectors = replace(SELECTORS_A, description=DESC)
+    return postings.feed_a(nested_pages(spark, sf), selectors, SEARCH)
+
+
+def feed_b_nested(spark, sf):
+    """The library's own feed; each page's first link is the company's profile."""
+    pages = nested_pages(spark, sf)
+    profile = extract.absolute_url(F.col("url"), extract.extract_attr(F.col("html"), "a", "href"))
+    website = F.concat(F.regexp_extract("url", PROFILE, 0), F.lit("/about"))
+    sites = pages.where(F.col("url").startswith("https:")).select(
+        profile.alias("profile_url"), website.alias("website")
+    )
+    selectors = replace(SELECTORS_B, description=DESC)
+    return postings.feed_b(pages, selectors, sites, SEARCH)
+
+
 def unified_feed(spark, sf):
     dest = fresh_path(spark, "tabs")
     feeds = [feed_a(spark, sf), feed_b(spark, sf)]
@@ -195,6 +216,8 @@ def search_outcomes(spark, sf):
 QUERIES = {
     "feed_a": feed_a,
     "feed_b": feed_b,
+    "feed_a_nested": feed_a_nested,
+    "feed_b_nested": feed_b_nested,
     "unified_feed": unified_feed,
     "company_sites": company_sites,
     "listing_links": listing_links,
@@ -289,6 +312,42 @@ DELIVERED = ", ".join(
 ORACLE = {
     "feed_a": f"WITH {FEED_A} SELECT {POSTING_SQL} FROM feed_a",
     "feed_b": f"WITH {FEED_B} SELECT {POSTING_SQL} FROM feed_b",
+    "feed_a_nested": f"""
+        WITH {nested('class="desc"')}, items AS (
+            SELECT changed.*, {sql.elements("html", ITEM)} AS items, text AS description
+            FROM changed JOIN blocks USING (page_id) WHERE pos = 0
+        ), classed AS (SELECT *, {preferences("items")} FROM items), found AS (
+            SELECT {sql.element("html", H1)} AS job_title, url AS job_opening_link, salary,
+               {sql.element("html", ITEM)} AS job_location,
+               CASE WHEN regexp_matches(html, '{BOLD}') THEN {sql.element("html", BOLD)} END
+               AS publication_date, remote, job_type, description AS job_description,
+               {sql.element("html", FOOTER)} AS company_name, '' AS company_website,
+               regexp_extract(url, '{PROFILE}')
+               || {sql.entities(f"regexp_extract(html, '{LINK}', 1)")} AS company_profile_url,
+               '{KEYWORD}' AS input_keyword, '{PLACE}' AS input_location,
+               '{DAY}' AS search_date, 'Linkedin' AS source
+            FROM classed
+        )
+        SELECT {POSTING_SQL} FROM found
+    """,
+    "feed_b_nested": f"""
+        WITH {nested('class="desc"')}, headed AS (
+            SELECT url, {sql.element("html", H1)} AS title, {sql.element("html", FOOTER)} AS company,
+                regexp_extract(url, '{PROFILE}') AS profile, text AS description,
+                {sql.elements("html", ITEM)} AS header
+            FROM changed JOIN blocks USING (page_id) WHERE pos = 0
+        ), {location_steps("headed", "url, profile, title, company, description")}, found AS (
+            SELECT title AS job_title, url AS job_opening_link, NULL::VARCHAR AS salary,
+               location AS job_location, '' AS publication_date, remote, NULL::VARCHAR AS job_type,
+               description AS job_description, company AS company_name,
+               CASE WHEN starts_with(profile, 'https:') THEN profile || '/about' ELSE '' END
+               AS company_website, '' AS company_profile_url,
+               '{KEYWORD}' AS input_keyword, '{PLACE}' AS input_location,
+               '{DAY}' AS search_date, 'Indeed' AS source
+            FROM placed
+        )
+        SELECT {POSTING_SQL} FROM found
+    """,
     "unified_feed": f"""
         WITH {FEED_A}, {FEED_B}, both_feeds AS (
             SELECT {POSTING_SQL} FROM feed_a UNION ALL SELECT {POSTING_SQL} FROM feed_b

@@ -3,16 +3,148 @@
 Patterns are regular expressions whose first group is the wanted part; they
 are parameters because every site has its own markup. Text that is absent is
 ``""``, as are attributes; only ``first_present`` tells absent from empty.
+
+An element that may hold others of its name is no regular expression. Where a pattern
+is asked for, an ``Element`` may be given instead: the page's tags of that name are then
+read in order with a count of how deep they lie.
 """
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanspark.functions.text import clean_html, decode_entities, let
 
 
-def extract_text(html: Column, pattern: str) -> Column:
+@dataclass(frozen=True)
+class Element:
+    """Elements ``tag`` with all they contain, if ``opening`` is found in their opening tag.
+
+    A tag that is never closed ends with the page. Comments, scripts and styles are no
+    part of it; other tags may be left open without harm.
+    """
+
+    tag: str
+    opening: str = ""
+
+    @property
+    def name(self) -> str:
+        """What its tags begin with."""
+        return rf"(?i)</?{self.tag}[\s/>]"
+
+
+# A tag, as ``text.MARKUP`` has it; what stands before each while a page is divided.
+TAG = r"""<[a-zA-Z/!?][^>=]*+(?:=\s*+(?:"[^"]*"|'[^']*')?[^>=]*+)*+>"""
+MARK = "\ufffe"
+
+# What may hold tags that are none.
+HIDDEN = r"(?s)<(?:!--.*?-->|((?i:script|style|template))\b[^>]*>.*?(?:</(?i:\1)[^>]*>|\z))"
+
+# Tags whose depths are added up at once: a longer list is added up block by block.
+_BLOCK = 256
+
+
+def _sums(numbers: Column) -> Column:
+    """The sum of each number and all before it."""
+
+    def within(block: Column) -> Column:
+        start = F.array(F.lit(0))
+        step = lambda seen, n: F.concat(seen, F.array(F.element_at(seen, -1) + n))
+        return F.aggregate(block, start, step)
+
+    def all_blocks(local: Column) -> Column:
+        before = within(F.transform(local, lambda sums: F.element_at(sums, -1)))
+        return F.flatten(
+            F.transform(
+                local,
+                lambda sums, i: F.transform(
+                    F.slice(sums, F.lit(2), F.lit(_BLOCK)), lambda n: n + F.get(before, i)
+                ),
+            )
+        )
+
+    starts = F.sequence(F.lit(1), F.greatest(F.size(numbers), F.lit(1)), F.lit(_BLOCK))
+    local = F.transform(starts, lambda at: within(F.slice(numbers, at, F.lit(_BLOCK))))
+    return let(local, all_blocks)
+
+
+def _spans(pieces: Column, element: Element) -> Column:
+    """Where matching elements begin and end among pieces that begin with a tag.
+
+    An opening and a closing tag of one depth alternate, so in the order of depth and
+    place each opening tag stands before the tag that closes it.
+    """
+
+    def kind(piece: Column) -> Column:
+        closes = piece.startswith("</")
+        return F.when(piece.rlike("^" + element.name), F.when(closes, -1).otherwise(1)).otherwise(0)
+
+    def tags(kinds: Column, depths: Column) -> Column:
+        listed = F.transform(
+            kinds,
+            lambda kind, i: F.struct(
+                F.when(kind < 0, F.get(depths, i) + 1).otherwise(F.get(depths, i)).alias("depth"),
+                i.alias("at"),
+                kind.alias("kind"),
+            ),
+        )
+        return F.array_sort(F.filter(listed, lambda tag: tag.kind != 0))
+
+    def closed(sorted_tags: Column) -> Column:
+        def span(tag: Column, i: Column) -> Column:
+            after = F.get(sorted_tags, i + 1)
+            ends = (after.depth == tag.depth) & (after.kind < 0)
+            end = F.when(ends, after["at"]).otherwise(F.size(pieces))
+            return F.struct(tag["at"].alias("at"), end.alias("end"), tag.kind.alias("kind"))
+
+        return F.transform(sorted_tags, span)
+
+    found = let(
+        F.transform(pieces, kind),
+        lambda kinds: let(_sums(kinds), lambda depths: let(tags(kinds, depths), closed)),
+    )
+
+    def wanted(span: Column) -> Column:
+        if not element.opening:
+            return span.kind > 0
+        tag = F.regexp_extract(F.get(pieces, span["at"]), "^" + TAG, 0)
+        return (span.kind > 0) & tag.rlike(element.opening)
+
+    return F.array_sort(F.filter(found, wanted))
+
+
+def elements(html: Column, element: Element, inner: bool = False) -> Column:
+    """Every matching element, outer ones before those they contain; ``inner`` without its tags.
+
+    The tags of a page are read once, in time that hardly grows faster than their number.
+    """
+    tag = "^" + TAG
+
+    def cut(pieces: Column) -> Column:
+        def whole(span: Column) -> Column:
+            body = F.array_join(F.slice(pieces, span["at"] + 1, span.end - span["at"]), "")
+            if inner:
+                return F.regexp_replace(body, tag, "")
+            # What closes it is the beginning of the next piece.
+            return F.concat(
+                body, F.regexp_extract(F.coalesce(F.get(pieces, span.end), F.lit("")), tag, 0)
+            )
+
+        return F.transform(_spans(pieces, element), whole)
+
+    plain = F.regexp_replace(F.replace(html, F.lit(MARK), F.lit("")), HIDDEN, "")
+    pieces = F.split(F.regexp_replace(plain, f"({TAG})", f"{MARK}$1"), MARK)
+    has_one = html.rlike(element.name)
+    none = F.array().cast("array<string>")
+    return F.when(has_one, let(pieces, cut)).otherwise(F.when(html.isNotNull(), none))
+
+
+def extract_text(html: Column, pattern: str | Element) -> Column:
     """Text of the first element that matches, ``""`` if none does."""
+    if isinstance(pattern, Element):
+        found = F.get(elements(html, pattern, inner=True), F.lit(0))
+        return F.when(html.isNotNull(), clean_html(F.coalesce(found, F.lit(""))))
     return clean_html(F.regexp_extract(html, pattern, 1))
 
 
@@ -72,12 +204,14 @@ def _without_dots(path: Column) -> Column:
     return F.when(head.rlike(r"/\.\.?(/|$)"), resolved).otherwise(path)
 
 
-def extract_all(html: Column, pattern: str, group: int = 1) -> Column:
-    """Every match in page order, markup kept."""
+def extract_all(html: Column, pattern: str | Element, group: int = 1) -> Column:
+    """Every match in page order, markup kept; group 0 of an ``Element`` has its own tags."""
+    if isinstance(pattern, Element):
+        return elements(html, pattern, inner=group > 0)
     return F.regexp_extract_all(html, F.lit(pattern), F.lit(group))
 
 
-def extract_texts(html: Column, pattern: str) -> Column:
+def extract_texts(html: Column, pattern: str | Element) -> Column:
     """Text of every element that matches, in page order."""
     return F.transform(extract_all(html, pattern), clean_html)
 
@@ -87,8 +221,10 @@ def first_non_empty(*cols: Column) -> Column:
     return F.coalesce(*[F.nullif(col, F.lit("")) for col in cols], F.lit(""))
 
 
-def if_present(html: Column, pattern: str) -> Column:
+def if_present(html: Column, pattern: str | Element) -> Column:
     """Text of the element, null if absent, ``""`` if empty."""
+    if isinstance(pattern, Element):
+        return clean_html(F.get(elements(html, pattern, inner=True), F.lit(0)))
     return F.when(html.rlike(pattern), extract_text(html, pattern))
 
 
@@ -106,7 +242,7 @@ def or_sentinel(col: Column, sentinel: str) -> Column:
     return F.coalesce(col, F.lit(sentinel))
 
 
-def explode_elements(df: DataFrame, html: str, pattern: str, keep: list[str]) -> DataFrame:
+def explode_elements(df: DataFrame, html: str, pattern: str | Element, keep: list[str]) -> DataFrame:
     """One row per matching element: ``keep``, ``pos`` from 0, ``element``.
 
     Only the kept columns travel on, so the page itself stays behind.

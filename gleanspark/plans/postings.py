@@ -18,29 +18,33 @@ from gleanspark.sources.feeds import append_tab, drop_header_rows, read_feed, wr
 from gleanspark.workspace import settle
 
 
+# A regular expression, or an element with all it contains.
+Pattern = str | extract.Element
+
+
 @dataclass(frozen=True)
 class SelectorsA:
     """Patterns for a posting page of the first source."""
 
-    title: str
-    company: str
+    title: Pattern
+    company: Pattern
     company_url: str
-    location: str
-    description: str
-    preferences: str
-    dates: tuple[str, ...] = ()
+    location: Pattern
+    description: Pattern
+    preferences: Pattern
+    dates: tuple[Pattern, ...] = ()
 
 
 @dataclass(frozen=True)
 class SelectorsB:
     """Patterns for a posting page of the second source, in order of preference."""
 
-    titles: tuple[str, ...]
-    companies: tuple[str, ...]
+    titles: tuple[Pattern, ...]
+    companies: tuple[Pattern, ...]
     company_urls: tuple[str, ...]
-    headers: tuple[str, ...]
-    salary_type: str
-    description: str
+    headers: tuple[Pattern, ...]
+    salary_type: Pattern
+    description: Pattern
 
 
 @dataclass(frozen=True)
