@@ -39,6 +39,9 @@ def csv_inferred(spark, sf):
         F.when(key % 3 == 0, F.lit("")).otherwise((key % 2 == 0).cast("string")).alias("even"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"),
         F.lit("None").alias("nothing"),
+        # The last two differ in what a double cannot tell apart.
+        (key + 1234567890123456780).cast("string").alias("id19"),
+        F.concat(F.lit("1234567890123456"), F.lpad((key % 10000).cast("string"), 4, "0")).alias("id20"),
     )
     path = fresh_path(spark, "feed")
     feeds.write_feed(df, path)
@@ -148,7 +151,9 @@ ORACLE = {
                CASE WHEN o_orderkey % 7 <> 0 THEN CAST(o_custkey AS INTEGER) END AS cust,
                CASE WHEN o_orderkey % 5 <> 0 THEN o_orderkey / 4 END AS quarter,
                CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey % 2 = 0 END AS even,
-               strftime(o_orderdate, '%Y-%m-%d') AS day, CAST(NULL AS VARCHAR) AS nothing
+               strftime(o_orderdate, '%Y-%m-%d') AS day, CAST(NULL AS VARCHAR) AS nothing,
+               o_orderkey + 1234567890123456780 AS id19,
+               '1234567890123456' || lpad(CAST(o_orderkey % 10000 AS VARCHAR), 4, '0') AS id20
         FROM orders
     """,
     "rewrite_feed": "SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name FROM part",

@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gleanspark.workspace import settle
+from gleanspark.sources import versions
 
 # The texts a CSV reader takes as missing.
 NULL_TOKENS = [
@@ -52,16 +52,19 @@ def read_feed(
     ``multi_line=False`` and it is split.
     """
     reader = spark.read.options(**CSV, multiLine=multi_line)
+    path = versions.current(spark, path)
     if schema is not None:
         return null_tokens(reader.schema(schema).csv(path))
     texts = null_tokens(reader.csv(path))
     return texts if all_string else inferred(texts)
 
 
+WHOLE = r"^[ \t]*[+-]?[0-9]+[ \t]*$"
+
 # What a value of a type looks like; Spark's own casts take more.
 SHAPES = {
     "int": r"^[ \t]*[+-]?[0-9]{1,9}[ \t]*$",
-    "bigint": r"^[ \t]*[+-]?[0-9]{1,18}[ \t]*$",
+    "bigint": WHOLE,
     "double": r"^[ \t]*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?[ \t]*$",
     "boolean": r"^(true|True|TRUE|false|False|FALSE)$",
 }
@@ -70,18 +73,35 @@ SHAPES = {
 def inferred(df: DataFrame) -> DataFrame:
     """Text columns as the first type of ``SHAPES`` that all their values have.
 
-    One pass over the table. A column without values stays text.
+    One pass over the table. A column without values stays text, as does one of
+    whole numbers of which one is beyond a bigint: as doubles, two of them could
+    become one.
     """
     texts = _text_columns(df)
-    fits = [
-        F.coalesce(F.bool_and(F.col(f"`{c}`").rlike(shape)), F.lit(False)).alias(f"{i} {kind}")
-        for i, c in enumerate(texts)
-        for kind, shape in SHAPES.items()
-    ]
+    fits = []
+    for i, c in enumerate(texts):
+        value = F.col(f"`{c}`")
+        known = value.isNotNull()
+        for kind, shape in SHAPES.items():
+            fit = value.rlike(shape)
+            if kind == "bigint":
+                fit &= F.trim(value).try_cast("bigint").isNotNull()
+            elif kind == "double":
+                # All are numbers, not all whole.
+                fits.append(F.bool_and(value.rlike(WHOLE)).alias(f"{i} whole"))
+            every = F.bool_and(F.when(known, fit))
+            fits.append(F.coalesce(every, F.lit(False)).alias(f"{i} {kind}"))
     if not texts:
         return df
     found = df.agg(*fits).first()
-    kinds = {c: [k for k in SHAPES if found[f"{i} {k}"]] for i, c in enumerate(texts)}
+    kinds = {
+        c: [
+            kind
+            for kind in SHAPES
+            if found[f"{i} {kind}"] and not (kind == "double" and found[f"{i} whole"])
+        ]
+        for i, c in enumerate(texts)
+    }
     typed = {c: F.trim(F.col(f"`{c}`")).cast(kind[0]) for c, kind in kinds.items() if kind}
     return df.withColumns(typed)
 
@@ -89,13 +109,20 @@ def inferred(df: DataFrame) -> DataFrame:
 def write_feed(df: DataFrame, path: str, mode: str = "append") -> None:
     """Write a feed; null and ``""`` are both an empty field.
 
-    ``mode="overwrite"`` replaces an earlier feed.
+    ``mode="overwrite"`` replaces an earlier feed: the new one is written beside it and
+    takes its place in one step, so a run that fails leaves the feed as it was, and
+    ``df`` may read the feed itself. Read feeds with ``read_feed``, which finds the folder.
     """
-    (
-        df.write.mode(mode)
-        .options(**CSV, emptyValue="", nullValue="", maxRecordsPerFile=FILE_RECORDS)
-        .csv(path)
-    )
+    spark = df.sparkSession
+
+    def write(folder: str, mode: str) -> None:
+        options = {**CSV, "emptyValue": "", "nullValue": "", "maxRecordsPerFile": FILE_RECORDS}
+        df.write.mode(mode).options(**options).csv(folder)
+
+    if mode == "overwrite":
+        versions.replace(spark, path, lambda folder: write(folder, "errorifexists"))
+    else:
+        write(versions.current(spark, path), mode)
 
 
 def drop_header_rows(df: DataFrame) -> DataFrame:
@@ -111,12 +138,10 @@ def drop_header_rows(df: DataFrame) -> DataFrame:
 def rewrite_without_headers(spark: SparkSession, path: str) -> DataFrame:
     """Replace a feed by itself without its repeated header rows, and read it.
 
-    The rows to keep are written to the shared folder before the feed is
-    touched, so a run that fails half-way can be repeated from there.
+    A run that fails at any step leaves the feed as it was.
     """
-    kept = settle(drop_header_rows(read_feed(spark, path, all_string=True)), "feed")
-    write_feed(kept, path, mode="overwrite")
-    return kept
+    write_feed(drop_header_rows(read_feed(spark, path, all_string=True)), path, mode="overwrite")
+    return read_feed(spark, path, all_string=True)
 
 
 def _blank(col: Column) -> Column:
