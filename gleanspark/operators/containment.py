@@ -7,7 +7,8 @@ the group, so what many items begin or end with finds nobody. Every item is
 searched for grams of the sizes its group has, and where one occurs the piece of the
 right length around it is cut out. Pieces that equal an item of the group mark it as
 contained. Both ways are exact: any of an item's grams finds it, and the
-sample only decides which.
+sample only decides which. Places whose gram no item is looked for by are left out
+before anything is shuffled.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -24,8 +25,12 @@ CHOICES = 16
 # One in so many items is in the sample that tells which grams are rare.
 SAMPLED = 16
 # Characters in which an item is searched at a time, as finding a place in a text
-# takes longer the further in it lies.
-BLOCK = 1024
+# takes longer the further in it lies; first large blocks, then small ones in these.
+LARGE_BLOCK = 8192
+BLOCK = 128
+
+# A list of needles' grams that is sent to all tasks has so many bits at most, 32 MB.
+MOST_BITS = 28
 
 # Fragments of one row that are compared in its array.
 ROW_ITEMS = 500
@@ -165,8 +170,8 @@ def _hits(filled: DataFrame, group: list[str], item: str) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("_rows")),
         "gram-counts",
     )
-    needles = _needles(filled, group, item, counts)
-    probes = _grams(filled, group, item)
+    needles = settle(_needles(filled, group, item, counts), "needles")
+    probes = _grams(filled, group, item, _Among(needles, [*group, "_gram"]))
     # A gram is divided if the sample says that it is in very many places.
     spread = ["_id", "_at"]
     found = left_join_unique(probes, needles, [*group, "_gram"], spread, counts=counts)
@@ -177,35 +182,86 @@ def _hits(filled: DataFrame, group: list[str], item: str) -> DataFrame:
     )
 
 
-def _grams(filled: DataFrame, group: list[str], item: str) -> DataFrame:
-    """One row for each size of gram in the group and each place ``_at`` where it fits."""
+class _Among:
+    """A test in the scan whether a key may be one of ``keys``; it says no only if it is not.
+
+    Bits of a list of whole numbers, three to a key, some twenty for each key up to
+    ``MOST_BITS``. Beyond, more keys pass that need not; none is lost.
+    """
+
+    def __init__(self, keys: DataFrame, names: list[str]):
+        self.names, n = names, keys.count()
+        self.bits = min(MOST_BITS, max(12, (20 * n).bit_length()))
+        spots = keys.select(F.explode(F.array(*self._spots())).alias("spot"))
+        here = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.expr("int(spot & 63)"))
+        # Every word of the list is there, most of them empty.
+        words = spots.select(F.shiftright("spot", 6).alias("word"), here.alias("set"))
+        empty = keys.sparkSession.range(1 << (self.bits - 6)).select(
+            F.col("id").alias("word"), F.lit(0).cast("bigint").alias("set")
+        )
+        words = words.unionByName(empty).groupBy("word").agg(F.bit_or("set").alias("set"))
+        listed = F.sort_array(F.collect_list(F.struct("word", "set")))
+        self.words = settle(words.agg(listed["set"].alias("words")), "gram-filter").scalar()
+
+    def _spots(self) -> list[Column]:
+        mixed = F.xxhash64(*self.names)
+        # Three runs of bits of the hash; with more than 21 they overlap.
+        step = min(self.bits, (64 - self.bits) // 2)
+        mask = F.lit((1 << self.bits) - 1).cast("bigint")
+        return [F.shiftrightunsigned(mixed, i * step).bitwiseAND(mask) for i in range(3)]
+
+    def may_be(self) -> Column:
+        tests = [
+            F.getbit(F.get(self.words, F.shiftright(spot, 6).cast("int")), spot.bitwiseAND(F.lit(63)))
+            == 1
+            for spot in self._spots()
+        ]
+        return tests[0] & tests[1] & tests[2]
+
+
+def _grams(
+    filled: DataFrame, group: list[str], item: str, among: _Among | None = None
+) -> DataFrame:
+    """One row for each size of gram in the group and each place ``_at`` where it fits.
+
+    Only those ``among`` the wanted ones become rows that go on: the others end in
+    the stage that makes them, which is compiled as a whole.
+    """
     own = [*group, "_id", "_id2", "_length", "_grams"]
     length, text = F.col("_length"), F.col(item)
-    blocks = F.transform(
-        F.sequence(F.lit(0), F.floor((length - 1) / BLOCK).cast("int")),
-        lambda number: F.struct(
-            (number * BLOCK).alias("_before"),
-            F.substring(text, number * BLOCK + 1, F.lit(BLOCK + max(GRAMS) - 1)).alias("_block"),
-        ),
-    )
+
+    def blocks(text: Column, length: Column, size: int, rest: int) -> Column:
+        return F.transform(
+            F.sequence(F.lit(0), F.floor((length - 1) / size).cast("int")),
+            lambda number: F.struct(
+                (number * size).alias("_start"),
+                F.substring(text, number * size + 1, F.lit(size + rest)).alias("_text"),
+            ),
+        )
+
+    rest = max(GRAMS) - 1
     # The texts are small next to the rows they become: keep them in many parts.
     parts = shuffle_parts(filled)
-    spread = filled.select(*own, F.inline(blocks)).repartition(parts, "_id", "_before")
-    places = F.transform(
-        F.filter(
-            F.array(*map(F.lit, GRAMS)),
-            lambda size: (F.col("_grams").bitwiseAND(size) != 0)
-            & (F.col("_before") + size <= length),
-        ),
-        lambda size: F.transform(
-            F.sequence(F.lit(1), F.least(F.lit(BLOCK), length - F.col("_before") - size + 1)),
-            lambda at: F.struct(
-                (F.col("_before") + at).alias("_at"),
-                F.xxhash64(F.substring(F.col("_block"), at, size)).alias("_gram"),
-            ),
-        ),
+    spread = filled.select(*own, F.inline(blocks(text, length, LARGE_BLOCK, rest)))
+    spread = spread.repartition(parts, "_id", "_start").withColumnRenamed("_start", "_large")
+    here = F.least(F.lit(LARGE_BLOCK), length - F.col("_large"))
+    spread = spread.select(*own, "_large", F.inline(blocks(F.col("_text"), here, BLOCK, rest)))
+    spread = spread.select(
+        *own, (F.col("_large") + F.col("_start")).alias("_before"), F.col("_text").alias("_block")
+    )
+    sizes = F.filter(
+        F.array(*map(F.lit, GRAMS)),
+        lambda size: (F.col("_grams").bitwiseAND(size) != 0) & (F.col("_before") + size <= length),
     )
-    return spread.select(*own, F.inline(F.flatten(places))).drop("_grams")
+    sized = spread.select(*own, "_before", "_block", F.explode(sizes).alias("_size"))
+    last = F.least(F.lit(BLOCK), length - F.col("_before") - F.col("_size") + 1)
+    placed = sized.select("*", F.explode(F.sequence(F.lit(1), last)).alias("_in"))
+    found = placed.select(
+        *own,
+        (F.col("_before") + F.col("_in")).alias("_at"),
+        F.xxhash64(F.substring("_block", F.col("_in"), F.col("_size"))).alias("_gram"),
+    ).drop("_grams")
+    return found.where(among.may_be()) if among else found
 
 
 def _needles(filled: DataFrame, group: list[str], item: str, counts: DataFrame) -> DataFrame:

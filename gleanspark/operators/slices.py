@@ -133,12 +133,45 @@ def cut(df: DataFrame, keys: list[str], order: list[str]) -> Cut:
     return Cut(rows.drop("_hot"), rows.where("_hot").drop("_hot"), group)
 
 
+# A row's number in the order is that of its range, shifted so far, and its place in there.
+_INSIDE = 33
+
+
+def _ranged(df: DataFrame, order: list[str]) -> tuple[DataFrame, DataFrame]:
+    """A written copy in ranges of the order, with ``_range_id``, and where each range starts.
+
+    One exchange by range sorts the whole table: ranges and places in them
+    rise with the order, so counts by range are all that is needed to number rows.
+    """
+    ascending = [F.asc_nulls_first(c) for c in order]
+    ranges = df.repartitionByRange(shuffle_parts(df), *ascending).sortWithinPartitions(*ascending)
+    rows = settle(ranges.withColumn("_range_id", F.monotonically_increasing_id()), "ranges")
+    inside = F.col("_range_id").bitwiseAND(F.lit((1 << _INSIDE) - 1))
+    sizes = rows.groupBy(F.shiftright("_range_id", _INSIDE).alias("_range")).agg(
+        (F.max(inside) + 1).alias("_size")
+    )
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.withColumn("_start", F.coalesce(F.sum("_size").over(before), F.lit(0)))
+    return rows, settle(starts, "starts")
+
+
+def _overall(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    rows, starts = _ranged(df, order)
+    # One row for each shuffle partition at most.
+    starts = F.broadcast(starts.select(F.col("_range").alias("_of"), "_start"))
+    place = F.col("_start") + F.col("_range_id").bitwiseAND(F.lit((1 << _INSIDE) - 1))
+    joined = rows.join(starts, F.shiftright("_range_id", _INSIDE) == F.col("_of"))
+    return joined.withColumn(name, place).drop("_range_id", "_of", "_start")
+
+
 def ordinal(df: DataFrame, keys, order, name: str = "pos") -> DataFrame:
-    """Position of each row in its group, from 0, as bigint.
+    """Position of each row in its group, from 0, as bigint; without keys, in the whole table.
 
     ``order`` must be unique within a group, and may be of any types that sort.
     """
     keys, order = as_list(keys), as_list(order)
+    if not keys:
+        return _overall(df, order, name)
     part = cut(df, keys, order)
     starts = F.broadcast(part.starts().drop("_size"))
     inside = F.row_number().over(Window.partitionBy(*part.cells).orderBy(*order))
@@ -199,20 +232,13 @@ def until_first(df: DataFrame, keys, order, stop: Column) -> DataFrame:
 def after_first(df: DataFrame, n: Column, order) -> DataFrame:
     """Skip the first ``n`` rows of the whole table; ``n`` is a scalar.
 
-    Only the slice in which the cut falls is sorted. The table itself is
-    scanned and filtered, never shuffled. ``order`` must be unique.
+    Only the order columns are sorted, by range; the row where the table goes on is found
+    among the ranges' counts. The table itself is scanned and filtered, never
+    shuffled. ``order`` must be unique.
     """
     order = as_list(order)
-    part = cut(df, [], order)
-    starts = settle(part.starts(), "starts")
+    rows, starts = _ranged(df.select(*order), order)
     edge = starts.where((F.col("_start") <= n) & (F.col("_start") + F.col("_size") > n))
-    skip = edge.select(n - F.col("_start")).scalar()
-
-    inside = F.row_number().over(Window.partitionBy(SLICE).orderBy(*order))
-    first_kept = (
-        part.rows.where(F.col(SLICE) == edge.select(SLICE).scalar())
-        .select(F.struct(*order).alias("_place"), inside.alias("_inside"))
-        .where(F.col("_inside") == skip + 1)
-        .select("_place")
-    )
-    return df.where(F.struct(*order) >= first_kept.scalar())
+    number = F.call_function("shiftleft", F.col("_range"), F.lit(_INSIDE)) + n - F.col("_start")
+    first_kept = rows.where(F.col("_range_id") == edge.select(number).scalar())
+    return df.where(F.struct(*order) >= first_kept.select(F.struct(*order)).scalar())

@@ -351,3 +351,45 @@ def test_facets_of_the_dialog(spark):
 
 def test_most_recent_is_a_top_k(spark, skewed):
     assert "TakeOrderedAndProject" in plan(paging.most_recent(skewed, "pos", "key", 5))
+
+
+def test_only_places_that_may_match_are_shuffled(spark, monkeypatch):
+    """Rows that reach the shuffle: fewer than twice the matches and the items."""
+    counted = {}
+    real = containment.left_join_unique
+
+    def join(left, right, *args, **kwargs):
+        if "_at" in left.columns:
+            counted["rows"] = left.count()
+        return real(left, right, *args, **kwargs)
+
+    monkeypatch.setattr(containment, "left_join_unique", join)
+    n = 4000
+    links = spark.range(n).select(
+        F.concat(F.lit("https://jobs.example.com/listing/"), F.sha2(F.col("id").cast("string"), 256)).alias("link")
+    )
+    # Every tenth link is also there without its last characters.
+    short = links.where("crc32(link) % 10 = 0").selectExpr("substring(link, 1, length(link) - 5) AS link")
+    rows = links.unionByName(short).withColumn("g", F.lit(1))
+    kept = containment.remove_contained_rows(rows, "g", "link", array_items=0).count()
+    items, matches = rows.count(), short.count()
+    assert kept == n
+    assert 0 < counted["rows"] <= 2 * (matches + items)
+
+
+@pytest.mark.parametrize("n", [0, 1, 700, 2999, 3000, 4000])
+def test_overall_order_by_ranges(spark, n):
+    values = spark.range(3000).selectExpr(
+        "CASE WHEN id = 5 THEN NULL ELSE int(id / 900) END AS a", "(id * 7919) % 3000 AS b"
+    )
+    rows = sorted(map(tuple, values.collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    placed = slices.ordinal(values, [], ["a", "b"], "at").collect()
+    assert sorted(placed, key=lambda r: r["at"]) == [(*r, i) for i, r in enumerate(rows)]
+    left = slices.after_first(values, F.lit(n).cast("bigint"), ["a", "b"]).collect()
+    assert sorted(map(tuple, left), key=lambda r: (r[0] is not None, r[0] or 0, r[1])) == rows[n:]
+
+
+def test_overall_order_of_an_empty_table(spark):
+    none = spark.range(0)
+    assert slices.ordinal(none, [], "id").count() == 0
+    assert slices.after_first(none, F.lit(0), "id").count() == 0
