@@ -109,6 +109,19 @@ def redelivered_tab(spark, sf):
     return feeds.read_tab(spark, dest, "Data", df.columns)
 
 
+def compacted_tab(spark, sf):
+    """Deliveries are packed twice; between, one is sent again and one is emptied."""
+    df = read_table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    dest = fresh_path(spark, "tabs")
+    for i in range(3):
+        feeds.append_tab(df.where(F.col("c_custkey") % 3 == i), dest, "Data", f"a/b={i}")
+    feeds.compact_tab(spark, dest, "Data", df.columns)
+    feeds.append_tab(df.where("c_custkey % 5 = 0"), dest, "Data", "a/b=1")
+    feeds.append_tab(df.where("c_custkey < 0"), dest, "Data", "a/b=2")
+    feeds.compact_tab(spark, dest, "Data", df.columns)
+    return feeds.read_tab(spark, dest, "Data", df.columns)
+
+
 def append_tab(spark, sf):
     df = read_table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
     some = F.when(F.col("c_custkey") % 4 != 0, F.col("c_mktsegment"))
@@ -131,6 +144,7 @@ QUERIES = {
     "csv_inferred": csv_inferred,
     "rewrite_feed": rewrite_feed,
     "redelivered_tab": redelivered_tab,
+    "compacted_tab": compacted_tab,
     "null_tokens": null_tokens,
     "overwrite_feed": overwrite_feed,
     "drop_header_rows": drop_header_rows,
@@ -157,6 +171,12 @@ ORACLE = {
         FROM orders
     """,
     "rewrite_feed": "SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_name FROM part",
+    "compacted_tab": """
+        SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_mktsegment FROM customer
+        WHERE c_custkey % 3 = 0
+        UNION ALL SELECT CAST(c_custkey AS VARCHAR), c_mktsegment FROM customer
+        WHERE c_custkey % 5 = 0
+    """,
     "redelivered_tab": """
         SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_mktsegment FROM customer
         WHERE c_custkey % 3 = 0

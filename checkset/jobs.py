@@ -205,6 +205,21 @@ def stream_two_feeds(spark, sf):
     return tab.withColumn("page_id", F.col("page_id").cast("bigint"))
 
 
+def stream_once(spark, sf):
+    """Two streams into one tab whose ledger lets each capture through once; then packed."""
+
+    def job(pages):
+        return pages.select("page_id", "url")
+
+    dest = fresh_path(spark, "tabs")
+    for progress in (fresh_path(spark, "progress"), fresh_path(spark, "progress")):
+        stream = page_stream(spark, f"{sf}/page[s].parquet")
+        query = ingest_to_tab(stream, job, dest, "Pages", progress, ["page_id"], compact_every=1)
+        query.awaitTermination()
+    tab = read_tab(spark, dest, "Pages", ["page_id", "url"])
+    return tab.withColumn("page_id", F.col("page_id").cast("bigint"))
+
+
 def search_outcomes(spark, sf):
     searches = planning.searches(spark, sf).withColumn("n_results", F.lit(1))
     planned = plan_pages(searches, planning.BASE, "n_results", windows=4)
@@ -227,6 +242,7 @@ QUERIES = {
     "search_plan_fixed": search_plan_fixed,
     "stream_ingest": stream_ingest,
     "stream_two_feeds": stream_two_feeds,
+    "stream_once": stream_once,
     "search_outcomes": search_outcomes,
 }
 
@@ -417,6 +433,7 @@ ORACLE = {
         FROM planned
     """,
     "stream_ingest": f"SELECT page_id, {sql.clean_html('html')} AS text FROM pages",
+    "stream_once": "SELECT page_id, url FROM pages",
     "stream_two_feeds": """
         SELECT page_id, url FROM pages UNION ALL SELECT page_id, url FROM pages
     """,

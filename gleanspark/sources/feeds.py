@@ -1,5 +1,7 @@
 """Feeds: CSV files with a header, and tables of named tabs."""
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -163,20 +165,93 @@ def _folder(name: str, value: str) -> str:
     return f"{name}=" + "".join(f"%{ord(c):02X}" if c in ESCAPED else c for c in value)
 
 
+def tab_folder(tab: str) -> str:
+    return _folder("tab", tab)
+
+
 def append_tab(df: DataFrame, dest: str, tab: str, batch: str) -> None:
     """Add rows to a tab of the table at ``dest``, creating either if missing.
 
     Rows are text with ``""`` for null. ``batch`` names this delivery among all
     of the tab: sending the same batch again replaces it, even by no rows, so a
     repeated job adds nothing twice. Deliveries have folders of their own and
-    may be written at the same time.
+    may be written at the same time; ``compact_tab`` puts many together.
     """
     folder = f"{dest}/{_folder('tab', tab)}/{_folder('batch', batch)}"
     fill_blank(df).write.mode("overwrite").parquet(folder)
 
 
+def _tab_schema(columns: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(c, T.StringType()) for c in [*columns, "tab", "batch"]])
+
+
+def _packs(dest: str, tab: str) -> str:
+    # A name that readers of the whole table pass over.
+    return f"{dest}/_packs/{_folder('tab', tab)}"
+
+
+def _deliveries(spark: SparkSession, dest: str, tab: str) -> dict[str, int]:
+    """Deliveries of a tab that have folders of their own, and when each was last written."""
+    system, folder = versions.system_of(spark, f"{dest}/{_folder('tab', tab)}")
+    if not system.exists(folder):
+        return {}
+    found = {}
+    for status in system.listStatus(folder):
+        name = status.getPath().getName()
+        if name.startswith("batch="):
+            files = system.listStatus(status.getPath())
+            found[name] = max([status.getModificationTime(), *(f.getModificationTime() for f in files)])
+    return found
+
+
+def _tab_rows(
+    spark: SparkSession, dest: str, tab: str, columns: list[str], own: dict[str, int]
+) -> DataFrame:
+    """The rows of a tab with ``tab`` and ``batch``: its deliveries and its pack.
+
+    A delivery of its own (``own``) stands for all that the pack has of its batch.
+    """
+    schema = _tab_schema(columns)
+    rows = spark.read.schema(schema).parquet(dest).where(F.col("tab") == tab)
+    pack = versions.current(spark, _packs(dest, tab))
+    if pack == _packs(dest, tab):
+        return rows
+    packed = spark.read.schema(schema).parquet(pack)
+    if own:
+        names = [(unquote(name.removeprefix("batch=")),) for name in own]
+        packed = packed.join(spark.createDataFrame(names, "batch string"), "batch", "left_anti")
+    return rows.unionByName(packed)
+
+
 def read_tab(spark: SparkSession, dest: str, tab: str, columns: list[str]) -> DataFrame:
     """The rows of one tab; other tabs are not read."""
-    fields = [T.StructField(c, T.StringType()) for c in [*columns, "tab", "batch"]]
-    table = spark.read.schema(T.StructType(fields)).parquet(dest)
-    return table.where(F.col("tab") == tab).select(*columns)
+    own = _deliveries(spark, dest, tab)
+    return _tab_rows(spark, dest, tab, columns, own).select(*columns)
+
+
+def compact_tab(
+    spark: SparkSession, dest: str, tab: str, columns: list[str], file_bytes: int = 128 << 20
+) -> None:
+    """Put the deliveries of a tab together in few files; its rows stay the same.
+
+    The pack keeps the name of each row's delivery, so sending a batch again still
+    replaces it: a folder of its own counts for more than the pack, even without rows.
+    The pack takes its place in one step, and only then are the folders in it
+    deleted, but for those written meanwhile. A run that fails at any step
+    changes nothing that is read.
+    """
+    own = _deliveries(spark, dest, tab)
+    if not own:
+        return
+    path = _packs(dest, tab)
+    size = versions.size_of(spark, f"{dest}/{_folder('tab', tab)}")
+    before = versions.current(spark, path)
+    if before != path:
+        size += versions.size_of(spark, before)
+    rows = _tab_rows(spark, dest, tab, columns, own)
+    files = max(1, -(-size // file_bytes))
+    versions.replace(spark, path, lambda folder: rows.repartition(files).write.parquet(folder))
+    now = _deliveries(spark, dest, tab)
+    for name, written in own.items():
+        if now.get(name) == written:
+            versions.delete(spark, f"{dest}/{_folder('tab', tab)}/{name}")

@@ -17,13 +17,14 @@ from pyspark.sql import SparkSession
 _POINTER = re.compile(r"^_current-([0-9]{12})-(v-[0-9a-f]{32})$")
 
 
-def _system(spark: SparkSession, path: str):
+def system_of(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path as it knows it."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
 
 
 def _names(spark: SparkSession, path: str) -> list[str]:
-    system, folder = _system(spark, path)
+    system, folder = system_of(spark, path)
     if not system.exists(folder):
         return []
     return [status.getPath().getName() for status in system.listStatus(folder)]
@@ -51,11 +52,11 @@ def replace(spark: SparkSession, path: str, write: Callable[[str], None]) -> str
     try:
         write(folder)
     except BaseException:
-        _delete(spark, folder)
+        delete(spark, folder)
         raise
     before = _pointers(_names(spark, path))
     number = before[-1][0] + 1 if before else 1
-    system, pointer = _system(spark, f"{path}/_current-{number:012d}-{version}")
+    system, pointer = system_of(spark, f"{path}/_current-{number:012d}-{version}")
     system.create(pointer, False).close()
     _clean(spark, path)
     return folder
@@ -69,13 +70,23 @@ def _clean(spark: SparkSession, path: str) -> None:
         return
     for name in names:
         if not (name.startswith(("_", ".", "v-"))):
-            _delete(spark, f"{path}/{name}")
+            delete(spark, f"{path}/{name}")
     for number, version in pointers[:-2]:
-        _delete(spark, f"{path}/{version}")
+        delete(spark, f"{path}/{version}")
         # The pointer goes last: a version without one would stay for ever.
-        _delete(spark, f"{path}/_current-{number:012d}-{version}")
+        delete(spark, f"{path}/_current-{number:012d}-{version}")
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    system, folder = _system(spark, path)
+def exists(spark: SparkSession, path: str) -> bool:
+    system, folder = system_of(spark, path)
+    return system.exists(folder)
+
+
+def size_of(spark: SparkSession, path: str) -> int:
+    system, folder = system_of(spark, path)
+    return system.getContentSummary(folder).getLength()
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    system, folder = system_of(spark, path)
     system.delete(folder, True)
