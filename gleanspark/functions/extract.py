@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanspark.functions.text import clean_html, decode_entities, let
+from gleanspark.functions.text import GAP, MARKUP, clean_html, decode_entities, let, norm_ws
 
 
 @dataclass(frozen=True)
@@ -77,8 +77,9 @@ def _spans(pieces: Column, element: Element) -> Column:
     """
 
     def kind(piece: Column) -> Column:
+        head = F.substring(piece, 1, len(element.tag) + 3)
         closes = piece.startswith("</")
-        return F.when(piece.rlike("^" + element.name), F.when(closes, -1).otherwise(1)).otherwise(0)
+        return F.when(head.rlike("^" + element.name), F.when(closes, -1).otherwise(1)).otherwise(0)
 
     def tags(kinds: Column, depths: Column) -> Column:
         listed = F.transform(
@@ -114,7 +115,9 @@ def _spans(pieces: Column, element: Element) -> Column:
     return F.array_sort(F.filter(found, wanted))
 
 
-def elements(html: Column, element: Element, inner: bool = False) -> Column:
+def elements(
+    html: Column, element: Element, inner: bool = False, only_first: bool = False
+) -> Column:
     """Every matching element, outer ones before those they contain; ``inner`` without its tags.
 
     The tags of a page are read once, in time that hardly grows faster than their number.
@@ -131,7 +134,8 @@ def elements(html: Column, element: Element, inner: bool = False) -> Column:
                 body, F.regexp_extract(F.coalesce(F.get(pieces, span.end), F.lit("")), tag, 0)
             )
 
-        return F.transform(_spans(pieces, element), whole)
+        spans = _spans(pieces, element)
+        return F.transform(F.slice(spans, 1, 1) if only_first else spans, whole)
 
     plain = F.regexp_replace(F.replace(html, F.lit(MARK), F.lit("")), HIDDEN, "")
     pieces = F.split(F.regexp_replace(plain, f"({TAG})", f"{MARK}$1"), MARK)
@@ -143,8 +147,7 @@ def elements(html: Column, element: Element, inner: bool = False) -> Column:
 def extract_text(html: Column, pattern: str | Element) -> Column:
     """Text of the first element that matches, ``""`` if none does."""
     if isinstance(pattern, Element):
-        found = F.get(elements(html, pattern, inner=True), F.lit(0))
-        return F.when(html.isNotNull(), clean_html(F.coalesce(found, F.lit(""))))
+        return F.when(html.isNotNull(), F.coalesce(if_present(html, pattern), F.lit("")))
     return clean_html(F.regexp_extract(html, pattern, 1))
 
 
@@ -211,8 +214,16 @@ def extract_all(html: Column, pattern: str | Element, group: int = 1) -> Column:
     return F.regexp_extract_all(html, F.lit(pattern), F.lit(group))
 
 
+def _clean_once(html: Column) -> Column:
+    """``clean_html`` for use in lambdas, where nothing is shared unless it is bound."""
+    bare = let(F.regexp_replace(html, MARKUP, GAP), decode_entities)
+    return norm_ws(F.replace(bare, F.lit(GAP), F.lit("")))
+
+
 def extract_texts(html: Column, pattern: str | Element) -> Column:
     """Text of every element that matches, in page order."""
+    if isinstance(pattern, Element):
+        return F.transform(extract_all(html, pattern), _clean_once)
     return F.transform(extract_all(html, pattern), clean_html)
 
 
@@ -224,7 +235,8 @@ def first_non_empty(*cols: Column) -> Column:
 def if_present(html: Column, pattern: str | Element) -> Column:
     """Text of the element, null if absent, ``""`` if empty."""
     if isinstance(pattern, Element):
-        return clean_html(F.get(elements(html, pattern, inner=True), F.lit(0)))
+        found = elements(html, pattern, inner=True, only_first=True)
+        return F.get(F.transform(found, _clean_once), F.lit(0))
     return F.when(html.rlike(pattern), extract_text(html, pattern))
 
 
