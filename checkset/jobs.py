@@ -16,10 +16,11 @@ from checkset.extracting import BOLD, DESC, H1, H2, ITEM, nested, nested_pages
 from gleanspark.functions import extract
 from gleanspark.functions.text import clean_html
 from gleanspark.plans import listing, postings
+from gleanspark.plans.cursor import run_listing
 from gleanspark.plans.search import rejected_searches
 from gleanspark.plans.search import search_plan as plan_pages
 from gleanspark.schema import POSTING_COLUMNS, PROVIDER_FEED
-from gleanspark.sources.feeds import read_feed, read_tab, write_feed
+from gleanspark.sources.feeds import append_tab, read_feed, read_tab, write_feed
 from gleanspark.sources.pages import read_pages
 from gleanspark.streaming.ingest import ingest_to_tab, page_stream
 from gleanspark.workspace import fresh_path
@@ -142,6 +143,28 @@ def provider_listing(spark, sf):
     return cards.withColumn("pos", F.col("pos").cast("bigint")).drop("host")
 
 
+def listing_in_runs(spark, sf):
+    """The provider listing in three runs, each over the pages captured until then."""
+    host = F.regexp_extract("url", PROFILE, 0)
+    pages = read_pages(spark, f"{sf}/pages.parquet").withColumn("host", host)
+    has_next = F.contains(F.col("html"), F.lit("<b>"))
+    most = pages.agg(F.max("page_id")).scalar()
+    dest, cursor = fresh_path(spark, "tabs"), fresh_path(spark, "cursor")
+    columns = ["page_id", "pos", "provider_name", "provider_profile"]
+    for run in range(3):
+
+        def deliver(todo, run=run):
+            cards = listing.provider_listing(
+                todo, "host", "page_id", has_next, ITEM, CARD_NAME, CARD_LINK
+            )
+            append_tab(cards.select(*columns), dest, "Providers", f"run-{run}")
+
+        captured = pages.where(F.col("page_id") <= most * (run + 1) / 3)
+        run_listing(captured, "host", "page_id", ~has_next, cursor, deliver)
+    tab = read_tab(spark, dest, "Providers", columns)
+    return tab.withColumns({n: F.col(n).cast("bigint") for n in ("page_id", "pos")})
+
+
 def remaining_profiles(spark, sf):
     """What is left of the providers once the pages of one domain ending are done."""
     path = fresh_path(spark, "providers")
@@ -237,6 +260,7 @@ QUERIES = {
     "company_sites": company_sites,
     "listing_links": listing_links,
     "provider_listing": provider_listing,
+    "listing_in_runs": listing_in_runs,
     "remaining_profiles": remaining_profiles,
     "search_plan": search_plan,
     "search_plan_fixed": search_plan_fixed,
@@ -445,6 +469,8 @@ ORACLE = {
     """,
 }
 
+# Runs one after the other find what one run finds.
+ORACLE["listing_in_runs"] = ORACLE["provider_listing"]
 ORACLE["remaining_profiles"] = f"""
     WITH providers AS ({ORACLE["provider_listing"]}), feed AS (
         SELECT CASE WHEN provider_profile NOT IN ({TOKENS}) THEN provider_profile END
