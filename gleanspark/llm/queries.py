@@ -177,15 +177,23 @@ ORACLE = {
             SELECT leaf FROM once WHERE n >= 5 GROUP BY leaf
             HAVING sum(docs) >= 3 AND count(*) > 1
         ), words AS (
-            SELECT plain, leaf, n, docs, unnest(range(1, n + 1)) AS pos, unnest(masked) AS word
-            FROM once SEMI JOIN crowded USING (leaf) WHERE n >= 5
-        ), fixed AS (
-            SELECT leaf, pos, word FROM words GROUP BY ALL HAVING sum(docs) >= 3
+            SELECT *, count(*) OVER (PARTITION BY plain) AS literals
+            FROM (SELECT plain, leaf, n, docs, unnest(range(1, n + 1)) AS pos, unnest(masked) AS word
+                  FROM once SEMI JOIN crowded USING (leaf) WHERE n >= 5)
+            WHERE word <> '<*>' QUALIFY literals >= 0.5 * n
+        ), counted AS (
+            SELECT leaf, pos, word, sum(docs) AS times FROM words GROUP BY ALL HAVING times >= 3
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY plain ORDER BY times DESC) AS place
+            FROM words JOIN counted USING (leaf, pos, word)
+        ), judged AS (
+            SELECT *, max(CASE WHEN place = ceil(0.7::DOUBLE * literals) THEN times END)
+                OVER (PARTITION BY plain) AS last
+            FROM ranked
         ), general AS (
             SELECT plain, any_value(leaf) || chr(10)
                 || string_agg(pos || ' ' || word, chr(9) ORDER BY pos) AS template
-            FROM words JOIN fixed USING (leaf, pos, word)
-            GROUP BY plain, n HAVING count(*) >= 0.7 * n
+            FROM judged WHERE times >= 0.5 * last GROUP BY plain
         ), named AS (
             SELECT doc_id, line_no, coalesce(template, chr(11) || plain) AS template
             FROM leaves LEFT JOIN general USING (plain)
