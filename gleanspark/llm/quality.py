@@ -161,24 +161,39 @@ def fitted_share(labels: DataFrame, risk: Risk) -> float:
     return min(risk.fit_share, risk.fit_rows / max(labels.count(), 1))
 
 
+def _draws(rows: DataFrame, key: str, cols: list[str]) -> DataFrame:
+    """One row for each text: copies are no evidence of their own.
+
+    A text has the fold and ``cols`` of its least labelled id, and its worst label, so that
+    copies are never in both folds.
+    """
+    least = F.min(F.struct("label_id", "spot", *cols)).alias("least")
+    return rows.groupBy(key).agg(least, F.max("bad").alias("bad")).select(key, "least.*", "bad")
+
+
 def fit_vocabulary(
     df: DataFrame, labels: DataFrame, id_col: str, text_col: str, risk: Risk
 ) -> dict[bytes, float]:
     """Words that stand out in bad documents, with the logarithm of their odds.
 
-    A word counts once per document. It needs five bad documents and a
-    difference of four standard errors between bad and good ones.
+    A word counts once per document, copies of a text are one. It needs five bad
+    documents and a difference of four standard errors between bad and good ones.
     """
     share = fitted_share(labels, risk)
-    sample = F.broadcast(labels.where(F.col("spot") < share).select("label_id", "bad"))
+    keyed = df.select(F.col(id_col).alias("label_id"), F.xxhash64(text_col).alias("key"))
+    drawn = _draws(keyed.join(labels, "label_id"), "key", [])
+    sample = drawn.where(F.col("spot") < share).select("label_id", "key", "bad")
+    # About ``fit_rows`` rows at most, as a share of the labels.
+    sample = F.broadcast(settle(sample, "vocabulary-sample"))
     texts = df.select(F.col(id_col).alias("label_id"), F.col(text_col).alias("text"))
+    texts = texts.withColumn("key", F.xxhash64("text")).join(sample, ["label_id", "key"])
+    # A row that is there twice is one draw as well.
+    texts = settle(texts.dropDuplicates(["label_id", "key"]), "vocabulary-texts")
     mark, space = r"[!-/:-@\[-`{-~]*", r"[\x20\x09-\x0D]+"
     plain = F.regexp_replace("text", f"{mark}(?:{space}|^|$){mark}", " ")
     plain = F.translate(plain, UPPER.decode(), UPPER.lower().decode())
-    rows = texts.join(sample, "label_id").select(
-        "bad", F.array_distinct(F.split(plain, " ")).alias("words")
-    )
-    seen = texts.join(sample, "label_id").groupBy("bad").count().collect()
+    rows = texts.select("bad", F.array_distinct(F.split(plain, " ")).alias("words"))
+    seen = texts.groupBy("bad").count().collect()
     n = {r["bad"]: r["count"] for r in seen}
     bad, good = n.get(True, 0), n.get(False, 0)
     if not bad or not good:
@@ -239,10 +254,12 @@ def _step(rule: str):
 def choose_cutoffs(measured: DataFrame, labels: DataFrame, risk: Risk) -> DataFrame:
     """``stratum`` and one ``cut_<rule>`` column per rule (null: the rule rejects none there).
 
-    A stratum without enough good holdout documents gets no cutoff.
+    The exact binomial test is over different texts, each drawn once. A stratum without enough
+    good ones in the holdout gets no cutoff.
     """
-    holdout = labels.where(F.col("spot") >= fitted_share(labels, risk))
-    judged = measured.where(~base_failed()).join(holdout, F.col(KEYS[0]) == F.col("label_id"))
+    judged = measured.where(~base_failed()).join(labels, F.col(KEYS[0]) == F.col("label_id"))
+    judged = _draws(judged, KEYS[1], ["stratum", *RULES])
+    judged = judged.where(F.col("spot") >= fitted_share(labels, risk))
     steps = F.array(*(F.struct(F.lit(r).alias("rule"), _step(r).alias("step")) for r in RULES))
     counts = settle(
         judged.select("stratum", "bad", F.explode(steps).alias("at"))
@@ -285,7 +302,8 @@ def judge(
     Null text counts as empty and fails the base rule. A null stratum is a
     stratum of its own; one without labels, or with too few for the guarantee,
     is judged by the base rule only. An id labelled more than once takes its
-    worst label, a null label is none. Repeated rows are judged alike, each for
+    worst label, a null label is none. Labelled texts that are equal are one
+    draw, with the worst of their labels, in one fold. Repeated rows are judged alike, each for
     itself; an empty table gives an empty result.
     """
     if "toxic" not in labels.columns or "quality" not in labels.columns:
