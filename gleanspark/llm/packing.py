@@ -49,14 +49,45 @@ def term_counts(ids: np.ndarray, keep: np.ndarray | None = None):
     return found[edges[:-1]], edges[1:] - edges[:-1]
 
 
+# Ids that are counted at once; a longer document is counted by itself.
+COUNTED_IDS = 1 << 22
+
+
+def counted_terms(blobs: list[bytes], keep: np.ndarray | None = None):
+    """``term_counts`` of many documents: for each lot of them its size, place, term and count.
+
+    Sorted by place and term. The end of a document does not count.
+    """
+    sizes = np.array([len(x) // 2 for x in blobs], np.int64)
+    begin = 0
+    while begin < len(blobs):
+        stop = begin + max(1, int(np.searchsorted(np.cumsum(sizes[begin:]), COUNTED_IDS, "right")))
+        ids = np.frombuffer(b"".join(x[:-2] for x in blobs[begin:stop]), "<u2")
+        place = np.repeat(np.arange(stop - begin, dtype=np.uint64), sizes[begin:stop] - 1)
+        if keep is not None:
+            place, ids = place[keep[ids]], ids[keep[ids]]
+        both = np.sort(place << np.uint64(16) | ids)
+        first = np.concatenate(([True], both[1:] != both[:-1]))[: len(both)]
+        at = np.flatnonzero(first)
+        found = both[at]
+        terms = (found & np.uint64(0xFFFF)).astype(np.int64)
+        yield (
+            stop - begin,
+            (found >> np.uint64(16)).astype(np.int64),
+            terms,
+            np.diff(at, append=len(both)),
+        )
+        begin = stop
+
+
 def document_frequencies(tokens: DataFrame) -> dict[int, int]:
     """In how many documents each token id occurs; no larger than the vocabulary."""
 
     def count(batches):
         total = np.zeros(1 << 16, np.int64)
         for batch in batches:
-            for ids in batch.column("ids").to_pylist():
-                total[term_counts(np.frombuffer(ids, "<u2")[:-1])[0]] += 1
+            for _, _, terms, _ in counted_terms(batch.column("ids").to_pylist()):
+                total += np.bincount(terms, minlength=1 << 16)
         terms = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
             [pa.array(terms.astype(np.int32)), pa.array(total[terms])], names=["term", "docs"]
@@ -71,24 +102,36 @@ KEY_TERMS = 4
 DRAWS = -np.log1p(-np.random.default_rng(6).random(1 << 16))
 
 
-def lexical_key(ids: np.ndarray, weights: np.ndarray, keep: np.ndarray, how: Packing) -> int:
-    """The first ``KEY_TERMS`` terms by weighted MinHash, the first one leading.
+def lexical_keys(
+    blobs: list[bytes], weights: np.ndarray, how: Packing
+) -> np.ndarray:
+    """For each document its first ``KEY_TERMS`` terms by weighted MinHash, the first one leading.
 
-    Two documents agree in a term the likelier, the more weight they share.
-    ``keep`` marks the terms that may be one.
+    Two documents agree in a term the likelier, the more weight they share. Terms
+    without a weight are left out; of equal draws the least term wins. Keys are signed.
     """
-    terms, counts = term_counts(ids, keep)
-    strength = weights[terms] * counts / (counts + how.k1) / DRAWS[terms]
-    key = 0
-    for term in terms[np.argsort(-strength, kind="stable")[:KEY_TERMS]].tolist():
-        key = key << 16 | term
-    return key << 16 * max(0, KEY_TERMS - len(terms))
-
-
-def _keys(batch: pa.RecordBatch, weights: np.ndarray, how: Packing) -> list[int]:
-    """The keys of a batch, as signed numbers."""
-    ids, keep = (np.frombuffer(x, "<u2") for x in batch.column("ids").to_pylist()), weights > 0
-    return [lexical_key(i, weights, keep, how) - (1 << 63) for i in ids]
+    out = []
+    for size, place, terms, counts in counted_terms(blobs, weights > 0):
+        keys = np.zeros(size, np.uint64)
+        strength = weights[terms] * counts / (counts + how.k1) / DRAWS[terms]
+        begin = np.flatnonzero(np.diff(place, prepend=-1))
+        own = place[begin]
+        run = np.repeat(np.arange(len(begin)), np.diff(begin, append=len(place)))
+        for left in range(KEY_TERMS - 1, -1, -1):
+            if not len(begin):
+                break
+            most = np.maximum.reduceat(strength, begin)
+            at = np.flatnonzero((strength == most[run]) & (strength > 0))
+            at = at[np.flatnonzero(np.diff(run[at], prepend=-1))]
+            keys[own[run[at]]] |= terms[at].astype(np.uint64) << np.uint64(16 * left)
+            strength[at] = 0
+        out.append(keys)
+    found = np.concatenate(out) if out else np.zeros(0, np.uint64)
+    return (found ^ np.uint64(1 << 63)).view(np.int64)
+
+
+def _keys(batch: pa.RecordBatch, weights: np.ndarray, how: Packing) -> np.ndarray:
+    return lexical_keys(batch.column("ids").to_pylist(), weights, how)
 
 
 def key_weights(idf: np.ndarray, docs: np.ndarray) -> np.ndarray:
@@ -128,7 +171,8 @@ def deal(tokens: DataFrame, shards: int, weights, how: Packing, docs: int) -> Da
     def dealt(batches):
         own = weights()
         for batch in batches:
-            at = zip(_keys(batch, own, how), batch.column("row").to_pylist(), strict=True)
+            keys = _keys(batch, own, how).tolist()
+            at = zip(keys, batch.column("row").to_pylist(), strict=True)
             shard = pa.array([bisect.bisect_right(cuts.value, x) for x in at], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, shard], names=[*batch.schema.names, "shard"]

@@ -8,7 +8,8 @@ stride, so training reads shards front to back and resumes from a slot's number.
 
 The shards' names are in an index, a Parquet table written by Spark: a file that a
 lost or repeated task left behind is not in it, and a run that finds an
-index writes only the shards that are missing there.
+index writes only the shards that are missing there. The index holds a checksum of
+the whole stream, so a folder with the shards of another table is refused.
 """
 
 import uuid
@@ -187,7 +188,9 @@ def write_shards(
         return work
 
     ranked = spark.sparkContext.broadcast(_ranked(tokens))
-    index_path, mark = f"{path}/index", f"{n} {length} {per_shard} {key}"
+    # Every document's ids and their place in the stream: another table, or another order, differs.
+    digest = located.agg(F.bit_xor(F.xxhash64("at", "ids"))).first()[0] or 0
+    index_path, mark = f"{path}/index", f"{n} {length} {per_shard} {key} {digest}"
     done = _index(spark, index_path)
     if done is not None and done.where(F.col("made") != mark).limit(1).count():
         raise ValueError("the folder holds shards of another table, key or length")

@@ -90,3 +90,12 @@ def test_odd_rows(spark):
 
 def test_empty_table(spark):
     assert op2_token_output(spark, odd.folder(spark)).count() == 0
+
+
+def test_a_folder_of_another_table_is_refused(spark):
+    first = spark.createDataFrame([(i, f"text number {i}") for i in range(40)], "doc_id long, text string")
+    other = spark.createDataFrame([(i, f"text number {39 - i}") for i in range(40)], first.schema)
+    path, _, _ = made(spark, first, 16, 4)
+    made(spark, first, 16, 4, path)
+    with pytest.raises(ValueError, match="another table"):
+        made(spark, other, 16, 4, path)
