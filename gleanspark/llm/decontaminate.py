@@ -126,31 +126,40 @@ class ItemIndex:
         return found
 
     def _search(self, marks: list[np.ndarray], first: int, found: set) -> None:
-        gap = 1 << self.longest
         blocks = np.array([-(-len(m) // BLOCK) for m in marks])
-        room = np.where(blocks > 0, blocks + gap, 0)
-        begins = np.concatenate(([0], np.cumsum(room)))
+        begins = np.concatenate(([0], np.cumsum(blocks)))
         grid = np.full(begins[-1] * BLOCK, _EMPTY)
-        owner = np.repeat(np.arange(len(marks)), room)
-        filled = np.zeros(begins[-1], bool)
+        owner = np.repeat(np.arange(len(marks)), blocks)
         for own, begin, count in zip(marks, begins.tolist(), blocks.tolist(), strict=False):
             if count:
                 grid[begin * BLOCK : begin * BLOCK + len(own)] = own
                 # The rest of the last block repeats a shingle, which changes no least value.
                 grid[begin * BLOCK + len(own) : (begin + count) * BLOCK] = own[-1]
-                filled[begin : begin + count] = True
+        if not len(grid):
+            return
         grid = np.ascontiguousarray(grid.reshape(-1, BLOCK).T)
+        # Blocks from each to its document's end: windows end there, whatever the items' sizes.
+        left = begins[1:][owner] - np.arange(begins[-1])
+        widest = int(blocks.max())
+
+        def reached(values, width):
+            """The value ``width`` blocks on in the same document."""
+            out = np.full(len(values), _EMPTY)
+            if width < widest:
+                np.copyto(out[:-width], values[width:], where=left[:-width] > width)
+            return out
+
         for i, multiplier in enumerate(_MULTIPLIERS):
-            least = (grid * multiplier).min(axis=0) if len(grid[0]) else grid[0]
-            least[~filled] = _EMPTY
+            least = (grid * multiplier).min(axis=0)
             wide, width = least, 1
             for size_class in range(self.longest + 1):
                 # ``wide`` covers ``1 << size_class`` blocks from each; one more holds any passage.
                 if size_class in self.values:
-                    self._probe(i, size_class, np.minimum(wide[:-1], least[width:]), owner, first, found)
-                if size_class < self.longest:
-                    wide = np.minimum(wide[:-width], wide[width:])
-                    width *= 2
+                    one_more = np.minimum(wide, reached(least, width))
+                    self._probe(i, size_class, one_more, owner, first, found)
+                if size_class < self.longest and width < widest:
+                    wide = np.minimum(wide, reached(wide, width))
+                width *= 2
 
     def _probe(self, i, size_class, least, owner, first, found) -> None:
         hit = self.filters[size_class][least >> np.uint32(32 - self.bits)] >> np.uint64(i)

@@ -101,3 +101,18 @@ def test_more_items_than_a_pass_holds(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "ITEM_BYTES", 2000)
     docs, items = made(2)
     assert found(spark, docs, items) == brute(docs, items)
+
+
+def test_a_long_item_costs_what_it_weighs():
+    import tracemalloc
+
+    rng = random.Random(4)
+    docs = [" ".join(rng.choices("abcdefgh", k=12)).encode() for _ in range(3000)]
+    item = " ".join(f"i{k}" for k in range(100_000)).encode()
+    index = decontaminate.ItemIndex([(1, item), (2, docs[7])], 5, 0.8)
+    tracemalloc.start()
+    hits = index.search([*docs, b"x y z " + item[: len(item) - 60]], decontaminate.WordHashes())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert {h[:2] for h in hits} >= {(7, 2), (3000, 1)}
+    assert peak < 200e6
