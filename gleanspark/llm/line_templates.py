@@ -21,8 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gleanspark.llm.rows import KEYS, matching, with_key
-from gleanspark.operators.skew import is_small
+from gleanspark.llm.rows import KEYS, beside, free_names, matching, with_key
 from gleanspark.workspace import settle
 
 SPACE = r"[\x20\x09\x0B-\x0D]+"
@@ -54,7 +53,7 @@ def _masked(tokens: Column) -> Column:
 
 
 def _lines(df: DataFrame, tree: Tree) -> DataFrame:
-    """Each line with a token: key, ``line_no`` from 0, ``tokens``, leaf and two hashes."""
+    """Each line with a token: key, ``line_no`` from 0, ``plain`` text, leaf and two hashes."""
     rows = with_key(df, "id", "text")
     rows = rows.select(*KEYS, F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     rows = rows.withColumn("plain", F.trim(F.regexp_replace("line", SPACE, " ")))
@@ -63,7 +62,7 @@ def _lines(df: DataFrame, tree: Tree) -> DataFrame:
     return rows.select(
         *KEYS,
         "line_no",
-        "tokens",
+        "plain",
         F.size("tokens").alias("n"),
         F.xxhash64(F.size("tokens"), leading).alias("leaf"),
         F.xxhash64("plain").alias("one"),
@@ -91,26 +90,28 @@ def _generalised(df: DataFrame, lines: DataFrame, tree: Tree) -> DataFrame:
         & (held[KEYS[1]] == at[f"of{KEYS[1]}"])
         & (held["line_no"] == at["ofline_no"])
     )
-    read = held.join(at, there).select(*LINE, "n", "docs", _masked(F.col("tokens")).alias("tokens"))
-    literal = F.filter("tokens", lambda t: t != MASK)
-    read = read.dropDuplicates(LINE).withColumn("literals", F.size(literal))
+    # Plain lines are shuffled, as they take a fraction of their tokens' room.
+    read = held.join(at, there).select(*LINE, "n", "docs", "plain").dropDuplicates(LINE)
+    read = read.withColumn("tokens", _masked(F.split("plain", " ")))
+    read = read.withColumn("literals", F.size(F.filter("tokens", lambda t: t != MASK)))
+    # A token's spot is its leaf, place and text.
+    spot = F.xxhash64("leaf", "pos", "token").alias("spot")
     tokens = settle(
         read.where(F.col("literals") >= tree.literal_share * F.col("n"))
         .select(*LINE, "literals", "docs", F.posexplode("tokens").alias("pos", "token"))
         .where(F.col("token") != MASK)
-        .select(*LINE, "literals", "docs", "pos", F.xxhash64("token").alias("token")),
+        .select(*LINE, "literals", "docs", "pos", spot),
         "line-tokens",
     )
-    spot = ["leaf", "pos", "token"]
-    counted = tokens.groupBy(*spot).agg(F.sum("docs").alias("all"))
+    counted = tokens.groupBy("spot").agg(F.sum("docs").alias("all"))
     counted = settle(counted.where(F.col("all") >= tree.min_docs), "counted-tokens")
-    found = F.collect_list(F.struct("all", "pos", "token"))
-    kept = tokens.join(counted, spot).groupBy(*LINE, "literals")
+    found = F.collect_list(F.struct("all", "pos", "spot"))
+    kept = tokens.join(counted, "spot").groupBy(*LINE, "literals")
     kept = kept.agg(F.sort_array(found, asc=False).alias("found"))
     # Null if the line has fewer tokens than must be fixed.
     last = F.get("found", F.ceil(tree.fixed_share * F.col("literals")).cast("int") - 1)["all"]
     fixed = F.filter("found", lambda t: t["all"] >= tree.field_share * F.col("last"))
-    fixed = F.array_sort(F.transform(fixed, lambda t: F.struct(t["pos"], t["token"])))
+    fixed = F.array_sort(F.transform(fixed, lambda t: F.struct(t["pos"], t["spot"])))
     return (
         kept.withColumn("last", last)
         .where(F.col("last").isNotNull())
@@ -125,7 +126,7 @@ def _generalised(df: DataFrame, lines: DataFrame, tree: Tree) -> DataFrame:
 
 def recurring_lines(df: DataFrame, tree: Tree = Tree()) -> DataFrame:
     """Key and ``line_no`` of the lines to drop; ``df`` has ``id`` and ``text``."""
-    found = settle(_lines(df, tree).drop("tokens"), "lines")
+    found = settle(_lines(df, tree).drop("plain"), "lines")
     # A document's id, null last, then its text; a line counts once for each.
     order = F.struct(F.col(KEYS[0]).isNull().alias("no_id"), *KEYS, "line_no")
     once = found.groupBy(*LINE, "n", *KEYS).agg(F.min("line_no").alias("line_no"))
@@ -174,6 +175,11 @@ def _without(lines: Column, drop: Column) -> Column:
     return F.array_join(F.flatten(between), "\n")
 
 
+def counted_names(df: DataFrame) -> list[str]:
+    """What ``drop_recurring`` calls its counts: ``_lines`` and ``_dropped``, unless ``df`` has them."""
+    return free_names(df.columns, "_lines", "_dropped")
+
+
 def drop_recurring(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", tree: Tree = Tree()
 ) -> DataFrame:
@@ -183,26 +189,21 @@ def drop_recurring(
     never dropped. A null text stays null and has no line; the empty text has
     one. Of the documents that share a template the first is that with the least
     id, null ids last, ties by text. Rows of equal id and text are one document:
-    counted once, and returned alike as often as they come.
+    counted once, and returned alike as often as they come. Columns of ``df`` may have any names
+    and stay; a count whose name is taken has one more underscore (``counted_names``).
     """
     wanted = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     drops = recurring_lines(wanted, tree)
     drops = drops.groupBy(*KEYS).agg(F.sort_array(F.collect_set("line_no")).alias("_drop"))
-    drops = settle(drops, "drops").withColumnsRenamed({k: f"of{k}" for k in KEYS})
     # Measured, as its estimate would let the plan differ from table to table.
-    if is_small(drops):
-        drops = F.broadcast(drops)
-    rows = with_key(df, id_col, text_col)
-    at = rows[KEYS[0]].eqNullSafe(drops[f"of{KEYS[0]}"]) & (rows[KEYS[1]] == drops[f"of{KEYS[1]}"])
-    lines = F.split(F.col(text_col), "\n")
-    rest = F.when(F.col("_drop").isNull(), F.col(text_col)).otherwise(
-        _without(lines, F.col("_drop"))
-    )
+    rows, added = beside(df, settle(drops, "drops"), id_col, text_col, "left")
+    drop, lines = F.col(added[-1]), F.split(F.col(text_col), "\n")
+    rest = F.when(drop.isNull(), F.col(text_col)).otherwise(_without(lines, drop))
+    n_lines, n_dropped = counted_names(df)
+    n = F.when(F.col(text_col).isNull(), F.lit(0)).otherwise(F.size(lines)).cast("bigint")
+    dropped = F.when(drop.isNull(), F.lit(0)).otherwise(F.size(drop)).cast("bigint")
     return (
-        rows.join(drops, at, "left")
-        .withColumn("_lines", F.coalesce(F.size(lines), F.lit(0)).cast("bigint"))
-        .withColumn("_lines", F.when(F.col(text_col).isNull(), F.lit(0)).otherwise(F.col("_lines")))
-        .withColumn("_dropped", F.when(F.col("_drop").isNull(), 0).otherwise(F.size("_drop")))
+        rows.withColumns({n_lines: n, n_dropped: dropped})
         .withColumn(text_col, rest)
-        .select(*df.columns, "_lines", F.col("_dropped").cast("bigint").alias("_dropped"))
+        .drop(*added)
     )

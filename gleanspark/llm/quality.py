@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleanspark.llm.batches import WordHashes, as_bytes, texts, windows
-from gleanspark.llm.rows import KEYS, matching, with_key
+from gleanspark.llm.rows import KEYS, key, matching
 from gleanspark.workspace import settle
 
 SYMBOLS = b"#*$%&|<>"
@@ -119,8 +119,8 @@ def measure(
     df: DataFrame, id_col: str, text_col: str, stratum_col: str, vocabulary: dict[bytes, float]
 ) -> DataFrame:
     """Counts and rule scores of every whole text, one row per row."""
-    wanted = with_key(df, id_col, text_col).select(
-        *KEYS, F.col(stratum_col).cast("string").alias("stratum"), as_bytes(text_col).alias("text")
+    wanted = df.select(
+        *key(id_col, text_col), F.col(stratum_col).cast("string").alias("stratum"), as_bytes(text_col).alias("text")
     )
     id_type = dict(df.dtypes)[id_col]
 
@@ -335,7 +335,7 @@ def keep_good(
     stratum_col: str = "lang",
     risk: Risk = Risk(),
 ) -> DataFrame:
-    """The rows that ``judge`` keeps, all columns unchanged."""
+    """The rows that ``judge`` keeps, all columns unchanged, whatever their names."""
     verdicts = settle(judge(df, labels, id_col, text_col, stratum_col, risk), "verdicts")
     bad = verdicts.where(~F.col("kept")).select(*KEYS).distinct()
     return matching(df, bad, id_col, text_col, "left_anti")

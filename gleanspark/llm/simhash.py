@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from gleanspark.llm.batches import BATCH_ROWS, as_bytes, groups, texts
 from gleanspark.llm.components import stars
-from gleanspark.llm.rows import KEYS, matching, with_key
+from gleanspark.llm.rows import KEYS, free_names, key, matching
 from gleanspark.workspace import settle
 
 SEED = 42
@@ -56,7 +56,7 @@ def fingerprints(df: DataFrame, id_col: str, text_col: str, size: int = 4) -> Da
     Letters A to Z are lowered. A text of fewer words is one shingle; without
     words, or null, its fingerprint is zero.
     """
-    wanted = with_key(df, id_col, text_col).select(*KEYS, as_bytes(text_col).alias("text"))
+    wanted = df.select(*key(id_col, text_col), as_bytes(text_col).alias("text"))
 
     def work(batches):
         for batch in batches:
@@ -228,7 +228,7 @@ def keep_one(
     size: int = 4,
     radius: int = 4,
 ) -> DataFrame:
-    """One row of each group of near duplicates: that with the least id.
+    """One row of each group of near duplicates: that with the least id. Columns may have any names.
 
     Rows without an id are all kept. Rows that share the least id stay once if
     their texts are equal too, otherwise all of them do.
@@ -240,6 +240,7 @@ def keep_one(
     repeated = kept.where((F.col("n") > 1) & F.col(KEYS[0]).isNotNull())
     if repeated.isEmpty():
         return rows
-    once = with_key(rows, id_col, text_col)
-    some = F.col(KEYS[0]).isNull()
-    return once.where(some).unionByName(once.where(~some).dropDuplicates(KEYS)).drop(*KEYS)
+    names = free_names(df.columns, *KEYS)
+    once = rows.select("*", *key(id_col, text_col, names))
+    some = F.col(names[0]).isNull()
+    return once.where(some).unionByName(once.where(~some).dropDuplicates(names)).drop(*names)

@@ -26,7 +26,7 @@ from gleanspark.llm.batches import (
     texts,
     windows,
 )
-from gleanspark.llm.rows import KEYS, same_key, with_key
+from gleanspark.llm.rows import KEYS, key, same_key, with_key
 from gleanspark.operators.skew import is_small, shuffle_parts
 from gleanspark.workspace import settle
 
@@ -234,7 +234,7 @@ def remove_repeats(
     """
     spark = df.sparkSession
     digest = F.xxhash64(F.lit("copy"), F.col(text_col))
-    narrow = with_key(df, id_col, text_col).select(*KEYS, digest.alias("digest"))
+    narrow = df.select(*key(id_col, text_col), digest.alias("digest"))
     narrow = settle(narrow, "texts")
     firsts = (
         narrow.groupBy(KEYS[1], "digest")
