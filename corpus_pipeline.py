@@ -15,7 +15,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of templates that recur stay in the first document only; all documents stay."""
     found = line_templates.drop_recurring(docs)
-    changed = F.when(F.col("_dropped") > 0, F.char_length("text").cast("bigint"))
+    _, dropped = line_templates.counted_names(docs)
+    changed = F.when(F.col(dropped) > 0, F.char_length("text").cast("bigint"))
     return found.withColumn("n_chars", F.coalesce(changed, "n_chars")).select(*docs.columns)
 
 
