@@ -11,6 +11,7 @@ import gzip
 import hashlib
 import re
 import uuid
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -36,37 +37,54 @@ INDEX = (
 )
 
 
-def _record(page, url, payload: bytes, digest: str, size: int, original) -> bytes:
-    """One record as a member of its own; a revisit has no payload."""
+def _record(row: dict, name: str, at: int) -> bytes:
+    """One record as a member of its own; a revisit has the HTTP head, but no payload.
+
+    Its id comes from its place in the archive, so no two records share one.
+    """
+    original = row["original"]
     fields = [
         ("WARC-Type", "response" if original is None else "revisit"),
-        ("WARC-Record-ID", f"<urn:page:{'' if page is None else page}>"),
+        ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{name}#{at}')}>"),
         ("WARC-Date", DATE),
-        ("WARC-Payload-Digest", f"sha1:{digest}"),
-        ("X-Payload-Length", str(size)),
+        ("WARC-Payload-Digest", f"sha1:{row['digest']}"),
     ]
-    if url is not None:
-        target = re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url)
-        fields.append(("WARC-Target-URI", target))
+    if row["page"] is not None:
+        fields.append(("X-Page-ID", quote(row["page"], safe="")))
+    if row["url"] is not None:
+        fields.append(("WARC-Target-URI", _uri(row["url"])))
     if original is not None:
-        fields += [("WARC-Refers-To", f"<urn:page:{original}>"), ("WARC-Profile", PROFILE)]
-        payload = b""
-    fields += [("Content-Type", "text/html"), ("Content-Length", str(len(payload)))]
+        fields += [("WARC-Profile", PROFILE), ("WARC-Refers-To-Date", DATE)]
+        if row["original_url"] is not None:
+            fields.append(("WARC-Refers-To-Target-URI", _uri(row["original_url"])))
+        fields.append(("X-Refers-To-Page-ID", quote(original, safe="")))
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {row['size']}\r\n\r\n"
+    block = http.encode() + (row["payload"] if original is None else b"")
+    fields += [("Content-Type", "application/http; msgtype=response"), ("Content-Length", str(len(block)))]
     head = "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields) + "\r\n"
-    return gzip.compress(head.encode() + payload + b"\r\n\r\n", 6, mtime=0)
+    return gzip.compress(head.encode() + block + b"\r\n\r\n", 6, mtime=0)
+
+
+def _uri(url: str) -> str:
+    return re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url)
 
 
-def parsed(record: bytes) -> tuple[dict[str, str], bytes]:
-    """Header fields and block of a record."""
+def fields_of(lines: list[str]) -> dict[str, str]:
+    return dict(line.split(": ", 1) for line in lines)
+
+
+def parsed(record: bytes) -> tuple[dict[str, str], dict[str, str], bytes]:
+    """Header fields, HTTP header fields and payload of a record."""
     head, _, rest = gzip.decompress(record).partition(b"\r\n\r\n")
     lines = head.decode().split("\r\n")
     if lines[0] != "WARC/1.1":
         raise ValueError(f"no WARC record: {lines[0]!r}")
-    fields = dict(line.split(": ", 1) for line in lines[1:])
+    fields = fields_of(lines[1:])
     size = int(fields["Content-Length"])
     if rest[size:] != b"\r\n\r\n":
         raise ValueError("a record does not end where its length says")
-    return fields, rest[:size]
+    http, _, payload = rest[:size].partition(b"\r\n\r\n")
+    return fields, fields_of(http.decode().split("\r\n")[1:]), payload
 
 
 def _marked(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
@@ -82,9 +100,11 @@ def _marked(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataF
     originals = (
         rows.where(F.col("size") >= REVISIT_BYTES)
         .groupBy("digest")
-        .agg(F.max("page").alias("original"), F.count(F.lit(1)).alias("n"))
-        .where((F.col("n") > 1) & F.col("original").isNotNull())
-        .drop("n")
+        .agg(F.max(F.struct("page", "url")).alias("last"), F.count(F.lit(1)).alias("n"))
+        .where((F.col("n") > 1) & F.col("last.page").isNotNull())
+        .select(
+            "digest", F.col("last.page").alias("original"), F.col("last.url").alias("original_url")
+        )
     )
     originals = settle(originals, "originals")
     if is_small(originals):
@@ -104,10 +124,14 @@ def write_archives(
 ) -> DataFrame:
     """Write all pages to archives under ``path``; the index, read from its table.
 
-    Null html is an empty payload, a null URL has no header. Of equal payloads
+    Null html is an empty payload, a null URL or id has no header. Of equal payloads
     of at least ``REVISIT_BYTES`` the page with the largest id is the response, and rows
     that repeat it are responses too; a null id is no largest one. Without any id, all
-    are responses. An empty table gives an empty index.
+    are responses. An empty table gives an empty index. Other columns are not read,
+    whatever their names. A page is held in memory whole, however long.
+
+    A table of pages has no HTTP heads, so each record gets a plain one of status 200
+    before its payload; digest and size are the payload's alone.
     """
 
     def write(batches):
@@ -123,9 +147,7 @@ def write_archives(
                             out.close()
                         name, at = f"{uuid.uuid4().hex}.warc.gz", 0
                         out = files.open_output_stream(f"{base}/{name}", compression=None)
-                    record = _record(
-                        row["page"], row["url"], row["payload"], row["digest"], row["size"], row["original"]
-                    )
+                    record = _record(row, name, at)
                     out.write(record)
                     kind = "response" if row["original"] is None else "revisit"
                     found.append((name, at, len(record), kind))
@@ -197,18 +219,18 @@ def read_records(wanted: DataFrame, path: str, with_payload: bool = True) -> Dat
 
 
 def _row(record: bytes, with_payload: bool) -> tuple:
-    fields, payload = parsed(record)
+    fields, http, payload = parsed(record)
     digest = fields["WARC-Payload-Digest"].removeprefix("sha1:")
-    original = fields.get("WARC-Refers-To")
-    if original is None and hashlib.sha1(payload).hexdigest() != digest:
+    kind = fields["WARC-Type"]
+    if kind == "response" and hashlib.sha1(payload).hexdigest() != digest:
         raise ValueError(f"a payload does not fit its digest {digest}")
-    page = fields["WARC-Record-ID"][len("<urn:page:") : -1]
+    page, original = (fields.get(n) for n in ("X-Page-ID", "X-Refers-To-Page-ID"))
     row = (
-        page or None,
+        None if page is None else unquote(page),
         fields.get("WARC-Target-URI"),
-        int(fields["X-Payload-Length"]),
+        int(http["Content-Length"]),
         digest,
-        fields["WARC-Type"],
-        original and original[len("<urn:page:") : -1],
+        kind,
+        None if original is None else unquote(original),
     )
-    return (*row, payload if original is None else None) if with_payload else row
+    return (*row, payload if kind == "response" else None) if with_payload else row

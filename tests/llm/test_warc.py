@@ -79,6 +79,41 @@ def test_archives_and_index(spark, monkeypatch):
     assert found["8"]["payload"] == b"" and found["8"]["url"] == "z"
 
 
+def test_records_are_valid_http(spark):
+    path = tempfile.mkdtemp(prefix="run-")
+    index = warc.write_archives(odd_pages(spark), path).collect()
+    seen = set()
+    for r in index:
+        data = Path(path, "archives", r["file"]).read_bytes()
+        plain = gzip.decompress(data[r["offset"] : r["offset"] + r["length"]])
+        head, _, block = plain.partition(b"\r\n\r\n")
+        fields = dict(x.split(b": ", 1) for x in head.split(b"\r\n")[1:])
+        assert fields[b"Content-Type"] == b"application/http; msgtype=response"
+        assert int(fields[b"Content-Length"]) + 4 == len(block)
+        http, _, payload = block[:-4].partition(b"\r\n\r\n")
+        assert http.startswith(b"HTTP/1.1 200 OK\r\n")
+        assert b"Content-Length: %d" % r["payload_bytes"] in http
+        if r["record_type"] == "response":
+            assert hashlib.sha1(payload).hexdigest() == r["payload_digest"]
+            assert len(payload) == r["payload_bytes"]
+        else:
+            assert payload == b"" and fields[b"WARC-Refers-To-Target-URI"] == b"u3"
+        seen.add(fields[b"WARC-Record-ID"])
+    # Repeated rows and rows without an id have record ids of their own.
+    assert len(seen) == len(index) == odd_pages(spark).count()
+
+
+def test_ids_of_any_text_come_back(spark):
+    path, ids = tempfile.mkdtemp(prefix="run-"), ["", "a b", "x\r\nEvil: 1", "é%41", None]
+    rows = [(i, "u", "page " * 300) for i in ids]
+    pages = spark.createDataFrame(rows, "page_id string, url string, html string")
+    found = warc.read_records(warc.write_archives(pages, path), path).collect()
+    last = max(x for x in ids if x is not None)
+    assert {r["page_id"] for r in found} == set(ids)
+    assert {r["refers_to"] for r in found if r["page_id"] != last} == {last}
+    assert [r["refers_to"] for r in found if r["page_id"] == last] == [None]
+
+
 def test_damage_is_found(spark):
     path = tempfile.mkdtemp(prefix="run-")
     pages = spark.createDataFrame([(1, "u", "some page")], "page_id bigint, url string, html string")
