@@ -209,6 +209,20 @@ class Index:
         return np.bincount(self.owner[at], self.weight[at], self.size)
 
 
+def ranked(scores: np.ndarray, first: int = 64):
+    """Places by falling score, ties by place; only as much is sorted as is asked for."""
+    done = 0
+    while done < len(scores):
+        asked = done + first
+        if asked < len(scores):
+            least = np.partition(scores, len(scores) - asked)[len(scores) - asked]
+            head = np.flatnonzero(scores >= least)
+        else:
+            head = np.arange(len(scores))
+        yield from head[np.argsort(-scores[head], kind="stable")][done:].tolist()
+        done, first = len(head), 4 * first
+
+
 def pack_units(units: list[np.ndarray], idf: np.ndarray, how: Packing):
     """Windows of ``(unit, start, length)``; every id of every unit lies in exactly one."""
     if not units:
@@ -229,7 +243,7 @@ def pack_units(units: list[np.ndarray], idf: np.ndarray, how: Packing):
         room, rest = how.length - window[0][2], None
         if room and unused.any():
             free = np.flatnonzero(unused)
-            for unit in free[np.argsort(-index.scores(seed)[free], kind="stable")].tolist():
+            for unit in map(free.__getitem__, ranked(index.scores(seed)[free])):
                 took = min(room, len(units[unit]))
                 window.append((unit, 0, took))
                 unused[unit] = False

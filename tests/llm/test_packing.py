@@ -76,6 +76,13 @@ def test_neighbours_share_windows():
         assert len(kinds) <= 2
 
 
+@pytest.mark.parametrize("n", [0, 1, 64, 65, 5000])
+def test_ranked_is_a_stable_sort(n):
+    rng = np.random.default_rng(n)
+    for scores in (rng.random(n), rng.integers(0, 3, n) * 1.0, np.zeros(n)):
+        assert list(packing.ranked(scores)) == np.argsort(-scores, kind="stable").tolist()
+
+
 def nearest(units, idf, inside):
     """The best score among ``inside[i]`` of each unit, as a share of the best of all."""
     index, found = packing.Index(units, idf, packing.Packing()), []
