@@ -8,7 +8,8 @@ searched for grams of the sizes its group has, and where one occurs the piece of
 right length around it is cut out. Pieces that equal an item of the group mark it as
 contained. Both ways are exact: any of an item's grams finds it, and the
 sample only decides which. Places whose gram no item is looked for by are left out
-before anything is shuffled.
+before anything is shuffled, and so are the choices of an item with a gram that the
+sample has nowhere, which is nearly every item.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -22,6 +23,9 @@ GRAMS = [1, 2, 4, 8, 16]
 
 # Grams that an item chooses from, at even distances.
 CHOICES = 16
+# Of these it looks at so many first, from its end on. The first that the sample has
+# nowhere is taken at once, and only an item without any counts its choices.
+QUICK_CHOICES = 4
 # One in so many items is in the sample that tells which grams are rare.
 SAMPLED = 16
 # Characters in which an item is searched at a time, as finding a place in a text
@@ -146,20 +150,26 @@ def _contained(items: DataFrame, group: list[str], item: str) -> DataFrame:
             "_length": F.length(item),
         }
     )
-    filled = ids.where(F.col("_length") > 0)
-    pieces = (
-        _hits(filled, group, item)
-        .join(filled.select(*group, "_id", "_id2", item), [*group, "_id", "_id2"])
-        .select(*group, F.substring(F.col(item), F.col("_from"), F.col("_cut")).alias(item))
-    )
+    # Read several times, and finding the items among their copies takes a shuffle.
+    filled = settle(ids.where(F.col("_length") > 0), "items")
+    hits = _hits(filled, group, item)
+
+    def pieces(some: DataFrame, text: str) -> DataFrame:
+        return some.select(*group, F.substring(text, F.col("_from"), F.col("_cut")).alias(item))
+
+    # A short item comes with its places, a longer one is fetched. The test on the
+    # length goes down to the scan, so each item is searched for one of them only.
+    short = pieces(hits.where(F.col("_length") <= BLOCK), "_whole")
+    texts = filled.select(*group, "_id", "_id2", item)
+    long = hits.where(F.col("_length") > BLOCK).join(texts, [*group, "_id", "_id2"])
 
     # An empty item is part of any other, whatever its place.
     beside_empty = filled.select(*group, F.lit("").alias(item))
-    return pieces.unionByName(beside_empty).distinct()
+    return short.unionByName(pieces(long, item)).unionByName(beside_empty).distinct()
 
 
 def _hits(filled: DataFrame, group: list[str], item: str) -> DataFrame:
-    """Where an item may hold another: ``_id, _id2, _from, _cut``.
+    """Where an item may hold another: ``_id, _id2, _length, _whole, _from, _cut``.
 
     ``filled`` has each item of a group once, none of them empty.
     """
@@ -178,7 +188,7 @@ def _hits(filled: DataFrame, group: list[str], item: str) -> DataFrame:
     start = F.col("_at") - F.col("_shift")
     inside = (start >= 1) & (start + F.col("_cut") - 1 <= F.col("_length"))
     return found.where((F.col("_cut") < F.col("_length")) & inside).select(
-        *group, "_id", "_id2", start.alias("_from"), "_cut"
+        *group, "_id", "_id2", "_length", "_whole", start.alias("_from"), "_cut"
     )
 
 
@@ -203,18 +213,19 @@ class _Among:
         listed = F.sort_array(F.collect_list(F.struct("word", "set")))
         self.words = settle(words.agg(listed["set"].alias("words")), "gram-filter").scalar()
 
-    def _spots(self) -> list[Column]:
-        mixed = F.xxhash64(*self.names)
+    def _spots(self, names: list[str] | None = None) -> list[Column]:
+        mixed = F.xxhash64(*(names or self.names))
         # Three runs of bits of the hash; with more than 21 they overlap.
         step = min(self.bits, (64 - self.bits) // 2)
         mask = F.lit((1 << self.bits) - 1).cast("bigint")
         return [F.shiftrightunsigned(mixed, i * step).bitwiseAND(mask) for i in range(3)]
 
-    def may_be(self) -> Column:
+    def may_be(self, names: list[str] | None = None) -> Column:
+        """Whether the columns ``names``, by default those of the keys, may be a key."""
         tests = [
             F.getbit(F.get(self.words, F.shiftright(spot, 6).cast("int")), spot.bitwiseAND(F.lit(63)))
             == 1
-            for spot in self._spots()
+            for spot in self._spots(names)
         ]
         return tests[0] & tests[1] & tests[2]
 
@@ -225,7 +236,8 @@ def _grams(
     """One row for each size of gram in the group and each place ``_at`` where it fits.
 
     Only those ``among`` the wanted ones become rows that go on: the others end in
-    the stage that makes them, which is compiled as a whole.
+    the stage that makes them, which is compiled as a whole. ``_whole`` is an item of
+    one block.
     """
     own = [*group, "_id", "_id2", "_length", "_grams"]
     length, text = F.col("_length"), F.col(item)
@@ -260,6 +272,7 @@ def _grams(
         *own,
         (F.col("_before") + F.col("_in")).alias("_at"),
         F.xxhash64(F.substring("_block", F.col("_in"), F.col("_size"))).alias("_gram"),
+        F.when(length <= BLOCK, F.col("_block")).alias("_whole"),
     ).drop("_grams")
     return found.where(among.may_be()) if among else found
 
@@ -268,17 +281,37 @@ def _needles(filled: DataFrame, group: list[str], item: str, counts: DataFrame)
     """``_gram, _shift, _cut``: items by length and the place of the gram that finds them."""
     length, text = F.col("_length"), F.col(item)
     size = _gram_size(length)
+
+    def gram(shift: Column) -> Column:
+        return F.xxhash64(F.substring(text, shift + 1, size))
+
+    own = [*group, "_id", "_id2", "_length"]
+    quick, number = {}, range(QUICK_CHOICES)
+    for i in number:
+        shift = length - size - F.floor((length - size) * i / (QUICK_CHOICES - 1)).cast("int")
+        quick |= {f"_shift{i}": shift, f"_gram{i}": gram(shift)}
+    sampled = _Among(counts, [*group, "_gram"])
+    unseen = [
+        F.when(
+            ~sampled.may_be([*group, f"_gram{i}"]),
+            F.struct(F.col(f"_gram{i}").alias("_gram"), F.col(f"_shift{i}").alias("_shift")),
+        )
+        for i in number
+    ]
+    tried = filled.select(*own, item, *(c.alias(n) for n, c in quick.items()))
+    tried = settle(tried.select(*own, item, F.coalesce(*unseen).alias("_best")), "choices")
+
     step = F.greatest(F.lit(1), F.ceil((length - size) / (CHOICES - 1)).cast("int"))
     shifts = F.array_union(F.sequence(F.lit(0), length - size, step), F.array(length - size))
     choices = F.transform(
-        shifts,
-        lambda shift: F.struct(
-            shift.alias("_shift"), F.xxhash64(F.substring(text, shift + 1, size)).alias("_gram")
-        ),
+        shifts, lambda shift: F.struct(shift.alias("_shift"), gram(shift).alias("_gram"))
     )
-    own = [*group, "_id", "_id2", "_length"]
-    choices = filled.select(*own, F.inline(choices))
+    choices = tried.where(F.col("_best").isNull()).select(*own, F.inline(choices))
     known = left_join_unique(choices, counts, [*group, "_gram"], "_id", counts=counts)
     rarity = F.struct(F.coalesce("_rows", F.lit(0)).alias("_rows"), "_gram", "_shift")
     best = known.groupBy(*own).agg(F.min(rarity).alias("_best"))
-    return best.select(*group, "_best._gram", "_best._shift", length.alias("_cut")).distinct()
+    found = [
+        some.select(*group, "_best._gram", "_best._shift", length.alias("_cut"))
+        for some in (tried.where(F.col("_best").isNotNull()), best)
+    ]
+    return found[0].unionByName(found[1]).distinct()

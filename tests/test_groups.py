@@ -393,3 +393,45 @@ def test_overall_order_of_an_empty_table(spark):
     none = spark.range(0)
     assert slices.ordinal(none, [], "id").count() == 0
     assert slices.after_first(none, F.lit(0), "id").count() == 0
+
+
+def test_only_items_without_a_rare_gram_count_their_choices(spark, monkeypatch):
+    """Rows that reach the shuffles: a few for each item, whatever its number of grams."""
+    counted = {}
+    real_join, real_settle = containment.left_join_unique, containment.settle
+
+    def join(left, right, *args, **kwargs):
+        if "_shift" in left.columns:
+            counted["choices"] = left.count()
+        return real_join(left, right, *args, **kwargs)
+
+    def settle(df, label):
+        counted[label] = df.count()
+        return real_settle(df, label)
+
+    monkeypatch.setattr(containment, "left_join_unique", join)
+    monkeypatch.setattr(containment, "settle", settle)
+    n = 4000
+    links = spark.range(n).select(F.concat(F.lit("https://jobs.example.com/view/"), "id").alias("link"))
+    rows = links.withColumn("g", F.col("link").endswith("7"))
+    kept = containment.remove_contained_rows(rows, "g", "link", array_items=0)
+    items = [str(i) for i in range(n)]
+    prefixes = {(x[:k], x.endswith("7")) for x in items for k in range(1, len(x))}
+    assert kept.count() == sum((x, x.endswith("7")) not in prefixes for x in items)
+    # Each link has a dozen choices.
+    assert counted["choices"] < 6 * n
+    assert counted["items"] == n
+
+
+def test_contained_in_items_around_the_size_of_a_block(spark):
+    rng = random.Random(12)
+    long = [words(rng, "abcdefgh\u00e9 ", n) for n in (126, 127, 128, 129, 130, 300)]
+    spans = [(0, 17), (100, 20), (64, 62), (1, 5), (90, 3)]
+    rows = long + [x[a : a + n] for x in long for a, n in spans]
+    df = spark.createDataFrame([(k, x) for k in (1, 2) for x in rows[k - 1 :]], "k int, x string")
+    got = containment.remove_contained_rows(df, "k", "x", 0).collect()
+    for k in (1, 2):
+        here = set(rows[k - 1 :])
+        assert {r.x for r in got if r.k == k} == {
+            x for x in here if not any(x != y and x in y for y in here)
+        }
