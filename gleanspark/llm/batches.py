@@ -4,6 +4,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -65,6 +66,17 @@ def texts(batch: pa.RecordBatch, name: str) -> list[bytes]:
     return [b"" if x is None else x for x in batch.column(name).to_pylist()]
 
 
+def lots(batch: pa.RecordBatch, name: str, size: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices with about ``size`` bytes of a column; a larger value is alone."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(name)), 0).to_numpy(), dtype=np.int64)
+    begin = 0
+    while begin < len(ends):
+        done = ends[begin - 1] if begin else 0
+        stop = max(begin + 1, int(np.searchsorted(ends, done + size, "right")))
+        yield batch.slice(begin, stop - begin)
+        begin = stop
+
+
 def as_bytes(name: str) -> Column:
     return F.col(name).cast("binary")
 

@@ -14,7 +14,7 @@ import tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanspark.llm.batches import as_bytes
+from gleanspark.llm.batches import as_bytes, lots
 from gleanspark.workspace import fresh_path
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -23,8 +23,9 @@ END = 0
 # A space that begins a token whatever stands before it, and one that may not.
 _CUT = re.compile(r" (?=\S)")
 _UNSAFE = re.compile(r" \s")
-# Characters of text that are worked on at once.
-_LOT = 8 << 20
+# Characters of text that are worked on at once; more of them take a worker's memory
+# and gain little time.
+_LOT = 2 << 20
 # Words that are encoded as one text.
 _RUN = 500
 
@@ -75,7 +76,7 @@ class WordEncoder:
     The vocabulary's pattern begins a token at each space before another character,
     and what is left of that space does not depend on what follows. So the ids of a
     text are those of its first word and of each space with the word after it.
-    At most ``remembered`` words and ``8 * _LOT`` of their bytes are kept.
+    At most ``remembered`` words and ``32 * _LOT`` of their bytes are kept.
     """
 
     def __init__(self, path: str, remembered: int = 600_000):
@@ -86,7 +87,7 @@ class WordEncoder:
         self.numbers: dict[str, int] = {}
         self.size = 0
         # By word: its ids' place in ``flat`` and their number.
-        self.begin, self.n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.begin, self.n = np.zeros(0, np.int32), np.zeros(0, np.int32)
         self.flat = np.zeros(0, "<u2")
 
     def learn(self, words: list[str], sizes: np.ndarray):
@@ -97,8 +98,9 @@ class WordEncoder:
         ends, stops = np.cumsum(self.encoder.sizes[ids]), np.cumsum(sizes + 1)
         n = np.diff(np.searchsorted(ends, stops, "right"), prepend=0)
         self.numbers.update(zip(words, range(len(self.n), len(self.n) + len(words)), strict=True))
-        self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(n) - n])
-        self.n = np.concatenate([self.n, n])
+        begin = len(self.flat) + np.cumsum(n) - n
+        self.begin = np.concatenate([self.begin, begin.astype(np.int32)])
+        self.n = np.concatenate([self.n, n.astype(np.int32)])
         self.flat = np.concatenate([self.flat, ids])
         self.size += int(stops[-1])
 
@@ -119,7 +121,7 @@ class WordEncoder:
     def _encoded(self, lot: list[tuple[int, str]], out: list[list[bytes]]):
         if not lot:
             return
-        if len(self.numbers) >= self.remembered or self.size >= 8 * _LOT:
+        if len(self.numbers) >= self.remembered or self.size >= 32 * _LOT:
             self.clear()
         # Arrow splits the texts in which every space is such a one.
         plain = [x for x in lot if not (x[1].endswith(" ") or _UNSAFE.search(x[1]))]
@@ -185,7 +187,7 @@ def tokenized(df: DataFrame, id_col: str, text_col: str, path: str = VOCABULARY)
     def work(batches):
         encoder, total = WordEncoder(path), 0
         end = np.array([END], "<u2").tobytes()
-        for batch in batches:
+        for batch in (lot for whole in batches for lot in lots(whole, "text", _LOT)):
             texts = [(x or b"").decode("utf-8", "replace") for x in batch.column("text").to_pylist()]
             found = [x + end for x in encoder.ids(texts)]
             n = np.array([len(x) // 2 for x in found], np.int64)

@@ -1,9 +1,12 @@
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from gleanspark.llm import packing, tokens
+from gleanspark.llm.batches import lots
 from gleanspark.llm.tokens import VOCABULARY, Encoder, WordEncoder
 
 PARTS = [
@@ -61,3 +64,34 @@ def test_terms_and_keys_of_a_batch_are_those_of_its_documents(monkeypatch, lot):
         best += [0] * (packing.KEY_TERMS - len(best))
         assert key + (1 << 63) == sum(t << 16 * (3 - i) for i, t in enumerate(best))
     assert packing.lexical_keys([], weights, how).tolist() == []
+
+
+def test_the_memory_of_encoding_does_not_grow_with_the_texts():
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 9))) for _ in range(500)]
+    texts = [" ".join(rng.choices(words, k=20_000)) for _ in range(70)]
+    encoder = WordEncoder(VOCABULARY)
+    encoder.ids(texts[:1])
+    tracemalloc.start()
+    try:
+        found = encoder.ids(texts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    # Beside the ids themselves, in pieces and joined: what a lot of text takes.
+    assert peak - 2 * sum(map(len, found)) < 64 << 20
+
+
+def test_lots_are_the_whole_batch_in_order():
+    values = [b"a" * 5, None, b"", b"b" * 30, b"c", b"d" * 9, b"e" * 2, None]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(8)), pa.array(values, pa.binary())], names=["row", "text"]
+    )
+    for batch, n in ((batch, 8), (batch.slice(1, 6), 6), (batch.slice(0, 0), 0)):
+        for size in (1, 10, 1000):
+            cut = list(lots(batch, "text", size))
+            assert [x for lot in cut for x in lot.column("row").to_pylist()] == (
+                batch.column("row").to_pylist()
+            )
+            assert all(x.num_rows == 1 or sum(map(len, filter(None, x.column("text").to_pylist()))) <= size for x in cut)
+        assert len(cut) == (n > 0)
